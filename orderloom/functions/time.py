@@ -12,19 +12,25 @@ def truncate_ms(name: str) -> Column:
     ``date_trunc`` would turn ``timestamp_ntz`` into ``timestamp`` and so pass
     through the session time zone; this only subtracts the sub-millisecond part.
     """
-    rest = F.expr(f"cast(extract(SECOND FROM `{name}`) * 1000000 AS bigint) % 1000")
-    return F.timestamp_add("MICROSECOND", -rest, F.col(name))
+    return F.timestamp_add("MICROSECOND", -F.pmod(_micros(name), F.lit(1000)), F.col(name))
 
 
 def epoch_ms(name: str) -> Column:
     """Milliseconds since 1970-01-01 00:00 on the column's own clock."""
-    return F.expr(
-        f"datediff(`{name}`, DATE'1970-01-01') * 86400000L"
-        f" + hour(`{name}`) * 3600000L + minute(`{name}`) * 60000L"
-        f" + cast(floor(extract(SECOND FROM `{name}`) * 1000) AS bigint)"
+    return (
+        F.datediff(name, F.lit("1970-01-01").cast("date")) * F.lit(86_400_000).cast("bigint")
+        + F.hour(name) * F.lit(3_600_000)
+        + F.minute(name) * F.lit(60_000)
+        + F.second(name) * F.lit(1_000)
+        + F.floor(F.pmod(_micros(name), F.lit(1_000_000)) / F.lit(1_000))
     )
 
 
+def _micros(name: str) -> Column:
+    # Zone offsets are whole seconds, so the part below a second is the same in any zone.
+    return F.unix_micros(F.col(name).cast("timestamp"))
+
+
 def as_event_time(name: str) -> Column:
     """``timestamp_ntz`` to ``timestamp`` for use with watermarks (session zone UTC)."""
     return F.col(name).cast("timestamp")

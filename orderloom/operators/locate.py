@@ -1,70 +1,93 @@
-"""Find, for every row, the last of a short list of (key, time) starts before it.
+"""Find, for every row, the last of a bounded list of (key, time) starts before it.
 
-The starts are bounded by the caller. Rows never move: the key's ordinal comes
-from a broadcast join, and key and time together form one number line on which
-``Bucketizer`` (a JVM binary search) finds the interval. Cost per row is
-O(log starts); no candidate pairs are produced and nothing is shuffled.
+Rows never move: the key's ordinal comes from a broadcast join, and key and time
+together form one number line that is searched in O(log starts) per row. No
+candidate pairs are produced and nothing is shuffled. A short list is searched in
+the JVM by ``Bucketizer``; handing it a long one is slow, so beyond that an
+Arrow-batched UDF searches a broadcast array.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.time import epoch_ms
 
+# Time of a start that lies before every row of its key.
+OPEN = int(np.iinfo(np.int64).min)
+
 # Whole numbers up to this are exact in a double.
-_EXACT = 2**53
+_EXACT_DOUBLE = 2**53
+_EXACT_LONG = 2**63
 
-Start = tuple[str, "int | None"]
+# Longest list searched by Bucketizer.
+SHORT_LIST = 8192
 
 
-def fits(starts: Sequence[Start]) -> bool:
-    """Whether (key, time) of these starts can share one exact number line."""
-    times = [ms for _, ms in starts if ms is not None]
-    if not times:
-        return True
-    keys = len({key for key, _ in starts})
-    return keys * (max(times) - min(times) + 2) < _EXACT
+class Starts:
+    """Starts sorted by key, then time (whole milliseconds, or ``OPEN``)."""
 
+    def __init__(self, keys: pa.Array, ms: np.ndarray) -> None:
+        encoded = keys.dictionary_encode()
+        self.keys = encoded.dictionary
+        timed = ms[ms != OPEN]
+        self.low = int(timed.min()) - 1 if len(timed) else 0
+        high = int(timed.max()) if len(timed) else 0
+        self.room = high - self.low + 1
+        self.end = len(self.keys) * self.room
+        # Too many keys for the covered time: no common number line.
+        self.fits = self.end < _EXACT_LONG
+        ordinal = encoded.indices.to_numpy().astype(np.int64)
+        self.first = np.searchsorted(ordinal, np.arange(len(self.keys)))
+        if self.fits:
+            self.line = ordinal * self.room + np.where(ms == OPEN, 0, ms - self.low)
 
-def locate(df: DataFrame, key: str, ts: str, starts: Sequence[Start], slot: str) -> DataFrame:
-    """Add ``slot``: the position in ``starts`` of the last start at or before the row.
 
-    ``starts`` is sorted by key, then time; the first entry of each key has time
-    ``None`` (open start). ``slot`` is null when the row's key is not listed.
-    Times are whole milliseconds.
+def locate(df: DataFrame, key: str, ts: str, starts: Starts, slot: str) -> DataFrame:
+    """Add ``slot``: the position of the last start of the row's key at or before it.
+
+    Null when the key is not listed or the row lies before its first start.
     """
-    if not starts:
+    if not len(starts.keys):
         return df.withColumn(slot, F.lit(None).cast("int"))
-    if not fits(starts):
-        raise ValueError("too many keys for the covered time span; use another strategy")
-    times = [ms for _, ms in starts if ms is not None] or [0]
-    low, high = min(times) - 1, max(times)
-    stride = high - low + 1
-
-    keys = list(dict.fromkeys(k for k, _ in starts))
-    ordinal = {k: i for i, k in enumerate(keys)}
-    line = [
-        float(ordinal[k] * stride + (0 if ms is None else ms - low)) for k, ms in starts
-    ]
-    splits = line + [float(len(keys) * stride), float("inf")]
-
     spark = df.sparkSession
-    ordinals = spark.createDataFrame(
-        pa.table({"_key": pa.array(keys, pa.string()),
-                  "_ordinal": pa.array(range(len(keys)), pa.int64())})
+    listed = spark.createDataFrame(
+        pa.table({"_key": starts.keys,
+                  "_origin": pa.array(np.arange(len(starts.keys)) * starts.room, pa.int64()),
+                  "_first": pa.array(starts.first, pa.int32())})
     )
     # Times outside the listed range have the same answer as its nearest end.
-    offset = F.least(F.greatest(epoch_ms(ts), F.lit(low)), F.lit(high)) - F.lit(low)
-    placed = df.join(F.broadcast(ordinals), F.col(key) == F.col("_key"), "left").withColumn(
-        "_point", (F.col("_ordinal") * F.lit(stride) + offset).cast("double")
+    low, high = F.lit(starts.low), F.lit(starts.low + starts.room - 1)
+    offset = F.least(F.greatest(epoch_ms(ts), low), high) - low
+    placed = df.join(F.broadcast(listed), F.col(key) == F.col("_key"), "left").withColumn(
+        "_point", F.col("_origin") + offset
     )
-    found = Bucketizer(splits=splits, inputCol="_point", outputCol="_slot").transform(placed)
-    return found.withColumn(slot, F.col("_slot").cast("int")).drop(
-        "_key", "_ordinal", "_point", "_slot"
+    if len(starts.line) <= SHORT_LIST and starts.end < _EXACT_DOUBLE:
+        splits = [-1.0, *starts.line.astype(float).tolist(), float("inf")]
+        found = (
+            Bucketizer(splits=splits, inputCol="_point", outputCol="_at")
+            .transform(placed)
+            .withColumn("_at", F.col("_at").cast("int") - 1)
+        )
+    else:
+        found = placed.withColumn("_at", _search(spark, starts.line, F.col("_point")))
+    return found.withColumn(slot, F.when(F.col("_at") >= F.col("_first"), F.col("_at"))).drop(
+        "_key", "_origin", "_first", "_point", "_at"
     )
+
+
+def _search(spark, line: np.ndarray, point: Column) -> Column:
+    shared = spark.sparkContext.broadcast(line)
+
+    @F.pandas_udf("int")
+    def last_at_or_before(points: pd.Series) -> pd.Series:
+        at = np.searchsorted(shared.value, points.to_numpy(), side="right") - 1
+        return pd.Series(at, dtype="int32")
+
+    # Keys that are not listed have no point; -1 lies before every start.
+    return last_at_or_before(F.coalesce(point, F.lit(-1).cast("bigint")))

@@ -12,11 +12,12 @@ import math
 from collections import Counter
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.operators.locate import Start, locate
+from orderloom.operators.locate import OPEN, Starts, locate
 
 # Rows of one key that a single task may sort.
 MAX_TASK_ROWS = 4_000_000
@@ -30,14 +31,16 @@ COLD = -1
 
 @dataclass(frozen=True)
 class Pieces:
-    """Time pieces of the hot keys; a piece's number is its position in ``starts``."""
+    """Time pieces of the hot keys, sorted by key and time; each key's first is open."""
 
-    starts: tuple[Start, ...]
+    keys: tuple[str, ...]
+    ms: tuple[int, ...]
     pinned: tuple[bool, ...]
 
     def assign(self, df: DataFrame, key: str, ts: str) -> DataFrame:
         """Add ``piece`` (``COLD`` for keys that are not split) and ``pinned``."""
-        placed = locate(df, key, ts, self.starts, "piece")
+        starts = Starts(pa.array(self.keys, pa.string()), np.array(self.ms, dtype=np.int64))
+        placed = locate(df, key, ts, starts, "piece")
         pinned = [i for i, p in enumerate(self.pinned) if p]
         flag = F.lit(False)
         if pinned:
@@ -55,8 +58,8 @@ class Pieces:
         """One row per piece: (piece, product key, pinned)."""
         return spark.createDataFrame(
             pa.table({
-                "piece": pa.array(range(len(self.starts)), pa.int32()),
-                "piece_key": pa.array([k for k, _ in self.starts], pa.string()),
+                "piece": pa.array(range(len(self.keys)), pa.int32()),
+                "piece_key": pa.array(self.keys, pa.string()),
                 "piece_pinned": pa.array(self.pinned, pa.bool_()),
             })
         )
@@ -100,8 +103,7 @@ def profile(points: DataFrame, max_task_rows: int = MAX_TASK_ROWS) -> Pieces | N
         .collect()
     )
 
-    starts: list[Start] = []
-    pinned: list[bool] = []
+    pieces: list[tuple[str, int, bool]] = []
     for row in sorted(cuts, key=lambda r: r.key):
         marks: dict[int, bool] = {}
         for ms, times in Counter(row.cuts).items():
@@ -110,9 +112,6 @@ def profile(points: DataFrame, max_task_rows: int = MAX_TASK_ROWS) -> Pieces | N
                 marks.setdefault(ms + 1, False)
             else:
                 marks.setdefault(ms, False)
-        starts.append((row.key, None))
-        pinned.append(False)
-        for ms in sorted(marks):
-            starts.append((row.key, ms))
-            pinned.append(marks[ms])
-    return Pieces(tuple(starts), tuple(pinned))
+        pieces.append((row.key, OPEN, False))
+        pieces.extend((row.key, ms, marks[ms]) for ms in sorted(marks))
+    return Pieces(*zip(*pieces))

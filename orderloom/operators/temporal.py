@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from orderloom.functions.time import epoch_ms
 from orderloom.operators import pieces as P
 from orderloom.operators.changelog import history, is_live
-from orderloom.operators.locate import Start, fits, locate
+from orderloom.operators.locate import Starts, locate
 from orderloom.operators.sizes import SMALL_BYTES, plan_bytes
 from orderloom.schemas import ENRICHED_ORDERS
 
@@ -127,8 +127,11 @@ def _carry_forward(order_rows: DataFrame, version_rows: DataFrame, by: list[str]
     name = F.when(is_version, F.struct("product_name"))
     return (
         order_rows.unionByName(version_rows)
-        .withColumn("matched", F.last("live", ignorenulls=True).over(so_far))
-        .withColumn("version", F.last(name, ignorenulls=True).over(so_far))
+        .select(
+            "*",
+            F.last("live", ignorenulls=True).over(so_far).alias("matched"),
+            F.last(name, ignorenulls=True).over(so_far).alias("version"),
+        )
         .filter((F.col("side") == _ORDER) & F.col("matched"))
         .select(
             "order_id",
@@ -142,7 +145,7 @@ def _carry_forward(order_rows: DataFrame, version_rows: DataFrame, by: list[str]
 
 def _enrich_split(orders: DataFrame, versions: DataFrame, max_task_rows: int) -> DataFrame:
     plan = P.profile(_points(orders, versions), max_task_rows)
-    if plan is None or not fits(plan.starts):
+    if plan is None:
         return _carry_forward(_order_rows(orders), _version_rows(versions), ["product_id"])
     return _enrich_in_pieces(orders, versions, plan)
 
@@ -154,8 +157,9 @@ def _enrich_in_pieces(orders: DataFrame, versions: DataFrame, plan: P.Pieces) ->
 
     # Ordinary pieces: sort and carry forward, opened by the carried-in version.
     opening = (
-        carried.filter(~F.col("piece_pinned") & F.col("carry_in").isNotNull())
-        .select(F.col("piece_key").alias("product_id"), "piece", "carry_in.*")
+        carried.filter(~F.col("piece_pinned") & F.col("last_updated_ts").isNotNull())
+        .withColumnRenamed("piece_key", "product_id")
+        .drop("piece_pinned", "end_live", "end_name")
     )
     moving = versions.filter(~F.col("pinned")).drop("pinned").unionByName(opening)
     sorted_part = _carry_forward(
@@ -165,12 +169,13 @@ def _enrich_in_pieces(orders: DataFrame, versions: DataFrame, plan: P.Pieces) ->
     )
 
     # Pinned pieces: one instant, one version, joined without moving the orders.
-    at_instant = carried.filter("piece_pinned").select("piece", F.col("carry_out").alias("v"))
+    at_instant = carried.filter("piece_pinned and end_live").select("piece", "end_name")
     pinned_part = (
         orders.filter("pinned")
         .join(F.broadcast(at_instant), "piece")
-        .filter("v.live")
-        .select("order_id", "product_id", "v.product_name", "quantity", "order_ts")
+        .select(
+            "order_id", "product_id", F.col("end_name").alias("product_name"), "quantity", "order_ts"
+        )
     )
     return sorted_part.unionByName(pinned_part)
 
@@ -178,7 +183,8 @@ def _enrich_in_pieces(orders: DataFrame, versions: DataFrame, plan: P.Pieces) ->
 def _carried(versions: DataFrame, plan: P.Pieces) -> DataFrame:
     """Per piece: the last version before it and the last version at its end.
 
-    At most one row per piece, so at most a few thousand rows.
+    One row per piece, so at most a few thousand: fetched once and used as a local
+    table by both parts of the join, instead of being computed for each.
     """
     version = F.struct("last_updated_ts", "seq", "live", "product_name")
     own = (
@@ -187,17 +193,28 @@ def _carried(versions: DataFrame, plan: P.Pieces) -> DataFrame:
         .agg(F.max_by(version, F.struct("last_updated_ts", "seq")).alias("own"))
     )
     up_to = Window.partitionBy("piece_key").orderBy("piece")
-    return plan.table(versions.sparkSession).join(own, "piece", "left").select(
-        "piece",
-        "piece_key",
-        "piece_pinned",
-        F.last("own", ignorenulls=True)
-        .over(up_to.rowsBetween(Window.unboundedPreceding, -1))
-        .alias("carry_in"),
-        F.last("own", ignorenulls=True)
-        .over(up_to.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        .alias("carry_out"),
+    spark = versions.sparkSession
+    carried = (
+        plan.table(spark)
+        .join(own, "piece", "left")
+        .select(
+            "piece",
+            "piece_key",
+            "piece_pinned",
+            F.last("own", ignorenulls=True)
+            .over(up_to.rowsBetween(Window.unboundedPreceding, -1))
+            .alias("before"),
+            F.last("own", ignorenulls=True)
+            .over(up_to.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+            .alias("end"),
+        )
+        .select(
+            "piece", "piece_key", "piece_pinned", "before.*",
+            F.col("end.live").alias("end_live"),
+            F.col("end.product_name").alias("end_name"),
+        )
     )
+    return spark.createDataFrame(carried.toArrow(), carried.schema)
 
 
 def _search_history(orders: DataFrame, versions: DataFrame) -> DataFrame | None:
@@ -215,25 +232,16 @@ def _search_history(orders: DataFrame, versions: DataFrame) -> DataFrame | None:
     if table.num_rows > BROADCAST_VERSIONS:
         return None
     table = table.sort_by([("product_id", "ascending"), ("ms", "ascending")])
-
-    starts: list[Start] = []
-    slots: list[int] = []
-    previous = None
-    for key, ms in zip(table["product_id"].to_pylist(), table["ms"].to_pylist()):
-        if key != previous:
-            starts.append((key, None))  # before the first version: no match
-            previous = key
-        slots.append(len(starts))
-        starts.append((key, ms))
-    if not fits(starts):
+    starts = Starts(table["product_id"].combine_chunks(), table["ms"].to_numpy())
+    if not starts.fits:
         return None
-
     found = orders.sparkSession.createDataFrame(
         pa.table({
-            "slot": pa.array(slots, pa.int32()),
+            "slot": pa.array(range(table.num_rows), pa.int32()),
             "product_name": table["product_name"],
             "valid_to": table["valid_to"],
-        })
+        }),
+        "slot int, product_name string, valid_to timestamp_ntz",
     )
     return (
         locate(orders, "product_id", "order_ts", starts, "slot")

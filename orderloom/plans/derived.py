@@ -15,9 +15,20 @@ from orderloom.functions.time import truncate_ms
 VERSIONS_PER_PART = 8
 HOT_PRODUCT = "product-1"
 
+# Declared columns of the given tables: no job is run to look them up.
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+}
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _product_of_user() -> Column:
@@ -88,7 +99,7 @@ def line_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         F.concat(F.lit("product-"), F.col("l_partkey").cast("string")).alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        truncate_ms("l_shipdate").alias("order_ts"),
+        F.col("l_shipdate").alias("order_ts"),  # whole days
     )
 
 

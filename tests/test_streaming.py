@@ -1,0 +1,281 @@
+from __future__ import annotations
+
+import random
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_DIR, at, rows
+from orderloom.operators.changelog import fold
+from orderloom.operators.temporal import temporal_enrich
+from orderloom.operators.windows import tumbling_counts
+from orderloom.plans import derived as D
+from orderloom.schemas import (
+    ENRICHED_ORDERS,
+    ORDERS,
+    PRODUCT_CHANGES,
+    PRODUCT_WINDOW_COUNTS,
+)
+from orderloom.sources.csv_orders import write_csv_orders
+from orderloom.sources.logs import append_log, read_log
+from orderloom.streaming import pipeline as S
+from orderloom.streaming.sinks import read_latest, start_log, upsert_latest
+
+ENRICHED = tuple(ENRICHED_ORDERS.columns)
+COUNTS = tuple(PRODUCT_WINDOW_COUNTS.columns)
+
+
+@pytest.fixture
+def job(tmp_path):
+    return S.Job(str(tmp_path / "in"), str(tmp_path / "changes"), str(tmp_path / "job"), spread=2)
+
+
+class Feed:
+    """Adds rows to the logs of a job and runs its join on what is new."""
+
+    def __init__(self, spark, make, job):
+        self.spark, self.make, self.job = spark, make, job
+
+    def __call__(self, orders=(), changes=()):
+        append_log(self.make.orders(*orders).coalesce(1), ORDERS, self.job.log(ORDERS))
+        append_log(
+            self.make.changes(*changes).coalesce(1), PRODUCT_CHANGES, self.job.log(PRODUCT_CHANGES)
+        )
+        self.query = S.start_enriched(self.spark, self.job, S.AVAILABLE_NOW)
+        self.query.awaitTermination()
+        out = read_log(self.spark, ENRICHED_ORDERS, self.job.log(ENRICHED_ORDERS))
+        return rows(out, "order_id", "product_name")
+
+
+@pytest.fixture
+def feed(spark, make, job):
+    return Feed(spark, make, job)
+
+
+def test_orders_wait_for_the_slower_side(feed):
+    v1 = ("p1", "v1", "00:00:00", "c", 0)
+    # No change after 00:00:00: nothing newer than that (less one second) comes out.
+    assert feed([("a", "p1", "00:00:10"), ("b", "p1", "00:30:00")], [v1]) == []
+    # The change of 00:00:10 arrives one run later and is still used.
+    assert feed([], [("p1", "v2", "00:00:10", "u", 1), ("p9", "far", "00:40:00", "c", 2)]) == [
+        ("a", "v2")
+    ]
+    assert feed([("c", "p1", "00:40:00")], []) == [("a", "v2"), ("b", "v2")]
+
+
+def test_rules_on_a_stream(feed):
+    changes = [
+        ("p1", "v1", "00:00:00", "c", 0),
+        ("p1", "v3", "00:00:10", "u", 2),
+        ("p1", "v2", "00:00:10", "u", 1),
+        ("p1", None, "00:00:20", "d", 3),
+        ("p1", "v4", "00:00:30", "c", 4),
+        ("p1", None, "00:00:40", "u", 5),
+        (None, "x", "00:00:00", "c", 6),
+        ("p2", "late", "00:05:00", "c", 7),
+        ("p2", "null", None, "u", 8),
+    ]
+    orders = [
+        ("a", "p1", "00:00:09.999"), ("b", "p1", "00:00:10"), ("c", "p1", "00:00:20"),
+        ("d", "p1", "00:00:30"), ("e", "p1", "00:00:41"), ("f", "p2", "00:04:59"),
+        ("g", "p9", "00:01:00"), ("h", None, "00:01:00"), ("i", "p1", None),
+        (None, "p1", "00:00:01"), ("j", "p1", "00:00:01"), ("j", "p1", "00:00:01"),
+        ("end", "p2", "00:05:00"),
+    ]
+    assert feed(orders, changes) == sorted(
+        [("a", "v1"), ("b", "v3"), ("d", "v4"), ("e", None), (None, "v1"), ("j", "v1"), ("j", "v1")],
+        key=repr,
+    )
+
+
+def test_late_order_is_dropped_and_counted(feed):
+    feed([("a", "p1", "00:10:00")], [("p1", "v1", "00:00:00", "c", 0), ("p9", "x", "00:10:00", "c", 1)])
+    feed([("b", "p1", "00:20:00")], [("p9", "x", "00:20:00", "u", 2)])
+    out = feed([("late", "p1", "00:00:05"), ("c", "p1", "00:30:00")], [("p9", "x", "00:30:00", "u", 3)])
+    assert ("late", "v1") not in out and ("b", "v1") in out
+    dropped = sum(
+        op["numRowsDroppedByWatermark"] for p in feed.query.recentProgress for op in p["stateOperators"]
+    )
+    assert dropped == 1
+
+
+def test_old_versions_leave_the_state(feed):
+    for minute in range(4):
+        changes = [("p1", f"v{minute}-{s}", f"00:0{minute}:{s:02d}", "u", minute * 60 + s) for s in range(50)]
+        feed([("a", "p1", f"00:0{minute}:30")], changes)
+    stored = (
+        feed.spark.read.format("statestore")
+        .option("stateVarName", "versions")
+        .load(feed.job.checkpoint("enriched_orders"))
+    )
+    # Two groups; each needs little more than the one version current at the watermark.
+    assert stored.count() <= 2 * 25
+
+
+@pytest.mark.parametrize("runs", [1, 3, 6])
+def test_stream_equals_batch(spark, job, runs):
+    """Replay in consecutive runs (each a restart), rows within a run in any order."""
+    orders, changes = D.event_orders(spark, SF_DIR), D.event_changes_with_deletes(spark, SF_DIR)
+    low, high = orders.agg(F.min("order_ts"), F.max("order_ts")).first()
+    edges = [low + (high - low) * i / runs for i in range(1, runs)]
+
+    def part(df, ts, i):
+        number = sum((F.when(F.col(ts) >= F.lit(e), 1).otherwise(0) for e in edges), F.lit(0))
+        return df.filter(number == i).orderBy(F.rand(7)).coalesce(3)
+
+    for i in range(runs):
+        append_log(part(orders, "order_ts", i), ORDERS, job.log(ORDERS))
+        append_log(part(changes, "last_updated_ts", i), PRODUCT_CHANGES, job.log(PRODUCT_CHANGES))
+        S.start_enriched(spark, job, S.AVAILABLE_NOW).awaitTermination()
+
+    end = F.least(
+        F.lit(high), F.lit(changes.agg(F.max("last_updated_ts")).first()[0])
+    ) - F.expr("INTERVAL 1 SECOND")
+    batch = temporal_enrich(orders, changes).filter(F.col("order_ts") <= end)
+    stream = read_log(spark, ENRICHED_ORDERS, job.log(ENRICHED_ORDERS))
+    assert rows(stream, *ENRICHED) == rows(batch, *ENRICHED)
+
+
+def test_spread_does_not_change_the_result(spark, make, tmp_path):
+    rng = random.Random(5)
+    orders = [(str(i), "p1", f"00:{rng.randrange(50):02d}:{rng.randrange(60):02d}") for i in range(200)]
+    changes = [("p1", f"v{m}", f"00:{m:02d}:00", "u", m) for m in range(52)]
+    outs = []
+    for spread in (1, 5):
+        job = S.Job("", "", str(tmp_path / str(spread)), spread=spread)
+        outs.append(Feed(spark, make, job)(orders + [("end", "p9", "00:55:00")], changes))
+    assert outs[0] == outs[1] and len(outs[0]) == 200
+
+
+def start_counts(spark, job, enriched):
+    append_log(enriched.coalesce(1), ENRICHED_ORDERS, job.log(ENRICHED_ORDERS))
+    query = S.start_counts(spark, job, S.AVAILABLE_NOW)
+    query.awaitTermination()
+    return query, rows(
+        read_log(spark, PRODUCT_WINDOW_COUNTS, job.log(PRODUCT_WINDOW_COUNTS)), *COUNTS
+    )
+
+
+def test_windows_come_out_once_and_only_when_closed(spark, make, job):
+    def enriched(*orders):
+        return make.orders(*orders).withColumn("product_name", F.lit("n")).select(*ENRICHED)
+
+    _, out = start_counts(spark, job, enriched(("a", "p1", "00:01:00"), ("b", "p1", "00:04:59.999")))
+    assert out == []
+    # At 00:05:00 the watermark is 00:04:59: still open.
+    _, out = start_counts(spark, job, enriched(("c", "p1", "00:05:00")))
+    assert out == []
+    _, out = start_counts(spark, job, enriched(("d", "p1", "00:05:01")))
+    first = ("p1", 2, at("00:00:00"), at("00:05:00"))
+    assert out == [first]
+    _, out = start_counts(spark, job, enriched(("e", "p1", "00:08:00")))
+    assert out == [first]
+    # Far behind the watermark: dropped, counted, and the closed window stays as it was.
+    query, out = start_counts(spark, job, enriched(("late", "p1", "00:02:00"), ("f", "p1", "00:10:01")))
+    assert out == [first, ("p1", 3, at("00:05:00"), at("00:10:00"))]
+    dropped = sum(
+        op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"]
+    )
+    assert dropped >= 1
+
+
+def test_chained_equals_two_queries(spark, job, tmp_path):
+    orders, changes = D.event_orders(spark, SF_DIR), D.event_changes(spark, SF_DIR)
+    job = S.Job("", "", job.base, window_minutes=60, spread=2)
+    append_log(orders, ORDERS, job.log(ORDERS))
+    append_log(changes, PRODUCT_CHANGES, job.log(PRODUCT_CHANGES))
+    S.start_chained(spark, job, S.AVAILABLE_NOW).awaitTermination()
+    out = read_log(spark, PRODUCT_WINDOW_COUNTS, job.log(PRODUCT_WINDOW_COUNTS))
+    end = orders.agg(F.max("order_ts")).first()[0], changes.agg(F.max("last_updated_ts")).first()[0]
+    batch = tumbling_counts(temporal_enrich(orders, changes), 60).filter(
+        F.col("window_end") <= F.lit(min(end)) - F.expr("INTERVAL 1 SECOND")
+    )
+    assert rows(out, *COUNTS) == rows(batch, *COUNTS)
+
+
+def test_whole_job_from_files(spark, make, job):
+    write_csv_orders(
+        make.orders(("a", "p1", "00:01:00"), ("b", "p1", "00:02:00"), ("c", "p2", "00:03:00")),
+        job.order_files,
+    )
+    append_log(
+        make.changes(("p1", "one", "00:00:00", "c", 0), ("p2", "two", "00:02:30", "c", 1)),
+        PRODUCT_CHANGES,
+        job.change_files,
+    )
+    S.run_available(spark, job)
+    assert read_log(spark, ORDERS, job.log(ORDERS)).count() == 3
+    assert spark.read.parquet(job.quarantine).count() >= 1  # header lines
+
+    write_csv_orders(make.orders(("d", "p1", "00:20:00")), job.order_files)
+    append_log(
+        make.changes(("p1", "one more", "00:20:00", "u", 2)), PRODUCT_CHANGES, job.change_files
+    )
+    S.run_available(spark, job)
+    write_csv_orders(make.orders(("e", "p1", "00:40:00")), job.order_files)
+    append_log(
+        make.changes(("p1", "last", "00:40:00", "u", 3)), PRODUCT_CHANGES, job.change_files
+    )
+    S.run_available(spark, job)
+    enriched = read_log(spark, ENRICHED_ORDERS, job.log(ENRICHED_ORDERS))
+    assert rows(enriched, "order_id", "product_name") == [
+        ("a", "one"), ("b", "one"), ("c", "two"), ("d", "one more")
+    ]
+    counts = read_log(spark, PRODUCT_WINDOW_COUNTS, job.log(PRODUCT_WINDOW_COUNTS))
+    assert rows(counts, "product_id", "order_count") == [("p1", 2), ("p2", 1)]
+
+
+def test_running_job_keeps_all_queries_alive(spark, make, job):
+    write_csv_orders(make.orders(("a", "p1", "00:01:00")), job.order_files)
+    append_log(make.changes(("p1", "one", "00:00:00", "c", 0)), PRODUCT_CHANGES, job.change_files)
+    queries = S.start_all(spark, job)
+    try:
+        queries[1].processAllAvailable()
+        assert len(queries) == 5 and all(q.isActive for q in queries)
+        assert read_log(spark, ORDERS, job.log(ORDERS)).count() == 1
+    finally:
+        for q in queries:
+            q.stop()
+
+
+def test_latest_table_follows_the_changes(spark, make, tmp_path):
+    log, table, checkpoint = (str(tmp_path / n) for n in ("log", "table", "cp"))
+    batches = [
+        [("p1", "a", "00:00:01", "c", 0), ("p2", "b", "00:00:02", "c", 1)],
+        [("p1", "c", "00:00:03", "u", 2), ("p1", "d", "00:00:00", "u", 3), ("p3", "e", "00:00:04", "c", 4)],
+        [("p2", None, "00:00:05", "d", 5)],
+    ]
+    for changes in batches:
+        append_log(make.changes(*changes), PRODUCT_CHANGES, log)
+        stream = spark.readStream.schema(PRODUCT_CHANGES.schema).parquet(log)
+        query = (
+            stream.writeStream.foreachBatch(upsert_latest(table))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    out = read_latest(spark, table, 2)
+    assert rows(out, "product_id", "product_name") == [("p1", "d"), ("p3", "e")]
+    whole = fold(read_log(spark, PRODUCT_CHANGES, log))
+    assert rows(out, "product_id", "product_name") == rows(whole, "product_id", "product_name")
+    # The same batch again gives the same table.
+    upsert_latest(table)(make.changes(*batches[2]), 2)
+    assert rows(read_latest(spark, table, 2), "product_id") == [("p1",), ("p3",)]
+
+
+def test_settings_of_the_caller_are_untouched(spark, make, job):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        append_log(make.orders(("a", "p1", "02:30:00")), ORDERS, job.log(ORDERS))
+        append_log(
+            make.changes(("p1", "v1", "02:29:00", "c", 0), ("p9", "x", "03:00:00", "c", 1)),
+            PRODUCT_CHANGES, job.log(PRODUCT_CHANGES),
+        )
+        append_log(make.orders(("z", "p9", "03:00:00")), ORDERS, job.log(ORDERS))
+        S.start_enriched(spark, job, S.AVAILABLE_NOW).awaitTermination()
+        assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"
+        out = read_log(spark, ENRICHED_ORDERS, job.log(ENRICHED_ORDERS))
+        assert rows(out, "order_id", "order_ts") == [("a", at("02:30:00"))]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
