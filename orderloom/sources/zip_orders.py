@@ -24,13 +24,49 @@ LINES_PER_BATCH = 8192
 
 _BROKEN = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError)
 
+# Columns of the binary file source; streams need them declared.
+_FILES = "path string, modificationTime timestamp, length bigint, content binary"
+
 _PARTS = pa.schema([("path", pa.string()), ("member", pa.string()), ("error", pa.string())])
 _LINES = pa.schema(
     [("path", pa.string()), ("member", pa.string()), ("line", pa.string()), ("error", pa.string())]
 )
 
 
-def _open(path: str):
+class _RandomAccess(io.RawIOBase):
+    """An Arrow file as a plain Python one: a bad seek is an ``OSError``."""
+
+    def __init__(self, file) -> None:
+        self._file = file
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self._file.tell()
+
+    def seek(self, offset: int, whence: int = 0) -> int:
+        try:
+            self._file.seek(offset, whence)
+        except ValueError as e:
+            raise OSError(str(e)) from e
+        return self._file.tell()
+
+    def readinto(self, buffer) -> int:
+        data = self._file.read(len(buffer))
+        buffer[: len(data)] = data
+        return len(data)
+
+    def close(self) -> None:
+        if not self.closed:
+            self._file.close()
+        super().close()
+
+
+def _open(path: str) -> io.BufferedReader:
     """Open a file of any file system both Spark and Arrow know, for random access."""
     from pyarrow import fs
 
@@ -39,7 +75,7 @@ def _open(path: str):
     elif path.startswith("s3a://"):
         path = "s3://" + path[len("s3a://"):]
     store, inner = fs.FileSystem.from_uri(path)
-    return store.open_input_file(inner)
+    return io.BufferedReader(_RandomAccess(store.open_input_file(inner)), 1 << 20)
 
 
 def _members(archive: zipfile.ZipFile) -> list[str]:
@@ -113,7 +149,7 @@ def unzip_lines(files: DataFrame, tasks: int | None = None) -> DataFrame:
 
 def read_zip_orders(spark: SparkSession, path: str) -> Ingest:
     """All zip archives in a folder; other files are ignored."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
+    files = spark.read.format("binaryFile").schema(_FILES).option("pathGlobFilter", "*.zip").load(path)
     return decode_lines(unzip_lines(files))
 
 
@@ -121,7 +157,7 @@ def stream_zip_orders(
     spark: SparkSession, path: str, max_files_per_trigger: int | None = None
 ) -> Ingest:
     """A folder watched for new zip archives. Producers must move finished files in."""
-    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.zip")
+    reader = spark.readStream.format("binaryFile").schema(_FILES).option("pathGlobFilter", "*.zip")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return decode_lines(unzip_lines(reader.load(path)))

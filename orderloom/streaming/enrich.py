@@ -99,7 +99,8 @@ class TemporalJoin(StatefulProcessor):
         if self.oldest.exists():
             horizon = min(horizon, self.oldest.get()[0])
         first = max(bisect_right([v[0] for v in versions], horizon) - 1, 0)
-        self.versions.put(versions[first:])
+        if versions:
+            self.versions.put(versions[first:])
 
     def close(self) -> None:
         pass
