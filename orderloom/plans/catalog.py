@@ -37,7 +37,7 @@ CUT = "2024-01-15 00:00:00"
 SPLIT_ROWS = 500
 
 # Streaming queries replay the tables in this many consecutive runs.
-RUNS = 3
+RUNS = 2
 STREAM_WINDOW = 60
 
 

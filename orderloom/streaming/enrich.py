@@ -22,85 +22,99 @@ from orderloom.operators.changelog import is_live
 
 # State groups per product. Orders of one product are spread over this many
 # groups; its (far fewer) changes are copied to each of them.
-DEFAULT_SPREAD = 8
+DEFAULT_SPREAD = 4
+
+# Waiting orders per state entry; a flush holds one entry at a time.
+CHUNK = 10_000
 
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 _OUTPUT = "order_id string, product_id string, product_name string, quantity int, order_ts timestamp"
 
+_NO_STATE = (None, [], [], [], [])
+
 
 class TemporalJoin(StatefulProcessor):
-    """State of one (product, spread) group: waiting orders and needed versions."""
+    """State of one (product, spread) group: waiting orders and needed versions.
+
+    Rows are kept as columns (arrays): a state entry is then encoded once, not
+    once per row.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "ms bigint, order_id string, quantity int")
-        self.versions = handle.getListState(
-            "versions", "ms bigint, seq bigint, product_name string, live boolean"
+        self.waiting = handle.getListState(
+            "waiting", "ms array<bigint>, order_id array<string>, quantity array<int>"
+        )
+        # Time of the oldest waiting order, and the versions in order of time and arrival.
+        self.versions = handle.getValueState(
+            "versions",
+            "oldest bigint, ms array<bigint>, seq array<bigint>, "
+            "product_name array<string>, live array<boolean>",
         )
-        self.oldest = handle.getValueState("oldest", "ms bigint")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        orders, versions = [], []
+        orders, changes = [], []
         for r in rows:
             if r.live is None:
                 orders.append((r.ms, r.order_id, r.quantity))
             else:
-                versions.append((r.ms, r.seq, r.product_name, r.live))
+                changes.append((r.ms, r.seq, r.product_name, r.live))
+        oldest, *known = self.versions.get() or _NO_STATE
         if orders:
             first = min(o[0] for o in orders)
-            self.waiting.appendList(orders)
+            self._wait(orders)
             self.handle.registerTimer(first)
-            if not self.oldest.exists() or first < self.oldest.get()[0]:
-                self.oldest.update((first,))
-        if versions:
-            known = [tuple(v) for v in self.versions.get()] + versions
-            self._keep(sorted(known, key=_arrival), timerValues.getCurrentWatermarkInMs())
+            oldest = first if oldest is None else min(oldest, first)
+        versions = sorted([*zip(*known), *changes], key=_arrival)
+        self._keep(oldest, versions, timerValues.getCurrentWatermarkInMs())
         return iter([])
 
     def handleExpiredTimer(
         self, key: Any, timerValues: Any, expiredTimerInfo: Any
     ) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        if not self.oldest.exists() or self.oldest.get()[0] > watermark:
+        oldest, *known = self.versions.get() or _NO_STATE
+        if oldest is None or oldest > watermark:
             return  # an earlier timer of this batch already did the work
-        versions = sorted((tuple(v) for v in self.versions.get()), key=_arrival)
-        times = [v[0] for v in versions]
+        times, _, names, live = known
         left = []
-        for ms, order_id, quantity in self.waiting.get():
-            if ms > watermark:
-                left.append((ms, order_id, quantity))
-                continue
-            at = bisect_right(times, ms) - 1
-            if at >= 0 and versions[at][3]:
-                yield Row(
-                    order_id=order_id,
-                    product_id=key[0],
-                    product_name=versions[at][2],
-                    quantity=quantity,
-                    order_ts=_EPOCH + timedelta(milliseconds=ms),
-                )
+        for chunk in self.waiting.get():
+            for order in zip(*chunk):
+                ms, order_id, quantity = order
+                if ms > watermark:
+                    left.append(order)
+                    continue
+                at = bisect_right(times, ms) - 1
+                if at >= 0 and live[at]:
+                    yield Row(
+                        order_id=order_id,
+                        product_id=key[0],
+                        product_name=names[at],
+                        quantity=quantity,
+                        order_ts=_EPOCH + timedelta(milliseconds=ms),
+                    )
+        self.waiting.clear()
+        oldest = None
         if left:
-            first = min(o[0] for o in left)
-            self.waiting.put(left)
-            self.oldest.update((first,))
-            self.handle.registerTimer(first)
-        else:
-            self.waiting.clear()
-            self.oldest.clear()
-        self._keep(versions, watermark)
+            self._wait(left)
+            oldest = min(o[0] for o in left)
+            self.handle.registerTimer(oldest)
+        self._keep(oldest, list(zip(*known)), watermark)
+
+    def _wait(self, orders: list[tuple]) -> None:
+        for i in range(0, len(orders), CHUNK):
+            self.waiting.appendValue(tuple(list(c) for c in zip(*orders[i:i + CHUNK])))
 
-    def _keep(self, versions: list[tuple], watermark: int) -> None:
+    def _keep(self, oldest: int | None, versions: list[tuple], watermark: int) -> None:
         """Store the versions from the newest one at or before the horizon on.
 
         No order before the horizon is waiting, and none will be accepted later.
         """
-        horizon = watermark
-        if self.oldest.exists():
-            horizon = min(horizon, self.oldest.get()[0])
+        horizon = watermark if oldest is None else min(watermark, oldest)
         first = max(bisect_right([v[0] for v in versions], horizon) - 1, 0)
-        if versions:
-            self.versions.put(versions[first:])
+        columns = [list(c) for c in zip(*versions[first:])] or [[], [], [], []]
+        self.versions.update((oldest, *columns))
 
     def close(self) -> None:
         pass
