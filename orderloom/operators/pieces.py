@@ -21,9 +21,10 @@ from orderloom.operators.locate import OPEN, Starts, locate
 
 # Rows of one key that a single task may sort.
 MAX_TASK_ROWS = 4_000_000
-# Upper bounds of the profile that reaches the driver. Beyond MAX_HOT_KEYS a key
-# has less than 1/MAX_HOT_KEYS of all rows and stays in one piece.
-MAX_HOT_KEYS = 1024
+# Upper bounds of the profile that reaches the driver: at most MAX_PIECES pieces
+# plus one per hot key. A key that is not among the MAX_HOT_KEYS largest has less
+# than 1/MAX_HOT_KEYS of all rows and stays in one piece, with the same result.
+MAX_HOT_KEYS = 4096
 MAX_PIECES = 4096
 
 COLD = -1

@@ -59,7 +59,7 @@ def temporal_enrich(
     if strategy == "shuffle":
         out = _carry_forward(_order_rows(orders), _version_rows(versions), ["product_id"])
     elif strategy == "broadcast":
-        out = _search_history(orders, history(changes))
+        out = _search_history(orders, changes)
         if out is None:
             out = _enrich_split(orders, versions, max_task_rows)
     elif strategy == "split":
@@ -73,10 +73,7 @@ def _choose(orders: DataFrame, versions: DataFrame) -> str:
     version_bytes = plan_bytes(versions)
     if plan_bytes(orders) + version_bytes <= SMALL_BYTES:
         return "shuffle"
-    if version_bytes <= BROADCAST_BYTES:
-        if versions.limit(BROADCAST_VERSIONS + 1).count() <= BROADCAST_VERSIONS:
-            return "broadcast"
-    return "split"
+    return "broadcast" if version_bytes <= BROADCAST_BYTES else "split"
 
 
 def _points(orders: DataFrame, versions: DataFrame) -> DataFrame:
@@ -218,20 +215,18 @@ def _carried(versions: DataFrame, plan: P.Pieces) -> DataFrame:
     return spark.createDataFrame(carried.toArrow(), carried.schema)
 
 
-def _search_history(orders: DataFrame, versions: DataFrame) -> DataFrame | None:
+def _search_history(orders: DataFrame, changes: DataFrame) -> DataFrame | None:
     """Binary search of each order in a version history small enough to broadcast.
 
-    None when the history turns out to be over the limit.
+    None when there are more changes than the limit.
     """
+    if changes.limit(BROADCAST_VERSIONS + 1).count() > BROADCAST_VERSIONS:
+        return None
     table = (
-        versions.select(
-            "product_id", "product_name", epoch_ms("valid_from").alias("ms"), "valid_to"
-        )
-        .limit(BROADCAST_VERSIONS + 1)
+        history(changes)
+        .select("product_id", "product_name", epoch_ms("valid_from").alias("ms"), "valid_to")
         .toArrow()
     )
-    if table.num_rows > BROADCAST_VERSIONS:
-        return None
     table = table.sort_by([("product_id", "ascending"), ("ms", "ascending")])
     starts = Starts(table["product_id"].combine_chunks(), table["ms"].to_numpy())
     if not starts.fits:

@@ -43,3 +43,10 @@ def with_event_time(df: DataFrame, relation: Relation) -> DataFrame:
         .withColumn(ts, as_event_time(ts))
         .withWatermark(ts, WATERMARK_DELAY)
     )
+
+
+def register_log(spark: SparkSession, relation: Relation, path: str) -> DataFrame:
+    """Make a log known to SQL under its declared name."""
+    df = read_log(spark, relation, path)
+    df.createOrReplaceTempView(relation.name)
+    return df

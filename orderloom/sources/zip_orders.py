@@ -12,6 +12,7 @@ import io
 import zipfile
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -71,10 +72,11 @@ def _open(path: str) -> io.BufferedReader:
     from pyarrow import fs
 
     if path.startswith("file:"):
-        path = "file:///" + path[len("file:"):].lstrip("/")
-    elif path.startswith("s3a://"):
-        path = "s3://" + path[len("s3a://"):]
-    store, inner = fs.FileSystem.from_uri(path)
+        store, inner = fs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
+    else:
+        # Spark gives paths as plain text; an address needs its odd characters quoted.
+        uri = quote(path.replace("s3a://", "s3://", 1), safe=":/@")
+        store, inner = fs.FileSystem.from_uri(uri)
     return io.BufferedReader(_RandomAccess(store.open_input_file(inner)), 1 << 20)
 
 

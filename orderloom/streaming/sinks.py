@@ -37,7 +37,7 @@ def start(df: DataFrame, path: str, checkpoint: str, trigger: dict, name: str) -
             .outputMode("append")
             .option("path", path)
             .option("checkpointLocation", checkpoint)
-            .queryName(f"{name}-{checkpoint[-12:]}")
+            .queryName(f"{name} at {checkpoint}")
             .trigger(**trigger)
             .start()
         )

@@ -109,6 +109,14 @@ def test_damaged_member_is_quarantined(spark, tmp_path):
     assert errors == {"bad.zip", "damaged.zip"}
 
 
+def test_odd_file_names(spark, tmp_path):
+    folder = tmp_path / "a b"
+    folder.mkdir()
+    with zipfile.ZipFile(folder / "x y#1%20.zip", "w") as z:
+        z.writestr("one two.csv", GOOD)
+    assert rows(read_zip_orders(spark, str(folder)).orders, *COLUMNS) == EXPECTED
+
+
 def test_long_member_comes_in_batches(spark, tmp_path):
     n = 3 * zip_orders.LINES_PER_BATCH + 7
     with zipfile.ZipFile(tmp_path / "long.zip", "w", zipfile.ZIP_DEFLATED) as z:

@@ -18,7 +18,7 @@ from orderloom.schemas import (
     PRODUCT_WINDOW_COUNTS,
 )
 from orderloom.sources.csv_orders import write_csv_orders
-from orderloom.sources.logs import append_log, read_log
+from orderloom.sources.logs import append_log, read_log, register_log
 from orderloom.streaming import pipeline as S
 from orderloom.streaming.sinks import read_latest, start_log, upsert_latest
 
@@ -243,8 +243,9 @@ def test_whole_job_from_files(spark, make, job):
     assert rows(enriched, "order_id", "product_name") == [
         ("a", "one"), ("b", "one"), ("c", "two"), ("d", "one more")
     ]
-    counts = read_log(spark, PRODUCT_WINDOW_COUNTS, job.log(PRODUCT_WINDOW_COUNTS))
-    assert rows(counts, "product_id", "order_count") == [("p1", 2), ("p2", 1)]
+    register_log(spark, PRODUCT_WINDOW_COUNTS, job.log(PRODUCT_WINDOW_COUNTS))
+    counts = spark.sql("SELECT product_id, sum(order_count) AS n FROM product_window_counts GROUP BY 1")
+    assert rows(counts, "product_id", "n") == [("p1", 2), ("p2", 1)]
 
 
 def test_running_job_keeps_all_queries_alive(spark, make, job):
@@ -300,3 +301,15 @@ def test_settings_of_the_caller_are_untouched(spark, make, job):
         assert rows(out, "order_id", "order_ts") == [("a", at("02:30:00"))]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_command_line(spark, make, job, monkeypatch):
+    from orderloom import __main__ as command
+
+    write_csv_orders(make.orders(("a", "p1", "00:01:00")), job.order_files)
+    append_log(make.changes(("p1", "one", "00:00:00", "c", 0)), PRODUCT_CHANGES, job.change_files)
+    monkeypatch.setenv("WINDOW_MINUTES", "7")
+    args = ["--order-files", job.order_files, "--change-files", job.change_files, "--base", job.base]
+    assert command.parse(args) == (S.Job(job.order_files, job.change_files, job.base, window_minutes=7), False)
+    command.main([*args, "--once"])
+    assert read_log(spark, ORDERS, job.log(ORDERS)).count() == 1

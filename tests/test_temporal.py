@@ -166,7 +166,7 @@ def test_strategy_is_chosen_by_size(spark, make, monkeypatch):
     assert temporal._choose(orders, versions) == "shuffle"
     monkeypatch.setattr(temporal, "SMALL_BYTES", 0)
     assert temporal._choose(orders, versions) == "broadcast"
-    monkeypatch.setattr(temporal, "BROADCAST_VERSIONS", 0)
+    monkeypatch.setattr(temporal, "BROADCAST_BYTES", 0)
     assert temporal._choose(orders, versions) == "split"
 
 
@@ -177,6 +177,16 @@ def test_history_over_the_limit_falls_back(spark, monkeypatch):
     assert rows(temporal_enrich(o, c, "broadcast"), *ENRICHED_ORDERS.columns) == plain
 
 
+def test_keys_beyond_the_profile_limits_keep_their_result(spark, monkeypatch):
+    o, c = D.skewed_event_orders(spark, SF_DIR), D.skewed_event_changes(spark, SF_DIR)
+    plain = rows(temporal_enrich(o, c, "shuffle"), *ENRICHED_ORDERS.columns)
+    monkeypatch.setattr(pieces, "MAX_HOT_KEYS", 2)
+    monkeypatch.setattr(pieces, "MAX_PIECES", 5)
+    plan = pieces.profile(temporal._points(o, c), 5)
+    assert len(set(plan.keys)) <= 2 and len(plan.keys) <= 5 + 2
+    assert rows(temporal_enrich(o, c, "split", 5), *ENRICHED_ORDERS.columns) == plain
+
+
 def plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
