@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderloom.functions.wire import key_text, raw_key
 from orderloom.operators import changelog
+from orderloom.operators.sizes import plan_bytes
 from orderloom.operators.temporal import temporal_enrich
 from orderloom.operators.windows import tumbling_counts
 from orderloom.plans import derived as D
@@ -19,13 +22,13 @@ from orderloom.schemas import (
     PRODUCT_CHANGES,
     PRODUCT_WINDOW_COUNTS,
     PRODUCTS,
+    Relation,
 )
 from orderloom.session import STREAM_CONFS, run_dir, session_confs
 from orderloom.sources.csv_orders import read_csv_orders, write_csv_orders
-from orderloom.sources.logs import append_log, read_log, stream_log
+from orderloom.sources.logs import append_log, read_log
 from orderloom.sources.zip_orders import read_zip_orders
 from orderloom.streaming import pipeline as S
-from orderloom.streaming.sinks import start_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,8 +39,10 @@ CUT = "2024-01-15 00:00:00"
 # of the tables. The number of pieces stays bounded (see ``pieces``).
 SPLIT_ROWS = 500
 
-# Streaming queries replay the tables in this many consecutive runs.
+# Streaming queries replay the tables in consecutive runs: at least this many, and
+# so many that one run takes no more than about this much input.
 RUNS = 2
+RUN_BYTES = 32 * 1024**3
 STREAM_WINDOW = 60
 
 
@@ -189,17 +194,22 @@ def zip_orders_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- streams --------------------------------------------------------------
 
 
-def _time_slices(df: DataFrame, ts: str, like: DataFrame, like_ts: str) -> list[DataFrame]:
-    """``df`` cut into ``RUNS`` consecutive spans of the time range of ``like``."""
-    low, high = like.agg(F.min(like_ts), F.max(like_ts)).first()
-    if low is None:
-        return [df] * 1
-    bounds = [low + (high - low) * i / RUNS for i in range(1, RUNS)]
-    number = sum(
-        (F.when(F.col(ts) >= F.lit(b).cast("timestamp_ntz"), 1).otherwise(0) for b in bounds),
-        F.lit(0),
-    )
-    return [df.filter(number == i) for i in range(RUNS)]
+def _edges(df: DataFrame, ts: str, size: int) -> list[datetime]:
+    """Inner bounds of the consecutive time spans to replay."""
+    low, high = df.agg(F.min(ts), F.max(ts)).first()
+    runs = max(RUNS, -(-size // RUN_BYTES))
+    return [low + (high - low) * i / runs for i in range(1, runs)] if low else []
+
+
+def _staged(df: DataFrame, relation: Relation, edges: list[datetime], path: str) -> list[DataFrame]:
+    """``df`` written once, a folder per time span, and read back span by span."""
+    # Rows without a time go with the first span.
+    late = [F.col(relation.event_time) >= F.lit(e).cast("timestamp_ntz") for e in edges]
+    number = sum((F.when(x, 1).otherwise(0) for x in late), F.lit(0))
+    relation.conform(df).withColumn("span", number).write.partitionBy("span").parquet(path)
+    with_span = T.StructType([*relation.schema.fields, T.StructField("span", T.IntegerType())])
+    spans = df.sparkSession.read.schema(with_span).parquet(path)
+    return [spans.filter(F.col("span") == i).drop("span") for i in range(len(edges) + 1)]
 
 
 def _stream_confs(spark: SparkSession) -> dict[str, str]:
@@ -210,44 +220,48 @@ def _stream_confs(spark: SparkSession) -> dict[str, str]:
     return confs
 
 
-def _event_slices(spark: SparkSession, sf_dir: str) -> list[tuple[DataFrame, DataFrame]]:
+def _event_spans(spark: SparkSession, sf_dir: str, base: str) -> list[tuple[DataFrame, DataFrame]]:
     orders, changes = D.event_orders(spark, sf_dir), D.event_changes(spark, sf_dir)
+    edges = _edges(orders, "order_ts", plan_bytes(orders) + plan_bytes(changes))
     return list(
         zip(
-            _time_slices(orders, "order_ts", orders, "order_ts"),
-            _time_slices(changes, "last_updated_ts", orders, "order_ts"),
+            _staged(orders, ORDERS, edges, f"{base}/staged_orders"),
+            _staged(changes, PRODUCT_CHANGES, edges, f"{base}/staged_changes"),
         )
     )
 
 
 def stream_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = run_dir(spark, "stream_window_counts")
+    job = S.Job("", "", f"{base}/job", window_minutes=STREAM_WINDOW)
     enriched = enriched_log(spark, sf_dir)
-    job = S.Job("", "", base, window_minutes=STREAM_WINDOW)
+    edges = _edges(enriched, "order_ts", plan_bytes(enriched))
     with session_confs(spark, _stream_confs(spark)):
-        for part in _time_slices(enriched, "order_ts", enriched, "order_ts"):
-            append_log(part, ENRICHED_ORDERS, job.log(ENRICHED_ORDERS))
+        for span in _staged(enriched, ENRICHED_ORDERS, edges, f"{base}/staged"):
+            append_log(span, ENRICHED_ORDERS, job.log(ENRICHED_ORDERS))
             S.start_counts(spark, job, S.AVAILABLE_NOW).awaitTermination()
     return read_log(spark, PRODUCT_WINDOW_COUNTS, job.log(PRODUCT_WINDOW_COUNTS))
 
 
-def stream_temporal_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    job = S.Job("", "", run_dir(spark, "stream_temporal_enrich"))
+def _replay(spark: SparkSession, sf_dir: str, name: str, start: Callable) -> S.Job:
+    """Feed the event tables span by span to one query of the job."""
+    base = run_dir(spark, name)
+    job = S.Job("", "", f"{base}/job", window_minutes=STREAM_WINDOW)
     with session_confs(spark, _stream_confs(spark)):
-        for orders, changes in _event_slices(spark, sf_dir):
+        for orders, changes in _event_spans(spark, sf_dir, base):
             append_log(orders, ORDERS, job.log(ORDERS))
             append_log(changes, PRODUCT_CHANGES, job.log(PRODUCT_CHANGES))
-            S.start_enriched(spark, job, S.AVAILABLE_NOW).awaitTermination()
+            start(spark, job, S.AVAILABLE_NOW).awaitTermination()
+    return job
+
+
+def stream_temporal_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    job = _replay(spark, sf_dir, "stream_temporal_enrich", S.start_enriched)
     return read_log(spark, ENRICHED_ORDERS, job.log(ENRICHED_ORDERS))
 
 
 def stream_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    job = S.Job("", "", run_dir(spark, "stream_pipeline"), window_minutes=STREAM_WINDOW)
-    with session_confs(spark, _stream_confs(spark)):
-        for orders, changes in _event_slices(spark, sf_dir):
-            append_log(orders, ORDERS, job.log(ORDERS))
-            append_log(changes, PRODUCT_CHANGES, job.log(PRODUCT_CHANGES))
-            S.start_chained(spark, job, S.AVAILABLE_NOW).awaitTermination()
+    job = _replay(spark, sf_dir, "stream_pipeline", S.start_chained)
     return read_log(spark, PRODUCT_WINDOW_COUNTS, job.log(PRODUCT_WINDOW_COUNTS))
 
 
@@ -255,7 +269,7 @@ def pipeline_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = run_dir(spark, "pipeline_counts")
     job = S.Job(f"{base}/orders_in", f"{base}/changes_in", f"{base}/job", window_minutes=STREAM_WINDOW)
     with session_confs(spark, _stream_confs(spark)):
-        for orders, changes in _event_slices(spark, sf_dir):
+        for orders, changes in _event_spans(spark, sf_dir, base):
             write_csv_orders(orders, job.order_files)
             append_log(changes, PRODUCT_CHANGES, job.change_files)
             S.run_available(spark, job)

@@ -83,10 +83,12 @@ def stream_csv_orders(
 
 def decode_lines(lines: DataFrame) -> Ingest:
     """Decode ``(path, member, line, error)`` rows; blank lines are skipped."""
-    parsed = lines.filter(F.col("error").isNotNull() | (F.trim("line") != "")).withColumn(
-        "r", F.from_csv("line", LINE_DDL, CSV_OPTIONS)
+    # As a generator the parser runs once per line; as a plain column it would run
+    # again in the filter that separates good from bad.
+    parsed = lines.filter(F.col("error").isNotNull() | (F.trim("line") != "")).select(
+        "path", "member", "error", F.inline(F.array(F.from_csv("line", LINE_DDL, CSV_OPTIONS)))
     )
-    return split_lines(parsed.select("path", "member", "error", "r.*"))
+    return split_lines(parsed)
 
 
 def write_csv_orders(orders: DataFrame, path: str) -> None:

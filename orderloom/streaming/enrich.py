@@ -24,7 +24,7 @@ from orderloom.operators.changelog import is_live
 # groups; its (far fewer) changes are copied to each of them.
 DEFAULT_SPREAD = 4
 
-# Waiting orders per state entry; a flush holds one entry at a time.
+# Waiting orders per state entry.
 CHUNK = 10_000
 
 _EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
@@ -54,16 +54,20 @@ class TemporalJoin(StatefulProcessor):
         )
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        orders, changes = [], []
+        oldest, *known = self.versions.get() or _NO_STATE
+        first, orders, changes = None, [], []
         for r in rows:
-            if r.live is None:
-                orders.append((r.ms, r.order_id, r.quantity))
-            else:
+            if r.live is not None:
                 changes.append((r.ms, r.seq, r.product_name, r.live))
-        oldest, *known = self.versions.get() or _NO_STATE
-        if orders:
-            first = min(o[0] for o in orders)
-            self._wait(orders)
+                continue
+            orders.append((r.ms, r.order_id, r.quantity))
+            first = r.ms if first is None else min(first, r.ms)
+            if len(orders) == CHUNK:
+                self._wait(orders)
+                orders = []
+        if first is not None:
+            if orders:
+                self._wait(orders)
             self.handle.registerTimer(first)
             oldest = first if oldest is None else min(oldest, first)
         versions = sorted([*zip(*known), *changes], key=_arrival)
@@ -97,20 +101,22 @@ class TemporalJoin(StatefulProcessor):
         self.waiting.clear()
         oldest = None
         if left:
-            self._wait(left)
+            for i in range(0, len(left), CHUNK):
+                self._wait(left[i:i + CHUNK])
             oldest = min(o[0] for o in left)
             self.handle.registerTimer(oldest)
         self._keep(oldest, list(zip(*known)), watermark)
 
     def _wait(self, orders: list[tuple]) -> None:
-        for i in range(0, len(orders), CHUNK):
-            self.waiting.appendValue(tuple(list(c) for c in zip(*orders[i:i + CHUNK])))
+        self.waiting.appendValue(tuple(list(c) for c in zip(*orders)))
 
     def _keep(self, oldest: int | None, versions: list[tuple], watermark: int) -> None:
         """Store the versions from the newest one at or before the horizon on.
 
         No order before the horizon is waiting, and none will be accepted later.
+        Of several versions at one time only the last arrival can match.
         """
+        versions = list({v[0]: v for v in versions}.values())
         horizon = watermark if oldest is None else min(watermark, oldest)
         first = max(bisect_right([v[0] for v in versions], horizon) - 1, 0)
         columns = [list(c) for c in zip(*versions[first:])] or [[], [], [], []]
