@@ -19,6 +19,7 @@ from orderloom.schemas import (
 )
 from orderloom.sources.csv_orders import write_csv_orders
 from orderloom.sources.logs import append_log, read_log, register_log
+from orderloom.streaming import enrich
 from orderloom.streaming import pipeline as S
 from orderloom.streaming.sinks import read_latest, start_log, upsert_latest
 
@@ -144,17 +145,18 @@ def test_stream_equals_batch(spark, job, runs):
     assert rows(stream, *ENRICHED) == rows(batch, *ENRICHED)
 
 
-def test_spread_does_not_change_the_result(spark, make, tmp_path):
+def test_spread_and_entry_size_do_not_change_the_result(spark, make, tmp_path, monkeypatch):
     rng = random.Random(5)
     orders = [(str(i), "p1", f"00:{rng.randrange(50):02d}:{rng.randrange(60):02d}") for i in range(200)]
     changes = [("p1", f"v{m}", f"00:{m:02d}:00", "u", m) for m in range(52)]
     outs = []
-    for spread in (1, 5):
-        job = S.Job("", "", str(tmp_path / str(spread)), spread=spread)
+    for spread, chunk in ((1, 10_000), (1, 7), (5, 50)):
+        monkeypatch.setattr(enrich, "CHUNK", chunk)
+        job = S.Job("", "", str(tmp_path / f"{spread}-{chunk}"), spread=spread)
         feed = Feed(spark, make, job)
         outs.append(feed(orders + [("end", "p9", "00:55:00")], changes))
         feed.query.stop()
-    assert outs[0] == outs[1] and len(outs[0]) == 200
+    assert outs[0] == outs[1] == outs[2] and len(outs[0]) == 200
 
 
 def test_a_side_silent_since_a_restart_holds_the_output(spark, make, job):
