@@ -9,19 +9,53 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orderloom.llm import simhash
-from orderloom.llm.common import stored, table
+from orderloom.llm import decontaminate, mixing, quality, simhash, tokens
+from orderloom.llm.common import fresh, stored, table
+from orderloom.llm.queries import END_ID, tokenizer_path
+from orderloom.session import run_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that the classifier rejects (score below the threshold)."""
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    score = fresh(docs, "score")
+    scored = quality.with_score(docs, model, out=score)
+    return scored.filter(F.col(score) >= quality.THRESHOLD).drop(score)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: that of the least id."""
     return simhash.keep_one(docs, shingle=3, radius=2)
 
 
-STAGES: list[tuple[str, Stage]] = [("near_dedup", near_dedup)]
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that hold a passage of the benchmark."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"), window=10)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents replicated to the target weights of their sources, in shuffled order."""
+    return mixing.poisson_mix(docs).select(docs.columns)
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token shards of the mix; the result is read back from the files."""
+    path = run_dir(spark, "pipeline_tokens")
+    manifest = tokens.write_shards(docs, path, tokenizer_path(), END_ID)
+    return tokens.decoded(spark, path, manifest)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_filter", quality_filter),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("mix", mix),
+    ("token_output", token_output),
+]
 
 ORACLE_SQL: str | None = None
 

@@ -68,3 +68,10 @@ def put_file(uri: str, body: bytes, attempt: str) -> None:
     with store.open_output_stream(aside) as out:
         out.write(body)
     store.move(aside, inner)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores appended until no column of ``df`` has it."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name

@@ -7,19 +7,113 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import simhash
+from orderloom.llm import decontaminate, mixing, quality, simhash, tokens
 from orderloom.llm.common import table
+from orderloom.session import run_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+END_ID = 2
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = run_dir(spark, "token_shards")
+    manifest = tokens.write_shards(table(spark, sf_dir, "documents"), path, tokenizer_path(), END_ID)
+    return tokens.decoded(spark, path, manifest)
+
+
+def op5_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.poisson_mix(table(spark, sf_dir, "documents"))
+
 
 def op6_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return found.select("doc_id", simhash.hex_of("fp").alias("fingerprint"), "component_id")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"), window=10)
+    return found.select(
+        "doc_id",
+        "leak.n_words",
+        "leak.n_hit",
+        F.size("leak.items").cast("long").alias("n_items"),
+        decontaminate.items_digest("leak.items").alias("items_sha256"),
+        (F.col("leak.n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.with_score(docs, model).select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op2_token_shards": op2_token_shards,
+    "op5_poisson_mix": op5_poisson_mix,
     "op6_simhash_near_duplicates": op6_simhash_near_duplicates,
+    "op7_decontaminate": op7_decontaminate,
+    "op9_quality": op9_quality,
 }
 
-ORACLE: dict[str, str] = {}
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+ORACLE: dict[str, str] = {
+    "op5_poisson_mix": r"""
+WITH src AS (
+  SELECT source, count(*) AS n, sum(length(coalesce(text, '')) + 1) AS size FROM documents GROUP BY source),
+rate AS (
+  SELECT source, round(sqrt(size) / (SELECT sum(sqrt(size)) FROM src) * (SELECT sum(size) FROM src) / size, 6) AS r
+  FROM src),
+part AS (SELECT source, ceil(r / 32)::INT AS m, r / ceil(r / 32) AS mean FROM rate WHERE r > 0),
+cdf AS (
+  SELECT source, sum(exp(k * ln(mean) - mean - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS c
+  FROM part, (SELECT unnest(range(0, 130)) AS k)),
+num AS (
+  SELECT d.doc_id, text, lang, d.source, n_chars, p.source AS src, j,
+    ('0x' || substr(md5('poisson|42|' || coalesce(doc_id::VARCHAR, '') || '|' || j), 1, 13))::BIGINT
+    / 4503599627370496.0::DOUBLE AS u
+  FROM documents d JOIN part p ON d.source IS NOT DISTINCT FROM p.source, unnest(range(1, p.m + 1)) AS t(j)),
+cnt AS (
+  SELECT num.doc_id, text, lang, num.source, n_chars, sum((c <= u)::INT)::INT AS copies
+  FROM num JOIN cdf ON num.src IS NOT DISTINCT FROM cdf.source GROUP BY ALL)
+SELECT doc_id, text, lang, source, n_chars, copy::INT AS copy,
+  md5('order|42|' || coalesce(doc_id::VARCHAR, '') || '|' || copy) AS shuffle_key
+FROM cnt, unnest(range(1, copies + 1)) AS t(copy)
+""",
+    "op7_decontaminate": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item,
+    regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+iw AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win
+  FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i) WHERE len(w) > 0),
+dw AS (
+  SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM d, (SELECT DISTINCT n FROM iw), unnest(range(1, len(w) - n + 2)) AS t(i)),
+m AS (SELECT r, i, n, item FROM dw JOIN iw USING (n, win)),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM m, unnest(range(i, i + n)) AS t(p) GROUP BY r),
+it AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS s FROM m GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN it USING (r)
+""",
+}

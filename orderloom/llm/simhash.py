@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orderloom.llm.common import attach, stored
+from orderloom.llm.common import attach, fresh, stored
 from orderloom.llm.graph import components
 
 SEED = 42
@@ -54,7 +54,8 @@ def fingerprint(words: list[bytes], k: int) -> int:
 
 
 def with_fingerprint(docs: DataFrame, k: int, text: str = "text", name: str = "fp") -> DataFrame:
-    """``docs`` with the fingerprint of the whole text as a long column."""
+    """``docs`` with the fingerprint of the whole text as a long column, which replaces any of that name."""
+    docs = docs.drop(name)
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,15 +124,14 @@ def keep_one(
     docs: DataFrame, shingle: int = 3, radius: int = 2, id_col: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``docs`` with one row of each group: that of the least id (of equal ones, any one)."""
-    numbered = with_fingerprint(docs, shingle, text, "_fp").withColumn(
-        "_row", F.monotonically_increasing_id()
-    )
+    fp, row = fresh(docs, "_fp"), fresh(docs, "_row")
+    numbered = with_fingerprint(docs, shingle, text, fp).withColumn(row, F.monotonically_increasing_id())
     whole = stored(numbered, "fp_docs")
-    rows = whole.select("_row", F.col(id_col).alias("_id"), F.col("_fp").alias("fp"))
-    found = attach(rows, groups(rows, radius, "_id"), "fp", "n", rows.count())
-    first = found.filter(F.col("_id").eqNullSafe(F.col("component_id")))
-    chosen = first.groupBy("root").agg(F.min("_row").alias("_row")).select("_row")
-    return whole.join(chosen, "_row", "left_semi").select(docs.columns)
+    rows = whole.select(F.col(row).alias("row"), F.col(id_col).alias("id"), F.col(fp).alias("fp"))
+    found = attach(rows, groups(rows, radius, "id"), "fp", "n", rows.count())
+    first = found.filter(F.col("id").eqNullSafe(F.col("component_id")))
+    chosen = first.groupBy("root").agg(F.min("row").alias(row)).select(row)
+    return whole.join(chosen, row, "left_semi").select(docs.columns)
 
 
 def hex_of(fp: str = "fp"):
