@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontaminate, mixing, quality, simhash, tokens
+from orderloom.llm import decontaminate, mixing, pii, quality, simhash, tokens, vptree
 from orderloom.llm.common import table
 from orderloom.session import run_dir
 
@@ -50,6 +50,11 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return vptree.nearest(vectors, F.col("vec_id") % 20 == 0, k=20, factor=1.0)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -61,12 +66,24 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *[pii.counted(F.col("base"), k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(pii.digest(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.digest(F.concat("base", "added")).alias("spans"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_token_shards": op2_token_shards,
     "op5_poisson_mix": op5_poisson_mix,
     "op6_simhash_near_duplicates": op6_simhash_near_duplicates,
     "op7_decontaminate": op7_decontaminate,
+    "op8_vantage_point_search": op8_vantage_point_search,
     "op9_quality": op9_quality,
+    "op10_pii": op10_pii,
 }
 
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -115,5 +132,17 @@ it AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ','
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN it USING (r)
+""",
+    "op8_vantage_point_search": """
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND list_min(list_transform(embedding, lambda x: coalesce(isfinite(x), false)::INT)) = 1
+    AND list_max(list_transform(embedding, lambda x: (x <> 0)::INT)) = 1),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 20
 """,
 }
