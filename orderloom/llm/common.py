@@ -65,7 +65,7 @@ def put_file(uri: str, body: bytes, attempt: str) -> None:
     folder, _, name = inner.rpartition("/")
     store.create_dir(folder, recursive=True)
     aside = f"{folder}/_{attempt}-{name}"
-    with store.open_output_stream(aside) as out:
+    with store.open_output_stream(aside, compression=None) as out:
         out.write(body)
     store.move(aside, inner)
 

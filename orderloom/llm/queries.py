@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import decontaminate, mixing, pii, quality, simhash, tokens, vptree
+from orderloom.llm import bloomlm, decontaminate, mixing, pii, quality, simhash, tokens, vptree, warc
 from orderloom.llm.common import table
 from orderloom.session import run_dir
 
@@ -28,6 +28,28 @@ def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.decoded(spark, path, manifest)
 
 
+def op3_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloomlm.score(table(spark, sf_dir, "documents"), bloomlm.held_out())
+
+
+def op4_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = run_dir(spark, "warc")
+    warc.write_pages(table(spark, sf_dir, "pages"), path, min_bytes=0)
+    records = warc.read_records(spark, path)
+
+    def page(urn: str) -> Column:
+        return F.try_to_number(F.split(urn, ":")[2], F.lit("9" * 19)).cast("long")
+
+    return records.select(
+        page("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        page("refers_to").alias("refers_to"),
+        "problem",
+    )
+
+
 def op5_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.poisson_mix(table(spark, sf_dir, "documents"))
 
@@ -78,6 +100,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_token_shards": op2_token_shards,
+    "op3_bloom_lm": op3_bloom_lm,
+    "op4_warc_segments": op4_warc_segments,
     "op5_poisson_mix": op5_poisson_mix,
     "op6_simhash_near_duplicates": op6_simhash_near_duplicates,
     "op7_decontaminate": op7_decontaminate,
@@ -89,6 +113,19 @@ QUERIES: dict[str, Query] = {
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 ORACLE: dict[str, str] = {
+    "op4_warc_segments": """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes,
+  (SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+     ((('0x' || substr(h, (5 * i) // 4 + 1, 2))::INT >> (3 - (5 * i) % 4)) & 31) + 1, 1), '' ORDER BY i)
+   FROM unnest(range(32)) AS t(i)) AS payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to,
+  NULL::VARCHAR AS problem
+FROM m
+""",
     "op5_poisson_mix": r"""
 WITH src AS (
   SELECT source, count(*) AS n, sum(length(coalesce(text, '')) + 1) AS size FROM documents GROUP BY source),
