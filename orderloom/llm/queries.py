@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bloomlm, decontaminate, mixing, pii, quality, simhash, tokens, vptree, warc
+from orderloom.llm import bloomlm, crf, decontaminate, mixing, pii, quality, simhash, tokens, vptree, warc
 from orderloom.llm.common import table
 from orderloom.session import run_dir
 
@@ -22,6 +22,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_crf_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = crf.extract(pages).select("page_id", "url", "text")
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "token_shards")
     manifest = tokens.write_shards(table(spark, sf_dir, "documents"), path, tokenizer_path(), END_ID)
@@ -99,6 +105,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_crf_main_text": op1_crf_main_text,
     "op2_token_shards": op2_token_shards,
     "op3_bloom_lm": op3_bloom_lm,
     "op4_warc_segments": op4_warc_segments,
