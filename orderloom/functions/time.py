@@ -15,15 +15,15 @@ def truncate_ms(name: str) -> Column:
     return F.timestamp_add("MICROSECOND", -F.pmod(_micros(name), F.lit(1000)), F.col(name))
 
 
-def epoch_ms(name: str) -> Column:
-    """Milliseconds since 1970-01-01 00:00 on the column's own clock."""
-    return (
-        F.datediff(name, F.lit("1970-01-01").cast("date")) * F.lit(86_400_000).cast("bigint")
-        + F.hour(name) * F.lit(3_600_000)
-        + F.minute(name) * F.lit(60_000)
-        + F.second(name) * F.lit(1_000)
-        + F.floor(F.pmod(_micros(name), F.lit(1_000_000)) / F.lit(1_000))
+def epoch_micros(name: str) -> Column:
+    """Microseconds since 1970-01-01 00:00 on the column's own clock."""
+    seconds = (
+        F.datediff(name, F.lit("1970-01-01").cast("date")) * F.lit(86_400).cast("bigint")
+        + F.hour(name) * F.lit(3_600)
+        + F.minute(name) * F.lit(60)
+        + F.second(name)
     )
+    return seconds * F.lit(1_000_000) + F.pmod(_micros(name), F.lit(1_000_000))
 
 
 def _micros(name: str) -> Column:

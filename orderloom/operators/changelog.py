@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.functions.time import epoch_ms
 from orderloom.operators import pieces as P
 from orderloom.operators.sizes import SMALL_BYTES, plan_bytes
 from orderloom.schemas import PRODUCT_CHANGES, PRODUCTS
@@ -92,16 +91,22 @@ def history(changes: DataFrame, max_task_rows: int | None = None) -> DataFrame:
     """Versions with the interval ``[valid_from, valid_to)`` in which each is current.
 
     A delete ends the version before it; of several changes at one instant the
-    last arrival holds. ``valid_to`` is null for a version that is still current.
+    last arrival holds (no ``seq`` is the earliest; of several without, a live row and
+    the greater name and stock). ``valid_to`` is null for a version still current.
     With a given ``max_task_rows``, or when the input is large, keys with more
     rows than that are split over tasks.
     """
     rows = changes.filter(F.col(KEY).isNotNull() & F.col(TIME).isNotNull())
-    plan = None
+    hot = None
     if max_task_rows is not None or plan_bytes(rows) > SMALL_BYTES:
-        points = rows.select(F.col(KEY).alias("key"), epoch_ms(TIME).alias("ms"))
-        plan = P.profile(points, max_task_rows or P.MAX_TASK_ROWS)
-    spans = _spans(rows) if plan is None else _spans_in_pieces(rows, plan)
+        hot = P.hot_keys(rows.select(KEY), max_task_rows or P.MAX_TASK_ROWS)
+    if hot is None or hot.isEmpty():
+        spans = _spans(rows, [KEY])
+    else:
+        keys = hot.select(KEY)
+        spans = _spans(rows.join(keys, KEY, "left_anti"), [KEY]).unionByName(
+            _spans_in_pieces(rows.join(keys, KEY, "left_semi"), max_task_rows or P.MAX_TASK_ROWS)
+        )
     return (
         spans.filter(is_live())
         .filter(F.col("valid_to").isNull() | (F.col(TIME) < F.col("valid_to")))
@@ -109,41 +114,25 @@ def history(changes: DataFrame, max_task_rows: int | None = None) -> DataFrame:
     )
 
 
-def _spans(rows: DataFrame) -> DataFrame:
-    by_time = Window.partitionBy(KEY).orderBy(TIME, "seq")
-    return rows.withColumn("valid_to", F.lead(TIME).over(by_time))
+def _in_order() -> list[Column]:
+    return [F.col(TIME), F.col("seq"), is_live(), F.col("product_name"), F.col("stock"), F.col("op")]
 
 
-def _spans_in_pieces(rows: DataFrame, plan: P.Pieces) -> DataFrame:
-    placed = plan.assign(rows, KEY, TIME)
-    hot = placed.filter(F.col("piece") != P.COLD)
+def _spans(rows: DataFrame, by: list[str]) -> DataFrame:
+    by_time = Window.partitionBy(*by).orderBy(*_in_order())
+    return rows.withColumn("valid_to", F.lead(TIME).over(by_time))
 
-    # First change time after each piece; at most one row per piece.
-    firsts = hot.groupBy("piece").agg(F.min(TIME).alias("first_ts"))
-    after = Window.partitionBy("piece_key").orderBy("piece").rowsBetween(1, Window.unboundedFollowing)
-    following = (
-        plan.table(rows.sparkSession)
-        .join(firsts, "piece", "left")
-        .select("piece", F.first("first_ts", ignorenulls=True).over(after).alias("after_ts"))
-    )
 
-    # All changes of a pinned piece share one time: only the last arrival counts.
-    row = F.struct(*[c for c in rows.columns if c != KEY])
-    instants = (
-        placed.filter("pinned")
-        .groupBy(KEY, "piece")
-        .agg(F.max_by(row, F.col("seq")).alias("r"))
-        .select(KEY, "piece", "r.*", F.lit(None).cast("timestamp_ntz").alias("valid_to"))
-    )
-    in_piece = Window.partitionBy(KEY, "piece").orderBy(TIME, "seq")
-    ordered = (
-        placed.filter(~F.col("pinned"))
-        .drop("pinned")
-        .withColumn("valid_to", F.lead(TIME).over(in_piece))
-    )
+def _spans_in_pieces(rows: DataFrame, max_task_rows: int) -> DataFrame:
+    order = ["_live", "product_name", "stock", "op"]
+    split = P.cut(rows.withColumn("_live", is_live()), [KEY, TIME, "seq", *order], max_task_rows).drop("_live")
+    # The first change time after each piece of a key; one row per key and piece.
+    firsts = split.groupBy(KEY, "piece").agg(F.min(TIME).alias("first_ts"))
+    after = Window.partitionBy(KEY).orderBy("piece").rowsBetween(1, 1)
+    following = firsts.select(KEY, "piece", F.first("first_ts").over(after).alias("after_ts"))
     return (
-        ordered.unionByName(instants)
-        .join(F.broadcast(following), "piece", "left")
+        _spans(split, [KEY, "piece"])
+        .join(following, [KEY, "piece"])
         .withColumn("valid_to", F.coalesce("valid_to", "after_ts"))
         .drop("piece", "after_ts")
     )

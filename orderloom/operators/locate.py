@@ -1,10 +1,9 @@
 """Find, for every row, the last of a bounded list of (key, time) starts before it.
 
-Rows never move: the key's ordinal comes from a broadcast join, and key and time
-together form one number line that is searched in O(log starts) per row. No
-candidate pairs are produced and nothing is shuffled. A short list is searched in
-the JVM by ``Bucketizer``; handing it a long one is slow, so beyond that an
-Arrow-batched UDF searches a broadcast array.
+Rows never move: the key's ordinal comes from a broadcast join. Key and rank of the time
+among the listed times form one number line, searched in O(log starts) per row by an
+Arrow-batched UDF over broadcast arrays. No candidate pairs are produced and nothing is
+shuffled. Times are microseconds, as exact as the columns are.
 """
 
 from __future__ import annotations
@@ -12,40 +11,24 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.time import epoch_ms
-
-# Time of a start that lies before every row of its key.
-OPEN = int(np.iinfo(np.int64).min)
-
-# Whole numbers up to this are exact in a double.
-_EXACT_DOUBLE = 2**53
-_EXACT_LONG = 2**63
-
-# Longest list searched by Bucketizer.
-SHORT_LIST = 8192
+from orderloom.functions.time import epoch_micros
 
 
 class Starts:
-    """Starts sorted by key, then time (whole milliseconds, or ``OPEN``)."""
+    """Distinct starts, sorted by key, then time."""
 
-    def __init__(self, keys: pa.Array, ms: np.ndarray) -> None:
+    def __init__(self, keys: pa.Array, micros: np.ndarray) -> None:
         encoded = keys.dictionary_encode()
         self.keys = encoded.dictionary
-        timed = ms[ms != OPEN]
-        self.low = int(timed.min()) - 1 if len(timed) else 0
-        high = int(timed.max()) if len(timed) else 0
-        self.room = high - self.low + 1
-        self.end = len(self.keys) * self.room
-        # Too many keys for the covered time: no common number line.
-        self.fits = self.end < _EXACT_LONG
         ordinal = encoded.indices.to_numpy().astype(np.int64)
+        self.times, rank = np.unique(micros, return_inverse=True)
+        # A row's rank is that of the last listed time at or before it, or -1.
+        self.room = len(self.times) + 1
+        self.line = ordinal * self.room + rank + 1
         self.first = np.searchsorted(ordinal, np.arange(len(self.keys)))
-        if self.fits:
-            self.line = ordinal * self.room + np.where(ms == OPEN, 0, ms - self.low)
 
 
 def locate(df: DataFrame, key: str, ts: str, starts: Starts, slot: str) -> DataFrame:
@@ -57,37 +40,21 @@ def locate(df: DataFrame, key: str, ts: str, starts: Starts, slot: str) -> DataF
         return df.withColumn(slot, F.lit(None).cast("int"))
     spark = df.sparkSession
     listed = spark.createDataFrame(
-        pa.table({"_key": starts.keys,
-                  "_origin": pa.array(np.arange(len(starts.keys)) * starts.room, pa.int64()),
-                  "_first": pa.array(starts.first, pa.int32())})
-    )
-    # Times outside the listed range have the same answer as its nearest end.
-    low, high = F.lit(starts.low), F.lit(starts.low + starts.room - 1)
-    offset = F.least(F.greatest(epoch_ms(ts), low), high) - low
-    placed = df.join(F.broadcast(listed), F.col(key) == F.col("_key"), "left").withColumn(
-        "_point", F.col("_origin") + offset
+        pa.table({"_key": starts.keys, "_ordinal": pa.array(range(len(starts.keys)), pa.int64())})
     )
-    if len(starts.line) <= SHORT_LIST and starts.end < _EXACT_DOUBLE:
-        splits = [-1.0, *starts.line.astype(float).tolist(), float("inf")]
-        found = (
-            Bucketizer(splits=splits, inputCol="_point", outputCol="_at")
-            .transform(placed)
-            .withColumn("_at", F.col("_at").cast("int") - 1)
-        )
-    else:
-        found = placed.withColumn("_at", _search(spark, starts.line, F.col("_point")))
-    return found.withColumn(slot, F.when(F.col("_at") >= F.col("_first"), F.col("_at"))).drop(
-        "_key", "_origin", "_first", "_point", "_at"
-    )
-
-
-def _search(spark, line: np.ndarray, point: Column) -> Column:
-    shared = spark.sparkContext.broadcast(line)
+    shared = spark.sparkContext.broadcast((starts.times, starts.room, starts.line, starts.first))
 
     @F.pandas_udf("int")
-    def last_at_or_before(points: pd.Series) -> pd.Series:
-        at = np.searchsorted(shared.value, points.to_numpy(), side="right") - 1
-        return pd.Series(at, dtype="int32")
-
-    # Keys that are not listed have no point; -1 lies before every start.
-    return last_at_or_before(F.coalesce(point, F.lit(-1).cast("bigint")))
+    def last_at_or_before(ordinal: pd.Series, micros: pd.Series) -> pd.Series:
+        times, room, line, first = shared.value
+        known = ordinal.notna().to_numpy()
+        at = ordinal.fillna(0).to_numpy(np.int64)
+        rank = np.searchsorted(times, micros.to_numpy(), side="right")
+        place = np.searchsorted(line, at * room + rank, side="right") - 1
+        found = known & (place >= first[at])
+        return pd.Series(place).where(found).astype("Int32")
+
+    # Called nondeterministic, it is not run again in the filters of a later join.
+    search = last_at_or_before.asNondeterministic()
+    placed = df.join(F.broadcast(listed), F.col(key) == F.col("_key"), "left")
+    return placed.withColumn(slot, search("_ordinal", epoch_micros(ts))).drop("_key", "_ordinal")

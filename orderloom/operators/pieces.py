@@ -1,118 +1,44 @@
-"""Split hot keys into time pieces so that no task gets a whole hot key.
+"""Split hot keys into pieces of their time order, so that no task gets a whole hot key.
 
-A profile (counts per key, then time quantiles of the hot keys only) gives a
-bounded list of pieces. An instant that by itself fills two quantile steps (many
-rows with one key and one time) becomes a *pinned* piece of one millisecond,
-whose rows all see the same product version and so need no sort at all.
+The rows of the hot keys are dealt out by range of (key, order, a random number): a piece
+is one such range. Their number follows from the number of rows; a key may have any number
+of pieces, and even rows of one key and one instant are spread. The pieces are written once,
+so that every later read sees the same ones.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
-from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.operators.locate import OPEN, Starts, locate
+from orderloom.session import run_dir
 
 # Rows of one key that a single task may sort.
 MAX_TASK_ROWS = 4_000_000
-# Upper bounds of the profile that reaches the driver: at most MAX_PIECES pieces
-# plus one per hot key. A key that is not among the MAX_HOT_KEYS largest has less
-# than 1/MAX_HOT_KEYS of all rows and stays in one piece, with the same result.
-MAX_HOT_KEYS = 4096
-MAX_PIECES = 4096
-
-COLD = -1
-
-
-@dataclass(frozen=True)
-class Pieces:
-    """Time pieces of the hot keys, sorted by key and time; each key's first is open."""
-
-    keys: tuple[str, ...]
-    ms: tuple[int, ...]
-    pinned: tuple[bool, ...]
-
-    def assign(self, df: DataFrame, key: str, ts: str) -> DataFrame:
-        """Add ``piece`` (``COLD`` for keys that are not split) and ``pinned``."""
-        starts = Starts(pa.array(self.keys, pa.string()), np.array(self.ms, dtype=np.int64))
-        placed = locate(df, key, ts, starts, "piece")
-        pinned = [i for i, p in enumerate(self.pinned) if p]
-        flag = F.lit(False)
-        if pinned:
-            numbers = df.sparkSession.createDataFrame(
-                pa.table({"piece": pa.array(pinned, pa.int32()),
-                          "pinned": pa.array([True] * len(pinned), pa.bool_())})
-            )
-            placed = placed.join(F.broadcast(numbers), "piece", "left")
-            flag = F.coalesce(F.col("pinned"), flag)
-        return placed.withColumn("pinned", flag).withColumn(
-            "piece", F.coalesce(F.col("piece"), F.lit(COLD))
-        )
-
-    def table(self, spark) -> DataFrame:
-        """One row per piece: (piece, product key, pinned)."""
-        return spark.createDataFrame(
-            pa.table({
-                "piece": pa.array(range(len(self.keys)), pa.int32()),
-                "piece_key": pa.array(self.keys, pa.string()),
-                "piece_pinned": pa.array(self.pinned, pa.bool_()),
-            })
-        )
-
-
-def profile(points: DataFrame, max_task_rows: int = MAX_TASK_ROWS) -> Pieces | None:
-    """Pieces for the hot keys of ``points(key, ms)``, or None when no key is hot."""
-    hot = (
-        points.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > max_task_rows)
-        .orderBy(F.desc("n"))
-        .limit(MAX_HOT_KEYS)
-        .collect()
-    )
-    if not hot:
-        return None
-    piece_rows = max(max_task_rows, math.ceil(sum(r.n for r in hot) / MAX_PIECES))
-    parts = {r.key: math.ceil(r.n / piece_rows) for r in hot if r.n > piece_rows}
-    if not parts:
-        return None
-    steps = max(parts.values())
-
-    spark = points.sparkSession
-    hot_keys = spark.createDataFrame(
-        pa.table({"key": pa.array(list(parts), pa.string()),
-                  "parts": pa.array(list(parts.values()), pa.int32())})
-    )
-    ranks = ", ".join(f"{i / steps!r}D" for i in range(1, steps))
-    accuracy = max(1000, 4 * steps)
-    cuts = (
-        points.join(F.broadcast(hot_keys), "key")
-        .groupBy("key", "parts")
-        .agg(F.expr(f"percentile_approx(ms, array({ranks}), {accuracy})").alias("q"))
-        .select(
-            "key",
-            F.expr(
-                f"transform(sequence(1, parts - 1), i -> q[cast(floor(i * {steps}L / parts) AS int) - 1])"
-            ).alias("cuts"),
-        )
-        .collect()
-    )
-
-    pieces: list[tuple[str, int, bool]] = []
-    for row in sorted(cuts, key=lambda r: r.key):
-        marks: dict[int, bool] = {}
-        for ms, times in Counter(row.cuts).items():
-            if times > 1:
-                marks[ms] = True
-                marks.setdefault(ms + 1, False)
-            else:
-                marks.setdefault(ms, False)
-        pieces.append((row.key, OPEN, False))
-        pieces.extend((row.key, ms, marks[ms]) for ms in sorted(marks))
-    return Pieces(*zip(*pieces))
+# Ranges come from a sample, so they are cut somewhat smaller than allowed.
+MARGIN = 1.5
+
+
+def hot_keys(keys: DataFrame, max_task_rows: int) -> DataFrame:
+    """The keys (the only column) with more than ``max_task_rows`` rows, stored.
+
+    Counting combines on the map side. At most one key per ``max_task_rows`` rows is hot.
+    """
+    (key,) = keys.columns
+    counts = keys.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_task_rows)
+    path = run_dir(keys.sparkSession, "hot_keys")
+    counts.write.parquet(path)
+    return keys.sparkSession.read.schema(counts.schema).parquet(path)
+
+
+def cut(rows: DataFrame, order: list[str], max_task_rows: int) -> DataFrame:
+    """``rows`` with ``piece``: ranges of ``order``, ascending, of about equal size; stored."""
+    spark = rows.sparkSession
+    pieces = max(1, math.ceil(MARGIN * rows.count() / max_task_rows))
+    ranged = rows.withColumn("_spread", F.rand(0)).repartitionByRange(pieces, *order, "_spread")
+    ranged = ranged.withColumn("piece", F.spark_partition_id()).drop("_spread")
+    path = run_dir(spark, "pieces")
+    ranged.write.parquet(path)
+    return spark.read.schema(ranged.schema).parquet(path)

@@ -4,10 +4,12 @@ Three ways to the same rows; ``temporal_enrich`` picks by checked size:
 
 * ``shuffle``: orders and versions in one stream per product, sorted by time, the
   last version carried forward. One exchange, one sort, linear.
-* ``split``: the same, but keys too large for one task are cut into time pieces
-  (see ``pieces``), each opened by the version carried in from the piece before.
+* ``split``: the same, but keys too large for one task are cut into pieces of their
+  time order (see ``pieces``), each opened by the version carried in from those before.
 * ``broadcast``: a version history of checked size is searched on the map side;
   the orders are not shuffled at all.
+
+All three compare times as exactly as the columns hold them.
 """
 
 from __future__ import annotations
@@ -16,19 +18,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderloom.functions.time import epoch_ms
+from orderloom.functions.time import epoch_micros
 from orderloom.operators import pieces as P
 from orderloom.operators.changelog import history, is_live
 from orderloom.operators.locate import Starts, locate
 from orderloom.operators.sizes import SMALL_BYTES, plan_bytes
 from orderloom.schemas import ENRICHED_ORDERS
 
-# Limits of the broadcast strategy, in versions and in estimated bytes.
+# Limits of the broadcast strategy, in versions and in bytes.
 BROADCAST_VERSIONS = 500_000
 BROADCAST_BYTES = 256 * 1024 * 1024
 
 _VERSION, _ORDER = 0, 1
 
+# Time order of the rows of a product; versions come before the orders of their time.
+_ORDERED = ["t", "side", "seq", "live", "tie"]
+
 
 def temporal_enrich(
     orders: DataFrame,
@@ -39,9 +44,10 @@ def temporal_enrich(
     """Inner as-of join of orders to product changes on ``product_id``.
 
     The version with the greatest ``last_updated_ts <= order_ts`` matches; equal
-    times go to the later ``seq``; an order under a delete, before the first
-    version, or with a null key or time gives no row. Event times are whole
-    milliseconds. ``strategy``: ``auto``, ``shuffle``, ``split`` or ``broadcast``.
+    times go to the later ``seq`` (no ``seq`` is the earliest; of several without,
+    a live version and the greater name win); an order under a delete, before the
+    first version, or with a null key or time gives no row.
+    ``strategy``: ``auto``, ``shuffle``, ``split`` or ``broadcast``.
     """
     orders = orders.filter(F.col("product_id").isNotNull() & F.col("order_ts").isNotNull())
     versions = changes.filter(
@@ -57,9 +63,9 @@ def temporal_enrich(
     if strategy == "auto":
         strategy = _choose(orders, versions)
     if strategy == "shuffle":
-        out = _carry_forward(_order_rows(orders), _version_rows(versions), ["product_id"])
+        out = _carry_forward(_rows(orders, versions), ["product_id"])
     elif strategy == "broadcast":
-        out = _search_history(orders, changes)
+        out = _search_history(orders, versions, changes)
         if out is None:
             out = _enrich_split(orders, versions, max_task_rows)
     elif strategy == "split":
@@ -76,49 +82,43 @@ def _choose(orders: DataFrame, versions: DataFrame) -> str:
     return "broadcast" if version_bytes <= BROADCAST_BYTES else "split"
 
 
-def _points(orders: DataFrame, versions: DataFrame) -> DataFrame:
-    return orders.select(F.col("product_id").alias("key"), epoch_ms("order_ts").alias("ms")).unionAll(
-        versions.select(F.col("product_id").alias("key"), epoch_ms("last_updated_ts").alias("ms"))
-    )
-
-
-def _order_rows(orders: DataFrame, *extra: str) -> DataFrame:
-    return orders.select(
+def _rows(orders: DataFrame, versions: DataFrame) -> DataFrame:
+    """Orders and versions as rows of one table."""
+    order_rows = orders.select(
         "product_id",
-        *extra,
         F.col("order_ts").alias("t"),
         F.lit(_ORDER).alias("side"),
         F.lit(None).cast("bigint").alias("seq"),
         F.lit(None).cast("boolean").alias("live"),
+        F.lit(None).cast("string").alias("tie"),
         F.lit(None).cast("struct<product_name: string>").alias("version"),
         "order_id",
         "quantity",
     )
-
-
-def _version_rows(versions: DataFrame, *extra: str) -> DataFrame:
-    return versions.select(
+    version_rows = versions.select(
         "product_id",
-        *extra,
         F.col("last_updated_ts").alias("t"),
         F.lit(_VERSION).alias("side"),
         "seq",
         "live",
+        # Only versions without an arrival number need their name to be told apart.
+        F.when(F.col("seq").isNull(), F.col("product_name")).alias("tie"),
         F.struct("product_name").alias("version"),
         F.lit(None).cast("string").alias("order_id"),
         F.lit(None).cast("int").alias("quantity"),
     )
+    return order_rows.unionByName(version_rows)
 
 
-def _carry_forward(order_rows: DataFrame, version_rows: DataFrame, by: list[str]) -> DataFrame:
+def _carry_forward(rows: DataFrame, by: list[str]) -> DataFrame:
     """Last version at or before each order, within the groups ``by``."""
     # Keys often share a long prefix. With their hash in front, most comparisons of
     # the sort end at the first eight bytes. The rows are exchanged by the key
     # itself, so a count per product needs no second exchange.
-    rows = order_rows.unionByName(version_rows).repartition(*by).withColumn("h", F.xxhash64(*by))
+    rows = rows.repartition(*by).withColumn("h", F.xxhash64(*by))
     so_far = (
         Window.partitionBy("h", *by)
-        .orderBy("t", "side", "seq")
+        .orderBy(*_ORDERED)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     # ``live`` is set on version rows only and decides the match. The name sits in
@@ -142,95 +142,49 @@ def _carry_forward(order_rows: DataFrame, version_rows: DataFrame, by: list[str]
 
 
 def _enrich_split(orders: DataFrame, versions: DataFrame, max_task_rows: int) -> DataFrame:
-    plan = P.profile(_points(orders, versions), max_task_rows)
-    if plan is None:
-        return _carry_forward(_order_rows(orders), _version_rows(versions), ["product_id"])
-    return _enrich_in_pieces(orders, versions, plan)
-
-
-def _enrich_in_pieces(orders: DataFrame, versions: DataFrame, plan: P.Pieces) -> DataFrame:
-    orders = plan.assign(orders, "product_id", "order_ts")
-    versions = plan.assign(versions, "product_id", "last_updated_ts")
-    carried = _carried(versions, plan)
-
-    # Ordinary pieces: sort and carry forward, opened by the carried-in version.
-    opening = (
-        carried.filter(~F.col("piece_pinned") & F.col("last_updated_ts").isNotNull())
-        .withColumnRenamed("piece_key", "product_id")
-        .drop("piece_pinned", "end_live", "end_name")
-    )
-    moving = versions.filter(~F.col("pinned")).drop("pinned").unionByName(opening)
-    sorted_part = _carry_forward(
-        _order_rows(orders.filter(~F.col("pinned")), "piece"),
-        _version_rows(moving, "piece"),
-        ["product_id", "piece"],
-    )
-
-    # Pinned pieces: one instant, one version, joined without moving the orders.
-    at_instant = carried.filter("piece_pinned and end_live").select("piece", "end_name")
-    pinned_part = (
-        orders.filter("pinned")
-        .join(F.broadcast(at_instant), "piece")
-        .select(
-            "order_id", "product_id", F.col("end_name").alias("product_name"), "quantity", "order_ts"
-        )
-    )
-    return sorted_part.unionByName(pinned_part)
-
-
-def _carried(versions: DataFrame, plan: P.Pieces) -> DataFrame:
-    """Per piece: the last version before it and the last version at its end.
-
-    One row per piece, so at most a few thousand: fetched once and used as a local
-    table by both parts of the join, instead of being computed for each.
-    """
-    version = F.struct("last_updated_ts", "seq", "live", "product_name")
-    own = (
-        versions.filter(F.col("piece") != P.COLD)
-        .groupBy("piece")
-        .agg(F.max_by(version, F.struct("last_updated_ts", "seq")).alias("own"))
-    )
-    up_to = Window.partitionBy("piece_key").orderBy("piece")
-    spark = versions.sparkSession
-    carried = (
-        plan.table(spark)
-        .join(own, "piece", "left")
-        .select(
-            "piece",
-            "piece_key",
-            "piece_pinned",
-            F.last("own", ignorenulls=True)
-            .over(up_to.rowsBetween(Window.unboundedPreceding, -1))
-            .alias("before"),
-            F.last("own", ignorenulls=True)
-            .over(up_to.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-            .alias("end"),
-        )
-        .select(
-            "piece", "piece_key", "piece_pinned", "before.*",
-            F.col("end.live").alias("end_live"),
-            F.col("end.product_name").alias("end_name"),
-        )
+    hot = P.hot_keys(orders.select("product_id").unionAll(versions.select("product_id")), max_task_rows)
+    rows = _rows(orders, versions)
+    if hot.isEmpty():
+        return _carry_forward(rows, ["product_id"])
+    keys = hot.select("product_id")
+    cold = _carry_forward(rows.join(keys, "product_id", "left_anti"), ["product_id"])
+    split = P.cut(rows.join(keys, "product_id", "left_semi"), ["product_id", *_ORDERED], max_task_rows)
+    opened = split.unionByName(_openings(split))
+    return cold.unionByName(_carry_forward(opened, ["product_id", "piece"]))
+
+
+def _openings(split: DataFrame) -> DataFrame:
+    """Per piece and product: the last version in the pieces before, as a row of the piece."""
+    version = F.struct("t", "seq", "live", "tie", "version")
+    own = split.groupBy("product_id", "piece").agg(F.max(F.when(F.col("side") == _VERSION, version)).alias("own"))
+    before = Window.partitionBy("product_id").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    carried = own.withColumn("own", F.last("own", ignorenulls=True).over(before)).filter("own is not null")
+    return carried.select(
+        "product_id",
+        "own.*",
+        F.lit(_VERSION).alias("side"),
+        F.lit(None).cast("string").alias("order_id"),
+        F.lit(None).cast("int").alias("quantity"),
+        "piece",
     )
-    return spark.createDataFrame(carried.toArrow(), carried.schema)
 
 
-def _search_history(orders: DataFrame, changes: DataFrame) -> DataFrame | None:
+def _search_history(orders: DataFrame, versions: DataFrame, changes: DataFrame) -> DataFrame | None:
     """Binary search of each order in a version history small enough to broadcast.
 
-    None when there are more changes than the limit.
+    None when there are more changes, or more bytes of them, than the limits.
     """
-    if changes.limit(BROADCAST_VERSIONS + 1).count() > BROADCAST_VERSIONS:
+    text = F.coalesce(F.octet_length("product_id"), F.lit(0)) + F.coalesce(F.octet_length("product_name"), F.lit(0))
+    count, size = versions.agg(F.count(F.lit(1)), F.sum(text + F.lit(24))).first()
+    if count > BROADCAST_VERSIONS or (size or 0) > BROADCAST_BYTES:
         return None
     table = (
         history(changes)
-        .select("product_id", "product_name", epoch_ms("valid_from").alias("ms"), "valid_to")
+        .select("product_id", "product_name", epoch_micros("valid_from").alias("micros"), "valid_to")
         .toArrow()
     )
-    table = table.sort_by([("product_id", "ascending"), ("ms", "ascending")])
-    starts = Starts(table["product_id"].combine_chunks(), table["ms"].to_numpy())
-    if not starts.fits:
-        return None
+    table = table.sort_by([("product_id", "ascending"), ("micros", "ascending")])
+    starts = Starts(table["product_id"].combine_chunks(), table["micros"].to_numpy())
     found = orders.sparkSession.createDataFrame(
         pa.table({
             "slot": pa.array(range(table.num_rows), pa.int32()),

@@ -5,7 +5,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from orderloom.functions.time import epoch_ms, truncate_ms
+from orderloom.functions.time import epoch_micros, truncate_ms
 from orderloom.functions.wire import frame, frame_schema_id, key_text, raw_key, unframe
 from orderloom.schemas import ENRICHED_ORDERS, ORDERS
 from orderloom.session import session_confs
@@ -25,12 +25,12 @@ def test_times_do_not_depend_on_the_zone(spark, zone):
         "s", F.col("s").cast("timestamp_ntz").alias("ts")
     )
     with session_confs(spark, {"spark.sql.session.timeZone": zone}):
-        got = df.select("s", truncate_ms("ts").alias("cut"), epoch_ms("ts").alias("ms")).collect()
+        got = df.select("s", truncate_ms("ts").alias("cut"), epoch_micros("ts").alias("us")).collect()
     for r in got:
         exact = datetime.fromisoformat(r.s)
         assert r.cut == exact.replace(microsecond=exact.microsecond // 1000 * 1000)
         whole = int(exact.replace(microsecond=0, tzinfo=timezone.utc).timestamp())
-        assert r.ms == whole * 1000 + exact.microsecond // 1000
+        assert r.us == whole * 1_000_000 + exact.microsecond
 
 
 def test_truncate_keeps_the_type(spark):

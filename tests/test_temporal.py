@@ -6,14 +6,17 @@ from datetime import timedelta
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from conftest import SF_DIR, at, rows
-from orderloom.operators import locate, pieces, temporal
+from orderloom.operators import pieces, temporal
+from orderloom.operators.changelog import history
 from orderloom.operators.temporal import temporal_enrich
 from orderloom.plans import derived as D
 from orderloom.schemas import ENRICHED_ORDERS, ORDERS, PRODUCT_CHANGES
 
 STRATEGIES = ["shuffle", "broadcast", "split"]
+HISTORY = ["product_id", "product_name", "stock", "valid_from", "valid_to"]
 
 
 def names(make, orders, changes, strategy):
@@ -83,41 +86,60 @@ class TestRules:
 
 
 def brute_force(orders, changes):
+    def arrival(c):
+        return (c[3], c[5] is not None, c[5] or 0, c[4] != "d", c[1] is not None, c[1] or "")
+
     out = []
     for order_id, product, _, ts in orders:
         fits = [c for c in changes if c[0] == product and c[3] <= ts]
         if fits:
-            last = max(fits, key=lambda c: (c[3], c[5]))
+            last = max(fits, key=arrival)
             if last[4] != "d":
                 out.append((order_id, last[1]))
-    return sorted(out)
+    return sorted(out, key=repr)
 
 
-seconds = st.integers(0, 40)
+# Steps of 300 microseconds: several fall into one millisecond, and many are equal.
+steps = st.integers(0, 40)
 keys = st.sampled_from(["p1", "p1", "p1", "p2", "p3"])
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
-    st.lists(st.tuples(keys, seconds), min_size=1, max_size=60),
-    st.lists(st.tuples(keys, seconds, st.sampled_from("cuud")), min_size=1, max_size=30),
+    st.lists(st.tuples(keys, steps), min_size=1, max_size=60),
+    st.lists(st.tuples(keys, steps, st.sampled_from("cuud"), st.booleans()), min_size=1, max_size=30),
 )
 def test_against_brute_force(spark, order_rows, change_rows):
     base = at("00:00:00")
-    orders = [(str(i), k, 1, base + timedelta(seconds=s)) for i, (k, s) in enumerate(order_rows)]
+    orders = [(str(i), k, 1, base + timedelta(microseconds=300 * s)) for i, (k, s) in enumerate(order_rows)]
     changes = [
-        (k, f"n{i}", 1, base + timedelta(seconds=s), op, i) for i, (k, s, op) in enumerate(change_rows)
+        (k, f"n{i:02}", 1, base + timedelta(microseconds=300 * s), op, i if numbered else None)
+        for i, (k, s, op, numbered) in enumerate(change_rows)
     ]
     expected = brute_force(orders, changes)
     o = spark.createDataFrame(orders, ORDERS.schema)
     c = spark.createDataFrame(changes, PRODUCT_CHANGES.schema)
     for strategy in STRATEGIES:
         out = temporal_enrich(o, c, strategy, max_task_rows=8)
-        assert sorted((r.order_id, r.product_name) for r in out.collect()) == expected, strategy
+        found = sorted(((r.order_id, r.product_name) for r in out.collect()), key=repr)
+        assert found == expected, strategy
+    plain = rows(history(c), *HISTORY)
+    assert rows(history(c, max_task_rows=5), *HISTORY) == plain
+    assert len({(r[0], r[3]) for r in plain}) == len(plain)
+
+
+def test_a_version_never_matches_earlier_orders_of_its_millisecond(spark):
+    base = at("00:00:00")
+    order = [("a", "p1", 1, base + timedelta(microseconds=100)), ("b", "p1", 1, base + timedelta(microseconds=600))]
+    change = [("p1", "v0", 1, base + timedelta(microseconds=500), "c", 0), ("p1", "v1", 1, base + timedelta(microseconds=600), "u", 1)]
+    o, c = spark.createDataFrame(order, ORDERS.schema), spark.createDataFrame(change, PRODUCT_CHANGES.schema)
+    for strategy in STRATEGIES:
+        out = temporal_enrich(o, c, strategy, max_task_rows=1)
+        assert rows(out, "order_id", "product_name") == [("b", "v1")], strategy
 
 
-def test_one_instant_with_a_third_of_the_orders_is_pinned(spark):
-    """Equal orders at one time: no sort, same rows as the plain strategy."""
+def test_one_instant_with_a_third_of_the_orders(spark):
+    """Equal orders at one time are spread over pieces, with the plain strategy's rows."""
     base = at("00:00:00")
     rng = random.Random(3)
     orders = [("copy", "p1", 1, base + timedelta(seconds=100))] * 500
@@ -128,23 +150,26 @@ def test_one_instant_with_a_third_of_the_orders_is_pinned(spark):
     changes += [("p1", f"tie{i}", 1, base + timedelta(seconds=100), "u", 1000 + i) for i in range(300)]
     o = spark.createDataFrame(orders, ORDERS.schema)
     c = spark.createDataFrame(changes, PRODUCT_CHANGES.schema)
-    plan = pieces.profile(temporal._points(o, c), 100)
-    assert any(plan.pinned)
     split = rows(temporal_enrich(o, c, "split", 100), *ENRICHED_ORDERS.columns)
     assert split == rows(temporal_enrich(o, c, "shuffle"), *ENRICHED_ORDERS.columns)
     assert sum(r[:3] == ("copy", "p1", "tie299") for r in split) == 500
 
 
 def test_pieces_bound_the_rows_of_a_task(spark):
-    o, c = D.skewed_event_orders(spark, SF_DIR), D.skewed_event_changes(spark, SF_DIR)
-    plan = pieces.profile(temporal._points(o, c), 20)
-    placed = plan.assign(o, "product_id", "order_ts").filter("not pinned and piece >= 0")
-    largest = placed.groupBy("piece").count().agg({"count": "max"}).first()[0]
-    assert largest <= 3 * 20
+    """Any number of hot keys, one of them at a single instant."""
+    many = spark.range(200_000).selectExpr("concat('k', id % 10000) AS k", "id AS t").unionAll(
+        spark.range(20_000).selectExpr("'one' AS k", "0L AS t")
+    )
+    hot = pieces.hot_keys(many.select("k"), 15)
+    assert hot.count() == 10_001
+    placed = pieces.cut(many.join(hot.select("k"), "k", "left_semi"), ["k", "t"], 2000)
+    sizes = [r["count"] for r in placed.groupBy("k", "piece").count().collect()]
+    assert sum(sizes) == 220_000 and max(sizes) <= 2 * 2000
+    assert max(r["count"] for r in placed.groupBy("piece").count().collect()) <= 2 * 2000
 
 
 @pytest.mark.parametrize("source", ["events", "skewed", "lineitem"])
-def test_strategies_agree(spark, source, monkeypatch):
+def test_strategies_agree(spark, source):
     orders, changes = {
         "events": (D.event_orders, D.event_changes_with_deletes),
         "skewed": (D.skewed_event_orders, D.skewed_event_changes),
@@ -155,8 +180,6 @@ def test_strategies_agree(spark, source, monkeypatch):
     assert plain
     assert rows(temporal_enrich(o, c, "split", 20), *ENRICHED_ORDERS.columns) == plain
     assert rows(temporal_enrich(o, c, "broadcast"), *ENRICHED_ORDERS.columns) == plain
-    monkeypatch.setattr(locate, "SHORT_LIST", 0)  # search in the UDF instead of the JVM
-    assert rows(temporal_enrich(o, c, "broadcast"), *ENRICHED_ORDERS.columns) == plain
 
 
 def test_strategy_is_chosen_by_size(spark, make, monkeypatch):
@@ -177,14 +200,14 @@ def test_history_over_the_limit_falls_back(spark, monkeypatch):
     assert rows(temporal_enrich(o, c, "broadcast"), *ENRICHED_ORDERS.columns) == plain
 
 
-def test_keys_beyond_the_profile_limits_keep_their_result(spark, monkeypatch):
-    o, c = D.skewed_event_orders(spark, SF_DIR), D.skewed_event_changes(spark, SF_DIR)
-    plain = rows(temporal_enrich(o, c, "shuffle"), *ENRICHED_ORDERS.columns)
-    monkeypatch.setattr(pieces, "MAX_HOT_KEYS", 2)
-    monkeypatch.setattr(pieces, "MAX_PIECES", 5)
-    plan = pieces.profile(temporal._points(o, c), 5)
-    assert len(set(plan.keys)) <= 2 and len(plan.keys) <= 5 + 2
-    assert rows(temporal_enrich(o, c, "split", 5), *ENRICHED_ORDERS.columns) == plain
+def test_long_names_fall_back(spark, monkeypatch):
+    o, c = D.event_orders(spark, SF_DIR), D.event_changes(spark, SF_DIR)
+    wide = c.withColumn("product_name", F.repeat("product_name", 2000))
+    plain = rows(temporal_enrich(o, wide, "shuffle"), "order_id", "product_name")
+    monkeypatch.setattr(temporal, "BROADCAST_BYTES", 100_000)
+    assert temporal._search_history(o, c.selectExpr("*", "true AS live"), c) is not None
+    assert temporal._search_history(o, wide.selectExpr("*", "true AS live"), wide) is None
+    assert rows(temporal_enrich(o, wide, "broadcast"), "order_id", "product_name") == plain
 
 
 def plan_text(df):
@@ -197,13 +220,15 @@ def test_plans(spark):
     assert plain.count("Exchange hashpartitioning") == 1
     assert plain.count("Window [") == 1
     shared = plan_text(temporal_enrich(o, c, "broadcast"))
-    assert "Exchange hashpartitioning" not in shared
-    for text in (plain, shared, plan_text(temporal_enrich(o, c, "split", 20))):
+    assert "Exchange hashpartitioning" not in shared and "SinglePartition" not in shared
+    assert shared.count("ArrowEvalPython") == 1
+    split = plan_text(temporal_enrich(o, c, "split", 20))
+    for text in (plain, shared, split):
         assert "NestedLoop" not in text and "Cartesian" not in text
-        assert "EvalPython" not in text
+    assert "EvalPython" not in plain + split
 
 
 def test_name_is_pruned_when_only_counts_are_read(spark):
     o, c = D.event_orders(spark, SF_DIR), D.event_changes(spark, SF_DIR)
     counts = temporal_enrich(o, c, "shuffle").groupBy("product_id").count()
-    assert "name-" not in plan_text(counts)
+    assert "AS version" not in plan_text(counts)
