@@ -36,7 +36,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 CUT = "2024-01-15 00:00:00"
 
 # Rows per task used by the hot-key queries, small so that they split at any size
-# of the tables. The number of pieces stays bounded (see ``pieces``).
+# of the given tables.
 SPLIT_ROWS = 500
 
 # Streaming queries replay the tables in consecutive runs: at least this many, and
@@ -85,6 +85,10 @@ def products_history_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changelog.history(D.skewed_event_changes(spark, sf_dir), max_task_rows=SPLIT_ROWS)
 
 
+def products_history_null_seq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changelog.history(D.unnumbered_changes(spark, sf_dir), max_task_rows=SPLIT_ROWS // 25)
+
+
 def _before_cut() -> Column:
     return F.col("last_updated_ts") < F.lit(CUT).cast("timestamp_ntz")
 
@@ -113,7 +117,7 @@ def upsert_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = D.part_changes(spark, sf_dir)
     first = F.col("op") == "c"
     target = PRODUCTS.conform(changes.filter(first))
-    return changelog.upsert(target, changes.filter(~first & (F.col("stock") < 300)))
+    return changelog.upsert(target, changes.filter(~first))
 
 
 # ---- temporal join --------------------------------------------------------
@@ -146,6 +150,14 @@ def temporal_enrich_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _micros(strategy: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        orders, changes = D.dense_event_orders(spark, sf_dir), D.dense_event_changes(spark, sf_dir)
+        return temporal_enrich(orders, changes, strategy, max_task_rows=SPLIT_ROWS)
+
+    return run
+
+
 # ---- window counts --------------------------------------------------------
 
 
@@ -282,6 +294,7 @@ QUERIES: dict[str, Query] = {
     "products_latest": products_latest,
     "products_history": products_history,
     "products_history_hot_key": products_history_hot_key,
+    "products_history_null_seq": products_history_null_seq,
     "cdc_snapshot_plus_log": cdc_snapshot_plus_log,
     "cdc_upsert_fold": cdc_upsert_fold,
     "upsert_products": upsert_products,
@@ -291,6 +304,9 @@ QUERIES: dict[str, Query] = {
     "temporal_enrich_lineitem": temporal_enrich_lineitem,
     "temporal_enrich_history": temporal_enrich_history,
     "temporal_enrich_hot_key": temporal_enrich_hot_key,
+    "temporal_enrich_micros": _micros("shuffle"),
+    "temporal_enrich_micros_split": _micros("split"),
+    "temporal_enrich_micros_broadcast": _micros("broadcast"),
     "enriched_log": enriched_log,
     "product_window_counts": _counts(5),
     "product_window_counts_7m": _counts(7),

@@ -92,6 +92,48 @@ def skewed_event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _folded(name: str, span: int, step: int = 1) -> Column:
+    """The microseconds of a time modulo ``span``, in whole steps, on one day."""
+    # Zone offsets are whole seconds, so the part is the same in any zone.
+    micros = F.pmod(F.unix_micros(F.col(name).cast("timestamp")), F.lit(span))
+    day = F.lit("2024-01-01").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.floor(micros / F.lit(step)) * F.lit(step), day)
+
+
+def dense_event_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event orders with all times folded into 20 milliseconds, exact to the microsecond."""
+    events = read_table(spark, sf_dir, "events").filter(~F.col("event_type").isin("signup", "error"))
+    return events.select(
+        F.col("event_id").cast("string").alias("order_id"),
+        _product_of_user().alias("product_id"),
+        (F.col("event_id") % 10 + 1).cast("int").alias("quantity"),
+        _folded("ts", 20_000).alias("order_ts"),
+    )
+
+
+def _dense_changes(spark: SparkSession, sf_dir: str, time: Column, seq: Column) -> DataFrame:
+    events = read_table(spark, sf_dir, "events").filter(F.col("event_type").isin("signup", "error"))
+    return events.select(
+        _product_of_user().alias("product_id"),
+        F.concat(F.lit("name-"), F.col("event_id").cast("string")).alias("product_name"),
+        (F.lit(100) + F.col("event_id") % 901).cast("int").alias("stock"),
+        time.alias("last_updated_ts"),
+        F.when(F.col("event_id") % 10 == 0, "d").when(F.col("event_type") == "signup", "c").otherwise("u").alias("op"),
+        seq.alias("seq"),
+    )
+
+
+def dense_event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes, with deletes, folded like the dense orders."""
+    return _dense_changes(spark, sf_dir, _folded("ts", 20_000), F.col("event_id"))
+
+
+def unnumbered_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes at twenty instants of one millisecond, a third without an arrival number."""
+    seq = F.when(F.col("event_id") % 3 > 0, F.col("event_id"))
+    return _dense_changes(spark, sf_dir, _folded("ts", 1000, 50), seq)
+
+
 def line_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "lineitem").select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias(
@@ -162,6 +204,32 @@ skew_changes AS (
          op, seq
   FROM del_changes)"""
 
+DENSE_SQL = """
+dense_orders AS (
+  SELECT CAST(event_id AS VARCHAR) AS order_id,
+         'product-' || CAST(user_id % 50 + 1 AS VARCHAR) AS product_id,
+         CAST(event_id % 10 + 1 AS INTEGER) AS quantity,
+         TIMESTAMP '2024-01-01' + to_microseconds(epoch_us(ts) % 20000) AS order_ts
+  FROM events WHERE event_type NOT IN ('signup', 'error')),
+dense_changes AS (
+  SELECT 'product-' || CAST(user_id % 50 + 1 AS VARCHAR) AS product_id,
+         'name-' || CAST(event_id AS VARCHAR) AS product_name,
+         CAST(100 + event_id % 901 AS INTEGER) AS stock,
+         TIMESTAMP '2024-01-01' + to_microseconds(epoch_us(ts) % 20000) AS last_updated_ts,
+         CASE WHEN event_id % 10 = 0 THEN 'd' WHEN event_type = 'signup' THEN 'c' ELSE 'u' END AS op,
+         event_id AS seq
+  FROM events WHERE event_type IN ('signup', 'error'))"""
+
+UNNUMBERED_SQL = """
+unnumbered AS (
+  SELECT 'product-' || CAST(user_id % 50 + 1 AS VARCHAR) AS product_id,
+         'name-' || CAST(event_id AS VARCHAR) AS product_name,
+         CAST(100 + event_id % 901 AS INTEGER) AS stock,
+         TIMESTAMP '2024-01-01' + to_microseconds(epoch_us(ts) % 1000 // 50 * 50) AS last_updated_ts,
+         CASE WHEN event_id % 10 = 0 THEN 'd' WHEN event_type = 'signup' THEN 'c' ELSE 'u' END AS op,
+         CASE WHEN event_id % 3 > 0 THEN event_id END AS seq
+  FROM events WHERE event_type IN ('signup', 'error'))"""
+
 LINE_ORDERS_SQL = """
 li_orders AS (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS order_id,

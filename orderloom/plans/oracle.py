@@ -18,7 +18,9 @@ def _versions(changes: str) -> str:
     return f"""
 versions AS (
   SELECT * FROM {changes}
-  QUALIFY row_number() OVER (PARTITION BY product_id, last_updated_ts ORDER BY seq DESC) = 1)"""
+  QUALIFY row_number() OVER (
+    PARTITION BY product_id, last_updated_ts
+    ORDER BY seq DESC NULLS LAST, op <> 'd' DESC, product_name DESC, stock DESC) = 1)"""
 
 
 def _enriched(orders: str, changes: str) -> str:
@@ -65,6 +67,7 @@ _DELETES = (*_EVENTS, D.DELETES_SQL)
 _SKEWED = (*_DELETES, D.SKEWED_ORDERS_SQL, D.SKEWED_CHANGES_SQL)
 _LINES = (D.LINE_ORDERS_SQL, D.PART_CHANGES_SQL)
 
+_DENSE = _with(D.DENSE_SQL, _enriched("dense_orders", "dense_changes"))
 _EV = _with(*_EVENTS, _enriched("ev_orders", "ev_changes"))
 _DEL = _with(*_DELETES, _enriched("ev_orders", "del_changes"))
 _SKEW = _with(*_SKEWED, _enriched("skew_orders", "skew_changes"))
@@ -92,7 +95,7 @@ batch AS (
 _PART_BATCHES = f"""
 target AS (SELECT {_PRODUCT} FROM part_changes WHERE op = 'c'),
 batch AS (
-  SELECT {_PRODUCT} FROM part_changes WHERE op <> 'c' AND stock < 300
+  SELECT {_PRODUCT} FROM part_changes WHERE op <> 'c'
   QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY seq DESC) = 1)"""
 
 _UPSERT = """
@@ -109,6 +112,7 @@ FROM ev_orders GROUP BY product_id""",
 QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY last_updated_ts DESC, seq DESC) = 1""",
     "products_history": _with(*_DELETES, _history("del_changes")),
     "products_history_hot_key": _with(*_SKEWED, _history("skew_changes")),
+    "products_history_null_seq": _with(D.UNNUMBERED_SQL, _history("unnumbered")),
     "cdc_snapshot_plus_log": _with(*_DELETES, _CAPTURE) + "SELECT * FROM capture",
     "cdc_upsert_fold": _with(*_DELETES, _CAPTURE)
     + f"""SELECT {_PRODUCT} FROM (
@@ -121,6 +125,9 @@ QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY last_updated_ts DESC
     "temporal_enrich_lineitem": _LI + _ALL_ENRICHED,
     "temporal_enrich_history": _DEL + _ALL_ENRICHED,
     "temporal_enrich_hot_key": _SKEW + _ALL_ENRICHED,
+    "temporal_enrich_micros": _DENSE + _ALL_ENRICHED,
+    "temporal_enrich_micros_split": _DENSE + _ALL_ENRICHED,
+    "temporal_enrich_micros_broadcast": _DENSE + _ALL_ENRICHED,
     "enriched_log": _EV + _ALL_ENRICHED,
     "product_window_counts": _EV + _counts(5),
     "product_window_counts_7m": _EV + _counts(7),
