@@ -31,6 +31,7 @@ from orderloom.llm.common import attach, put_file, stored
 SEGMENT = 32 * 1024
 CHUNK = 8 * 1024
 FILE_BYTES = 16 * 1024 * 1024
+STEP = 8 * 1024
 DATE = "2024-01-01T00:00:00Z"
 
 _PIECE = pa.schema(
@@ -171,9 +172,7 @@ def write_pages(
             return row
 
         for batch in batches:
-            names = batch.schema.names
-            for i in range(batch.num_rows):
-                row = {n: batch.column(j)[i].as_py() for j, n in enumerate(names)}
+            for row in _rows(batch):
                 digest = base64.b32encode(bytes.fromhex(row["sha"])).decode()
                 own = row["id"], row["sha"], row["url"]
                 repeat = repeat + 1 if own == last else 0
@@ -191,7 +190,10 @@ def write_pages(
         if held:
             yield flush()
 
-    return stored(joined.mapInArrow(run, "file string, records long"), "warc_manifest")
+    manifest = stored(joined.mapInArrow(run, "file string, records long"), "warc_manifest")
+    # Without a page there is no archive, but still a folder to read.
+    put_file(f"{path}/_written", b"", "driver")
+    return manifest
 
 
 def _member(body: bytes) -> bytes:
@@ -204,13 +206,16 @@ def _members(body: bytes) -> Iterator[bytes]:
     if body[:2] != b"\x1f\x8b":
         yield body
         return
-    while body:
-        unpacker = zlib.decompressobj(31)
-        out = unpacker.decompress(body)
-        if not unpacker.eof:
-            raise ValueError("archive cut short")
-        yield out
-        body = unpacker.unused_data
+    # Fed in short steps, as what lies behind a member is copied with each.
+    view, at = memoryview(body), 0
+    while at < len(view):
+        unpacker, out = zlib.decompressobj(31), []
+        while not unpacker.eof:
+            if at >= len(view):
+                raise ValueError("archive cut short")
+            out.append(unpacker.decompress(view[at : at + STEP]))
+            at += len(view[at : at + STEP]) - len(unpacker.unused_data)
+        yield b"".join(out)
 
 
 def parse(data: bytes) -> Iterator[dict]:
@@ -237,6 +242,7 @@ def parse(data: bytes) -> Iterator[dict]:
         yield {
             "origin": fields.get("warc-segment-origin-id", own).strip("<>"),
             "number": number,
+            "segmented": "warc-segment-number" in fields,
             "last": total is not None or "warc-segment-number" not in fields,
             "total": None if total is None else int(total),
             "type": fields.get("warc-type"),
@@ -249,8 +255,11 @@ def parse(data: bytes) -> Iterator[dict]:
         }
 
 
-def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """All records of the archives under ``path``, one row each; a damaged file ends in a problem row."""
+def pieces(spark: SparkSession, path: str, segmented: bool | None = None) -> DataFrame:
+    """The records of the archives under ``path``, one row each; a damaged file ends in a problem row.
+
+    ``segmented`` asks for the pieces of cut records only, or for the other records only.
+    """
     files = spark.read.schema("path string, modificationTime timestamp, length long, content binary")
     files = files.format("binaryFile").option("pathGlobFilter", "*.warc*").load(path)
 
@@ -262,13 +271,16 @@ def pieces(spark: SparkSession, path: str) -> DataFrame:
                 try:
                     for data in _members(body.as_py()):
                         for piece in parse(data):
+                            if segmented is not None and segmented != piece["segmented"]:
+                                continue
                             held.append(piece)
                             size += len(piece["block"])
                             if size >= 8 << 20:
                                 yield pa.RecordBatch.from_pylist(held, schema=_PIECE)
                                 held, size = [], 0
                 except (ValueError, zlib.error) as e:
-                    held.append({"origin": f"{name}#{e}", "number": 1, "last": True, "problem": str(e)})
+                    if not segmented:
+                        held.append({"origin": f"{name}#{e}", "number": 1, "last": True, "problem": str(e)})
                 yield pa.RecordBatch.from_pylist(held, schema=_PIECE)
 
     return files.select("path", "content").mapInArrow(run, PIECE)
@@ -305,16 +317,20 @@ def _joined(group: list[dict]) -> dict:
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Whole records (without warcinfo): record_id, type, uri, refers_to, payload_digest,
-    payload_bytes, payload, problem. A task holds the pieces of one record at a time."""
-    found = pieces(spark, path).filter("type is null or type <> 'warcinfo'")
-    found = found.repartition("origin").sortWithinPartitions("origin", "number")
+    payload_bytes, payload, problem.
+
+    Only the pieces of cut records are shuffled; a task holds those of one record at a time.
+    """
+    whole = pieces(spark, path, segmented=False).filter("type is null or type <> 'warcinfo'")
+    cut = pieces(spark, path, segmented=True)
+    cut = cut.repartition("origin").sortWithinPartitions("origin", "number")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group: list[dict] = []
         for batch in batches:
             out = []
             for piece in _rows(batch):
-                if group and piece["origin"] != group[0]["origin"]:
+                if group and (piece["origin"] != group[0]["origin"] or piece["number"] == group[0]["number"] == 1):
                     out.append(_joined(group))
                     group = []
                 group.append(piece)
@@ -322,7 +338,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         if group:
             yield pa.RecordBatch.from_pylist([_joined(group)], schema=_RECORD)
 
-    return found.mapInArrow(run, RECORD)
+    return whole.mapInArrow(run, RECORD).unionByName(cut.mapInArrow(run, RECORD))
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
