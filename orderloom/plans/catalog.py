@@ -193,8 +193,7 @@ def csv_orders_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_orders_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    refused = read_csv_orders(spark, _order_files(spark, sf_dir)).quarantine
-    return refused.filter(F.col("line") != files.HEADER).select("line", "error")
+    return read_csv_orders(spark, _order_files(spark, sf_dir)).quarantine.select("line", "error")
 
 
 def zip_orders_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,6 +202,15 @@ def zip_orders_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_zip_orders(spark, path).orders
 
 
+def zip_orders_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = run_dir(spark, "damaged_zips")
+    files.write_damaged_zips(D.event_changes(spark, sf_dir), path)
+    refused = read_zip_orders(spark, path).quarantine
+    # What a codec says of damaged data is its own affair.
+    error = F.regexp_replace("error", "lines: .*", "lines")
+    return refused.select(F.regexp_extract("path", r"([^/]+)\.zip$", 1).alias("archive"), "member", "line", error.alias("error"))
+
+
 # ---- streams --------------------------------------------------------------
 
 
@@ -317,6 +325,7 @@ QUERIES: dict[str, Query] = {
     "csv_orders_ingest": csv_orders_ingest,
     "csv_orders_quarantine": csv_orders_quarantine,
     "zip_orders_ingest": zip_orders_ingest,
+    "zip_orders_quarantine": zip_orders_quarantine,
     "stream_window_counts": stream_window_counts,
     "stream_temporal_enrich": stream_temporal_enrich,
     "stream_pipeline": stream_pipeline,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import zipfile
 from collections.abc import Iterator
 
@@ -10,9 +11,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.sources.csv_orders import ORDER_TS_TEXT, write_csv_orders
+from orderloom.functions.stores import store_of
+from orderloom.schemas import ORDERS
+from orderloom.sources.csv_orders import ORDER_TS_TEXT
 
-HEADER = "order_id,product_id,quantity,order_ts"
+HEADER = ",".join(ORDERS.columns)
+
+# Order files are cut by the last digit of the order number, so their number does not
+# depend on the tasks that write them.
+ORDER_FILES = 10
 
 
 def order_line() -> F.Column:
@@ -20,6 +27,11 @@ def order_line() -> F.Column:
     return F.concat_ws(",", "order_id", "product_id", F.col("quantity").cast("string"), ts)
 
 
+def bad_line() -> F.Column:
+    """A line that is too short for an order."""
+    return F.concat_ws(",", F.col("seq").cast("string"), "product_id")
+
+
 def bad_lines(changes: DataFrame) -> DataFrame:
     """Three lines per change row that are no orders: text quantity, too short, too long."""
     ts = F.date_format("last_updated_ts", ORDER_TS_TEXT)
@@ -36,25 +48,50 @@ def bad_lines(changes: DataFrame) -> DataFrame:
 
 
 def write_order_files(orders: DataFrame, bad: DataFrame, path: str) -> None:
-    write_csv_orders(orders, path)
-    bad.write.mode("append").text(path)
+    """Order files, one with a header line for every last digit of the order numbers; bad lines beside."""
+    digit = F.col("order_id").cast("bigint") % ORDER_FILES
+    lines = orders.select(digit.alias("digit"), order_line().alias("value"))
+    headers = lines.select("digit").distinct().withColumn("value", F.lit(HEADER))
+    headers.unionByName(lines).write.partitionBy("digit").mode("append").text(path)
+    bad.withColumn("digit", F.lit(-1)).write.partitionBy("digit").mode("append").text(path)
+
+
+def write_damaged_zips(changes: DataFrame, path: str) -> None:
+    """An archive per product: a member with damaged data, then one whose lines are no orders."""
+
+    def write(key: tuple, table: pa.Table) -> pa.Table:
+        store, folder = store_of(path)
+        store.create_dir(folder, recursive=True)
+        body = io.BytesIO()
+        with zipfile.ZipFile(body, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("damaged.csv", f"{HEADER}\n" * 50)
+            z.writestr("whole.csv", "\n".join([HEADER, *sorted(table["value"].to_pylist())]) + "\n")
+        data = bytearray(body.getvalue())
+        start = data.index(b"damaged.csv") + len(b"damaged.csv")
+        data[start : start + 8] = b"\xff" * 8
+        name = f"{folder}/{key[0].as_py()}.zip"
+        with store.open_output_stream(f"{folder}/_{key[0].as_py()}", compression=None) as out:
+            out.write(bytes(data))
+        store.move(f"{folder}/_{key[0].as_py()}", name)
+        return pa.table({"archives": pa.array([1], pa.int32())})
+
+    lines = changes.select("product_id", bad_line().alias("value"))
+    lines.groupBy("product_id").applyInArrow(write, "archives int").agg(F.sum("archives")).collect()
 
 
 def write_zip_batches(
-    orders: DataFrame, path: str, members: int = 3, lines_per_member: int = 1000
+    orders: DataFrame, path: str, members: int = 4, lines_per_member: int = 1000
 ) -> None:
     """Write orders as zip archives of CSV members, plus one broken archive per task."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        store, folder = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+        store, folder = store_of(path)
         store.create_dir(folder, recursive=True)
         part = TaskContext.get().partitionId()
 
         def put(name: str, body) -> None:
             # Write aside, then move: the folder only ever shows whole archives.
-            with store.open_output_stream(f"{folder}/_{name}") as out:
+            with store.open_output_stream(f"{folder}/_{name}", compression=None) as out:
                 body(out)
             store.move(f"{folder}/_{name}", f"{folder}/{name}")
 
@@ -63,9 +100,9 @@ def write_zip_batches(
                 with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
                     for m in range(members):
                         text = "\n".join([HEADER, *lines[m::members]]) + "\n"
-                        z.writestr(f"orders_{part}_{number}_{m}.csv", text)
+                        z.writestr(f"part{m}.csv", text)
 
-            put(f"batch_{part}_{number}.zip", body)
+            put(f"{part:05d}-{number:05d}.zip", body)
 
         number, held = 0, []
         for batch in batches:

@@ -136,13 +136,21 @@ QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY last_updated_ts DESC
     "product_window_counts_lineitem": _LI + _counts(7 * 1440),
     "product_window_counts_hot_key": _SKEW + _counts(1440),
     "csv_orders_ingest": _ALL_ORDERS,
-    "csv_orders_quarantine": _with(D.EVENT_CHANGES_SQL, """
+    "csv_orders_quarantine": _with(D.EVENT_ORDERS_SQL, D.EVENT_CHANGES_SQL, """
 texts AS (
   SELECT CAST(seq AS VARCHAR) || ',' || product_id AS head,
          strftime(last_updated_ts, '%Y-%m-%d %H:%M:%S.%g') AS ts FROM ev_changes)""")
     + """SELECT head || ',x,' || ts AS line, 'malformed line' AS error FROM texts
 UNION ALL SELECT head, 'malformed line' FROM texts
-UNION ALL SELECT head || ',1,' || ts || ',more', 'malformed line' FROM texts""",
+UNION ALL SELECT head || ',1,' || ts || ',more', 'malformed line' FROM texts
+UNION ALL SELECT 'order_id,product_id,quantity,order_ts', 'malformed line'
+FROM (SELECT DISTINCT CAST(order_id AS BIGINT) % 10 FROM ev_orders)""",
+    "zip_orders_quarantine": _with(D.EVENT_CHANGES_SQL)
+    + """SELECT product_id AS archive, 'whole.csv' AS member,
+       CAST(seq AS VARCHAR) || ',' || product_id AS line, 'malformed line' AS error FROM ev_changes
+UNION ALL SELECT DISTINCT product_id, 'whole.csv', 'order_id,product_id,quantity,order_ts', 'malformed line'
+FROM ev_changes
+UNION ALL SELECT DISTINCT product_id, 'damaged.csv', NULL, 'bad member after 0 lines' FROM ev_changes""",
     "zip_orders_ingest": _ALL_ORDERS,
     "stream_window_counts": _EV
     + _counts(STREAM_WINDOW)

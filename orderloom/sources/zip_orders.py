@@ -3,27 +3,40 @@
 The file source only lists archives (path and size); its content column is not
 read. Tasks then open the archives themselves and stream the members, so memory
 use does not grow with archive size. Members of a large archive are spread over
-tasks. A broken archive gives a quarantine row instead of a failure.
+tasks. A broken archive, or a damaged member of one, gives a quarantine row instead
+of a failure; the other members are read at any archive size.
 """
 
 from __future__ import annotations
 
 import io
+import lzma
+import struct
 import zipfile
 import zlib
 from collections.abc import Iterator
-from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from orderloom.functions.stores import store_of
 from orderloom.sources.csv_orders import Ingest, decode_lines
 
 # Archives above this size are spread member by member.
 SPLIT_BYTES = 64 * 1024 * 1024
 LINES_PER_BATCH = 8192
 
-_BROKEN = (zipfile.BadZipFile, zlib.error, EOFError, NotImplementedError, RuntimeError)
+# What the archive and the codecs raise on damaged data. Failures of the store itself are
+# ``StorageFailure`` and end the task, which then runs again.
+_BROKEN = (
+    zipfile.BadZipFile, zlib.error, lzma.LZMAError, struct.error, UnicodeError, EOFError, OSError,
+    NotImplementedError, RuntimeError, ValueError, KeyError,
+)
+
+
+class StorageFailure(Exception):
+    """The store could not be read; nothing is known about the archive."""
+
 
 # Columns of the binary file source; streams need them declared.
 _FILES = "path string, modificationTime timestamp, length bigint, content binary"
@@ -57,7 +70,10 @@ class _RandomAccess(io.RawIOBase):
         return self._file.tell()
 
     def readinto(self, buffer) -> int:
-        data = self._file.read(len(buffer))
+        try:
+            data = self._file.read(len(buffer))
+        except OSError as e:
+            raise StorageFailure(str(e)) from e
         buffer[: len(data)] = data
         return len(data)
 
@@ -68,16 +84,13 @@ class _RandomAccess(io.RawIOBase):
 
 
 def _open(path: str) -> io.BufferedReader:
-    """Open a file of any file system both Spark and Arrow know, for random access."""
-    from pyarrow import fs
-
-    if path.startswith("file:"):
-        store, inner = fs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
-    else:
-        # Spark gives paths as plain text; an address needs its odd characters quoted.
-        uri = quote(path.replace("s3a://", "s3://", 1), safe=":/@")
-        store, inner = fs.FileSystem.from_uri(uri)
-    return io.BufferedReader(_RandomAccess(store.open_input_file(inner)), 1 << 20)
+    """Open a file for random access."""
+    store, inner = store_of(path)
+    try:
+        file = store.open_input_file(inner)
+    except OSError as e:
+        raise StorageFailure(f"{path}: {e}") from e
+    return io.BufferedReader(_RandomAccess(file), 1 << 20)
 
 
 def _members(archive: zipfile.ZipFile) -> list[str]:
@@ -104,25 +117,38 @@ def _list_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(rows, _PARTS)
 
 
+def _member_lines(archive: zipfile.ZipFile, path: str, name: str) -> Iterator[tuple]:
+    """The lines of a member; where it is damaged, one row that says how many came before."""
+    n = 0
+    try:
+        with archive.open(name) as member:
+            for line in io.TextIOWrapper(member, encoding="utf-8", errors="replace"):
+                yield path, name, line.rstrip("\n"), None
+                n += 1
+    except _BROKEN as e:
+        yield path, name, None, f"bad member after {n} lines: {e}"
+
+
+def _archive_lines(path: str, member: str | None) -> Iterator[tuple]:
+    """The lines of one member or of all: a damaged one does not end the others."""
+    try:
+        with _open(path) as raw, zipfile.ZipFile(raw) as archive:
+            for name in [member] if member is not None else _members(archive):
+                yield from _member_lines(archive, path, name)
+    except _BROKEN as e:
+        yield path, member, None, f"bad zip: {e}"
+
+
 def _read_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows: list[tuple] = []
         for path, member, error in zip(*(batch[c].to_pylist() for c in ("path", "member", "error"))):
-            if error is not None:
-                rows.append((path, None, None, error))
-                continue
-            name = member
-            try:
-                with _open(path) as raw, zipfile.ZipFile(raw) as archive:
-                    for name in [member] if member is not None else _members(archive):
-                        text = io.TextIOWrapper(archive.open(name), encoding="utf-8", errors="replace")
-                        for line in text:
-                            rows.append((path, name, line.rstrip("\n"), None))
-                            if len(rows) >= LINES_PER_BATCH:
-                                yield _batch(rows, _LINES)
-                                rows = []
-            except _BROKEN as e:
-                rows.append((path, name, None, f"bad zip: {e}"))
+            found = [(path, None, None, error)] if error is not None else _archive_lines(path, member)
+            for row in found:
+                rows.append(row)
+                if len(rows) >= LINES_PER_BATCH:
+                    yield _batch(rows, _LINES)
+                    rows = []
         if rows:
             yield _batch(rows, _LINES)
 

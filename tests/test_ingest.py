@@ -6,6 +6,7 @@ import zipfile
 import pytest
 
 from conftest import SF_DIR, at, rows
+from orderloom.functions.stores import store_of
 from orderloom.plans import derived as D
 from orderloom.plans import files
 from orderloom.sources import zip_orders
@@ -97,16 +98,80 @@ def test_zip(spark, tmp_path, monkeypatch, split_bytes):
     assert rows(headers, "member", "line") == [("deep/two.csv", HEADER), ("one.csv", HEADER)]
 
 
-def test_damaged_member_is_quarantined(spark, tmp_path):
-    make_zips(tmp_path)
-    data = bytearray((tmp_path / "good.zip").read_bytes())
-    at_name = data.index(b"one.csv") + len(b"one.csv")
-    data[at_name + 4:at_name + 24] = b"\xff" * 20
-    (tmp_path / "damaged.zip").write_bytes(data)
+def damaged_zip(folder, name, method, damage):
+    """An archive of two members; ``damage`` changes the bytes of the first."""
+    with zipfile.ZipFile(folder / name, "w", method) as z:
+        z.writestr("one.csv", "\n".join([HEADER] * 40))
+        z.writestr("two.csv", GOOD)
+    data = bytearray((folder / name).read_bytes())
+    damage(data)
+    (folder / name).write_bytes(data)
+
+
+def _spoil(data):
+    start = data.index(b"one.csv") + len(b"one.csv")
+    data[start + 4:start + 24] = b"\xff" * 20
+
+
+def _rename(data):
+    """A name that is no UTF-8, flagged as such, in both places where it stands."""
+    at_name = -1
+    while (at_name := data.find(b"one.csv", at_name + 1)) >= 0:
+        data[at_name:at_name + 2] = b"\xff\xfe"
+        flags = at_name - 24 if data[at_name - 30:at_name - 26] == b"PK\x03\x04" else at_name - 38
+        data[flags + 1] |= 0x08
+
+
+DAMAGED = {
+    "deflate.zip": (zipfile.ZIP_DEFLATED, _spoil),
+    "bzip2.zip": (zipfile.ZIP_BZIP2, _spoil),
+    "lzma.zip": (zipfile.ZIP_LZMA, _spoil),
+    "name.zip": (zipfile.ZIP_DEFLATED, _rename),
+}
+
+
+@pytest.mark.parametrize("split_bytes", [zip_orders.SPLIT_BYTES, 0])
+def test_a_damaged_member_does_not_end_the_others(spark, tmp_path, monkeypatch, split_bytes):
+    monkeypatch.setattr(zip_orders, "SPLIT_BYTES", split_bytes)
+    for name, (method, damage) in DAMAGED.items():
+        damaged_zip(tmp_path, name, method, damage)
     orders, quarantine = read_zip_orders(spark, str(tmp_path))
-    assert set(rows(orders, *COLUMNS)) >= set(ZIP_EXPECTED)
-    errors = {os.path.basename(r.path) for r in quarantine.filter("line IS NULL").collect()}
-    assert errors == {"bad.zip", "damaged.zip"}
+    # Where the directory itself cannot be read, no member can.
+    assert rows(orders, *COLUMNS) == EXPECTED * 3
+    errors = quarantine.filter("line IS NULL").collect()
+    assert sorted(os.path.basename(r.path) for r in errors) == sorted(DAMAGED)
+    by_name = {os.path.basename(r.path): r.error for r in errors}
+    assert by_name["name.zip"].startswith("bad zip")
+    assert all(by_name[n].startswith("bad member after ") for n in DAMAGED if n != "name.zip")
+
+
+def test_a_stream_goes_on_over_damaged_archives(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    for name, (method, damage) in DAMAGED.items():
+        damaged_zip(source, name, method, damage)
+    for i in range(2):
+        query = (
+            stream_zip_orders(spark, str(source)).orders.writeStream.format("parquet")
+            .option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp"))
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        assert query.exception() is None
+        assert spark.read.parquet(str(tmp_path / "out")).count() == 3 + i
+        with zipfile.ZipFile(source / f"more{i}.zip", "w") as z:
+            z.writestr("a.csv", GOOD)
+
+
+def test_a_failing_store_fails_the_read(tmp_path):
+    with pytest.raises(zip_orders.StorageFailure):
+        list(zip_orders._archive_lines(str(tmp_path / "gone.zip"), None))
+
+
+@pytest.mark.parametrize("prefix", ["", "file:", "file://"])
+def test_stores_take_the_same_addresses(tmp_path, prefix):
+    store, inner = store_of(f"{prefix}{tmp_path}")
+    assert store.get_file_info(inner).is_file is False
 
 
 def test_odd_file_names(spark, tmp_path):
