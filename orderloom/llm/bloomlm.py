@@ -15,6 +15,9 @@ is broadcast in parts of at most PART_BYTES; each part scores the bigrams it hol
 partial sums of a document are added. Exact word counts reach a bucket of documents by a shuffle
 that carries only the words that occur in other buckets too.
 
+A word's hash is a polynomial in its bytes, so the hashes of a whole run of texts come from
+one running sum.
+
 Defined results: a null or empty text has the end token alone; a null id hashes as an empty one;
 repeated rows are learnt from, and scored, each; nothing learnt: N and V are 0 and the model is
 the smoothing alone.
@@ -26,27 +29,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import stored
 
 BITS = 7
-PROBES = 4
+PROBES = 3
 PART_BYTES = 96 * 1024 * 1024
 MU = 3.0
 DISCOUNT = 0.75
 LEVELS = 40
+# Tokens that a task sums up at a time, and bytes of text that it hashes at a time.
 FLUSH = 1 << 21
+CHUNK = 1 << 20
 SEGMENT_BYTES = 4 * 1024 * 1024
 BUCKET_BYTES = 12 * 1024 * 1024
 
 END, START = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
+# The polynomial's base, odd and so invertible modulo 2**64.
+BASE = 0x5851F42D4C957F2D
+
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
 
-_PACKED = "segment int, bucket int, keys binary, counts binary"
+# Packed counts: ``part`` is the length of the n-grams, or the bucket that asks.
+_PACKED = "segment int, part int, keys binary, counts binary"
 _PACK = pa.schema(
-    [("segment", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]
+    [("segment", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]
 )
 
 
@@ -55,29 +64,72 @@ def held_out(id_col: str = "doc_id", parts: int = 5, part: int = 1) -> Column:
     return F.crc32(name.cast("binary")) % parts == part
 
 
-class Hashes(dict):
-    """Hashes of words, kept while they are few."""
-
-    def __missing__(self, word: bytes) -> int:
-        made = xxhash.xxh64_intdigest(word)
-        if len(self) < 400_000:
-            self[word] = made
-        return made
-
-    def of(self, text: str | None) -> np.ndarray:
-        """Hashes of a text's words and of its end."""
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        out = np.empty(len(words) + 1, np.uint64)
-        out[:-1] = np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-        out[-1] = END
-        return out
-
-
-def pairs(tokens: np.ndarray) -> np.ndarray:
-    """Hashes of the bigrams that end at each token; the first follows the start mark."""
-    before = np.concatenate([[np.uint64(START)], tokens[:-1]])
-    x = before * np.uint64(0xBF58476D1CE4E5B9) ^ (tokens + np.uint64(0x94D049BB133111EB))
-    return _mixed(x)
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+class Hasher:
+    """Hashes of words, many texts at a time."""
+
+    def __init__(self) -> None:
+        values = np.random.default_rng(7).integers(1, 1 << 63, 256).astype(np.uint64)
+        self.values = values
+        self.up = self.down = np.zeros(0, np.uint64)
+
+    def _room(self, n: int) -> None:
+        if n > len(self.up):
+            self.up = _powers(BASE, n)
+            self.down = _powers(pow(BASE, -1, 1 << 64), n)
+
+    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of all texts in turn, each with its end, and the place behind each text's last."""
+        raw = b" ".join(texts).translate(_LOWER) + b" "
+        data = np.frombuffer(raw, np.uint8)
+        self._room(len(data) + 1)
+        solid = data != 32
+        edges = np.flatnonzero(np.diff(np.r_[False, solid, False].astype(np.int8)))
+        starts, ends = edges[::2], edges[1::2]
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.values[data] * self.up[: len(data)], out=sums[1:])
+        words = (sums[ends] - sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64)
+        sizes = np.array([len(t) for t in texts], np.int64)
+        text_ends = np.cumsum(sizes + 1)
+        owner = np.searchsorted(text_ends, starts, side="right")
+        out = np.full(len(words) + len(texts), END, np.uint64)
+        out[np.arange(len(words)) + owner] = _mixed(words)
+        behind = np.cumsum(np.bincount(owner, minlength=len(texts)) + 1)
+        return out, behind
+
+
+def _chunks(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+    """Runs of texts of about CHUNK bytes with the number of the first; a longer text is one run."""
+    held: list[bytes] = []
+    size = first = 0
+    for i, text in enumerate(texts):
+        raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
+        if held and size + len(raw) > CHUNK:
+            yield first, held
+            held, size, first = [], 0, i
+        held.append(raw)
+        size += len(raw) + 1
+    if held:
+        yield first, held
+
+
+def _before(tokens: np.ndarray, behind: np.ndarray, first) -> np.ndarray:
+    """The value before each token; ``first`` before a text's first."""
+    out = np.empty_like(tokens)
+    out[1:] = tokens[:-1]
+    out[np.r_[0, behind[:-1]]] = first
+    return out
+
+
+def pairs(tokens: np.ndarray, behind: np.ndarray) -> np.ndarray:
+    """Hashes of the bigrams that end at each token; a text's first follows the start mark."""
+    before = _before(tokens, behind, np.uint64(START))
+    return _mixed(before * np.uint64(0xBF58476D1CE4E5B9) ^ (tokens + np.uint64(0x94D049BB133111EB)))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -94,7 +146,7 @@ def _segment(keys: np.ndarray, segments: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) % np.uint64(segments)).astype(np.int64)
 
 
-def _packs(keys: np.ndarray, counts: np.ndarray, segments: int, bucket: int = -1) -> pa.RecordBatch:
+def _packs(keys: np.ndarray, counts: np.ndarray, segments: int, part: int) -> pa.RecordBatch:
     """One row per segment with the sorted keys and their counts."""
     segment = _segment(keys, segments)
     order = np.argsort(segment, kind="stable")
@@ -103,7 +155,7 @@ def _packs(keys: np.ndarray, counts: np.ndarray, segments: int, bucket: int = -1
     ends = [*starts[1:], len(keys)] if len(keys) else []
     return pa.RecordBatch.from_pydict(
         {"segment": pa.array(segment[starts] if len(keys) else [], pa.int32()),
-         "bucket": pa.array([bucket] * len(starts), pa.int32()),
+         "part": pa.array([part] * len(starts), pa.int32()),
          "keys": pa.array([keys[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
          "counts": pa.array([counts[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())},
         schema=_PACK,
@@ -117,10 +169,10 @@ def _summed(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _arrays(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    for bucket, keys, counts in zip(
-        table["bucket"].to_pylist(), table["keys"].to_pylist(), table["counts"].to_pylist()
+    for part, keys, counts in zip(
+        table["part"].to_pylist(), table["keys"].to_pylist(), table["counts"].to_pylist()
     ):
-        yield bucket, np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.uint32).astype(np.int64)
+        yield part, np.frombuffer(keys, np.uint64), np.frombuffer(counts, np.uint32).astype(np.int64)
 
 
 def _totals(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -130,62 +182,62 @@ def _totals(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return keys, np.bincount(where, np.concatenate([c for _, _, c in rows]), len(keys)).astype(np.int64)
 
 
-def counted(texts: DataFrame, segments: int, bigrams: bool) -> DataFrame:
-    """Packed counts of the words or bigrams of the only column of ``texts``."""
+def counted(texts: DataFrame, segments: int) -> DataFrame:
+    """Packed counts of the words (part 1) and bigrams (part 2) of the only column of ``texts``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, size = Hashes(), [], 0
+        hasher, words, grams, size = Hasher(), [], [], 0
         for batch in batches:
-            for text in batch.column(0):
-                tokens = hashes.of(text.as_py())
-                held.append(pairs(tokens) if bigrams else tokens)
+            for _, some in _chunks(batch.column(0)):
+                tokens, behind = hasher.of(some)
+                words.append(tokens)
+                grams.append(pairs(tokens, behind))
                 size += len(tokens)
                 if size >= FLUSH:
-                    yield _packs(*_summed(held), segments)
-                    held, size = [], 0
-        if held:
-            yield _packs(*_summed(held), segments)
+                    yield _packs(*_summed(words), segments, 1)
+                    yield _packs(*_summed(grams), segments, 2)
+                    words, grams, size = [], [], 0
+        if size:
+            yield _packs(*_summed(words), segments, 1)
+            yield _packs(*_summed(grams), segments, 2)
 
     return texts.mapInArrow(run, _PACKED)
 
 
-def vocabulary(packed: DataFrame) -> tuple[int, int]:
-    """(N, V): all tokens and distinct tokens of packed word counts."""
-
-    def run(table: pa.Table) -> pa.Table:
-        keys, counts = _totals(table)
-        return pa.table({"n": pa.array([int(counts.sum())], pa.int64()), "v": pa.array([len(keys)], pa.int64())})
-
-    row = packed.groupBy("segment").applyInArrow(run, "n long, v long").agg(F.sum("n"), F.sum("v")).first()
-    return row[0] or 0, row[1] or 0
-
-
-def _places(keys: np.ndarray, level: int, bits: int) -> Iterator[np.ndarray]:
-    """Bit positions of the probes of (key, level), in a segment of ``bits`` bits."""
-    x = _mixed(keys + _step(level))
+def _place(x: np.ndarray, probe: int, size: np.ndarray) -> np.ndarray:
+    """Bit positions of one probe, in segments of ``size`` bits (below 2**32)."""
     low, high = x & np.uint64(0xFFFFFFFF), x >> np.uint64(32) | np.uint64(1)
-    for i in range(PROBES):
-        yield (low + np.uint64(i) * high) % bits
+    return ((low + np.uint64(probe) * high & np.uint64(0xFFFFFFFF)) * size) >> np.uint64(32)
 
 
 def built(packed: DataFrame) -> DataFrame:
-    """The filter by segment: segment, grams (distinct), size (bits), body (the bits)."""
+    """Sums of the packed counts by part and segment: part, segment, n (tokens), v (distinct), and
+    for the bigrams size and body of the filter's segment."""
 
     def run(table: pa.Table) -> pa.Table:
         keys, counts = _totals(table)
-        levels = np.minimum(1 + np.floor(np.log2(counts)).astype(np.int64), LEVELS)
-        size = max(64, int(levels.sum()) * BITS)
-        on = np.zeros(size, bool)
-        for level in range(1, int(levels.max()) + 1):
-            for at in _places(keys[levels >= level], level, np.uint64(size)):
-                on[at] = True
-        return pa.table(
-            {"segment": table["segment"].slice(0, 1), "grams": pa.array([len(keys)], pa.int64()),
-             "size": pa.array([size], pa.int64()),
-             "body": pa.array([np.packbits(on, bitorder="little").tobytes()], pa.binary())}
-        )
+        row = {"part": table["part"][0], "segment": table["segment"][0], "n": int(counts.sum()), "v": len(keys),
+               "size": None, "body": None}
+        if row["part"].as_py() == 2:
+            levels = np.minimum(1 + np.floor(np.log2(counts)).astype(np.int64), LEVELS)
+            size = min(max(64, int(levels.sum()) * BITS), (1 << 32) - 1)
+            on = np.zeros(size, bool)
+            for level in range(1, int(levels.max()) + 1):
+                x = _mixed(keys[levels >= level] + _step(level))
+                for probe in range(PROBES):
+                    on[_place(x, probe, np.uint64(size))] = True
+            row |= {"size": size, "body": np.packbits(on, bitorder="little").tobytes()}
+        return pa.Table.from_pylist([{k: v.as_py() if isinstance(v, pa.Scalar) else v for k, v in row.items()}], _BUILT)
+
+    return packed.groupBy("part", "segment").applyInArrow(
+        run, "part int, segment int, n long, v long, size long, body binary"
+    )
 
-    return packed.groupBy("segment").applyInArrow(run, "segment int, grams long, size long, body binary")
+
+_BUILT = pa.schema(
+    [("part", pa.int32()), ("segment", pa.int32()), ("n", pa.int64()), ("v", pa.int64()), ("size", pa.int64()),
+     ("body", pa.binary())]
+)
 
 
 class Filter:
@@ -207,53 +259,53 @@ class Filter:
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Quantised counts by repeated probes; 0 for keys that are not held."""
         segment = _segment(keys, self.segments)
-        size, start = self.size[segment], self.start[segment]
         out = np.zeros(len(keys), np.int64)
-        left = np.flatnonzero(size > 0)
+        left = np.flatnonzero(self.size[segment] > 0)
         for level in range(1, LEVELS + 1):
-            for place in _probes(keys, left, level, size):
-                if not len(left):
-                    return out
-                at = start[left] + place(left)
-                left = left[(self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1) > 0]
+            x, own = _mixed(keys[left] + _step(level)), segment[left]
+            for probe in range(PROBES):
+                at = self.start[own] + _place(x, probe, self.size[own])
+                on = (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1) > 0
+                left, x, own = left[on], x[on], own[on]
+            if not len(left):
+                break
             out[left] = level
         return out
 
 
-def _probes(keys: np.ndarray, left: np.ndarray, level: int, size: np.ndarray):
-    """The probes of a level, each computed only for the keys that passed those before."""
-    x = np.zeros(len(keys), np.uint64)
-    x[left] = _mixed(keys[left] + _step(level))
-    for i in range(PROBES):
-        yield lambda some, i=i: (
-            (x[some] & np.uint64(0xFFFFFFFF)) + np.uint64(i) * (x[some] >> np.uint64(32) | np.uint64(1))
-        ) % size[some]
-
-
 def read_back(levels: np.ndarray) -> np.ndarray:
     """Counts for quantised ones: the geometric middle of 2**(q-1) .. 2**q - 1."""
     low = np.exp2(levels - 1.0)
     return np.where(levels > 0, np.sqrt(low * (2 * low - 1)), 0.0)
 
 
-def _local(batch: pa.Table, segments: int) -> pa.RecordBatch:
-    """Per bucket of documents: its words with their counts in learnt documents (0: in others only)."""
-    hashes = Hashes()
+def _tokens(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of the rows of a bucket: tokens, places behind texts, and whether each text is held out."""
+    hasher, held = Hasher(), np.array(table["held"].to_pylist(), bool)
+    for first, some in _chunks(table["text"].combine_chunks()):
+        tokens, behind = hasher.of(some)
+        yield tokens, behind, held[first : first + len(some)]
+
+
+def _own_counts(runs: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """Words of a bucket with their counts in learnt texts (0: in held-out ones only)."""
     learnt, seen = [], []
-    for text, held in zip(batch["text"], batch["held"].to_pylist()):
-        tokens = hashes.of(text.as_py())
-        (seen if held else learnt).append(tokens)
+    for tokens, behind, held in runs:
+        out = np.repeat(held, np.diff(np.r_[0, behind]))
+        learnt.append(tokens[~out])
+        seen.append(np.unique(tokens[out]))
     keys, counts = _summed(learnt)
-    new = np.setdiff1d(np.concatenate(seen), keys) if seen else np.zeros(0, np.uint64)
-    keys, counts = np.r_[keys, new], np.r_[counts, np.zeros(len(new), np.int64)]
-    return _packs(keys, counts, segments, batch["bucket"][0].as_py())
+    new = np.setdiff1d(np.concatenate(seen), keys)
+    order = np.argsort(np.r_[keys, new])
+    return np.r_[keys, new][order], np.r_[counts, np.zeros(len(new), np.int64)][order]
 
 
 def lookups(docs: DataFrame, segments: int) -> DataFrame:
     """Packed exact counts by bucket, of the words whose count there differs from the whole one."""
 
     def ask(table: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([_local(table, segments)], _PACK)
+        keys, counts = _own_counts(list(_tokens(table)))
+        return pa.Table.from_batches([_packs(keys, counts, segments, table["bucket"][0].as_py())], _PACK)
 
     def answer(table: pa.Table) -> pa.Table:
         keys, totals = _totals(table)
@@ -281,34 +333,26 @@ def _scored(
     docs: pa.Table, words: pa.Table, filter_: Filter, n: int, v: int, starts: int, mu: float, spread: float
 ) -> pa.Table:
     """Scores of a bucket; ``score`` sums the tokens whose bigram the filter part holds."""
-    hashes = Hashes()
-    held = np.array(docs["held"].to_pylist(), bool)
-    texts = [hashes.of(t.as_py()) for t in docs["text"]]
-    keys, counts = _summed([t for t, h in zip(texts, held) if not h])
-    other = [np.frombuffer(k, np.uint64) for k in words["keys"].to_pylist()]
-    whole = [np.frombuffer(c, np.uint64) for c in words["counts"].to_pylist()]
-    if other:
-        more, more_counts = np.concatenate(other), np.concatenate(whole).astype(np.int64)
-        keys = np.r_[more, keys]
-        counts = np.r_[more_counts, counts]
-        # Of a word in both, the whole count comes first.
-        keys, first = np.unique(keys, return_index=True)
-        counts = counts[first]
+    runs = list(_tokens(docs))
+    keys, counts = _own_counts(runs)
+    for k, c in zip(words["keys"].to_pylist(), words["counts"].to_pylist()):
+        counts[np.searchsorted(keys, np.frombuffer(k, np.uint64))] = np.frombuffer(c, np.uint64).astype(np.int64)
     weight = n + 0.5 * (v + 1)
     sums: dict[str, list] = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
-    for tokens in texts:
-        at = np.minimum(np.searchsorted(keys, tokens), max(0, len(keys) - 1))
-        c = np.where(keys[at] == tokens, counts[at], 0) if len(keys) else np.zeros(len(tokens), np.int64)
+    for tokens, behind, _ in runs:
+        word, which = np.unique(tokens, return_inverse=True)
+        c = counts[np.searchsorted(keys, word)][which]
         one = (c + 0.5) / weight
-        before = np.r_[starts, c[:-1]]
-        grams = pairs(tokens)
-        likely = read_back(filter_.levels(grams))
+        before = _before(c, behind, starts)
+        gram, which = np.unique(pairs(tokens, behind), return_inverse=True)
+        likely = read_back(filter_.levels(gram))[which]
         likely = np.maximum(np.minimum(likely, np.minimum(c, before)) - DISCOUNT, 0)
         score = np.log10((likely + (mu + DISCOUNT * spread * before) * one) / (before + mu))
-        sums["n_tokens"].append(len(tokens))
-        sums["n_known"].append(int((c > 0).sum()))
-        sums["base_score"].append(float(np.log10(one).sum()))
-        sums["score"].append(float(score[filter_.holds(grams)].sum()))
+        begins = np.r_[0, behind[:-1]]
+        sums["n_tokens"] += np.diff(np.r_[0, behind]).tolist()
+        sums["n_known"] += np.add.reduceat((c > 0).astype(np.int64), begins).tolist()
+        sums["base_score"] += np.add.reduceat(np.log10(one), begins).tolist()
+        sums["score"] += np.add.reduceat(np.where(filter_.holds(gram)[which], score, 0.0), begins).tolist()
     return pa.table(
         {"row": docs["row"], "doc_id": docs["id"], "held_out": docs["held"],
          "n_tokens": pa.array(sums["n_tokens"], pa.int64()), "n_known": pa.array(sums["n_known"], pa.int64()),
@@ -349,11 +393,12 @@ def score(
     buckets = max(64, -(-size // BUCKET_BYTES))
     learnt = rows.filter(~F.col("held")).select("text")
     starts = learnt.count()
-    n, v = vocabulary(counted(learnt, segments, bigrams=False))
-    body = stored(built(counted(learnt, segments, bigrams=True)), "ngram_filter")
-    sizes = body.select("segment", "size", "grams").collect()
-    every = [(r["segment"], r["size"]) for r in sizes]
-    spread = sum(r["grams"] for r in sizes) / max(1, n)
+    body = stored(built(counted(learnt, segments)), "ngram_filter")
+    sums = body.groupBy("part").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()
+    n, v = next(((r["n"], r["v"]) for r in sums if r["part"] == 1), (0, 0))
+    spread = next((r["v"] for r in sums if r["part"] == 2), 0) / max(1, n)
+    body = body.filter("part = 2")
+    every = [tuple(r) for r in body.select("segment", "size").collect()]
     # Segments without an entry hold nothing, and belong to the first part.
     parts = _parts([*every, *((s, 0) for s in {*range(segments)} - {s for s, _ in every})], part_bytes)
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)).cast("int"))

@@ -70,11 +70,11 @@ def test_filter_never_reads_too_little():
     counts = rng.geometric(0.3, 5000)
     import pyarrow as pa
 
-    packs = pa.Table.from_batches([bloomlm._packs(keys, counts, 1)])
+    packs = pa.Table.from_batches([bloomlm._packs(keys, counts, 1, 2)])
     made = {}
 
     class Fake:
-        def groupBy(self, _):
+        def groupBy(self, *_):
             return self
 
         def applyInArrow(self, run, _):
@@ -89,3 +89,11 @@ def test_filter_never_reads_too_little():
     assert (some.levels(rng.integers(0, 2**63, 5000).astype(np.uint64)) == 0).mean() > 0.9
     near = bloomlm.read_back(levels) / counts
     assert 0.5 < near.min() and near.max() < 2
+
+
+def test_hashes_tell_words_apart():
+    texts = ["a b a", "", "ab a b", "É é ñ", "x" * 3000 + " y", "\t\x0b Ab \r\n", "ab ba aab aba baa"]
+    found, behind = bloomlm.Hasher().of([t.encode() for t in texts])
+    want = [t for text in texts for t in tokens(text)]
+    assert len(found) == len(want) and behind.tolist() == np.cumsum([len(tokens(t)) for t in texts]).tolist()
+    assert len(set(zip(found.tolist(), want))) == len(set(want)) == len(set(found.tolist()))
