@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderloom.functions.time import epoch_micros
 from orderloom.functions.wire import key_text, raw_key
 from orderloom.operators import changelog
 from orderloom.operators.sizes import plan_bytes
@@ -29,6 +30,7 @@ from orderloom.sources.csv_orders import read_csv_orders, write_csv_orders
 from orderloom.sources.logs import append_log, read_log
 from orderloom.sources.zip_orders import read_zip_orders
 from orderloom.streaming import pipeline as S
+from orderloom.streaming.sinks import read_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -120,6 +122,14 @@ def upsert_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changelog.upsert(target, changes.filter(~first))
 
 
+def upsert_new_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch of which half the keys are not in the table yet."""
+    changes = D.part_changes(spark, sf_dir)
+    first = F.col("op") == "c"
+    target = PRODUCTS.conform(changes.filter(first & (F.col("stock") % 2 == 0)))
+    return changelog.upsert(target, changes.filter(~first))
+
+
 # ---- temporal join --------------------------------------------------------
 
 
@@ -215,10 +225,11 @@ def zip_orders_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _edges(df: DataFrame, ts: str, size: int) -> list[datetime]:
-    """Inner bounds of the consecutive time spans to replay."""
-    low, high = df.agg(F.min(ts), F.max(ts)).first()
+    """Inner bounds of the consecutive time spans to replay, with about as many rows in each."""
     runs = max(RUNS, -(-size // RUN_BYTES))
-    return [low + (high - low) * i / runs for i in range(1, runs)] if low else []
+    shares = F.lit([i / runs for i in range(1, runs)])
+    cuts = df.agg(F.percentile_approx(epoch_micros(ts), shares, 10_000)).first()[0]
+    return [datetime(1970, 1, 1) + timedelta(microseconds=c) for c in sorted({*(cuts or [])})]
 
 
 def _staged(df: DataFrame, relation: Relation, edges: list[datetime], path: str) -> list[DataFrame]:
@@ -233,11 +244,8 @@ def _staged(df: DataFrame, relation: Relation, edges: list[datetime], path: str)
 
 
 def _stream_confs(spark: SparkSession) -> dict[str, str]:
-    """Stream settings; in local mode one state partition per core is enough."""
-    confs = dict(STREAM_CONFS)
-    if spark.sparkContext.master.startswith("local"):
-        confs["spark.sql.shuffle.partitions"] = str(spark.sparkContext.defaultParallelism)
-    return confs
+    """Stream settings, with a state partition for every core of the cluster."""
+    return STREAM_CONFS | {"spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism)}
 
 
 def _event_spans(spark: SparkSession, sf_dir: str, base: str) -> list[tuple[DataFrame, DataFrame]]:
@@ -269,7 +277,7 @@ def _replay(spark: SparkSession, sf_dir: str, name: str, start: Callable) -> S.J
     job = S.Job("", "", f"{base}/job", window_minutes=STREAM_WINDOW)
     with session_confs(spark, _stream_confs(spark)):
         for orders, changes in _event_spans(spark, sf_dir, base):
-            append_log(orders, ORDERS, job.log(ORDERS))
+            S.append_orders(job, orders)
             append_log(changes, PRODUCT_CHANGES, job.log(PRODUCT_CHANGES))
             start(spark, job, S.AVAILABLE_NOW).awaitTermination()
     return job
@@ -296,6 +304,22 @@ def pipeline_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_log(spark, PRODUCT_WINDOW_COUNTS, job.log(PRODUCT_WINDOW_COUNTS))
 
 
+def pipeline_products_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest table of the job: a snapshot, then the changes in two runs, with deletes."""
+    base = run_dir(spark, "pipeline_products_latest")
+    job = S.Job("", f"{base}/changes_in", f"{base}/job", snapshot=f"{base}/snapshot")
+    changes = D.event_changes_with_deletes(spark, sf_dir)
+    append_log(changelog.fold(changes.filter(_before_cut())), PRODUCTS, job.snapshot)
+    rest = changes.filter(~_before_cut())
+    edges = _edges(rest, "last_updated_ts", 0)
+    with session_confs(spark, _stream_confs(spark)):
+        for span in _staged(rest, PRODUCT_CHANGES, edges, f"{base}/staged"):
+            append_log(span, PRODUCT_CHANGES, job.change_files)
+            S.start_products(spark, job, S.AVAILABLE_NOW).awaitTermination()
+            S.start_latest_products(spark, job, S.AVAILABLE_NOW).awaitTermination()
+    return read_latest(spark, job.latest)
+
+
 QUERIES: dict[str, Query] = {
     "orders_log": orders_log,
     "order_message_keys": order_message_keys,
@@ -307,6 +331,7 @@ QUERIES: dict[str, Query] = {
     "cdc_upsert_fold": cdc_upsert_fold,
     "upsert_products": upsert_products,
     "upsert_parts": upsert_parts,
+    "upsert_new_parts": upsert_new_parts,
     "temporal_enrich": temporal_enrich_events,
     "temporal_enrich_deletes": temporal_enrich_deletes,
     "temporal_enrich_lineitem": temporal_enrich_lineitem,
@@ -330,4 +355,5 @@ QUERIES: dict[str, Query] = {
     "stream_temporal_enrich": stream_temporal_enrich,
     "stream_pipeline": stream_pipeline,
     "pipeline_counts": pipeline_counts,
+    "pipeline_products_latest": pipeline_products_latest,
 }

@@ -120,6 +120,7 @@ QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY last_updated_ts DESC
   QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY seq DESC) = 1) WHERE op <> 'd'""",
     "upsert_products": _with(*_EVENTS, _BATCHES) + _UPSERT,
     "upsert_parts": _with(*_LINES, _PART_BATCHES) + _UPSERT,
+    "upsert_new_parts": _with(*_LINES, _PART_BATCHES.replace("op = 'c')", "op = 'c' AND stock % 2 = 0)")) + _UPSERT,
     "temporal_enrich": _EV + _ALL_ENRICHED,
     "temporal_enrich_deletes": _DEL + _ALL_ENRICHED,
     "temporal_enrich_lineitem": _LI + _ALL_ENRICHED,
@@ -159,3 +160,4 @@ UNION ALL SELECT DISTINCT product_id, 'damaged.csv', NULL, 'bad member after 0 l
     "stream_pipeline": _EV + _counts(STREAM_WINDOW) + f"\nWHERE window_end <= {_END}",
     "pipeline_counts": _EV + _counts(STREAM_WINDOW) + f"\nWHERE window_end <= {_END}",
 }
+ORACLE["pipeline_products_latest"] = ORACLE["cdc_upsert_fold"]

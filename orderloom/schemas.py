@@ -66,6 +66,18 @@ ORDERS = Relation(
     message_key="product_id",
 )
 
+# What an order file holds: orders, and the lines refused with the reason.
+INTAKE = Relation(
+    "orders",
+    T.StructType(
+        ORDERS.schema.fields
+        + [T.StructField(c, T.StringType(), True) for c in ("path", "member", "line", "error")]
+        + [T.StructField("refused", T.BooleanType(), True)]
+    ),
+    event_time="order_ts",
+    message_key="product_id",
+)
+
 PRODUCTS = Relation(
     "products",
     _struct(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderloom.functions.time import truncate_ms
-from orderloom.schemas import ORDERS
+from orderloom.schemas import INTAKE, ORDERS
 
 BAD_LINE = "_corrupt_record"
 
@@ -39,18 +39,11 @@ class Ingest(NamedTuple):
 
 
 def split_lines(decoded: DataFrame) -> Ingest:
-    """Separate decoded lines; needs columns ``path``, ``member``, ``error`` as well."""
-    bad = F.col(BAD_LINE).isNotNull() | F.col("error").isNotNull()
-    orders = decoded.filter(~bad).select(
-        "order_id", "product_id", "quantity", truncate_ms("order_ts").alias("order_ts")
+    """Separate the rows of a decoded intake."""
+    return Ingest(
+        ORDERS.conform(decoded.filter(~F.col("refused"))),
+        decoded.filter("refused").select("path", "member", "line", "error"),
     )
-    quarantine = decoded.filter(bad).select(
-        "path",
-        "member",
-        F.col(BAD_LINE).alias("line"),
-        F.coalesce("error", F.lit("malformed line")).alias("error"),
-    )
-    return Ingest(ORDERS.conform(orders), quarantine)
 
 
 def _file_lines(text: DataFrame) -> DataFrame:
@@ -75,20 +68,46 @@ def stream_csv_orders(
     spark: SparkSession, path: str, max_files_per_trigger: int | None = None
 ) -> Ingest:
     """A folder watched for new CSV files. Producers must move finished files in."""
+    return split_lines(stream_csv_intake(spark, path, max_files_per_trigger))
+
+
+def stream_csv_intake(
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """The same, as one stream of decoded rows."""
     reader = spark.readStream.option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return decode_lines(_file_lines(reader.text(path)))
+    return decode(_file_lines(reader.text(path)))
 
 
 def decode_lines(lines: DataFrame) -> Ingest:
-    """Decode ``(path, member, line, error)`` rows; blank lines are skipped."""
+    """Decode ``(path, member, line, error)`` rows into orders and refused lines."""
+    return split_lines(decode(lines))
+
+
+def decode(lines: DataFrame) -> DataFrame:
+    """Every line decoded once, as a row of ``INTAKE``; blank lines are skipped."""
     # As a generator the parser runs once per line; as a plain column it would run
     # again in the filter that separates good from bad.
     parsed = lines.filter(F.col("error").isNotNull() | (F.trim("line") != "")).select(
         "path", "member", "error", F.inline(F.array(F.from_csv("line", LINE_DDL, CSV_OPTIONS)))
     )
-    return split_lines(parsed)
+    refused = F.col(BAD_LINE).isNotNull() | F.col("error").isNotNull()
+    good = [
+        F.when(~refused, truncate_ms(f.name) if f.name == "order_ts" else F.col(f.name)).alias(f.name)
+        for f in ORDERS.schema.fields
+    ]
+    return INTAKE.conform(
+        parsed.select(
+            *good,
+            "path",
+            "member",
+            F.col(BAD_LINE).alias("line"),
+            F.when(refused, F.coalesce("error", F.lit("malformed line"))).alias("error"),
+            refused.alias("refused"),
+        )
+    )
 
 
 def write_csv_orders(orders: DataFrame, path: str) -> None:

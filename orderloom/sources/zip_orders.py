@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.functions.stores import store_of
-from orderloom.sources.csv_orders import Ingest, decode_lines
+from orderloom.sources.csv_orders import Ingest, decode, decode_lines, split_lines
 
 # Archives above this size are spread member by member.
 SPLIT_BYTES = 64 * 1024 * 1024
@@ -185,7 +185,14 @@ def stream_zip_orders(
     spark: SparkSession, path: str, max_files_per_trigger: int | None = None
 ) -> Ingest:
     """A folder watched for new zip archives. Producers must move finished files in."""
+    return split_lines(stream_zip_intake(spark, path, max_files_per_trigger))
+
+
+def stream_zip_intake(
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """The same, as one stream of decoded rows."""
     reader = spark.readStream.format("binaryFile").schema(_FILES).option("pathGlobFilter", "*.zip")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return decode_lines(unzip_lines(reader.load(path)))
+    return decode(unzip_lines(reader.load(path)))

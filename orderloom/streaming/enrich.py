@@ -8,12 +8,12 @@ still acceptable order can need them.
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Iterator
-from datetime import datetime, timedelta, timezone
 from typing import Any
 
-from pyspark.sql import DataFrame, Row
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
@@ -24,111 +24,177 @@ from orderloom.operators.changelog import is_live
 # groups; its (far fewer) changes are copied to each of them.
 DEFAULT_SPREAD = 4
 
-# Waiting orders per state entry.
+# Rows per state entry, and version entries after which they are merged.
 CHUNK = 10_000
-
-_EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
+MERGE = 16
 
 _OUTPUT = "order_id string, product_id string, product_name string, quantity int, order_ts timestamp"
 
-_NO_STATE = (None, [], [], [], [])
+_ORDER, _LIVE, _DEAD = 0, 1, 2
+_ORDERS = ["us", "order_id", "numbered", "number"]
+_VERSIONS = ["us", "numbered", "number", "kind", "product_name"]
+
+
+class _Entries:
+    """Tables kept in a map state, some rows per entry, with the time range of each.
+
+    The ranges live in one small value, so that only the entries asked for are read.
+    """
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str, columns: list[str], ddl: str) -> None:
+        self.columns = columns
+        self.index = handle.getValueState(f"{name}_index", "next bigint, id array<bigint>, low array<bigint>, high array<bigint>")
+        self.rows = handle.getMapState(name, "id bigint", ddl)
+
+    def load(self) -> None:
+        self.next, ids, low, high = self.index.get() or (0, [], [], [])
+        self.ranges = {i: (a, b) for i, a, b in zip(ids, low, high)}
+
+    def save(self) -> None:
+        ids = list(self.ranges)
+        self.index.update((self.next, ids, [self.ranges[i][0] for i in ids], [self.ranges[i][1] for i in ids]))
+
+    def add(self, table: pd.DataFrame) -> None:
+        """Keep rows, sorted by time, in entries of at most CHUNK."""
+        for at in range(0, len(table), CHUNK):
+            part = table.iloc[at : at + CHUNK]
+            self.rows.updateValue((self.next,), tuple(part[c].tolist() for c in self.columns))
+            self.ranges[self.next] = int(part["us"].iloc[0]), int(part["us"].iloc[-1])
+            self.next += 1
+
+    def read(self, ids: list[int]) -> pd.DataFrame:
+        parts = [self.rows.getValue((i,)) for i in ids]
+        columns = {c: [v for p in parts for v in p[n]] for n, c in enumerate(self.columns)}
+        return pd.DataFrame(columns, columns=self.columns).astype({"us": "int64", "number": "int64"})
+
+    def drop(self, ids: list[int]) -> None:
+        for i in ids:
+            self.rows.removeKey((i,))
+            del self.ranges[i]
+
+    def oldest(self) -> int | None:
+        return min((a for a, _ in self.ranges.values()), default=None)
 
 
 class TemporalJoin(StatefulProcessor):
     """State of one (product, spread) group: waiting orders and needed versions.
 
-    Rows are kept as columns (arrays): a state entry is then encoded once, not
-    once per row.
+    A firing reads the waiting entries that have a due order, and the version entries that
+    such orders can need; entries of later orders are not touched.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState(
-            "waiting", "ms array<bigint>, order_id array<string>, quantity array<int>"
+        self.waiting = _Entries(
+            handle, "waiting", _ORDERS,
+            "us array<bigint>, order_id array<string>, numbered array<boolean>, number array<bigint>",
         )
-        # Time of the oldest waiting order, and the versions in order of time and arrival.
-        self.versions = handle.getValueState(
-            "versions",
-            "oldest bigint, ms array<bigint>, seq array<bigint>, "
-            "product_name array<string>, live array<boolean>",
+        self.versions = _Entries(
+            handle, "versions", _VERSIONS,
+            "us array<bigint>, numbered array<boolean>, number array<bigint>, kind array<int>, product_name array<string>",
         )
 
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        oldest, *known = self.versions.get() or _NO_STATE
-        first, orders, changes = None, [], []
-        for r in rows:
-            if r.live is not None:
-                changes.append((r.ms, r.seq, r.product_name, r.live))
-                continue
-            orders.append((r.ms, r.order_id, r.quantity))
-            first = r.ms if first is None else min(first, r.ms)
-            if len(orders) == CHUNK:
-                self._wait(orders)
-                orders = []
-        if first is not None:
-            if orders:
-                self._wait(orders)
-            self.handle.registerTimer(first)
-            oldest = first if oldest is None else min(oldest, first)
-        versions = sorted([*zip(*known), *changes], key=_arrival)
-        self._keep(oldest, versions, timerValues.getCurrentWatermarkInMs())
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        self.waiting.load()
+        self.versions.load()
+        changed = False
+        for frame in rows:
+            orders = frame[frame["kind"] == _ORDER]
+            if len(orders):
+                self.waiting.add(orders.sort_values("us", kind="stable"))
+                self._wake(int(orders["us"].min()))
+            changes = frame[frame["kind"] != _ORDER]
+            if len(changes):
+                changed = True
+                self.versions.add(_in_order(changes))
+        self.waiting.save()
+        if changed:
+            self._prune(timerValues.getCurrentWatermarkInMs())
+            self.versions.save()
         return iter([])
 
-    def handleExpiredTimer(
-        self, key: Any, timerValues: Any, expiredTimerInfo: Any
-    ) -> Iterator[Row]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        oldest, *known = self.versions.get() or _NO_STATE
-        if oldest is None or oldest > watermark:
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        self.waiting.load()
+        mark = _micros(timerValues.getCurrentWatermarkInMs())
+        due = [i for i, (low, _) in self.waiting.ranges.items() if low <= mark]
+        if not due:
             return  # an earlier timer of this batch already did the work
-        times, _, names, live = known
-        left = []
-        for chunk in self.waiting.get():
-            for order in zip(*chunk):
-                ms, order_id, quantity = order
-                if ms > watermark:
-                    left.append(order)
-                    continue
-                at = bisect_right(times, ms) - 1
-                if at >= 0 and live[at]:
-                    yield Row(
-                        order_id=order_id,
-                        product_id=key[0],
-                        product_name=names[at],
-                        quantity=quantity,
-                        order_ts=_EPOCH + timedelta(milliseconds=ms),
-                    )
-        self.waiting.clear()
-        oldest = None
-        if left:
-            for i in range(0, len(left), CHUNK):
-                self._wait(left[i:i + CHUNK])
-            oldest = min(o[0] for o in left)
-            self.handle.registerTimer(oldest)
-        self._keep(oldest, list(zip(*known)), watermark)
-
-    def _wait(self, orders: list[tuple]) -> None:
-        self.waiting.appendValue(tuple(list(c) for c in zip(*orders)))
-
-    def _keep(self, oldest: int | None, versions: list[tuple], watermark: int) -> None:
-        """Store the versions from the newest one at or before the horizon on.
-
-        No order before the horizon is waiting, and none will be accepted later.
-        Of several versions at one time only the last arrival can match.
+        orders = self.waiting.read(due).sort_values("us", kind="stable")
+        ready = orders[orders["us"] <= mark]
+        self.waiting.drop(due)
+        self.waiting.add(orders[orders["us"] > mark])
+        self.waiting.save()
+        oldest = self.waiting.oldest()
+        if oldest is not None:
+            self._wake(oldest)
+        self.versions.load()
+        found = self._matched(ready)
+        self._prune(timerValues.getCurrentWatermarkInMs())
+        self.versions.save()
+        if len(found):
+            yield pd.DataFrame(
+                {
+                    "order_id": found["order_id"],
+                    "product_id": key[0],
+                    "product_name": found["product_name"],
+                    "quantity": found["number"].where(found["numbered"].astype(bool)).astype("Int32"),
+                    "order_ts": pd.to_datetime(found["us"], unit="us", utc=True),
+                }
+            )
+
+    def _wake(self, us: int) -> None:
+        """A timer at the first millisecond that is not before a time."""
+        self.handle.registerTimer(-(-us // 1000))
+
+    def _matched(self, orders: pd.DataFrame) -> pd.DataFrame:
+        """The orders under a live version, with its name."""
+        low, high = int(orders["us"].iloc[0]), int(orders["us"].iloc[-1])
+        ranges = self.versions.ranges
+        # Before the first order only the latest entry can hold its version.
+        floor = max((b for a, b in ranges.values() if b < low), default=None)
+        needed = [i for i, (a, b) in ranges.items() if a <= high and (b >= low or b == floor or a <= low)]
+        versions = _in_order(self.versions.read(needed))
+        at = np.searchsorted(versions["us"].to_numpy(), orders["us"].to_numpy(), side="right") - 1
+        kinds = versions["kind"].to_numpy()
+        on = (at >= 0) & (kinds[at] == _LIVE) if len(versions) else np.zeros(len(orders), bool)
+        names = versions["product_name"].to_numpy()
+        return orders[on].assign(product_name=names[at[on]])
+
+    def _prune(self, watermark: int) -> None:
+        """Forget version entries that no waiting or acceptable order can need.
+
+        No order before the horizon is waiting, and none will be accepted later: of the
+        versions before it only the last is needed. Many small entries are merged into one.
         """
-        versions = list({v[0]: v for v in versions}.values())
-        horizon = watermark if oldest is None else min(watermark, oldest)
-        first = max(bisect_right([v[0] for v in versions], horizon) - 1, 0)
-        columns = [list(c) for c in zip(*versions[first:])] or [[], [], [], []]
-        self.versions.update((oldest, *columns))
+        self.waiting.load()
+        oldest = self.waiting.oldest()
+        horizon = _micros(watermark) if oldest is None else min(_micros(watermark), oldest)
+        ranges = self.versions.ranges
+        last = max((a for a, _ in ranges.values() if a <= horizon), default=None)
+        if last is not None:
+            self.versions.drop([i for i, (_, b) in ranges.items() if b < last])
+        if len(ranges) > MERGE:
+            ids = list(ranges)
+            table = _in_order(self.versions.read(ids)).drop_duplicates("us", keep="last")
+            first = max(int(np.searchsorted(table["us"].to_numpy(), horizon, side="right")) - 1, 0)
+            self.versions.drop(ids)
+            self.versions.add(table.iloc[first:])
 
     def close(self) -> None:
         pass
 
 
-def _arrival(version: tuple) -> tuple:
-    ms, seq = version[0], version[1]
-    return (ms, seq is not None, seq)
+def _micros(watermark_ms: int) -> int:
+    """The last microsecond that a watermark has reached."""
+    return watermark_ms * 1000
+
+
+def _in_order(versions: pd.DataFrame) -> pd.DataFrame:
+    """By time, then arrival; without an arrival number by life and name, before all others."""
+    tie = versions["product_name"].where(~versions["numbered"].astype(bool)).fillna("")
+    keyed = versions.assign(_live=versions["kind"] == _LIVE, _named=versions["product_name"].notna(), _tie=tie)
+    order = ["us", "numbered", "number", "_live", "_named", "_tie"]
+    return keyed.sort_values(order, kind="stable")[_VERSIONS]
 
 
 def temporal_enrich_stream(
@@ -143,32 +209,34 @@ def temporal_enrich_stream(
     # The task number spreads even equal orders; both terms give the same value
     # when a task is run again.
     group = F.pmod(F.xxhash64("order_id", "order_ts") + F.spark_partition_id(), F.lit(spread))
+    # Whole numbers go to Python without nulls: ``number`` is the quantity of an order or
+    # the arrival number of a change, and ``numbered`` tells whether there is one.
     order_rows = orders.filter(F.col("product_id").isNotNull()).select(
         "product_id",
         group.cast("int").alias("spread"),
         F.col("order_ts").alias("event_ts"),
-        F.unix_millis("order_ts").alias("ms"),
+        F.lit(_ORDER).alias("kind"),
+        F.unix_micros("order_ts").alias("us"),
+        F.col("quantity").isNotNull().alias("numbered"),
+        F.coalesce("quantity", F.lit(0)).cast("bigint").alias("number"),
         "order_id",
-        "quantity",
-        F.lit(None).cast("bigint").alias("seq"),
         F.lit(None).cast("string").alias("product_name"),
-        F.lit(None).cast("boolean").alias("live"),
     )
     version_rows = changes.filter(F.col("product_id").isNotNull()).select(
         "product_id",
         F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("spread"),
         F.col("last_updated_ts").alias("event_ts"),
-        F.unix_millis("last_updated_ts").alias("ms"),
+        F.when(is_live(), _LIVE).otherwise(_DEAD).alias("kind"),
+        F.unix_micros("last_updated_ts").alias("us"),
+        F.col("seq").isNotNull().alias("numbered"),
+        F.coalesce("seq", F.lit(0).cast("bigint")).alias("number"),
         F.lit(None).cast("string").alias("order_id"),
-        F.lit(None).cast("int").alias("quantity"),
-        "seq",
         "product_name",
-        is_live().alias("live"),
     )
     return (
         order_rows.unionByName(version_rows)
         .groupBy("product_id", "spread")
-        .transformWithState(
+        .transformWithStateInPandas(
             statefulProcessor=TemporalJoin(),
             outputStructType=StructType.fromDDL(_OUTPUT),
             outputMode="append",

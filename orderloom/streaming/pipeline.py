@@ -1,11 +1,12 @@
 """The whole job: four inserts over file logs, each a restartable streaming query.
 
-    product changes ─► products log ─┐
-    order files ─► orders log ───────┴─► enriched log ─► window counts
+    snapshot, product changes ─► products log ─┬─► latest table
+    order files ─► orders log ─────────────────┴─► enriched log ─► window counts
 
-A backlog is best loaded with the batch operators. A stream takes all files that
-are new at a trigger as one batch: files that were written side by side must be
-read together, or the watermark of the first would make rows of the next late.
+An order file is decoded once: orders and refused lines go to one log, told apart by
+its partitions. A stream takes all files that are new at a trigger as one batch, or
+``max_files`` of them, oldest first. Files that cover the same times must be read together,
+or the watermark of the first would make rows of the next late.
 """
 
 from __future__ import annotations
@@ -13,22 +14,27 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from orderloom.functions.time import truncate_ms
+from orderloom.operators.changelog import snapshot_plus_log
 from orderloom.operators.windows import DEFAULT_WINDOW_MINUTES, tumbling_counts
 from orderloom.schemas import (
     ENRICHED_ORDERS,
+    INTAKE,
     ORDERS,
     PRODUCT_CHANGES,
     PRODUCT_WINDOW_COUNTS,
+    PRODUCTS,
     Relation,
 )
 from orderloom.session import STREAM_CONFS, session_confs
-from orderloom.sources.csv_orders import stream_csv_orders
-from orderloom.sources.logs import stream_log
-from orderloom.sources.zip_orders import stream_zip_orders
+from orderloom.sources.csv_orders import Ingest, split_lines, stream_csv_intake
+from orderloom.sources.logs import stream_log, with_event_time
+from orderloom.sources.zip_orders import stream_zip_intake
 from orderloom.streaming.enrich import DEFAULT_SPREAD, temporal_enrich_stream
-from orderloom.streaming.sinks import start, start_log
+from orderloom.streaming.sinks import start_latest, start_log
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -41,7 +47,8 @@ class Job:
     """Where the job reads and writes, and its parameters.
 
     ``order_files`` holds CSV files, or zip archives with ``zipped=True``.
-    ``change_files`` holds product change rows as Parquet. Logs and checkpoints
+    ``change_files`` holds product change rows as Parquet, and ``snapshot``, if given,
+    the product rows as they were before the first change. Logs and checkpoints
     go under ``base``, which all executors must reach.
     """
 
@@ -51,65 +58,91 @@ class Job:
     zipped: bool = False
     window_minutes: int = DEFAULT_WINDOW_MINUTES
     spread: int = DEFAULT_SPREAD
+    snapshot: str | None = None
+    max_files: int | None = None
 
     def log(self, relation: Relation) -> str:
         return f"{self.base}/{relation.name}"
 
     @property
-    def quarantine(self) -> str:
-        return f"{self.base}/quarantine"
+    def latest(self) -> str:
+        return f"{self.base}/latest"
 
     def checkpoint(self, name: str) -> str:
         return f"{self.base}/_checkpoints/{name}"
 
 
 def start_products(spark: SparkSession, job: Job, trigger: dict) -> StreamingQuery:
-    """Insert 1: product changes into the keyed products log."""
+    """Insert 1: the snapshot, then product changes, into the keyed products log."""
     with session_confs(spark, STREAM_CONFS):
-        changes = spark.readStream.schema(PRODUCT_CHANGES.schema).parquet(job.change_files)
-        return _to_log(job, changes, PRODUCT_CHANGES, trigger)
+        changes = _files(spark, PRODUCT_CHANGES, job.change_files, job)
+        if job.snapshot:
+            changes = snapshot_plus_log(_files(spark, PRODUCTS, job.snapshot, job), changes)
+        time = PRODUCT_CHANGES.event_time
+        return _to_log(job, changes.withColumn(time, truncate_ms(time)), PRODUCT_CHANGES, trigger)
 
 
-def start_orders(spark: SparkSession, job: Job, trigger: dict) -> list[StreamingQuery]:
-    """Insert 2: order files into the orders log; refused lines into quarantine."""
+def start_latest_products(spark: SparkSession, job: Job, trigger: dict) -> StreamingQuery:
+    """Insert 1, the upserted table: the latest row of every product in the log."""
     with session_confs(spark, STREAM_CONFS):
-        read = stream_zip_orders if job.zipped else stream_csv_orders
-        orders, refused = read(spark, job.order_files)
-        return [
-            _to_log(job, orders, ORDERS, trigger),
-            start(refused, job.quarantine, job.checkpoint("quarantine"), trigger, "quarantine"),
-        ]
+        changes = _files(spark, PRODUCT_CHANGES, job.log(PRODUCT_CHANGES), job)
+        return start_latest(changes, job.latest, job.checkpoint("latest"), trigger)
+
+
+def start_orders(spark: SparkSession, job: Job, trigger: dict) -> StreamingQuery:
+    """Insert 2: order files into the orders log, refused lines in a partition of their own."""
+    with session_confs(spark, STREAM_CONFS):
+        read = stream_zip_intake if job.zipped else stream_csv_intake
+        intake = read(spark, job.order_files, job.max_files)
+        return start_log(intake, INTAKE, job.log(ORDERS), job.checkpoint(ORDERS.name), trigger, by="refused")
+
+
+def append_orders(job: Job, orders: DataFrame) -> None:
+    """Put orders into the log directly."""
+    others = {f.name: F.lit(None).cast(f.dataType) for f in INTAKE.schema.fields[len(ORDERS.columns):]}
+    rows = ORDERS.conform(orders).withColumns(others | {"refused": F.lit(False)})
+    rows.write.mode("append").partitionBy("refused").parquet(job.log(ORDERS))
+
+
+def read_intake(spark: SparkSession, job: Job) -> Ingest:
+    """The orders and the refused lines in the log."""
+    return split_lines(spark.read.schema(INTAKE.schema).parquet(job.log(ORDERS)))
+
+
+def _files(spark: SparkSession, relation: Relation, path: str, job: Job) -> DataFrame:
+    reader = spark.readStream.schema(relation.schema)
+    if job.max_files:
+        reader = reader.option("maxFilesPerTrigger", job.max_files)
+    return reader.parquet(path)
+
+
+def _joined(spark: SparkSession, job: Job) -> DataFrame:
+    orders = split_lines(_files(spark, INTAKE, job.log(ORDERS), job)).orders
+    return temporal_enrich_stream(
+        with_event_time(orders, ORDERS),
+        stream_log(spark, PRODUCT_CHANGES, job.log(PRODUCT_CHANGES), job.max_files),
+        job.spread,
+    )
 
 
 def start_enriched(spark: SparkSession, job: Job, trigger: dict) -> StreamingQuery:
     """Insert 3: orders joined with the product version of their time."""
     with session_confs(spark, STREAM_CONFS):
-        enriched = temporal_enrich_stream(
-            stream_log(spark, ORDERS, job.log(ORDERS)),
-            stream_log(spark, PRODUCT_CHANGES, job.log(PRODUCT_CHANGES)),
-            job.spread,
-        )
-        return _to_log(job, enriched, ENRICHED_ORDERS, trigger)
+        return _to_log(job, _joined(spark, job), ENRICHED_ORDERS, trigger)
 
 
 def start_counts(spark: SparkSession, job: Job, trigger: dict) -> StreamingQuery:
     """Insert 4: final counts of closed windows from the enriched log."""
     with session_confs(spark, STREAM_CONFS):
-        counts = tumbling_counts(
-            stream_log(spark, ENRICHED_ORDERS, job.log(ENRICHED_ORDERS)), job.window_minutes
-        )
+        enriched = stream_log(spark, ENRICHED_ORDERS, job.log(ENRICHED_ORDERS), job.max_files)
+        counts = tumbling_counts(enriched, job.window_minutes)
         return _to_log(job, counts, PRODUCT_WINDOW_COUNTS, trigger)
 
 
 def start_chained(spark: SparkSession, job: Job, trigger: dict) -> StreamingQuery:
     """Inserts 3 and 4 as one query, without the log in between."""
     with session_confs(spark, STREAM_CONFS):
-        enriched = temporal_enrich_stream(
-            stream_log(spark, ORDERS, job.log(ORDERS)),
-            stream_log(spark, PRODUCT_CHANGES, job.log(PRODUCT_CHANGES)),
-            job.spread,
-        )
-        counts = tumbling_counts(enriched, job.window_minutes)
+        counts = tumbling_counts(_joined(spark, job), job.window_minutes)
         return _to_log(job, counts, PRODUCT_WINDOW_COUNTS, trigger)
 
 
@@ -121,7 +154,8 @@ def start_all(spark: SparkSession, job: Job) -> list[StreamingQuery]:
     """Start every insert and keep them running; wait with ``awaitAnyTermination``."""
     return [
         start_products(spark, job, POLL),
-        *start_orders(spark, job, POLL),
+        start_orders(spark, job, POLL),
+        start_latest_products(spark, job, POLL),
         start_enriched(spark, job, POLL),
         start_counts(spark, job, POLL),
     ]
@@ -129,8 +163,8 @@ def start_all(spark: SparkSession, job: Job) -> list[StreamingQuery]:
 
 def run_available(spark: SparkSession, job: Job) -> None:
     """Bring every log up to date with the files that are there now, then stop."""
-    first = [start_products(spark, job, AVAILABLE_NOW), *start_orders(spark, job, AVAILABLE_NOW)]
-    for query in first:
+    for query in [start_products(spark, job, AVAILABLE_NOW), start_orders(spark, job, AVAILABLE_NOW)]:
+        query.awaitTermination()
+    for query in [start_latest_products(spark, job, AVAILABLE_NOW), start_enriched(spark, job, AVAILABLE_NOW)]:
         query.awaitTermination()
-    start_enriched(spark, job, AVAILABLE_NOW).awaitTermination()
     start_counts(spark, job, AVAILABLE_NOW).awaitTermination()

@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from orderloom.functions.stores import store_of
 from orderloom.functions.time import as_naive
 from orderloom.operators.changelog import KEY, apply_changes, newest_per_key
 from orderloom.schemas import PRODUCTS, Relation
 from orderloom.session import STREAM_CONFS, session_confs
 
+# Buckets of the latest table.
+BUCKETS = 64
+_LIST = "bucket int, version long"
+_ROWS = T.StructType([*PRODUCTS.schema.fields, T.StructField("bucket", T.IntegerType())])
+
 
 def start_log(
     df: DataFrame,
@@ -18,47 +25,102 @@ def start_log(
     path: str,
     checkpoint: str,
     trigger: dict,
-    name: str | None = None,
+    by: str | None = None,
 ) -> StreamingQuery:
-    """Append a stream to a Parquet log, exactly once, in declared column order."""
+    """Append a stream to a Parquet log, exactly once, in declared column order.
+
+    ``by`` names a column to partition the files by.
+    """
     naive = df.select(
         *[
             as_naive(f.name).alias(f.name) if f.dataType.typeName() == "timestamp_ntz" else f.name
             for f in relation.schema.fields
         ]
     )
-    return start(relation.conform(naive), path, checkpoint, trigger, name or relation.name)
+    with session_confs(df.sparkSession, STREAM_CONFS):
+        writer = (
+            relation.conform(naive)
+            .writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .queryName(f"{relation.name} at {checkpoint}")
+            .trigger(**trigger)
+        )
+        return (writer.partitionBy(by) if by else writer).start()
 
 
-def start(df: DataFrame, path: str, checkpoint: str, trigger: dict, name: str) -> StreamingQuery:
+def start_latest(df: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+    """Keep the latest table under ``path`` up to date with a stream of product changes."""
     with session_confs(df.sparkSession, STREAM_CONFS):
         return (
-            df.writeStream.format("parquet")
-            .outputMode("append")
-            .option("path", path)
+            df.writeStream.foreachBatch(upsert_latest(path))
             .option("checkpointLocation", checkpoint)
-            .queryName(f"{name} at {checkpoint}")
+            .queryName(f"latest at {checkpoint}")
             .trigger(**trigger)
             .start()
         )
 
 
-def upsert_latest(path: str):
+def upsert_latest(path: str, buckets: int = BUCKETS):
     """``foreachBatch`` function that keeps the latest product rows under ``path``.
 
-    Batch ``n`` writes ``path/batch=n`` from ``path/batch=n-1``, so the folder
-    being read is never overwritten and a repeated batch gives the same result.
-    It rewrites the table every batch: with a table format that has MERGE, use
-    ``merge_latest`` instead.
+    The table is cut into buckets by key hash. Batch ``n`` writes only the buckets it
+    touches, as ``data/version=n``, and a list of each bucket's version; it reads the list
+    of batch ``n - 1``, so a repeated batch gives the same table. Versions in neither list
+    are removed. With a table format that has MERGE, use ``merge_latest`` instead.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        current = apply_changes(_version(batch.sparkSession, path, batch_id - 1), batch)
-        PRODUCTS.conform(current).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        spark = batch.sparkSession
+        before = _versions(spark, path, batch_id - 1)
+        changes = newest_per_key(batch)
+        touched = [r[0] for r in changes.select(_bucket(buckets)).distinct().collect()]
+        held = {b: before[b] for b in touched if b in before}
+        rows = PRODUCTS.conform(apply_changes(_read(spark, path, held), changes))
+        data = rows.withColumn("bucket", _bucket(buckets))
+        data.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/data/version={batch_id}")
+        now = {**before, **{b: batch_id for b in touched}}
+        listed = spark.createDataFrame(list(now.items()), _LIST)
+        listed.coalesce(1).write.mode("overwrite").parquet(f"{path}/list/batch={batch_id}")
+        _remove_old(path, {*now.values(), *before.values(), batch_id}, batch_id - 1)
 
     return apply
 
 
+def _bucket(buckets: int):
+    return F.pmod(F.xxhash64(KEY), F.lit(buckets)).cast("int").alias("bucket")
+
+
+def _versions(spark: SparkSession, path: str, batch_id: int) -> dict[int, int]:
+    """The version of every bucket after a batch."""
+    if batch_id < 0:
+        return {}
+    listed = spark.read.schema(_LIST).parquet(f"{path}/list/batch={batch_id}")
+    return {r["bucket"]: r["version"] for r in listed.collect()}
+
+
+def _read(spark: SparkSession, path: str, versions: dict[int, int]) -> DataFrame:
+    """The rows of some buckets, each at its version."""
+    found = spark.createDataFrame([], PRODUCTS.schema)
+    for version in sorted({*versions.values()}):
+        wanted = [b for b, v in versions.items() if v == version]
+        rows = spark.read.schema(_ROWS).parquet(f"{path}/data/version={version}")
+        found = found.unionByName(rows.filter(F.col("bucket").isin(wanted)).drop("bucket"))
+    return found
+
+
+def _remove_old(path: str, versions: set[int], first_list: int) -> None:
+    from pyarrow import fs
+
+    store, inner = store_of(path)
+    for folder, needed in (("data", versions), ("list", {first_list, first_list + 1})):
+        for info in store.get_file_info(fs.FileSelector(f"{inner}/{folder}", allow_not_found=True)):
+            number = info.base_name.rpartition("=")[2]
+            if number.isdigit() and int(number) not in needed:
+                store.delete_dir(info.path)
+
+
 def merge_latest(table: str):
     """``foreachBatch`` function for a catalog table whose format supports MERGE."""
 
@@ -77,12 +139,8 @@ def merge_latest(table: str):
     return apply
 
 
-def read_latest(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
-    """The latest product rows as of a finished batch."""
-    return spark.read.schema(PRODUCTS.schema).parquet(f"{path}/batch={batch_id}")
-
-
-def _version(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
-    if batch_id < 0:
-        return spark.createDataFrame([], PRODUCTS.schema)
-    return read_latest(spark, path, batch_id)
+def read_latest(spark: SparkSession, path: str, batch_id: int | None = None) -> DataFrame:
+    """The latest product rows, as of the last finished batch or the one before it."""
+    if batch_id is None:
+        batch_id = spark.read.parquet(f"{path}/list").agg(F.max("batch")).first()[0]
+    return _read(spark, path, _versions(spark, path, batch_id))

@@ -1,8 +1,9 @@
 from __future__ import annotations
 
 import random
-import uuid
+from datetime import timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,12 +17,13 @@ from orderloom.schemas import (
     ORDERS,
     PRODUCT_CHANGES,
     PRODUCT_WINDOW_COUNTS,
+    PRODUCTS,
 )
 from orderloom.sources.csv_orders import write_csv_orders
 from orderloom.sources.logs import append_log, read_log, register_log
 from orderloom.streaming import enrich
 from orderloom.streaming import pipeline as S
-from orderloom.streaming.sinks import read_latest, start_log, upsert_latest
+from orderloom.streaming.sinks import read_latest, start_latest, upsert_latest
 
 ENRICHED = tuple(ENRICHED_ORDERS.columns)
 COUNTS = tuple(PRODUCT_WINDOW_COUNTS.columns)
@@ -37,12 +39,12 @@ class Feed:
 
     def __init__(self, spark, make, job):
         self.spark, self.make, self.job = spark, make, job
-        append_log(make.orders(), ORDERS, job.log(ORDERS))
+        S.append_orders(job, make.orders(("none", "p0", "00:00:00")))
         append_log(make.changes(), PRODUCT_CHANGES, job.log(PRODUCT_CHANGES))
         self.query = S.start_enriched(spark, job, {"processingTime": "0 seconds"})
 
     def __call__(self, orders=(), changes=()):
-        append_log(self.make.orders(*orders).coalesce(1), ORDERS, self.job.log(ORDERS))
+        S.append_orders(self.job, self.make.orders(*orders).coalesce(1))
         append_log(
             self.make.changes(*changes).coalesce(1), PRODUCT_CHANGES, self.job.log(PRODUCT_CHANGES)
         )
@@ -114,11 +116,73 @@ def test_old_versions_leave_the_state(feed):
         .option("stateVarName", "versions")
         .load(feed.job.checkpoint("enriched_orders"))
     )
-    # 400 copies went in. A group with orders keeps what is newer than the watermark;
-    # 400 copies went in. A group with orders keeps what is newer than the watermark;
-    # one without keeps at most what came since the batch before.
-    kept = stored.select(F.sum(F.size("value.ms"))).first()[0]
-    assert 2 <= kept <= 150
+    # 400 copies went in; those behind the watermark are superseded.
+    kept = stored.select(F.sum(F.size("user_map_value.us"))).first()[0]
+    assert 2 <= kept <= 250
+
+
+class FakeState:
+    """One value, or a map that counts its reads."""
+
+    def __init__(self):
+        self.value, self.map, self.reads = None, {}, []
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def updateValue(self, key, value):
+        self.map[key] = value
+
+    def getValue(self, key):
+        self.reads.append(key)
+        return self.map[key]
+
+    def removeKey(self, key):
+        del self.map[key]
+
+
+class FakeHandle:
+    def __init__(self):
+        self.states, self.timers, self.watermark = {}, [], 0
+
+    def getValueState(self, name, _):
+        return self.states.setdefault(name, FakeState())
+
+    def getMapState(self, name, *_):
+        return self.states.setdefault(name, FakeState())
+
+    def registerTimer(self, ms):
+        self.timers.append(ms)
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark
+
+
+def frame(*rows):
+    columns = ["kind", "us", "numbered", "number", "order_id", "product_name"]
+    return pd.DataFrame(rows, columns=columns)
+
+
+def test_a_firing_reads_due_entries_only():
+    handle, join = FakeHandle(), enrich.TemporalJoin()
+    join.init(handle)
+    for hour in range(50):
+        us = hour * 3_600_000_000
+        orders = [(0, us + i, True, 1, f"{hour}-{i}", None) for i in range(20)]
+        list(join.handleInputRows(("p", 0), iter([frame((1, us, True, hour, None, f"v{hour}"), *orders)]), handle))
+    waiting, versions = handle.states["waiting"], handle.states["versions"]
+    waiting.reads.clear(), versions.reads.clear()
+    handle.watermark = 2 * 3_600_000 + 1
+    out = pd.concat(join.handleExpiredTimer(("p", 0), handle, None))
+    assert out["order_id"].tolist() == [f"{h}-{i}" for h in range(3) for i in range(20)]
+    assert out["product_name"].tolist() == [f"v{h}" for h in range(3) for _ in range(20)]
+    assert len(waiting.reads) == 3 and len(waiting.map) == 47
+    assert min(handle.timers[-1:]) == 3 * 3_600_000
+    assert list(join.handleExpiredTimer(("p", 0), handle, None)) == []
+    assert len(versions.reads) <= 2 + enrich.MERGE
 
 
 @pytest.mark.parametrize("runs", [1, 3, 6])
@@ -133,7 +197,7 @@ def test_stream_equals_batch(spark, job, runs):
         return df.filter(number == i).orderBy(F.rand(7)).coalesce(3)
 
     for i in range(runs):
-        append_log(part(orders, "order_ts", i), ORDERS, job.log(ORDERS))
+        S.append_orders(job, part(orders, "order_ts", i))
         append_log(part(changes, "last_updated_ts", i), PRODUCT_CHANGES, job.log(PRODUCT_CHANGES))
         S.start_enriched(spark, job, S.AVAILABLE_NOW).awaitTermination()
 
@@ -161,7 +225,7 @@ def test_spread_and_entry_size_do_not_change_the_result(spark, make, tmp_path, m
 
 def test_a_side_silent_since_a_restart_holds_the_output(spark, make, job):
     def run(orders, changes):
-        append_log(make.orders(*orders), ORDERS, job.log(ORDERS))
+        S.append_orders(job, make.orders(*orders))
         append_log(make.changes(*changes), PRODUCT_CHANGES, job.log(PRODUCT_CHANGES))
         S.start_enriched(spark, job, S.AVAILABLE_NOW).awaitTermination()
         return rows(read_log(spark, ENRICHED_ORDERS, job.log(ENRICHED_ORDERS)), "order_id")
@@ -206,7 +270,7 @@ def test_windows_come_out_once_and_only_when_closed(spark, make, job):
 def test_chained_equals_two_queries(spark, job, tmp_path):
     orders, changes = D.event_orders(spark, SF_DIR), D.event_changes(spark, SF_DIR)
     job = S.Job("", "", job.base, window_minutes=60, spread=2)
-    append_log(orders, ORDERS, job.log(ORDERS))
+    S.append_orders(job, orders)
     append_log(changes, PRODUCT_CHANGES, job.log(PRODUCT_CHANGES))
     S.start_chained(spark, job, S.AVAILABLE_NOW).awaitTermination()
     out = read_log(spark, PRODUCT_WINDOW_COUNTS, job.log(PRODUCT_WINDOW_COUNTS))
@@ -228,8 +292,12 @@ def test_whole_job_from_files(spark, make, job):
         job.change_files,
     )
     S.run_available(spark, job)
-    assert read_log(spark, ORDERS, job.log(ORDERS)).count() == 3
-    assert spark.read.parquet(job.quarantine).count() >= 1  # header lines
+    taken = S.read_intake(spark, job)
+    assert taken.orders.count() == 3
+    # Orders and refused lines account for every line.
+    lines = spark.read.option("recursiveFileLookup", "true").text(job.order_files).count()
+    assert taken.quarantine.count() == lines - 3 >= 1
+    assert rows(read_latest(spark, job.latest), "product_id", "product_name") == [("p1", "one"), ("p2", "two")]
 
     write_csv_orders(make.orders(("d", "p1", "00:20:00")), job.order_files)
     append_log(
@@ -257,7 +325,7 @@ def test_running_job_keeps_all_queries_alive(spark, make, job):
     try:
         queries[1].processAllAvailable()
         assert len(queries) == 5 and all(q.isActive for q in queries)
-        assert read_log(spark, ORDERS, job.log(ORDERS)).count() == 1
+        assert S.read_intake(spark, job).orders.count() == 1
     finally:
         for q in queries:
             q.stop()
@@ -269,34 +337,87 @@ def test_latest_table_follows_the_changes(spark, make, tmp_path):
         [("p1", "a", "00:00:01", "c", 0), ("p2", "b", "00:00:02", "c", 1)],
         [("p1", "c", "00:00:03", "u", 2), ("p1", "d", "00:00:00", "u", 3), ("p3", "e", "00:00:04", "c", 4)],
         [("p2", None, "00:00:05", "d", 5)],
+        [("p1", None, "00:00:06", "d", 6), ("p3", None, "00:00:06", "d", 7)],
+        [("p4", "f", "00:00:07", "c", 8)],
     ]
     for changes in batches:
         append_log(make.changes(*changes), PRODUCT_CHANGES, log)
         stream = spark.readStream.schema(PRODUCT_CHANGES.schema).parquet(log)
-        query = (
-            stream.writeStream.foreachBatch(upsert_latest(table))
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-        )
-        query.awaitTermination()
-    out = read_latest(spark, table, 2)
-    assert rows(out, "product_id", "product_name") == [("p1", "d"), ("p3", "e")]
-    whole = fold(read_log(spark, PRODUCT_CHANGES, log))
-    assert rows(out, "product_id", "product_name") == rows(whole, "product_id", "product_name")
-    # The same batch again gives the same table.
-    upsert_latest(table)(make.changes(*batches[2]), 2)
-    assert rows(read_latest(spark, table, 2), "product_id") == [("p1",), ("p3",)]
+        start_latest(stream, table, checkpoint, S.AVAILABLE_NOW).awaitTermination()
+        whole = fold(read_log(spark, PRODUCT_CHANGES, log))
+        assert rows(read_latest(spark, table), "product_id", "product_name") == rows(whole, "product_id", "product_name")
+    # The same batch again gives the same table, and old versions are gone.
+    upsert_latest(table)(make.changes(*batches[4]), 4)
+    assert rows(read_latest(spark, table, 4), "product_id") == [("p4",)]
+    assert {p.name for p in (tmp_path / "table" / "list").iterdir()} == {"batch=3", "batch=4"}
+
+
+def test_a_batch_writes_only_the_buckets_it_touches(spark, make, tmp_path):
+    table = str(tmp_path / "table")
+    many = [(f"p{i}", "a", "00:00:01", "c", i) for i in range(200)]
+    upsert_latest(table)(make.changes(*many), 0)
+    upsert_latest(table)(make.changes(("p7", "b", "00:00:02", "u", 300)), 1)
+    first, second = ({p.name for p in (tmp_path / "table" / "data" / f"version={v}").glob("bucket=*")} for v in (0, 1))
+    assert len(first) > 30 and len(second) == 1
+    found = dict(rows(read_latest(spark, table), "product_id", "product_name"))
+    assert len(found) == 200 and found["p7"] == "b" and found["p8"] == "a"
+
+
+def test_snapshot_comes_before_the_changes(spark, make, job, tmp_path):
+    job = S.Job(job.order_files, job.change_files, job.base, snapshot=str(tmp_path / "snapshot"))
+    append_log(make.changes(("p1", "old", "00:00:01", "r", 0), ("p2", "kept", "00:00:01", "r", 0)).select(*PRODUCTS.columns), PRODUCTS, job.snapshot)
+    append_log(make.changes(("p1", "new", "00:00:00", "u", 0)), PRODUCT_CHANGES, job.change_files)
+    for _ in range(2):
+        S.start_products(spark, job, S.AVAILABLE_NOW).awaitTermination()
+        S.start_latest_products(spark, job, S.AVAILABLE_NOW).awaitTermination()
+    assert rows(read_latest(spark, job.latest), "product_id", "product_name") == [("p1", "new"), ("p2", "kept")]
+
+
+def test_the_job_equals_batch_on_microsecond_times(spark, tmp_path):
+    """Insert 1 and 2 cut to milliseconds, so stream and batch read the same logs alike."""
+    base = at("00:00:00")
+    job = S.Job(str(tmp_path / "in"), str(tmp_path / "changes"), str(tmp_path / "job"))
+    changes = [(f"p{i % 3}", f"v{i:02}", 1, base + timedelta(microseconds=1300 * i), "u", i) for i in range(60)]
+    orders = [(str(i), f"p{i % 3}", 1, base + timedelta(microseconds=1700 * i + 400)) for i in range(40)]
+    far = base + timedelta(minutes=5)
+    write_csv_orders(spark.createDataFrame([*orders, ("z", "p0", 1, far)], ORDERS.schema), job.order_files)
+    append_log(spark.createDataFrame([*changes, ("p0", "z", 1, far, "u", 99)], PRODUCT_CHANGES.schema), PRODUCT_CHANGES, job.change_files)
+    S.run_available(spark, job)
+    logged = read_log(spark, PRODUCT_CHANGES, job.log(PRODUCT_CHANGES))
+    assert all(r.last_updated_ts.microsecond % 1000 == 0 for r in logged.collect())
+    stream = rows(read_log(spark, ENRICHED_ORDERS, job.log(ENRICHED_ORDERS)), *ENRICHED)
+    batch = temporal_enrich(S.read_intake(spark, job).orders, logged).filter("order_id <> 'z'")
+    assert stream == rows(batch, *ENRICHED) and len(stream) == 40
+
+
+def test_zipped_orders_and_a_file_limit(spark, make, job):
+    import os
+    import zipfile
+
+    job = S.Job(job.order_files, job.change_files, job.base, zipped=True, max_files=1)
+    os.makedirs(job.order_files)
+    for i in range(3):
+        with zipfile.ZipFile(os.path.join(job.order_files, f"{i}.zip"), "w") as z:
+            z.writestr("a.csv", f"o{i},p1,1,2024-01-01 00:0{i}:01.000\n")
+    append_log(make.changes(("p1", "one", "00:00:00", "c", 0)), PRODUCT_CHANGES, job.change_files)
+    query = S.start_orders(spark, job, S.AVAILABLE_NOW)
+    query.awaitTermination()
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [1, 1, 1]
+    assert rows(S.read_intake(spark, job).orders, "order_id") == [("o0",), ("o1",), ("o2",)]
+    # Orders and refused lines come from one read of the files.
+    assert len(query.lastProgress["sources"]) == 1
 
 
 def test_settings_of_the_caller_are_untouched(spark, make, job):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        append_log(make.orders(("a", "p1", "02:30:00")), ORDERS, job.log(ORDERS))
+        S.append_orders(job, make.orders(("a", "p1", "02:30:00")))
         append_log(
             make.changes(("p1", "v1", "02:29:00", "c", 0), ("p9", "x", "03:00:00", "c", 1)),
             PRODUCT_CHANGES, job.log(PRODUCT_CHANGES),
         )
-        append_log(make.orders(("z", "p9", "03:00:00")), ORDERS, job.log(ORDERS))
+        S.append_orders(job, make.orders(("z", "p9", "03:00:00")))
         S.start_enriched(spark, job, S.AVAILABLE_NOW).awaitTermination()
         assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"
         out = read_log(spark, ENRICHED_ORDERS, job.log(ENRICHED_ORDERS))
@@ -314,4 +435,4 @@ def test_command_line(spark, make, job, monkeypatch):
     args = ["--order-files", job.order_files, "--change-files", job.change_files, "--base", job.base]
     assert command.parse(args) == (S.Job(job.order_files, job.change_files, job.base, window_minutes=7), False)
     command.main([*args, "--once"])
-    assert read_log(spark, ORDERS, job.log(ORDERS)).count() == 1
+    assert S.read_intake(spark, job).orders.count() == 1
