@@ -17,13 +17,13 @@ rows give no files and no result rows.
 from __future__ import annotations
 
 import json
-import re
 import struct
 from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,62 +32,121 @@ from orderloom.llm.common import put_file, stored
 from orderloom.llm.wavelet import Plane, WaveletMatrix
 
 MAGIC = b"WMT1"
-SHARD_TOKENS = 2_000_000
-WORDS_KEPT = 300_000
+SHARD_TOKENS = 1_000_000
+# The most words in a worker's table.
+WORDS_KEPT = 1_000_000
 
-# Where a space may belong to more than the word behind it, a text is encoded as a whole.
-_ODD = re.compile(" [\\s᠎​]|[\\s᠎​] |^ | $")
+# Below this letter the two pattern libraries agree on what letters and numbers are.
+_CERTAIN = "\u0500"
+# The byte-level tokenizer's cutting pattern, and its signs for bytes.
+_PIECES = regex.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_HIDDEN = [b for b in range(256) if b not in _SHOWN]
+_SIGNS = {**{b: b for b in _SHOWN}, **{b: 256 + i for i, b in enumerate(_HIDDEN)}}
+
+
+class _Odd(Exception):
+    """A space that may belong to more than the word behind it."""
+
+
+def _edge(c: str) -> bool:
+    return c.isspace() or c in "\u180e\u200b"
+
+
+class _Words(dict):
+    """Ids of words led by a space, learnt at first sight and forgotten when they are too many."""
+
+    def __init__(self, tokenizer) -> None:
+        self.tokenizer, self.tokenize = tokenizer, tokenizer.model.tokenize
+        self.raw = [int(i).to_bytes(4, "little") for i in range(tokenizer.get_vocab_size())]
+        self.bare: dict[str, bytes] = {}
+
+    def ids(self, signs: str) -> bytes:
+        """Ids of a piece that the tokenizer cuts no further, given in its signs for bytes."""
+        raw = self.raw
+        return b"".join([raw[t.id] for t in self.tokenize(signs)])
+
+    def piece(self, text: str) -> bytes:
+        return self.ids(text.encode("utf-8").decode("latin-1").translate(_SIGNS))
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+
+    def unled(self, text: str) -> bytes:
+        made = self.bare.get(text)
+        if made is None:
+            if text and max(text) >= _CERTAIN:
+                made = self.whole(text)
+            else:
+                made = b"".join([self.piece(p) for p in _PIECES.findall(text)])
+            self.bare[text] = made
+        return made
+
+    def _learnt(self, word: str) -> bytes:
+        if word.isalpha():
+            if max(word) < _CERTAIN:
+                return self.piece(" " + word)
+        elif not word or _edge(word[0]) or _edge(word[-1]):
+            raise _Odd
+        if max(word) >= _CERTAIN:
+            return self.whole(" " + word)
+        first = _PIECES.match(" " + word).end() - 1
+        return self[word[:first]] + self.unled(word[first:]) if first < len(word) else self.piece(" " + word)
+
+    def __missing__(self, word: str) -> bytes:
+        if word.isascii() and word.isalpha():
+            raw = self.raw
+            made = b"".join([raw[t.id] for t in self.tokenize("\u0120" + word)])
+        else:
+            made = self._learnt(word)
+        self[word] = made
+        return made
+
+    def trim(self) -> None:
+        if len(self) > WORDS_KEPT:
+            self.clear()
+        if len(self.bare) > WORDS_KEPT // 4:
+            self.bare.clear()
 
 
 class Encoder:
     """Encodes texts through a table of words.
 
     The tokenizer cuts a text before every lone space in front of a word, so a text's ids are
-    those of its space-led words in turn. Unknown words of a batch are encoded in one run and
-    told apart by the space that their first token begins with. The table is emptied when full.
+    those of its space-led words in turn; a word is cut on by the tokenizer's own pattern. Texts
+    with other runs of space, and words with rare letters, go to the tokenizer as they are.
     """
 
     def __init__(self, path: str, end_id: int) -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        tokenizer = Tokenizer.from_file(path)
         # Names of special tokens in a text are ordinary text.
-        self.tokenizer.encode_special_tokens = True
-        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.led = np.array([(self.tokenizer.id_to_token(i) or "").startswith("Ġ") for i in range(size)])
-        self.end = np.uint32(end_id).tobytes()
-        self.words: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-
-    def _learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), 2000):
-            some = words[at : at + 2000]
-            ids = self._ids(" " + " ".join(some))
-            starts = np.flatnonzero(self.led[ids])
-            if len(starts) != len(some):
-                raise ValueError("the tokenizer does not cut at spaces")
-            raw, ends = ids.tobytes(), [*(4 * starts[1:]).tolist(), 4 * len(ids)]
-            for word, a, b in zip(some, (4 * starts).tolist(), ends):
-                self.words[word] = raw[a:b]
+        tokenizer.encode_special_tokens = True
+        self.words, self.end = _Words(tokenizer), np.uint32(end_id).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text with the end id, as little-endian 32-bit numbers."""
-        split = [None if not t or _ODD.search(t) else t.split(" ") for t in texts]
-        if len(self.words) > WORDS_KEPT:
-            self.words = {}
-        new: set[str] = set()
-        for parts in split:
-            if parts:
-                new.update(parts[1:])
-        self._learn(sorted(new.difference(self.words)))
-        get, out = self.words.__getitem__, []
-        for text, parts in zip(texts, split):
-            if parts:
-                out.append(b"".join([self._ids(parts[0]).tobytes(), *map(get, parts[1:]), self.end]))
+        out, words = [], self.words
+        get = words.__getitem__
+        for text in texts:
+            if not text:
+                out.append(self.end)
+                continue
+            parts = text.split(" ")
+            first = parts[0]
+            try:
+                if len(parts) > 1 and (not first or _edge(first[-1])):
+                    raise _Odd
+                del parts[0]
+                ids = b"".join(map(get, parts))
+            except _Odd:
+                out.append(words.whole(text) + self.end)
             else:
-                out.append((self._ids(text).tobytes() if text else b"") + self.end)
+                out.append(words.unled(first) + ids + self.end)
+        words.trim()
         return out
 
 
@@ -150,12 +209,15 @@ def write_shards(
     """Write the shards of ``docs`` under ``path``; a stored manifest: part, number, docs, tokens."""
     ordered = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
     keys = ["id", F.xxhash64("text")]
+    # A worker keeps its encoder, and the words it has learnt, from task to task.
+    kept = docs.sparkSession.sparkContext.broadcast({})
+    # The random number lets even equal rows be cut into several ranges.
     ordered = ordered.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         part, attempt = context.partitionId(), str(context.taskAttemptId())
-        encoder, number, before, size = None, 0, 0, 0
+        number, before, size = 0, 0, 0
         ids: list = []
         lengths: list[int] = []
         held: list[bytes] = []
@@ -174,7 +236,9 @@ def write_shards(
             return row
 
         for batch in batches:
-            encoder = encoder or Encoder(tokenizer, end_id)
+            if "encoder" not in kept.value:
+                kept.value["encoder"] = Encoder(tokenizer, end_id)
+            encoder = kept.value["encoder"]
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
                 for i, made in zip(some.column(0).to_pylist(), encoder.encode(some.column(1).to_pylist())):
@@ -213,7 +277,7 @@ def decoded(spark: SparkSession, path: str, manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for body in batch.column(0):
                 shard = Shard(body.as_py())
-                raw = memoryview(shard.matrix.decode().astype("<u4").tobytes())
+                raw = memoryview(shard.matrix.decode().astype("<u4", copy=False)).cast("B")
                 ends = np.cumsum(shard.lengths)
                 begins = ends - shard.lengths
                 crcs = [crc32(raw[4 * a : 4 * b]) for a, b in zip(begins.tolist(), ends.tolist())]
