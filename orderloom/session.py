@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+from orderloom.functions.stores import store_of
+
 BATCH_CONFS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -57,12 +62,17 @@ def session_confs(spark: SparkSession, confs: Mapping[str, str]) -> Iterator[Non
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the cluster."""
+    """The folder every executor can reach, as named by the cluster.
+
+    In local mode, as in tests, a missing setting is filled with a folder that goes when the
+    process ends. On a cluster it must be set.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.split("[")[0] == "local":
         base = tempfile.mkdtemp(prefix="orderloom-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
         return base
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
@@ -71,3 +81,21 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared folder; never reused between runs."""
     return f"{shared_dir(spark)}/orderloom/{label}-{uuid.uuid4().hex}"
+
+
+def clear_runs(spark: SparkSession, older_than_hours: float = 24.0) -> int:
+    """Remove the run folders last written so long ago; results read from them are lost.
+
+    Results are read when they are used, so no query can remove its own folders.
+    """
+    from pyarrow import fs
+
+    store, inner = store_of(f"{shared_dir(spark)}/orderloom")
+    gone = 0
+    for info in store.get_file_info(fs.FileSelector(inner, allow_not_found=True)):
+        files = store.get_file_info(fs.FileSelector(info.path, recursive=True))
+        written = max((f.mtime_ns or 0 for f in [info, *files]), default=0) / 1e9
+        if time.time() - written >= older_than_hours * 3600:
+            store.delete_dir(info.path)
+            gone += 1
+    return gone

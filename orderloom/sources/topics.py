@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from orderloom.functions.wire import frame, key_text, raw_key, unframe
+from orderloom.operators.changelog import is_live
 from orderloom.schemas import PRODUCTS, Relation
 from orderloom.sources.logs import with_event_time
 
@@ -62,10 +63,19 @@ def start_topic(
     checkpoint: str,
     trigger: dict,
 ) -> StreamingQuery:
-    """Append rows to a topic, keyed by the relation's message key."""
+    """Append rows to a topic, keyed by the relation's message key.
+
+    The rows must have the declared columns. A change row with ``op`` d goes out without a
+    value: readers of a keyed topic take that as a delete.
+    """
     from pyspark.sql.avro.functions import to_avro
 
+    missing = [c for c in relation.columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{relation.name}: missing columns {missing}")
     value = frame(to_avro(F.struct(*relation.columns), avro_schema), schema_id)
+    if "op" in df.columns and "op" not in relation.columns:
+        value = F.when(is_live(), value)
     return (
         df.select(raw_key(relation.message_key).alias("key"), value.alias("value"))
         .writeStream.format("kafka")
