@@ -412,11 +412,11 @@ def score(
         some = body.filter(F.col("segment").between(part[0], part[-1])).select("segment", "size", "body")
         filled = [tuple(r) for r in some.collect()]
         empty = [(s, 64, bytes(8)) for s in part if s not in {f[0] for f in filled}]
-        sent = spark.sparkContext.broadcast((filled + empty, segments))
+        sent = spark.sparkContext.broadcast({"rows": filled + empty, "made": None})
         scored = (
             rows.groupBy("bucket")
             .cogroup(words.groupBy("bucket"))
-            .applyInArrow(_scorer(sent, n, v, starts, mu, spread), SCORES)
+            .applyInArrow(_scorer(sent, segments, n, v, starts, mu, spread), SCORES)
         )
         if len(parts) > 1:
             scored = stored(scored, "lm_scores")
@@ -429,8 +429,12 @@ def score(
     )
 
 
-def _scorer(sent, n: int, v: int, starts: int, mu: float, spread: float):
+def _scorer(sent, segments: int, n: int, v: int, starts: int, mu: float, spread: float):
     def run(docs: pa.Table, words: pa.Table) -> pa.Table:
-        return _scored(docs, words, Filter(*sent.value), n, v, starts, mu, spread)
+        value = sent.value
+        if value["made"] is None:
+            # A worker joins the segments once and lets go of the parts.
+            value["made"] = Filter(value.pop("rows"), segments)
+        return _scored(docs, words, value["made"], n, v, starts, mu, spread)
 
     return run

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from urllib.parse import quote
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderloom.functions.stores import store_of
 from orderloom.session import run_dir
 
 # A key is hot when it has more than 1/HOT_SHARE of all rows (and more than HOT_ROWS),
@@ -33,12 +32,13 @@ def attach(rows: DataFrame, lookup: DataFrame, key: str, weight: str, total: int
     ``weight`` is the column of ``lookup`` with the number of rows of its key, ``total`` the
     number of all rows. The rows of a hot key are spread over SALTS groups; its lookup row is
     copied to each. Hot keys number at most HOT_SHARE, which bounds the broadcast list.
-    ``lookup`` should be stored: it is read twice.
+    ``lookup`` should be stored: it is read twice. The group of a row follows from its values
+    and its task, so that even equal rows are spread, and a task that runs again agrees.
     """
     bar = max(HOT_ROWS, total // HOT_SHARE)
     is_hot = F.col(weight) > bar
     hot = lookup.filter(is_hot).select(key, F.lit(True).alias("_hot"))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(SALTS))
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]) + F.spark_partition_id(), F.lit(SALTS))
     left = rows.join(F.broadcast(hot), key, "left").withColumn(
         "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0).cast("long"))
     )
@@ -48,17 +48,6 @@ def attach(rows: DataFrame, lookup: DataFrame, key: str, weight: str, total: int
     return left.drop("_hot").join(right, [key, "_salt"], how).drop("_salt")
 
 
-def store_of(uri: str):
-    """Arrow file system and inner path of an address that Spark and Arrow both know."""
-    from pyarrow import fs
-
-    if uri.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
-    if "://" not in uri:
-        return fs.LocalFileSystem(), uri
-    return fs.FileSystem.from_uri(quote(uri.replace("s3a://", "s3://", 1), safe=":/@"))
-
-
 def put_file(uri: str, body: bytes, attempt: str) -> None:
     """Write a whole file under its final name; a repeated task leaves the same bytes."""
     store, inner = store_of(uri)

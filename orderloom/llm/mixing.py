@@ -125,4 +125,6 @@ def poisson_mix(
     counted = joined.withColumn(key, copies).filter(F.col(key) > 0)
     rows = counted.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(key))).alias(copy))
     place = F.md5(F.concat_ws("|", F.lit(f"order|{seed}"), name, F.col(copy).cast("string")).cast("binary"))
-    return rows.withColumn(order, place).repartition(order).sortWithinPartitions(order)
+    # Rows of one id have one place; the task number deals out even those.
+    dealt = rows.withColumn(order, place).repartition(F.col(order), F.spark_partition_id() % 64)
+    return dealt.sortWithinPartitions(order)

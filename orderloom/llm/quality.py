@@ -5,7 +5,7 @@ features at low rank, in time linear in the features. Inputs come from the text
 words, and structure statistics and sizes as one-hot bins of training quantiles.
 
 The model is fitted on at most SAMPLE labelled rows, those first by a hash of the id; scoring
-covers every row and whole texts. Defined results: a null text counts as empty; rows without a
+covers every row and whole texts. Defined results: a null text counts as empty, and a null id hashes as an empty one; rows without a
 label, and those of the held-out part, are never learnt from; of several labels of one id the
 greatest counts; without any labelled row every score is PRIOR.
 """
@@ -50,7 +50,8 @@ STATS = 18
 
 
 def held_out(id_col: str = "doc_id", parts: int = 5, part: int = 0) -> Column:
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % parts == part
+    name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    return F.crc32(name.cast("binary")) % parts == part
 
 
 def stats_of(text: str, raw: bytes, words: list[bytes]) -> list[float]:

@@ -212,7 +212,7 @@ def write_shards(
     # A worker keeps its encoder, and the words it has learnt, from task to task.
     kept = docs.sparkSession.sparkContext.broadcast({})
     # The random number lets even equal rows be cut into several ranges.
-    ordered = ordered.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ordered = ordered.repartitionByRange(*keys, F.rand(0)).sortWithinPartitions(*keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()

@@ -142,9 +142,11 @@ def write_pages(
         F.col(id_col).cast("long").alias("id"), F.col(url).alias("url"), payload.alias("payload"),
         F.sha1(payload).alias("sha"),
     )
+    # Per payload: the greatest id with its URL and number of rows, and the number of all rows.
+    by_page = rows.groupBy("sha", "id").agg(F.max("url").alias("url"), F.count(F.lit(1)).alias("rows"))
     firsts = stored(
-        rows.groupBy("sha").agg(
-            F.max(F.struct("id", "url")).alias("first"), F.count(F.lit(1)).alias("n")
+        by_page.groupBy("sha").agg(
+            F.max(F.struct("id", "url", "rows")).alias("first"), F.sum("rows").alias("n")
         ),
         "firsts",
     )
@@ -155,8 +157,7 @@ def write_pages(
         context = TaskContext.get()
         part, attempt = context.partitionId(), str(context.taskAttemptId())
         held: list[bytes] = []
-        number = records = size = repeat = 0
-        last = None
+        number = records = size = named = 0
 
         def flush() -> pa.RecordBatch:
             nonlocal number, records, size
@@ -174,12 +175,13 @@ def write_pages(
         for batch in batches:
             for row in _rows(batch):
                 digest = base64.b32encode(bytes.fromhex(row["sha"])).decode()
-                own = row["id"], row["sha"], row["url"]
-                repeat = repeat + 1 if own == last else 0
-                last = own
                 first = row["first"]
                 revisit = len(row["payload"]) >= min_bytes and first["id"] is not None and row["id"] != first["id"]
-                name = _name(row["id"], digest, row["url"]) + (f":r{repeat}" if repeat else "")
+                name = _name(row["id"], digest, row["url"])
+                if row["id"] != first["id"] or first["id"] is None or first["rows"] > 1:
+                    # Only the one row that revisits refer to has the plain name.
+                    named += 1
+                    name = f"{name}:{part}.{named}"
                 refers = _name(first["id"], digest, first["url"]) if revisit else None
                 for made in page_records(name, row["url"], row["payload"], digest, refers, segment):
                     held.append(_member(made))

@@ -1,0 +1,6 @@
+"""Makes the plain forms beside the tests importable."""
+
+import os
+import sys
+
+sys.path.insert(0, os.path.dirname(__file__))
