@@ -16,9 +16,6 @@ def rows(df):
 
 def test_stages_against_brute_force(spark, tmp_path):
     """Each stage on what its predecessor kept, against its plain form."""
-    import sys
-
-    sys.path.insert(0, "tests/llm")
     from test_simhash import brute_fp, brute_groups
     from test_tokens import brute as brute_tokens
     from tokenizers import Tokenizer
