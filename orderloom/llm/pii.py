@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderloom.llm.common import attach, stored
@@ -38,10 +38,13 @@ PLAUSIBLE = {
     "phone": r"^[(]?([0-9][ ()._-]{0,2}){6,14}[0-9]$",
 }
 CONTEXT = 60
+BLOCK = 256
 ROUNDS = 2
 SUPPORT = 3
 CONFIDENCE = 0.7
 UNKNOWN = 0.25
+# Pairs of words and seeds that are compared in place.
+PAIRS = 1_000_000
 
 _SPAN = "struct<start:bigint,end:bigint,value:string,left:string,right:string>"
 
@@ -86,8 +89,11 @@ def _named(kind: str, place: int):
 
 
 def _places(found: Column, gaps: Column) -> Column:
-    """Spans of the matches ``found`` between the pieces ``gaps`` of a text."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out"))
+    """Spans of the matches ``found`` between the pieces ``gaps`` of a text.
+
+    The array grows by blocks, as every append copies it.
+    """
+    none = F.array().cast(f"array<{_SPAN}>")
 
     def step(acc: Column, i: Column) -> Column:
         value, gap = F.get(found, i), F.get(gaps, i)
@@ -100,9 +106,16 @@ def _places(found: Column, gaps: Column) -> Column:
         ).cast(_SPAN)
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-    many = F.sequence(F.lit(0), F.size(found) - 1)
-    spans = F.aggregate(many, start, step, lambda acc: acc["out"])
-    return F.when(F.size(found) > 0, spans).otherwise(F.array().cast(f"array<{_SPAN}>"))
+    def block(acc: Column, number: Column) -> Column:
+        own = F.sequence(number * BLOCK, F.least((number + 1) * BLOCK, F.size(found)) - 1)
+        start = F.struct(acc["at"].alias("at"), none.alias("out"))
+        return F.aggregate(
+            own, start, step, lambda x: F.struct(x["at"].alias("at"), F.concat(acc["out"], x["out"]).alias("out"))
+        )
+
+    blocks = F.sequence(F.lit(0), F.floor((F.size(found) - 1) / BLOCK).cast("int"))
+    start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("out"))
+    return F.when(F.size(found) > 0, F.aggregate(blocks, start, block, lambda acc: acc["out"])).otherwise(none)
 
 
 def seeds(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -149,19 +162,44 @@ def _patterns(left: Column, right: Column) -> Column:
     )
 
 
-def _overlaps(span: Column, others: list[Column]) -> Column:
-    hit = [F.exists(o, lambda s: (s["start"] < span["end"]) & (s["end"] > span["start"])) for o in others]
+def _overlaps(span: Column) -> Column:
+    hit = [F.exists(k, lambda s: (s["start"] < span["end"]) & (s["end"] > span["start"])) for k in KINDS]
     return reduce(lambda a, b: a | b, hit)
 
 
+def _seeds_of(found: DataFrame) -> DataFrame:
+    parts = [found.select("row", F.lit(k).alias("kind"), F.explode(k).alias("s")) for k in KINDS]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _free_words(found: DataFrame) -> DataFrame:
+    """Identifier-like words that overlap no seed of their row: row, s.
+
+    Words and seeds of a row are compared in place. Where there are many of both, they are
+    instead passed over once in the order of their places; the words are the same.
+    """
+    seeds_in_row = reduce(lambda a, b: a + b, [F.size(k).cast("long") for k in KINDS])
+    many = seeds_in_row * F.size("others") > PAIRS
+    few = found.filter(~many)
+    near = few.select("row", F.explode(F.filter("others", lambda s: ~_overlaps(s))).alias("s"))
+    rest = found.filter(many)
+    words = rest.select("row", F.lit(None).cast("string").alias("kind"), F.explode("others").alias("s"))
+    every = _seeds_of(rest).unionByName(words)
+    seed = F.col("kind").isNotNull()
+    # At one place seeds come first, so that all seeds that begin at or before a word precede it.
+    order = Window.partitionBy("row").orderBy("s.start", F.col("kind").isNull())
+    ends = F.max(F.when(seed, F.col("s.end"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    starts = F.min(F.when(seed, F.col("s.start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
+    marked = every.withColumn("ends", ends).withColumn("starts", starts).filter(~seed)
+    clear = (F.coalesce("ends", F.lit(-1)) <= F.col("s.start")) & (F.coalesce("starts", "s.end") >= F.col("s.end"))
+    return near.unionByName(marked.filter(clear).select("row", "s"))
+
+
 def occurrences(found: DataFrame) -> DataFrame:
     """Every seed, and every identifier-like word that overlaps none: row, start, end, value, kind, patterns."""
-    parts = [
-        found.select("row", F.lit(kind).alias("kind"), F.explode(kind).alias("s")) for kind in KINDS
-    ]
-    free = F.filter("others", lambda s: ~_overlaps(s, [F.col(k) for k in KINDS]))
-    parts.append(found.select("row", F.lit(None).cast("string").alias("kind"), F.explode(free).alias("s")))
-    every = reduce(DataFrame.unionByName, parts)
+    every = _seeds_of(found).unionByName(
+        _free_words(found).select("row", F.lit(None).cast("string").alias("kind"), "s")
+    )
     # The marks around a word are no part of the identifier.
     lead = F.when(F.col("kind").isNull(), F.length(F.regexp_extract("s.value", r"^[^\p{L}\p{N}+]*+", 0)))
     core = F.when(
