@@ -32,6 +32,10 @@ STREAM_CONFS = {
 }
 
 
+# Folders of local sessions that name none, by application.
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def get_spark(app_name: str = "orderloom", master: str | None = None, **confs: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -70,11 +74,13 @@ def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
-    if spark.sparkContext.master.split("[")[0] == "local":
-        base = tempfile.mkdtemp(prefix="orderloom-")
-        atexit.register(shutil.rmtree, base, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", base)
-        return base
+    context = spark.sparkContext
+    if context.master.split("[")[0] == "local":
+        if context.applicationId not in _LOCAL_DIRS:
+            made = tempfile.mkdtemp(prefix="orderloom-")
+            atexit.register(shutil.rmtree, made, ignore_errors=True)
+            _LOCAL_DIRS[context.applicationId] = made
+        return _LOCAL_DIRS[context.applicationId]
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from orderloom.functions.time import epoch_micros, truncate_ms
 from orderloom.functions.wire import frame, frame_schema_id, key_text, raw_key, unframe
 from orderloom.schemas import ENRICHED_ORDERS, ORDERS
-from orderloom.session import clear_runs, run_dir, session_confs
+from orderloom import session
+from orderloom.session import session_confs
 
 TIMES = [
     "2024-01-01 00:00:00.123456",
@@ -71,11 +72,11 @@ def test_conform_checks_names_types_and_order(make):
         ORDERS.conform(orders.withColumn("quantity", F.col("quantity").cast("bigint")))
 
 
-def test_old_run_folders_are_removed(spark, tmp_path):
-    with session_confs(spark, {"spark.checkpoint.dir": f"file://{tmp_path}"}):
-        path = run_dir(spark, "kept")
-        spark.range(3).write.parquet(path)
-        assert clear_runs(spark, older_than_hours=1) == 0
-        assert spark.read.parquet(path).count() == 3
-        assert clear_runs(spark, older_than_hours=0) == 1
-        assert clear_runs(spark) == 0
+def test_old_run_folders_are_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda _: f"file://{tmp_path}")
+    path = session.run_dir(spark, "kept")
+    spark.range(3).write.parquet(path)
+    assert session.clear_runs(spark, older_than_hours=1) == 0
+    assert spark.read.parquet(path).count() == 3
+    assert session.clear_runs(spark, older_than_hours=0) == 1
+    assert session.clear_runs(spark) == 0
