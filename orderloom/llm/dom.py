@@ -3,11 +3,26 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from html import unescape
 from typing import NamedTuple
 
 # Elements whose content is no text of the page.
-HIDDEN = "script|style|noscript|template|svg|math|iframe|object|textarea|select|title|button|audio|video|canvas"
+HIDDEN = frozenset(
+    "script style noscript template svg iframe object textarea select title button audio video canvas".split()
+)
+# Their content is no markup; it runs to the end tag or, without one, to the end of the page.
+RAW = {t: re.compile(rf"(?i)</{t}(?=[\s/>])[^>]*+>") for t in ("script", "style", "textarea", "title")}
+# Inside these "/>" closes an element, down to those that hold ordinary elements again.
+FOREIGN = frozenset(["svg", "math"])
+ORDINARY = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+# Ordinary elements that end an open svg or math.
+LEAVES = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li menu meta nobr "
+    "ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+# Ends implied by an opened element reach out of no open one of these.
+SCOPES = frozenset("button iframe noscript object select template".split())
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
@@ -31,8 +46,7 @@ DEEPEST = 512
 OUTER, INNER = 8, 24
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:--!?>|\Z)"
-    rf"|<(?P<hidden>{HIDDEN})(?=[\s/>])[^>]*+>.*?(?:</(?P=hidden)\s*>|\Z)"
+    r"<!--.*?(?:--!?>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*+)[^>]*+>"
     r"|<[!?/][^>]*+>"
@@ -61,7 +75,7 @@ def _close(stack: list[tuple], tags: tuple[str, ...], until) -> None:
     """Close the outermost open element of ``tags`` inside the nearest one of ``until``."""
     cut = None
     for i in range(len(stack) - 1, -1, -1):
-        if stack[i][0] in until:
+        if stack[i][0] in until or stack[i][0] in SCOPES:
             break
         if stack[i][0] in tags:
             cut = i
@@ -69,14 +83,41 @@ def _close(stack: list[tuple], tags: tuple[str, ...], until) -> None:
         del stack[cut:]
 
 
+def _foreign(stack: list[tuple]) -> int | None:
+    """Place of the svg or math whose rules hold for the next element."""
+    for i in range(len(stack) - 1, -1, -1):
+        if stack[i][0] in FOREIGN:
+            return i
+        if stack[i][0] in ORDINARY:
+            return None
+    return None
+
+
+def _tokens(html: str, after: list[int]) -> Iterator[re.Match]:
+    """Tokens in page order, the next one from the place in ``after`` if there is one."""
+    at: int | None = 0
+    while at is not None:
+        start, at = at, None
+        for m in _TOKEN.finditer(html, start):
+            yield m
+            if after:
+                at = after.pop()
+                break
+
+
 def blocks_of(html: str | None) -> list[Block]:
-    """Blocks in page order, none of them empty; missing end tags are implied."""
+    """Blocks in page order, none of them empty; missing end tags are implied.
+
+    A hidden element without an end tag ends with the element around it.
+    """
+    html = html or ""
     stack: list[tuple] = []
     out: list[Block] = []
     parts: list[str] = []
     linked = 0
     path: tuple | None = None
-    links = 0
+    links = hidden = foreign = 0
+    after: list[int] = []
 
     def flush() -> None:
         nonlocal linked, path
@@ -87,9 +128,19 @@ def blocks_of(html: str | None) -> list[Block]:
             parts.clear()
         linked, path = 0, None
 
-    for m in _TOKEN.finditer(html or ""):
+    def recount() -> None:
+        nonlocal links, hidden, foreign
+        links = sum(s[0] == "a" for s in stack)
+        if hidden:
+            hidden = sum(s[0] in HIDDEN for s in stack)
+        if foreign:
+            foreign = sum(s[0] in FOREIGN for s in stack)
+
+    for m in _tokens(html, after):
         text = m["text"]
         if text is not None:
+            if hidden:
+                continue
             parts.append(text)
             if path is None and not text.isspace():
                 path = tuple(stack if len(stack) <= OUTER + INNER else stack[:OUTER] + stack[-INNER:])
@@ -101,10 +152,9 @@ def blocks_of(html: str | None) -> list[Block]:
             continue
         tag = tag.lower()
         if m["end"] or m["end2"]:
-            if tag in BLOCK:
-                flush()
             if tag == "br":
-                parts.append(" ")
+                if not hidden:
+                    parts.append(" ")
                 continue
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
@@ -112,24 +162,49 @@ def blocks_of(html: str | None) -> list[Block]:
                     break
                 if stack[i][0] in CELLS and tag not in CELLS and tag not in ("tr", "tbody", "thead", "tfoot"):
                     break
-            if tag == "a":
-                links = sum(s[0] == "a" for s in stack)
-        elif tag in VOID:
-            if tag == "hr":
+            if tag == "a" or hidden or foreign:
+                recount()
+            if tag in BLOCK and not hidden:
+                flush()
+            continue
+        inside = _foreign(stack) if foreign else None
+        if inside is not None and tag in LEAVES:
+            del stack[inside:]
+            recount()
+            inside = None
+        if tag in VOID:
+            if tag == "hr" and not hidden:
                 flush()
-            elif tag == "br":
+            elif tag == "br" and not hidden:
                 parts.append(" ")
-        else:
-            if tag in BLOCK:
+            continue
+        if tag in RAW and inside is None:
+            end = RAW[tag].search(html, m.end())
+            after.append(end.end() if end else len(html))
+            continue
+        if (inside is not None or tag in FOREIGN) and m[0].endswith("/>"):
+            continue
+        if tag in BLOCK:
+            if tag in CLOSES:
+                _close(stack, *CLOSES[tag])
+            _close(stack, ("p",), ("table", "td", "th", "li", "dd", "blockquote", "div", "section", "article"))
+            recount()
+            if not hidden:
                 flush()
-                if tag in CLOSES:
-                    _close(stack, *CLOSES[tag])
-                _close(stack, ("p",), ("table", "td", "th", "li", "dd", "blockquote", "div", "section", "article"))
-                links = sum(s[0] == "a" for s in stack)
-            if len(stack) == DEEPEST:
-                links -= stack.pop()[0] == "a"
-            stack.append((tag, names_of(m["attrs"])))
-            if tag == "a":
-                links += 1
+        elif tag in ("button", "select"):
+            # One of these holds no other of its kind.
+            open_one = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in SCOPES), None)
+            if open_one is not None and stack[open_one][0] == tag:
+                del stack[open_one:]
+                recount()
+        if len(stack) == DEEPEST:
+            if stack[-1][0] in HIDDEN:
+                continue
+            stack.pop()
+            recount()
+        stack.append((tag, names_of(m["attrs"])))
+        links += tag == "a"
+        hidden += tag in HIDDEN
+        foreign += tag in FOREIGN
     flush()
     return out

@@ -33,6 +33,32 @@ def test_blocks():
     assert blocks_of('<div class="siteHeader main-nav" id=x1>y')[0].path == (("div", ("site", "header", "main", "nav", "x")),)
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ('<nav><svg class="i"/></nav><article><p>Long article text.</p></article>', ["Long article text."]),
+        ("<header><button>Menu</header><article><p>Long text.</article>", ["Long text."]),
+        ("<div><select><option>a</div><p>b", ["b"]),
+        ("<div><iframe src=x></div><div><video><p>no</p></div><div><object></div><p>b", ["b"]),
+        ("<p>a <button>x<div>y</div><br>z</button>b <svg><path d='M0'/><title/><text>t</text></svg>c</p>d", ["a b c", "d"]),
+        ("<ul><li>a<template><li>x<p>y</template>b<li>c", ["ab", "c"]),
+        ("<nav><svg><path><p>a</nav><p>b", ["a", "b"]),
+        ("<p><button>a<button>b</button>c", ["c"]),
+        ("<p>Let <math><mi>x</mi><mspace/><mo>=</mo><mn>1</mn></math> be.</p>", ["Let x=1 be."]),
+        ("<script>'<p>no</p>'</SCRIPT ><textarea><p>no</textarea><p>b<style>p{}", ["b"]),
+    ],
+)
+def test_hidden_elements_end_with_the_element_around_them(page, want):
+    assert texts(page) == want
+
+
+def test_pages_of_open_hidden_elements_take_linear_time():
+    for page in ("<svg>", "<object>", "<button>", "<svg/>", "<title>x</title>", "<object></p>", "<math><p>x", "<select></div>"):
+        began = time.time()
+        blocks_of(page * 20_000)
+        assert time.time() - began < 20
+
+
 @pytest.mark.parametrize("html", [None, "", "  ", "<", "<a", "<p", "<!--", "<script>x", "</p></div>", "<p></p>"])
 def test_pages_without_blocks(html, model):
     found = crf.main_text(html, crf.Scorer(model["weights"]), model)
