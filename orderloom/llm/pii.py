@@ -7,6 +7,10 @@ kind, and instances by the patterns that hold them; instances scored high enough
 plausible form become known and count in the next round. Every occurrence of a discovered
 instance is added to the spans; seeds always stay.
 
+Identifiers may be written with blanks: beside single words, runs of digit groups that hold a blank
+and have the form of a kind are candidates. Of added spans of a kind in a row, those inside
+another are left out.
+
 Places are code points, ends exclusive. Defined results: a null text counts as empty and has no
 entity; an id may be null or repeated: every input row gives one output row.
 """
@@ -30,6 +34,10 @@ KINDS = {
 }
 # Identifier-like words: those with a digit or an at sign.
 CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+# Groups of digits joined by single blanks, hyphens, dots or brackets, a bracket also beside one of
+# the others; a group ends before a letter, and a run begins behind none.
+_GROUP = r"[0-9]++(?![\p{L}@])"
+RUN = rf"(?<![\p{{L}}\p{{N}}@+])(?:\((?=[0-9]++\)))?{_GROUP}(?:(?:[\x20.-]\(?|\([\x20.-]?|\)[\x20.-]?){_GROUP})++"
 # Forms that a discovered instance of a kind must have.
 PLAUSIBLE = {
     "email": r"^\S+(@|\(at\)|\[at\])\S+$",
@@ -119,7 +127,7 @@ def _places(found: Column, gaps: Column) -> Column:
 
 
 def seeds(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: row (a number), doc_id, spans of each kind, and ``others`` (identifier-like words)."""
+    """Per row: row (a number), doc_id, spans of each kind, and ``others`` (identifier-like words and runs)."""
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
         F.monotonically_increasing_id().alias("row"),
@@ -129,7 +137,8 @@ def seeds(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFr
     has_digit, has_at, has_plus = F.col("t").rlike("[0-9]"), F.contains("t", F.lit("@")), F.contains("t", F.lit("+"))
     asked = {"email": has_at, "ip": has_digit, "card": has_digit, "phone": has_plus & has_digit,
              "others": has_at | has_digit}
-    forms = {**KINDS, "others": CANDIDATE}
+    asked["runs"] = has_digit
+    forms = {**KINDS, "others": CANDIDATE, "runs": RUN}
     for kind, form in forms.items():
         rows = rows.withColumn(
             f"{kind}_found", F.when(asked[kind], F.regexp_extract_all("t", F.lit(form), F.lit(0))).otherwise(none)
@@ -141,7 +150,14 @@ def seeds(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFr
         rows = rows.withColumn(kind, _places(F.col(f"{kind}_found"), F.col(f"{kind}_gaps")))
     for kind in KINDS:
         rows = rows.withColumn(kind, F.filter(kind, _checker(kind)))
-    return rows.select("row", "doc_id", *forms)
+    # A run without a blank is in a word.
+    wide = F.filter("runs", lambda s: F.contains(s["value"], F.lit(" ")) & _formed(s["value"]))
+    return rows.withColumn("others", F.concat("others", wide)).select("row", "doc_id", *KINDS, "others")
+
+
+def _formed(value: Column) -> Column:
+    """Whether a value has the form of any kind."""
+    return reduce(lambda a, b: a | b, [value.rlike(form) for form in PLAUSIBLE.values()])
 
 
 def _patterns(left: Column, right: Column) -> Column:
@@ -200,10 +216,11 @@ def occurrences(found: DataFrame) -> DataFrame:
     every = _seeds_of(found).unionByName(
         _free_words(found).select("row", F.lit(None).cast("string").alias("kind"), "s")
     )
-    # The marks around a word are no part of the identifier.
-    lead = F.when(F.col("kind").isNull(), F.length(F.regexp_extract("s.value", r"^[^\p{L}\p{N}+]*+", 0)))
+    # The marks around a word are no part of the identifier; a run has none.
+    word = F.col("kind").isNull() & ~F.contains("s.value", F.lit(" "))
+    lead = F.when(word, F.length(F.regexp_extract("s.value", r"^[^\p{L}\p{N}+]*+", 0)))
     core = F.when(
-        F.col("kind").isNull(), F.regexp_replace("s.value", r"^[^\p{L}\p{N}+]++|(?<=[\p{L}\p{N}])[^\p{L}\p{N}]++$", "")
+        word, F.regexp_replace("s.value", r"^[^\p{L}\p{N}+]++|(?<=[\p{L}\p{N}])[^\p{L}\p{N}]++$", "")
     ).otherwise(F.col("s.value"))
     start = F.col("s.start") + F.coalesce(lead, F.lit(0))
     return every.select(
@@ -287,6 +304,11 @@ def find_pii(
     counts = open_ones.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
     wanted = stored(instances.join(counts, "value"), "pii_instances")
     hits = attach(open_ones, wanted, "value", "n", open_ones.count())
+    # A span inside another of its kind; the longest of those at one start comes first.
+    before = Window.partitionBy("row", "kind").orderBy("start", F.desc("end")).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    hits = hits.withColumn("reach", F.max("end").over(before)).filter("reach is null or reach < end")
     order = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
     added = hits.groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct(order.alias("place"), "start", "end", "kind"))).alias("more")

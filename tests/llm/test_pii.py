@@ -90,6 +90,32 @@ def test_discovers_unseen_numbers_in_trusted_contexts(spark, tmp_path):
     assert found[51] == found[52] == ""
 
 
+def test_discovers_numbers_written_with_blanks(spark, tmp_path):
+    texts = {i: f"please call our office at +1 555 200 {1000 + i} for help" for i in range(12)}
+    texts |= {50: "please call our office at 555 200 7777 for help", 51: "call our office at (555) 123-4567 for help",
+              52: "call our office at 555 200 77x for help", 53: "call our office at 555  200 7778 for help",
+              54: "call our office at 555.200 7777 for 555 200 7777 help", 55: "call our office at 5 4th for help"}
+    found = {r.doc_id: r.spans for r in query(spark, texts, tmp_path)}
+    assert found[50] == "phone:26:38" and found[51] == "phone:19:33"
+    assert found[52] == found[53] == found[55] == ""
+    assert found[54] == "phone:19:31,phone:36:48"
+
+
+def test_span_inside_another_is_left_out(spark, tmp_path):
+    texts = {i: f"please call our office at +1 555 200 {1000 + i} for help" for i in range(12)}
+    texts |= {50: "call our office at 5552007777 for help", 51: "call our office at 5552007777 1 for help"}
+    found = {r.doc_id: r.spans for r in query(spark, texts, tmp_path)}
+    assert found[50] == "phone:19:29" and found[51] == "phone:19:31"
+
+
+def test_runs_of_numbers_take_linear_time(spark, tmp_path):
+    n = 50_000
+    texts = {1: "1 " * n + "x", 2: "1 1x " * n, 3: "(1)" * n, 4: "(1 " * n, 5: "1 " * n + "1@", 6: "555 200 7777, " * n}
+    began = time.time()
+    found = query(spark, texts, tmp_path)
+    assert time.time() - began < 60 and all(r.spans == "" for r in found)
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert pii.find_pii(docs).count() == 0
