@@ -47,6 +47,8 @@ PLAUSIBLE = {
 }
 CONTEXT = 60
 BLOCK = 256
+# Code points of a piece of a text, from which contexts are cut; at least CONTEXT.
+PIECE = 256
 ROUNDS = 2
 SUPPORT = 3
 CONFIDENCE = 0.7
@@ -54,7 +56,7 @@ UNKNOWN = 0.25
 # Pairs of words and seeds that are compared in place.
 PAIRS = 1_000_000
 
-_SPAN = "struct<start:bigint,end:bigint,value:string,left:string,right:string>"
+_SPAN = "struct<start:bigint,end:bigint,value:string>"
 
 
 def _digits(value: Column) -> Column:
@@ -107,11 +109,7 @@ def _places(found: Column, gaps: Column) -> Column:
         value, gap = F.get(found, i), F.get(gaps, i)
         begin = acc["at"] + F.length(gap)
         end = begin + F.length(value)
-        one = F.struct(
-            begin.alias("start"), end.alias("end"), value.alias("value"),
-            F.substring(gap, -CONTEXT, CONTEXT).alias("left"),
-            F.substring(F.get(gaps, i + 1), 1, CONTEXT).alias("right"),
-        ).cast(_SPAN)
+        one = F.struct(begin.alias("start"), end.alias("end"), value.alias("value")).cast(_SPAN)
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
     def block(acc: Column, number: Column) -> Column:
@@ -126,6 +124,38 @@ def _places(found: Column, gaps: Column) -> Column:
     return F.when(F.size(found) > 0, F.aggregate(blocks, start, block, lambda acc: acc["out"])).otherwise(none)
 
 
+def _in_context(pieces: Column, marked: bool):
+    """Turns spans into start, end, at, core, left and right: the identifier, its place and what is around it.
+
+    The marks around a word (``marked``) are no part of the identifier; a run has none. The sides
+    are cut from the whole text around the identifier, of seeds and of candidates alike.
+    """
+
+    def piece(number: Column) -> Column:
+        return F.coalesce(F.get(pieces, number.cast("int")), F.lit(""))
+
+    def add(span: Column) -> Column:
+        value, lead, core = span["value"], F.lit(0), span["value"]
+        if marked:
+            word = ~F.contains(value, F.lit(" "))
+            lead = F.when(word, F.length(F.regexp_extract(value, r"^[^\p{L}\p{N}+]*+", 0))).otherwise(0)
+            core = F.when(
+                word, F.regexp_replace(value, r"^[^\p{L}\p{N}+]++|(?<=[\p{L}\p{N}])[^\p{L}\p{N}]++$", "")
+            ).otherwise(value)
+        at = span["start"] + lead
+        stop = at + F.length(core)
+        here, there = F.floor(at / PIECE), F.floor(stop / PIECE)
+        left = F.concat(piece(here - 1), F.substring(piece(here), F.lit(1), (at % PIECE).cast("int")))
+        right = F.concat(piece(there), piece(there + 1))
+        return F.struct(
+            span["start"].alias("start"), span["end"].alias("end"), at.alias("at"), core.alias("core"),
+            F.substring(left, -CONTEXT, CONTEXT).alias("left"),
+            F.substring(right, (stop % PIECE + 1).cast("int"), F.lit(CONTEXT)).alias("right"),
+        )
+
+    return add
+
+
 def seeds(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: row (a number), doc_id, spans of each kind, and ``others`` (identifier-like words and runs)."""
     rows = docs.select(
@@ -152,7 +182,14 @@ def seeds(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFr
         rows = rows.withColumn(kind, F.filter(kind, _checker(kind)))
     # A run without a blank is in a word.
     wide = F.filter("runs", lambda s: F.contains(s["value"], F.lit(" ")) & _formed(s["value"]))
-    return rows.withColumn("others", F.concat("others", wide)).select("row", "doc_id", *KINDS, "others")
+    rows = rows.withColumn("others", F.concat("others", wide))
+    found = reduce(lambda a, b: a | b, [F.size(c) > 0 for c in (*KINDS, "others")])
+    pieces = F.regexp_extract_all("t", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    rows = rows.withColumn("pieces", F.when(found, pieces).otherwise(none))
+    return rows.select(
+        "row", "doc_id",
+        *[F.transform(c, _in_context(F.col("pieces"), c == "others")).alias(c) for c in (*KINDS, "others")],
+    )
 
 
 def _formed(value: Column) -> Column:
@@ -216,16 +253,10 @@ def occurrences(found: DataFrame) -> DataFrame:
     every = _seeds_of(found).unionByName(
         _free_words(found).select("row", F.lit(None).cast("string").alias("kind"), "s")
     )
-    # The marks around a word are no part of the identifier; a run has none.
-    word = F.col("kind").isNull() & ~F.contains("s.value", F.lit(" "))
-    lead = F.when(word, F.length(F.regexp_extract("s.value", r"^[^\p{L}\p{N}+]*+", 0)))
-    core = F.when(
-        word, F.regexp_replace("s.value", r"^[^\p{L}\p{N}+]++|(?<=[\p{L}\p{N}])[^\p{L}\p{N}]++$", "")
-    ).otherwise(F.col("s.value"))
-    start = F.col("s.start") + F.coalesce(lead, F.lit(0))
+    start = F.col("s.at")
     return every.select(
-        "row", "kind", start.alias("start"), (start + F.length(core)).alias("end"),
-        F.lower(core).alias("value"), _patterns(F.col("s.left"), F.col("s.right")).alias("patterns"),
+        "row", "kind", start.alias("start"), (start + F.length("s.core")).alias("end"),
+        F.lower("s.core").alias("value"), _patterns(F.col("s.left"), F.col("s.right")).alias("patterns"),
     ).filter("value <> ''")
 
 

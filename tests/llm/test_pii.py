@@ -108,6 +108,28 @@ def test_span_inside_another_is_left_out(spark, tmp_path):
     assert found[50] == "phone:19:29" and found[51] == "phone:19:31"
 
 
+def test_seeds_and_candidates_have_the_same_contexts(spark, tmp_path):
+    texts = {i: f"Order 12 phone: +1 555 200 {1000 + i}. Thanks" for i in range(12)}
+    texts |= {50: "Order 12 phone: 555-200-8888. Thanks"}
+    found = {r.doc_id: r.spans for r in query(spark, texts, tmp_path)}
+    assert found[50] == "phone:16:28"
+
+
+def test_contexts_against_the_text(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("012+@.- ()ab,%é😀\n") for _ in range(rng.randrange(1500))) for _ in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    n = 0
+    for r in pii.seeds(docs).collect():
+        t = texts[r.doc_id]
+        for s in [s for k in (*pii.KINDS, "others") for s in r[k]]:
+            stop = s.at + len(s.core)
+            assert t[s.at : stop] == s.core and s.start <= s.at and stop <= s.end
+            assert (s.left, s.right) == (t[max(s.at - pii.CONTEXT, 0) : s.at], t[stop : stop + pii.CONTEXT])
+            n += 1
+    assert n > 500
+
+
 def test_runs_of_numbers_take_linear_time(spark, tmp_path):
     n = 50_000
     texts = {1: "1 " * n + "x", 2: "1 1x " * n, 3: "(1)" * n, 4: "(1 " * n, 5: "1 " * n + "1@", 6: "555 200 7777, " * n}
