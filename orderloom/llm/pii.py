@@ -4,8 +4,9 @@ Regular expressions find the seed entities. The words around them are lexical pa
 joins patterns to the instances seen in them, over all identifier-like words of the corpus.
 Rounds of scoring weigh patterns by the share of their instances already known to be of one
 kind, and instances by the patterns that hold them; instances scored high enough and of
-plausible form become known and count in the next round. Every occurrence of a discovered
-instance is added to the spans; seeds always stay.
+plausible form become known and count in the next round, until a round finds none. Every
+occurrence of a known instance, seeds included, that is no seed itself is added to the spans;
+seeds always stay.
 
 Identifiers may be written with blanks: beside single words, runs of digit groups that hold a blank
 and have the form of a kind are candidates. Of added spans of a kind in a row, those inside
@@ -18,6 +19,7 @@ entity; an id may be null or repeated: every input row gives one output row.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,7 +51,6 @@ CONTEXT = 60
 BLOCK = 256
 # Code points of a piece of a text, from which contexts are cut; at least CONTEXT.
 PIECE = 256
-ROUNDS = 2
 SUPPORT = 3
 CONFIDENCE = 0.7
 UNKNOWN = 0.25
@@ -266,9 +267,11 @@ def _plausible(kind: Column, value: Column) -> Column:
 
 
 def discover(
-    found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, confidence: float = CONFIDENCE
+    found: DataFrame, rounds: int | None = None, support: int = SUPPORT, confidence: float = CONFIDENCE
 ) -> DataFrame:
-    """Discovered instances (value, kind) of the stored occurrences ``found``.
+    """Known instances (value, kind), seeds among them, of the stored occurrences ``found``.
+
+    Rounds go on until one finds nothing new, or number ``rounds``.
 
     A pattern's confidence in a kind is known / (known + other + UNKNOWN * unknown), over its
     distinct instances, where other are those known of another kind; it needs ``support`` known
@@ -281,7 +284,20 @@ def discover(
         "edges",
     )
     total = edges.count()
-    for _ in range(rounds):
+
+    def marked(new: DataFrame) -> DataFrame:
+        """The edges, those of the values of ``new`` (value, new, n) known."""
+        return stored(
+            attach(edges, new, "value", "n", total, "left").select(
+                "pattern", "value", F.coalesce("kind", "new").alias("kind")
+            ),
+            "edges",
+        )
+
+    # The value of a seed is known in all its occurrences.
+    values = edges.groupBy("value").agg(F.max("kind").alias("new"), F.count(F.lit(1)).alias("n"))
+    edges = marked(stored(values.filter("new is not null"), "seed_instances"))
+    for _ in count() if rounds is None else range(rounds):
         sums = edges.groupBy("pattern").agg(
             *[F.count(F.when(F.col("kind") == k, 1)).alias(k) for k in KINDS],
             F.count(F.lit(1)).alias("n"),
@@ -312,20 +328,12 @@ def discover(
         new = stored(best.join(degrees, "value").select("value", "new", "n"), "new_instances")
         if new.isEmpty():
             break
-        edges = stored(
-            attach(edges, new, "value", "n", total, "left").select(
-                "pattern", "value", F.coalesce("kind", "new").alias("kind")
-            ),
-            "edges",
-        )
-    seeds_of = found.filter("kind is not null").select("value").distinct()
-    return edges.filter("kind is not null").groupBy("value").agg(F.max("kind").alias("kind")).join(
-        seeds_of, "value", "left_anti"
-    )
+        edges = marked(new)
+    return edges.filter("kind is not null").groupBy("value").agg(F.max("kind").alias("kind"))
 
 
 def find_pii(
-    docs: DataFrame, rounds: int = ROUNDS, id_col: str = "doc_id", text: str = "text"
+    docs: DataFrame, rounds: int | None = None, id_col: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, base and added (arrays of kind, start, end), by kind, then start."""
     found = stored(seeds(docs, id_col, text), "pii_seeds")

@@ -130,6 +130,28 @@ def test_contexts_against_the_text(spark):
     assert n > 500
 
 
+def test_open_occurrences_of_seeds_are_added(spark, tmp_path):
+    texts = {1: "5 4111111111111111", 2: "my card is 4111111111111111"}
+    found = {r.doc_id: r.spans for r in query(spark, texts, tmp_path)}
+    assert found == {1: "card:2:18", 2: "card:11:27"}
+
+
+def test_rounds_go_on_until_nothing_new(spark, tmp_path):
+    texts = {}
+    for k in range(5):
+        # The numbers of a step are the known ones of the next step's context.
+        for i in range(4):
+            number = f"555-20{k}-100{i}"
+            texts[len(texts)] = f"word{k} said {'+1 ' if k == 0 else ''}{number} then{k}"
+            if k == 0:
+                texts[len(texts)] = f"word1 said +1 {number} then1"
+            else:
+                texts[len(texts)] = f"word{k + 1} said {number} then{k + 1}"
+    texts[100] = "word5 said 555-300-1000 then5"
+    found = {r.doc_id: r.spans for r in query(spark, texts, tmp_path)}
+    assert found[100] == "phone:11:23" and all(found.values())
+
+
 def test_runs_of_numbers_take_linear_time(spark, tmp_path):
     n = 50_000
     texts = {1: "1 " * n + "x", 2: "1 1x " * n, 3: "(1)" * n, 4: "(1 " * n, 5: "1 " * n + "1@", 6: "555 200 7777, " * n}
