@@ -45,7 +45,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token shards of the mix; the result is read back from the files."""
     path = run_dir(spark, "pipeline_tokens")
-    manifest = tokens.write_shards(docs, path, tokenizer_path(), END_ID)
+    manifest = tokens.write_shards(docs, path, tokenizer_path(), END_ID, special_as_text=False)
     return tokens.decoded(spark, path, manifest)
 
 

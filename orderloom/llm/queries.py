@@ -30,7 +30,8 @@ def op1_crf_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "token_shards")
-    manifest = tokens.write_shards(table(spark, sf_dir, "documents"), path, tokenizer_path(), END_ID)
+    docs = table(spark, sf_dir, "documents")
+    manifest = tokens.write_shards(docs, path, tokenizer_path(), END_ID, special_as_text=False)
     return tokens.decoded(spark, path, manifest)
 
 

@@ -116,25 +116,31 @@ class Encoder:
 
     The tokenizer cuts a text before every lone space in front of a word, so a text's ids are
     those of its space-led words in turn; a word is cut on by the tokenizer's own pattern. Texts
-    with other runs of space, and words with rare letters, go to the tokenizer as they are.
+    with other runs of space, words with rare letters, and texts that hold the content of an added
+    token go to the tokenizer as they are. With ``special_as_text`` the names of special tokens
+    in a text are ordinary text, else they give the tokens' ids as in the tokenizer's plain call.
     """
 
-    def __init__(self, path: str, end_id: int) -> None:
+    def __init__(self, path: str, end_id: int, special_as_text: bool = True) -> None:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        # Names of special tokens in a text are ordinary text.
-        tokenizer.encode_special_tokens = True
+        tokenizer.encode_special_tokens = special_as_text
+        added = tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added if t.content and not (special_as_text and t.special)]
         self.words, self.end = _Words(tokenizer), np.uint32(end_id).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text with the end id, as little-endian 32-bit numbers."""
         out, words = [], self.words
-        get = words.__getitem__
+        get, added = words.__getitem__, self.added
         for text in texts:
             if not text:
                 out.append(self.end)
                 continue
+            if any([a in text for a in added]):
+                out.append(words.whole(text) + self.end)
+                continue
             parts = text.split(" ")
             first = parts[0]
             try:
@@ -205,8 +211,12 @@ def write_shards(
     shard_tokens: int = SHARD_TOKENS,
     id_col: str = "doc_id",
     text: str = "text",
+    special_as_text: bool = True,
 ) -> DataFrame:
-    """Write the shards of ``docs`` under ``path``; a stored manifest: part, number, docs, tokens."""
+    """Write the shards of ``docs`` under ``path``; a stored manifest: part, number, docs, tokens.
+
+    ``special_as_text`` as in ``Encoder``; the queries follow the tokenizer's plain call.
+    """
     ordered = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
     keys = ["id", F.xxhash64("text")]
     # A worker keeps its encoder, and the words it has learnt, from task to task.
@@ -237,7 +247,7 @@ def write_shards(
 
         for batch in batches:
             if "encoder" not in kept.value:
-                kept.value["encoder"] = Encoder(tokenizer, end_id)
+                kept.value["encoder"] = Encoder(tokenizer, end_id, special_as_text)
             encoder = kept.value["encoder"]
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)

@@ -57,6 +57,21 @@ def test_odd_rows_and_small_shards(spark, plain):
     assert tokens.count_token(spark, path, END_ID) == len(every)
 
 
+def test_queries_follow_the_plain_call_of_the_tokenizer(spark, tmp_path):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    made = Tokenizer.from_file(tokenizer_path())
+    plain = lambda text: made.encode(text or "", add_special_tokens=False).ids
+    assert plain("a <|endoftext|> b") == [64, 220, 50256, 275]
+    rows = [(1, "a <|endoftext|> b"), (2, "x<|endoftext|>y <|endoftext|>"), (3, "a <|endoftext| > b"), (4, "word é")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = brute(rows, plain)
+    assert sorted(map(tuple, QUERIES["op2_token_shards"](spark, str(tmp_path)).collect())) == want
+    assert sorted(map(tuple, corpus_pipeline.token_output(spark, docs, str(tmp_path)).collect())) == want
+
+
 def test_no_rows(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     path = run_dir(spark, "tokens_test")
