@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from zlib import crc32
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderloom.llm import bloomlm, crf, decontaminate, mixing, pii, quality, simhash, tokens, vptree, warc
+from orderloom.llm import (
+    bloomlm, crf, decontaminate, linededup, mixing, pii, prefixtrie, quality, runs, simhash, tokens, vptree, warc,
+)
 from orderloom.llm.common import table
 from orderloom.session import run_dir
 
@@ -105,6 +108,48 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    index = linededup.LineIndex(spark, run_dir(spark, "line_index"))
+    lines = index.add(docs)
+    return index.clean(docs, lines=lines).select(
+        "doc_id", "cleaned.n_lines", "cleaned.n_dropped", F.sha2(F.col("cleaned.kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
+def folded(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The contract's words: those of every tenth document repeat from some word on."""
+    h = 1 if doc_id is None else crc32(str(doc_id).encode())
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a, p = g % n, 1 + (n - g % n) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # The greatest length, then the least start, then the least period.
+    best = F.array_max(F.transform("found.runs", lambda r: F.struct(r.length, (-r.start).alias("s"), (-r.period).alias("p"))))
+    rows = F.transform("found.runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    digest = F.concat(F.array_join(rows, "\n"), F.when(F.size(rows) > 0, "\n").otherwise(""))
+    return runs.find_runs(docs, prepare=folded).withColumn("best", best).select(
+        "doc_id",
+        F.size("found.runs").cast("long").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.p")).alias("period"),
+        F.expr("1000 * best.length div -best.p").alias("exponent_milli"),
+        F.sha2(digest.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("found.collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return prefixtrie.statistics(prefixtrie.rebuilt(turns))
+
+
 QUERIES: dict[str, Query] = {
     "op1_crf_main_text": op1_crf_main_text,
     "op2_token_shards": op2_token_shards,
@@ -116,6 +161,9 @@ QUERIES: dict[str, Query] = {
     "op8_vantage_point_search": op8_vantage_point_search,
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -177,6 +225,53 @@ it AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ','
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN it USING (r)
+""",
+    "op11_line_dedup": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+l AS (
+  SELECT r, doc_id, i, line, trim(translate(line, {_LETTERS}), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS k
+  FROM (SELECT r, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+        FROM d)),
+k AS (
+  SELECT k, count(DISTINCT doc_id) + max((doc_id IS NULL)::INT) AS n, max(doc_id) AS last
+  FROM l WHERE length(k) >= 20 GROUP BY k HAVING n >= 3),
+m AS (SELECT l.*, k.k IS NOT NULL AND l.doc_id IS DISTINCT FROM k.last AS gone FROM l LEFT JOIN k ON l.k = k.k)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, sum(gone::INT)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r
+""",
+    "op13_prefix_trie": """
+WITH t AS (
+  SELECT conv_id AS c, coalesce(text, '') AS text,
+    md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS x,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT c, c - c % 5 AS b, list(struct_pack(x := x, n := strlen(text)) ORDER BY i) AS w,
+    xor(4294967295, list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda s: ascii(s)::BIGINT)),
+      lambda a, y: list_reduce(list_prepend(xor(a, y), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+        lambda z, u: xor(z >> 1, 3988292384::BIGINT * (z & 1))))) % 9 AS h
+  FROM t GROUP BY c),
+made AS (
+  SELECT a.c, list_concat(coalesce(p.w[1:a.h], []), a.w[a.h + 1:]) AS w FROM own a LEFT JOIN own p ON p.c = a.b),
+pre AS (
+  SELECT c, d, len(w) AS len, coalesce(w[d].n, 0) AS n,
+    array_to_string(list_transform(w[1:d], lambda s: s.x), '') AS k
+  FROM made, unnest(range(0, len(w) + 1)) AS q(d)),
+node AS (
+  SELECT k, any_value(d) AS d, any_value(n) AS n, count(*) AS m, min(c) AS c,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (d = len), '')) AS ends
+  FROM pre GROUP BY k),
+kids AS (SELECT left(k, (32 * (d - 1))::INT) AS k, count(*) AS kids FROM node WHERE d > 0 GROUP BY 1),
+full_ AS (SELECT node.*, coalesce(kids, 0) AS kids, (m - 1) * n AS own FROM node LEFT JOIN kids USING (k)),
+below AS (
+  SELECT left(k, (32 * j)::INT) AS k, sum((kids = 0)::INT) AS leaves, sum(own) AS saved
+  FROM full_, unnest(range(0, d + 1)) AS q(j) GROUP BY 1)
+SELECT f.c AS conv_id, f.d AS depth, up.c AS parent_conv_id, f.m AS n_convs, f.kids AS n_children,
+  leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, f.ends AS ends_sha256
+FROM full_ f JOIN below USING (k) LEFT JOIN node up ON f.d > 0 AND up.k = left(f.k, (32 * (f.d - 1))::INT)
 """,
     "op8_vantage_point_search": """
 WITH v AS (

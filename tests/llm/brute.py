@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from collections import defaultdict
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -65,3 +66,43 @@ def mixed(docs, alpha=0.5, total=1.0, weights=None):
         name = "" if i is None else str(i)
         out.append(sum(poisson(number("poisson|42", name, str(j)), rate / m) for j in range(1, m + 1)))
     return out
+
+
+def trie(turns, rebuild=True):
+    """A row for each node of the trie of conversations, by sets of members."""
+    conv = defaultdict(list)
+    for c, t, role, text in turns:
+        if c is not None:
+            conv[c].append((t, role or "", text or ""))
+
+    def place(turn):
+        t, role, text = turn
+        body = str(len(role.encode())).encode() + b":" + role.encode() + text.encode()
+        return (t is not None, t or 0, hashlib.md5(body).digest())
+
+    own = {c: [(role, text) for _, role, text in sorted(v, key=place)] for c, v in conv.items()}
+    made = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9 if rebuild else 0
+        made[c] = own.get(c - int(math.fmod(c, 5)), [])[:h] + turns[h:]
+    members = defaultdict(list)
+    for c, turns in made.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(c)
+    children, leaves, saved = defaultdict(int), defaultdict(int), defaultdict(int)
+    for node in members:
+        if node:
+            children[node[:-1]] += 1
+    for node, m in members.items():
+        weight = (len(m) - 1) * len(node[-1][1].encode()) if node else 0
+        for d in range(len(node) + 1):
+            saved[node[:d]] += weight
+            leaves[node[:d]] += not children[node]
+    out = []
+    for node, m in members.items():
+        ends = ",".join(str(c) for c in sorted(m) if len(made[c]) == len(node))
+        out.append(
+            (min(m), len(node), min(members[node[:-1]]) if node else None, len(m), children[node], leaves[node],
+             saved[node], hashlib.sha256(ends.encode()).hexdigest())
+        )
+    return sorted(out, key=repr)
