@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orderloom.operators import pieces as P
 from orderloom.operators.sizes import SMALL_BYTES, plan_bytes
-from orderloom.schemas import PRODUCT_CHANGES, PRODUCTS
+from orderloom.schemas import PRODUCT_CHANGES, PRODUCTS, SNAPSHOT_CHUNKS
 
 KEY = PRODUCTS.primary_key[0]
 TIME = PRODUCTS.event_time
@@ -37,17 +37,44 @@ def snapshot_plus_log(snapshot: DataFrame, log: DataFrame) -> DataFrame:
     return PRODUCT_CHANGES.conform(first).unionByName(PRODUCT_CHANGES.conform(log))
 
 
-def _last_per_key(changes: DataFrame, order: Sequence[str]) -> DataFrame:
+def incremental_snapshot(chunks: DataFrame, log: DataFrame, read_to: int | None = None) -> DataFrame:
+    """A change stream from a snapshot that was read in chunks while the log went on.
+
+    ``chunks`` holds rows of SNAPSHOT_CHUNKS: product rows with the log positions ``low`` and ``high``
+    from before and after their chunk was read. A chunk shows every change up to ``low`` and perhaps
+    some after it, so its rows take the place right behind ``low``: they beat the log up to
+    there, and any log row behind ``low`` beats them, deletes included. Reading a chunk twice, or a log
+    that overlaps it, is harmless.
+
+    Chunks whose ``high`` lies behind ``read_to`` are held back: the log has not caught up with
+    what they may show. Without ``read_to`` all chunks count as caught up with.
+    """
+    held = chunks if read_to is None else chunks.filter(F.col("high") <= read_to)
+    bad = F.col("low").isNull() | F.col("high").isNull() | (F.col("high") < F.col("low"))
+    fault = F.raise_error(F.lit("a snapshot chunk needs positions low <= high")).cast("bigint")
+    rows = SNAPSHOT_CHUNKS.conform(held).select(
+        *PRODUCTS.columns, F.lit("r").alias("op"), F.when(bad, fault).otherwise(F.col("low")).alias("seq")
+    )
+    return PRODUCT_CHANGES.conform(rows).unionByName(PRODUCT_CHANGES.conform(log))
+
+
+def _last_per_key(changes: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     # max_by combines on the map side: a hot key sends one row per task.
     row = F.struct(*[c for c in changes.columns if c != KEY])
     return (
         changes.filter(F.col(KEY).isNotNull())
         .groupBy(KEY)
-        .agg(F.max_by(row, F.struct(*order)).alias("r"))
+        .agg(F.max_by(row, F.struct(*order, *_ties())).alias("r"))
         .select(KEY, "r.*")
     )
 
 
+def _ties() -> list[Column]:
+    """Order of rows of one position: a snapshot taken there shows it; then any fixed order."""
+    snapshot = F.coalesce(F.col("op") == "r", F.lit(False))
+    return [snapshot.alias("_r"), F.col(TIME).alias("_t"), is_live().alias("_l"), F.col("product_name"), F.col("stock")]
+
+
 def latest(changes: DataFrame) -> DataFrame:
     """The newest row per key by event time, then arrival; deleted keys are gone."""
     kept = _last_per_key(changes, (TIME, "seq")).filter(is_live())
@@ -78,7 +105,7 @@ def apply_changes(target: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def newest_per_key(changes: DataFrame) -> DataFrame:
-    """The last arrival per key, deletes included."""
+    """The last arrival per key, deletes included; no position is the earliest."""
     return _last_per_key(changes, ("seq",))
 
 
@@ -97,16 +124,24 @@ def history(changes: DataFrame, max_task_rows: int | None = None) -> DataFrame:
     rows than that are split over tasks.
     """
     rows = changes.filter(F.col(KEY).isNotNull() & F.col(TIME).isNotNull())
+    return current_spans(spans_of(rows, max_task_rows))
+
+
+def spans_of(rows: DataFrame, max_task_rows: int | None = None) -> DataFrame:
+    """Change rows, all with key and time, with ``valid_to``: the time of the key's next change."""
     hot = None
     if max_task_rows is not None or plan_bytes(rows) > SMALL_BYTES:
         hot = P.hot_keys(rows.select(KEY), max_task_rows or P.MAX_TASK_ROWS)
     if hot is None or hot.isEmpty():
-        spans = _spans(rows, [KEY])
-    else:
-        keys = hot.select(KEY)
-        spans = _spans(rows.join(keys, KEY, "left_anti"), [KEY]).unionByName(
-            _spans_in_pieces(rows.join(keys, KEY, "left_semi"), max_task_rows or P.MAX_TASK_ROWS)
-        )
+        return _spans(rows, [KEY])
+    keys = hot.select(KEY)
+    return _spans(rows.join(keys, KEY, "left_anti"), [KEY]).unionByName(
+        _spans_in_pieces(rows.join(keys, KEY, "left_semi"), max_task_rows or P.MAX_TASK_ROWS)
+    )
+
+
+def current_spans(spans: DataFrame) -> DataFrame:
+    """Of rows with ``valid_to``, the live versions that were current at any time."""
     return (
         spans.filter(is_live())
         .filter(F.col("valid_to").isNull() | (F.col(TIME) < F.col("valid_to")))
@@ -114,6 +149,13 @@ def history(changes: DataFrame, max_task_rows: int | None = None) -> DataFrame:
     )
 
 
+def last_at_each_time(changes: DataFrame) -> DataFrame:
+    """One change per key and time: the one that holds, by the rules of ``history``."""
+    row = F.struct(*[c for c in changes.columns if c not in (KEY, TIME)])
+    order = F.struct(*[c.alias(f"o{n}") for n, c in enumerate(_in_order()[1:])])
+    return changes.groupBy(KEY, TIME).agg(F.max_by(row, order).alias("r")).select(KEY, TIME, "r.*")
+
+
 def _in_order() -> list[Column]:
     return [F.col(TIME), F.col("seq"), is_live(), F.col("product_name"), F.col("stock"), F.col("op")]
 

@@ -23,6 +23,7 @@ from orderloom.schemas import (
     PRODUCT_CHANGES,
     PRODUCT_WINDOW_COUNTS,
     PRODUCTS,
+    SNAPSHOT_CHUNKS,
     Relation,
 )
 from orderloom.session import STREAM_CONFS, run_dir, session_confs
@@ -30,6 +31,7 @@ from orderloom.sources.csv_orders import read_csv_orders, write_csv_orders
 from orderloom.sources.logs import append_log, read_log
 from orderloom.sources.zip_orders import read_zip_orders
 from orderloom.streaming import pipeline as S
+from orderloom.streaming.history import read_history, start_history
 from orderloom.streaming.sinks import read_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +111,12 @@ def cdc_upsert_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changelog.fold(_capture(spark, sf_dir))
 
 
+def cdc_incremental_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot in chunks, each taken at another position while the log went on."""
+    chunks, log = D.snapshot_chunks(spark, sf_dir), D.log_from_start(spark, sf_dir)
+    return changelog.fold(changelog.incremental_snapshot(chunks, log))
+
+
 def upsert_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = D.event_changes(spark, sf_dir)
     target = changelog.fold(changes.filter(_before_cut()))
@@ -320,6 +328,57 @@ def pipeline_products_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_latest(spark, job.latest)
 
 
+# Files that the out-of-order queries are read in.
+PARTS = 4
+
+
+def _scrambled(df: DataFrame, key: str, path: str, append: Callable[[DataFrame], None]) -> None:
+    """``df`` in PARTS appends, dealt by a number so that each holds rows of all times."""
+    part = F.pmod(F.xxhash64(key), F.lit(PARTS)).cast("int")
+    df.withColumn("part", part).write.partitionBy("part").parquet(path)
+    for i in range(PARTS):
+        append(df.sparkSession.read.schema(df.schema).parquet(f"{path}/part={i}").coalesce(1))
+
+
+def pipeline_latest_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest table from a snapshot and changes in files of no order, one file at a time."""
+    base = run_dir(spark, "pipeline_latest_out_of_order")
+    job = S.Job("", f"{base}/changes_in", f"{base}/job", snapshot=f"{base}/snapshot", max_files=1)
+    changes = D.event_changes_with_deletes(spark, sf_dir)
+    snapshot, rest = changelog.fold(changes.filter(_before_cut())), changes.filter(~_before_cut())
+    _scrambled(snapshot, "product_id", f"{base}/staged_rows", lambda df: append_log(df, PRODUCTS, job.snapshot))
+    _scrambled(rest, "seq", f"{base}/staged_changes", lambda df: append_log(df, PRODUCT_CHANGES, job.change_files))
+    with session_confs(spark, _stream_confs(spark)):
+        S.start_products(spark, job, S.AVAILABLE_NOW).awaitTermination()
+        S.start_latest_products(spark, job, S.AVAILABLE_NOW).awaitTermination()
+    return read_latest(spark, job.latest)
+
+
+def pipeline_chunked_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest table of the job from a snapshot in chunks beside the log, one file at a time."""
+    base = run_dir(spark, "pipeline_chunked_snapshot")
+    job = S.Job("", f"{base}/changes_in", f"{base}/job", chunks=f"{base}/chunks", max_files=1)
+    chunks, log = D.snapshot_chunks(spark, sf_dir), D.log_from_start(spark, sf_dir)
+    _scrambled(chunks, "product_id", f"{base}/staged_rows", lambda df: append_log(df, SNAPSHOT_CHUNKS, job.chunks))
+    _scrambled(log, "seq", f"{base}/staged_changes", lambda df: append_log(df, PRODUCT_CHANGES, job.change_files))
+    with session_confs(spark, _stream_confs(spark)):
+        S.start_products(spark, job, S.AVAILABLE_NOW).awaitTermination()
+        S.start_latest_products(spark, job, S.AVAILABLE_NOW).awaitTermination()
+    return read_latest(spark, job.latest)
+
+
+def stream_products_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history kept up to date with changes that come late and at equal times."""
+    base = run_dir(spark, "stream_products_history")
+    log, path = f"{base}/changes", f"{base}/history"
+    changes = D.skewed_event_changes(spark, sf_dir)
+    _scrambled(changes, "seq", f"{base}/staged", lambda df: append_log(df, PRODUCT_CHANGES, log))
+    with session_confs(spark, _stream_confs(spark)):
+        stream = spark.readStream.schema(PRODUCT_CHANGES.schema).option("maxFilesPerTrigger", 2).parquet(log)
+        start_history(stream, path, f"{base}/checkpoint", S.AVAILABLE_NOW).awaitTermination()
+    return read_history(spark, path)
+
+
 QUERIES: dict[str, Query] = {
     "orders_log": orders_log,
     "order_message_keys": order_message_keys,
@@ -329,6 +388,7 @@ QUERIES: dict[str, Query] = {
     "products_history_null_seq": products_history_null_seq,
     "cdc_snapshot_plus_log": cdc_snapshot_plus_log,
     "cdc_upsert_fold": cdc_upsert_fold,
+    "cdc_incremental_snapshot": cdc_incremental_snapshot,
     "upsert_products": upsert_products,
     "upsert_parts": upsert_parts,
     "upsert_new_parts": upsert_new_parts,
@@ -356,4 +416,7 @@ QUERIES: dict[str, Query] = {
     "stream_pipeline": stream_pipeline,
     "pipeline_counts": pipeline_counts,
     "pipeline_products_latest": pipeline_products_latest,
+    "pipeline_latest_out_of_order": pipeline_latest_out_of_order,
+    "pipeline_chunked_snapshot": pipeline_chunked_snapshot,
+    "stream_products_history": stream_products_history,
 }

@@ -64,6 +64,29 @@ def event_changes_with_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_changes(spark, sf_dir).withColumn("op", op)
 
 
+def snapshot_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five chunks of the products by their number, each read at another position of the log.
+
+    Positions are eighths of the log; ``low`` and ``high`` lie a sixteenth to either side.
+    """
+    changes = event_changes_with_deletes(spark, sf_dir)
+    end = changes.agg(F.max("seq").alias("end"))
+    chunk = F.substring_index("product_id", "-", -1).cast("int") % 5
+    cut = F.floor(F.col("end") * (chunk + 2) / 8).cast("bigint")
+    seen = changes.crossJoin(F.broadcast(end)).withColumn("cut", cut).filter("seq <= cut")
+    step = F.floor(F.col("end") / 16).cast("bigint")
+    row = F.struct("product_name", "stock", "last_updated_ts", "op", (F.col("cut") - step).alias("low"), (F.col("cut") + step).alias("high"))
+    held = seen.groupBy("product_id").agg(F.max_by(row, "seq").alias("r")).select("product_id", "r.*")
+    return held.filter("op <> 'd'").drop("op")
+
+
+def log_from_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes with deletes behind the first sixteenth of the log: before that it was not kept."""
+    changes = event_changes_with_deletes(spark, sf_dir)
+    end = changes.agg(F.max("seq").alias("end"))
+    return changes.crossJoin(F.broadcast(end)).filter("seq > floor(end / 16)").drop("end")
+
+
 def skewed_event_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event orders with a third of them on one product, all at midnight of their day."""
     hot = F.col("order_id").cast("bigint") % 3 == 0

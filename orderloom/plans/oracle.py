@@ -160,4 +160,12 @@ UNION ALL SELECT DISTINCT product_id, 'damaged.csv', NULL, 'bad member after 0 l
     "stream_pipeline": _EV + _counts(STREAM_WINDOW) + f"\nWHERE window_end <= {_END}",
     "pipeline_counts": _EV + _counts(STREAM_WINDOW) + f"\nWHERE window_end <= {_END}",
 }
-ORACLE["pipeline_products_latest"] = ORACLE["cdc_upsert_fold"]
+ORACLE["pipeline_products_latest"] = ORACLE["pipeline_latest_out_of_order"] = ORACLE["cdc_upsert_fold"]
+# A snapshot in chunks and the log give the table that the whole log gives.
+ORACLE["cdc_incremental_snapshot"] = ORACLE["pipeline_chunked_snapshot"] = (
+    _with(*_DELETES)
+    + f"""SELECT {_PRODUCT} FROM (
+  SELECT * FROM del_changes QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY seq DESC) = 1)
+WHERE op <> 'd'"""
+)
+ORACLE["stream_products_history"] = ORACLE["products_history_hot_key"]

@@ -103,6 +103,18 @@ PRODUCT_CHANGES = Relation(
     message_key="product_id",
 )
 
+# Product rows of a snapshot read in chunks, with the log positions around the reading.
+SNAPSHOT_CHUNKS = Relation(
+    "snapshot_chunks",
+    T.StructType(
+        PRODUCTS.schema.fields
+        + [T.StructField("low", T.LongType(), True), T.StructField("high", T.LongType(), True)]
+    ),
+    primary_key=("product_id",),
+    event_time="last_updated_ts",
+    message_key="product_id",
+)
+
 ENRICHED_ORDERS = Relation(
     "enriched_orders",
     _struct(

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from orderloom.functions.time import truncate_ms
-from orderloom.operators.changelog import snapshot_plus_log
+from orderloom.operators.changelog import incremental_snapshot, snapshot_plus_log
 from orderloom.operators.windows import DEFAULT_WINDOW_MINUTES, tumbling_counts
 from orderloom.schemas import (
     ENRICHED_ORDERS,
@@ -27,6 +27,7 @@ from orderloom.schemas import (
     PRODUCT_CHANGES,
     PRODUCT_WINDOW_COUNTS,
     PRODUCTS,
+    SNAPSHOT_CHUNKS,
     Relation,
 )
 from orderloom.session import STREAM_CONFS, session_confs
@@ -48,8 +49,10 @@ class Job:
 
     ``order_files`` holds CSV files, or zip archives with ``zipped=True``.
     ``change_files`` holds product change rows as Parquet, and ``snapshot``, if given,
-    the product rows as they were before the first change. Logs and checkpoints
-    go under ``base``, which all executors must reach.
+    the product rows as they were before the first change; ``chunks`` holds a snapshot that was
+    read in chunks while changes went on (SNAPSHOT_CHUNKS). They may be read in any order and cut: the
+    latest table goes by position. ``settled`` is that of ``upsert_latest``. Logs and
+    checkpoints go under ``base``, which all executors must reach.
     """
 
     order_files: str
@@ -59,6 +62,8 @@ class Job:
     window_minutes: int = DEFAULT_WINDOW_MINUTES
     spread: int = DEFAULT_SPREAD
     snapshot: str | None = None
+    chunks: str | None = None
+    settled: int | None = None
     max_files: int | None = None
 
     def log(self, relation: Relation) -> str:
@@ -78,6 +83,8 @@ def start_products(spark: SparkSession, job: Job, trigger: dict) -> StreamingQue
         changes = _files(spark, PRODUCT_CHANGES, job.change_files, job)
         if job.snapshot:
             changes = snapshot_plus_log(_files(spark, PRODUCTS, job.snapshot, job), changes)
+        if job.chunks:
+            changes = incremental_snapshot(_files(spark, SNAPSHOT_CHUNKS, job.chunks, job), changes)
         time = PRODUCT_CHANGES.event_time
         return _to_log(job, changes.withColumn(time, truncate_ms(time)), PRODUCT_CHANGES, trigger)
 
@@ -86,7 +93,7 @@ def start_latest_products(spark: SparkSession, job: Job, trigger: dict) -> Strea
     """Insert 1, the upserted table: the latest row of every product in the log."""
     with session_confs(spark, STREAM_CONFS):
         changes = _files(spark, PRODUCT_CHANGES, job.log(PRODUCT_CHANGES), job)
-        return start_latest(changes, job.latest, job.checkpoint("latest"), trigger)
+        return start_latest(changes, job.latest, job.checkpoint("latest"), trigger, job.settled)
 
 
 def start_orders(spark: SparkSession, job: Job, trigger: dict) -> StreamingQuery:

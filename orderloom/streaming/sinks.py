@@ -4,19 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from orderloom.functions.stores import store_of
+from orderloom.functions.stores import newest_batch, store_of
 from orderloom.functions.time import as_naive
-from orderloom.operators.changelog import KEY, apply_changes, newest_per_key
-from orderloom.schemas import PRODUCTS, Relation
+from orderloom.operators.changelog import KEY, fold, is_live, newest_per_key
+from orderloom.schemas import PRODUCT_CHANGES, PRODUCTS, Relation
 from orderloom.session import STREAM_CONFS, session_confs
 
-# Buckets of the latest table.
-BUCKETS = 64
-_LIST = "bucket int, version long"
-_ROWS = T.StructType([*PRODUCTS.schema.fields, T.StructField("bucket", T.IntegerType())])
+# Runs of one level that are merged into one of the next.
+FAN = 8
+_LIST = "run string, level int, top long, floor long"
 
 
 def start_log(
@@ -50,11 +48,13 @@ def start_log(
         return (writer.partitionBy(by) if by else writer).start()
 
 
-def start_latest(df: DataFrame, path: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+def start_latest(
+    df: DataFrame, path: str, checkpoint: str, trigger: dict, settled: int | None = None
+) -> StreamingQuery:
     """Keep the latest table under ``path`` up to date with a stream of product changes."""
     with session_confs(df.sparkSession, STREAM_CONFS):
         return (
-            df.writeStream.foreachBatch(upsert_latest(path))
+            df.writeStream.foreachBatch(upsert_latest(path, settled))
             .option("checkpointLocation", checkpoint)
             .queryName(f"latest at {checkpoint}")
             .trigger(**trigger)
@@ -62,62 +62,74 @@ def start_latest(df: DataFrame, path: str, checkpoint: str, trigger: dict) -> St
         )
 
 
-def upsert_latest(path: str, buckets: int = BUCKETS):
+def upsert_latest(path: str, settled: int | None = None, fan: int = FAN):
     """``foreachBatch`` function that keeps the latest product rows under ``path``.
 
-    The table is cut into buckets by key hash. Batch ``n`` writes only the buckets it
-    touches, as ``data/version=n``, and a list of each bucket's version; it reads the list
-    of batch ``n - 1``, so a repeated batch gives the same table. Versions in neither list
-    are removed. With a table format that has MERGE, use ``merge_latest`` instead.
+    The table is a set of runs. Batch ``n`` adds one: the last arrival of each key in it, with its
+    position (``seq``) and deletes as rows of their own, so changes may come in any order and
+    cut, and the table is still what ``fold`` gives of all of them. ``fan`` runs of a level are merged
+    into one of the next, so a row is written again a logarithmic number of times, whatever the size
+    of a batch. The list of runs is written last, as ``list/batch=n``; a batch that is repeated starts
+    from list ``n - 1`` and gives the same. Runs in neither list are removed.
+
+    Deletes are kept, as an older row of their key may still come. With ``settled``, positions further
+    than that behind the greatest one seen count as complete: a delete there goes when the
+    whole table is merged, and rows that come for such positions after all are refused, so
+    set it only once any snapshot has been read. With a table format that has MERGE, use
+    ``merge_latest`` instead, which takes batches in order of arrival only.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = _versions(spark, path, batch_id - 1)
-        changes = newest_per_key(batch)
-        touched = [r[0] for r in changes.select(_bucket(buckets)).distinct().collect()]
-        held = {b: before[b] for b in touched if b in before}
-        rows = PRODUCTS.conform(apply_changes(_read(spark, path, held), changes))
-        data = rows.withColumn("bucket", _bucket(buckets))
-        data.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/data/version={batch_id}")
-        now = {**before, **{b: batch_id for b in touched}}
-        listed = spark.createDataFrame(list(now.items()), _LIST)
+        before = _runs(spark, path, batch_id - 1)
+        floor = max((r["floor"] for r in before if r["floor"] is not None), default=None)
+        rows = batch if floor is None else batch.filter(F.coalesce(F.col("seq") > floor, F.lit(False)))
+        run = f"{batch_id}-0"
+        PRODUCT_CHANGES.conform(newest_per_key(rows)).write.mode("overwrite").parquet(f"{path}/data/run={run}")
+        top = _read(spark, path, [run]).agg(F.max("seq"), F.count(F.lit(1))).first()
+        now = before
+        if top[1]:
+            now = [*before, {"run": run, "level": 0, "top": top[0], "floor": floor}]
+        level = 0
+        while len(mine := [r for r in now if r["level"] == level]) >= fan:
+            rest = [r for r in now if r["level"] != level]
+            tops = [r["top"] for r in now if r["top"] is not None]
+            if settled is not None and tops and not rest:
+                floor = max(tops) - settled
+            merged = newest_per_key(_read(spark, path, [r["run"] for r in mine]))
+            if floor is not None and not rest:
+                merged = merged.filter(is_live() | (F.col("seq") > floor))
+            level += 1
+            run = f"{batch_id}-{level}"
+            PRODUCT_CHANGES.conform(merged).write.mode("overwrite").parquet(f"{path}/data/run={run}")
+            now = [*rest, {"run": run, "level": level, "top": max(tops, default=None), "floor": floor}]
+        listed = spark.createDataFrame([(r["run"], r["level"], r["top"], r["floor"]) for r in now], _LIST)
         listed.coalesce(1).write.mode("overwrite").parquet(f"{path}/list/batch={batch_id}")
-        _remove_old(path, {*now.values(), *before.values(), batch_id}, batch_id - 1)
+        _remove_old(path, {r["run"] for r in [*now, *before]}, {batch_id - 1, batch_id})
 
     return apply
 
 
-def _bucket(buckets: int):
-    return F.pmod(F.xxhash64(KEY), F.lit(buckets)).cast("int").alias("bucket")
-
-
-def _versions(spark: SparkSession, path: str, batch_id: int) -> dict[int, int]:
-    """The version of every bucket after a batch."""
+def _runs(spark: SparkSession, path: str, batch_id: int) -> list[dict]:
+    """The runs of the table after a batch; a number logarithmic in the batches."""
     if batch_id < 0:
-        return {}
-    listed = spark.read.schema(_LIST).parquet(f"{path}/list/batch={batch_id}")
-    return {r["bucket"]: r["version"] for r in listed.collect()}
+        return []
+    return [r.asDict() for r in spark.read.schema(_LIST).parquet(f"{path}/list/batch={batch_id}").collect()]
 
 
-def _read(spark: SparkSession, path: str, versions: dict[int, int]) -> DataFrame:
-    """The rows of some buckets, each at its version."""
-    found = spark.createDataFrame([], PRODUCTS.schema)
-    for version in sorted({*versions.values()}):
-        wanted = [b for b, v in versions.items() if v == version]
-        rows = spark.read.schema(_ROWS).parquet(f"{path}/data/version={version}")
-        found = found.unionByName(rows.filter(F.col("bucket").isin(wanted)).drop("bucket"))
-    return found
+def _read(spark: SparkSession, path: str, runs: list[str]) -> DataFrame:
+    if not runs:
+        return spark.createDataFrame([], PRODUCT_CHANGES.schema)
+    return spark.read.schema(PRODUCT_CHANGES.schema).parquet(*[f"{path}/data/run={r}" for r in runs])
 
 
-def _remove_old(path: str, versions: set[int], first_list: int) -> None:
+def _remove_old(path: str, runs: set[str], lists: set[int]) -> None:
     from pyarrow import fs
 
     store, inner = store_of(path)
-    for folder, needed in (("data", versions), ("list", {first_list, first_list + 1})):
+    for folder, needed in (("data", runs), ("list", {str(n) for n in lists})):
         for info in store.get_file_info(fs.FileSelector(f"{inner}/{folder}", allow_not_found=True)):
-            number = info.base_name.rpartition("=")[2]
-            if number.isdigit() and int(number) not in needed:
+            if "=" in info.base_name and info.base_name.partition("=")[2] not in needed:
                 store.delete_dir(info.path)
 
 
@@ -142,5 +154,7 @@ def merge_latest(table: str):
 def read_latest(spark: SparkSession, path: str, batch_id: int | None = None) -> DataFrame:
     """The latest product rows, as of the last finished batch or the one before it."""
     if batch_id is None:
-        batch_id = spark.read.parquet(f"{path}/list").agg(F.max("batch")).first()[0]
-    return _read(spark, path, _versions(spark, path, batch_id))
+        batch_id = newest_batch(f"{path}/list")
+    runs = [r["run"] for r in _runs(spark, path, batch_id)]
+    rows = _read(spark, path, runs)
+    return (rows.filter(is_live()).select(*PRODUCTS.columns)) if len(runs) == 1 else fold(rows)

@@ -114,3 +114,31 @@ def test_history_in_pieces_equals_plain(spark, seed):
     columns = ["product_id", "product_name", "stock", "valid_from", "valid_to"]
     plain = rows(changelog.history(changes), *columns)
     assert rows(changelog.history(changes, max_task_rows=40), *columns) == plain
+
+
+def chunk(spark, *rows):
+    from orderloom.schemas import SNAPSHOT_CHUNKS
+
+    return spark.createDataFrame([(p, name, 1, at("00:00:00"), low, high) for p, name, low, high in rows], SNAPSHOT_CHUNKS.schema)
+
+
+def test_chunks_lie_behind_their_low_position(spark, make):
+    log = make.changes(
+        ("a", "log", "00:00:01", "u", 10), ("b", "log", "00:00:01", "u", 10), ("c", "log", "00:00:01", "u", 12),
+        ("d", None, "00:00:01", "d", 11), ("e", None, "00:00:01", "d", 10), ("f", "only", "00:00:01", "c", 5),
+    )
+    chunks = chunk(spark, *[(p, "chunk", 10, 12) for p in "abcdeg"], ("a", "later", 20, 20), (None, "x", 1, 1))
+    out = changelog.fold(changelog.incremental_snapshot(chunks, log))
+    assert rows(out, "product_id", "product_name") == [
+        ("a", "later"), ("b", "chunk"), ("c", "log"), ("e", "chunk"), ("f", "only"), ("g", "chunk")
+    ]
+    # Chunks that may show more than the log has are held back.
+    out = changelog.fold(changelog.incremental_snapshot(chunks, log, read_to=12))
+    assert ("a", "chunk") in rows(out, "product_id", "product_name")
+    assert changelog.incremental_snapshot(chunks, log, read_to=11).count() == 6 + 1
+
+
+def test_chunks_without_positions_are_refused(spark, make):
+    for bad in [("a", "x", None, 1), ("a", "x", 2, 1), ("a", "x", 1, None)]:
+        with pytest.raises(Exception, match="snapshot chunk"):
+            changelog.incremental_snapshot(chunk(spark, bad), make.changes()).collect()

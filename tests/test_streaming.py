@@ -352,15 +352,68 @@ def test_latest_table_follows_the_changes(spark, make, tmp_path):
     assert {p.name for p in (tmp_path / "table" / "list").iterdir()} == {"batch=3", "batch=4"}
 
 
-def test_a_batch_writes_only_the_buckets_it_touches(spark, make, tmp_path):
+def test_a_batch_writes_only_its_own_rows_until_runs_are_merged(spark, make, tmp_path):
     table = str(tmp_path / "table")
     many = [(f"p{i}", "a", "00:00:01", "c", i) for i in range(200)]
-    upsert_latest(table)(make.changes(*many), 0)
-    upsert_latest(table)(make.changes(("p7", "b", "00:00:02", "u", 300)), 1)
-    first, second = ({p.name for p in (tmp_path / "table" / "data" / f"version={v}").glob("bucket=*")} for v in (0, 1))
-    assert len(first) > 30 and len(second) == 1
+    apply = upsert_latest(table, fan=4)
+    apply(make.changes(*many), 0)
+    for n in range(1, 6):
+        apply(make.changes((f"p{n}", "b", "00:00:02", "u", 300 + n)), n)
+        runs = {p.name: spark.read.parquet(str(p)).count() for p in (tmp_path / "table" / "data").iterdir()}
+        assert runs[f"run={n}-0"] == 1 if n != 3 else runs["run=3-1"] == 200
     found = dict(rows(read_latest(spark, table), "product_id", "product_name"))
-    assert len(found) == 200 and found["p7"] == "b" and found["p8"] == "a"
+    assert len(found) == 200 and [found[f"p{i}"] for i in range(8)] == ["a", *"bbbbb", "a", "a"]
+
+
+def latest_after(spark, make, tmp_path, batches, **options):
+    table = str(tmp_path / "table")
+    for n, changes in enumerate(batches):
+        upsert_latest(table, **options)(make.changes(*changes), n)
+    return rows(read_latest(spark, table), "product_id", "product_name")
+
+
+def test_latest_table_goes_by_arrival_in_any_order(spark, make, tmp_path):
+    rng = random.Random(4)
+    changes = [(f"p{k}", f"s{k}", "00:00:00", "r", -1) for k in range(6)]
+    for seq in range(40):
+        op = rng.choice("uud")
+        changes.append((f"p{rng.randrange(7)}", f"v{seq}" if op == "u" else None, f"00:00:{rng.randrange(60):02d}", op, seq))
+    changes += [("p8", "none", "00:00:01", "u", None), (None, "x", "00:00:01", "u", 50)]
+    want = rows(fold(make.changes(*changes)), "product_id", "product_name")
+    for n in range(3):
+        rng.shuffle(changes)
+        cuts = sorted(rng.sample(range(1, len(changes)), 9))
+        batches = [changes[a:b] for a, b in zip([0, *cuts], [*cuts, None])]
+        assert latest_after(spark, make, tmp_path / str(n), batches, fan=3) == want
+
+
+def test_old_rows_and_deleted_products_stay_away(spark, make, job, tmp_path):
+    """A snapshot in three files, one file at a time: the changes are read before the last of it."""
+    job = S.Job(job.order_files, job.change_files, job.base, snapshot=str(tmp_path / "snapshot"), max_files=1)
+    for k in (1, 2, 3):
+        append_log(make.changes((f"k{k}", "old", "00:00:01", "r", 0)).select(*PRODUCTS.columns).coalesce(1), PRODUCTS, job.snapshot)
+    append_log(make.changes(("k3", "new", "00:00:02", "u", 5), ("k2", None, "00:00:03", "d", 6)).coalesce(1), PRODUCT_CHANGES, job.change_files)
+    S.start_products(spark, job, S.AVAILABLE_NOW).awaitTermination()
+    S.start_latest_products(spark, job, S.AVAILABLE_NOW).awaitTermination()
+    assert rows(read_latest(spark, job.latest), "product_id", "product_name") == [("k1", "old"), ("k3", "new")]
+
+
+def test_settled_deletes_go_and_older_rows_are_refused(spark, make, tmp_path):
+    batches = [
+        [("a", "1", "00:00:01", "c", 0), ("b", "1", "00:00:01", "c", 1)],
+        [("a", None, "00:00:02", "d", 2)],
+        [("b", "2", "00:00:03", "u", 50)],
+        [("a", "old", "00:00:01", "u", 1), ("c", "new", "00:00:04", "c", 51)],
+    ]
+    assert latest_after(spark, make, tmp_path, batches[:3], settled=10, fan=3) == [("b", "2")]
+    kept = spark.read.parquet(str(tmp_path / "table" / "data" / "run=2-1"))
+    assert rows(kept, "product_id", "op") == [("b", "u")]
+    upsert_latest(str(tmp_path / "table"), settled=10, fan=3)(make.changes(*batches[3]), 3)
+    assert rows(read_latest(spark, str(tmp_path / "table")), "product_id", "product_name") == [("b", "2"), ("c", "new")]
+
+
+def test_empty_batches_leave_the_latest_table(spark, make, tmp_path):
+    assert latest_after(spark, make, tmp_path, [[], [("a", "1", "00:00:01", "c", 0)], []]) == [("a", "1")]
 
 
 def test_snapshot_comes_before_the_changes(spark, make, job, tmp_path):
