@@ -7,7 +7,6 @@ import os
 
 from orderloom.operators.windows import DEFAULT_WINDOW_MINUTES
 from orderloom.session import get_spark
-from orderloom.streaming.enrich import DEFAULT_SPREAD
 from orderloom.streaming.pipeline import Job, run_available, start_all
 
 
@@ -17,7 +16,8 @@ def parse(args: list[str] | None = None) -> tuple[Job, bool]:
     parser.add_argument("--change-files", required=True, help="folder of product change rows (Parquet)")
     parser.add_argument("--base", required=True, help="shared folder for logs and checkpoints")
     parser.add_argument("--snapshot", help="folder of product rows before the first change (Parquet)")
-    parser.add_argument("--spread", type=int, default=DEFAULT_SPREAD, help="state groups per product")
+    parser.add_argument("--spread", type=int, help="state groups per product (by measured heat)")
+    parser.add_argument("--chunks", help="folder of a snapshot read in chunks, with log positions (Parquet)")
     parser.add_argument("--max-files", type=int, help="files taken per trigger (all)")
     parser.add_argument("--zipped", action="store_true", help="order files are zip archives")
     parser.add_argument(

@@ -1,9 +1,9 @@
 """Split hot keys into pieces of their time order, so that no task gets a whole hot key.
 
-The rows of the hot keys are dealt out by range of (key, order, a random number): a piece
+The rows of the hot keys are dealt out by range of (key, order, a hash of row and task): a piece
 is one such range. Their number follows from the number of rows; a key may have any number
-of pieces, and even rows of one key and one instant are spread. The pieces are written once,
-so that every later read sees the same ones.
+of pieces, and even rows of one key and one instant are spread. A task that runs again deals its
+rows alike. The pieces are written once, so that every later read sees the same ones.
 """
 
 from __future__ import annotations
@@ -37,7 +37,9 @@ def cut(rows: DataFrame, order: list[str], max_task_rows: int) -> DataFrame:
     """``rows`` with ``piece``: ranges of ``order``, ascending, of about equal size; stored."""
     spark = rows.sparkSession
     pieces = max(1, math.ceil(MARGIN * rows.count() / max_task_rows))
-    ranged = rows.withColumn("_spread", F.rand(0)).repartitionByRange(pieces, *order, "_spread")
+    # Equal rows differ by their task, and a task that runs again gives the same numbers.
+    spread = F.xxhash64(*rows.columns, F.spark_partition_id())
+    ranged = rows.withColumn("_spread", spread).repartitionByRange(pieces, *order, "_spread")
     ranged = ranged.withColumn("piece", F.spark_partition_id()).drop("_spread")
     path = run_dir(spark, "pieces")
     ranged.write.parquet(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,9 +28,10 @@ from orderloom.schemas import (
     Relation,
 )
 from orderloom.session import STREAM_CONFS, run_dir, session_confs
-from orderloom.sources.csv_orders import read_csv_orders, write_csv_orders
+from orderloom.sources.csv_orders import ORDER_TS_TEXT, read_csv_orders, write_csv_orders
 from orderloom.sources.logs import append_log, read_log
 from orderloom.sources.zip_orders import read_zip_orders
+from orderloom.streaming import accounts
 from orderloom.streaming import pipeline as S
 from orderloom.streaming.history import read_history, start_history
 from orderloom.streaming.sinks import read_latest
@@ -293,7 +295,55 @@ def _replay(spark: SparkSession, sf_dir: str, name: str, start: Callable) -> S.J
 
 def stream_temporal_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     job = _replay(spark, sf_dir, "stream_temporal_enrich", S.start_enriched)
-    return read_log(spark, ENRICHED_ORDERS, job.log(ENRICHED_ORDERS))
+    return S.read_enriched(spark, job)
+
+
+def _replay_in_two(spark: SparkSession, base: str, job: S.Job, orders: DataFrame, changes: DataFrame, between: Callable) -> DataFrame:
+    """Feed tables span by span to the join; ``between`` follows the first span."""
+    edges = _edges(orders, "order_ts", plan_bytes(orders) + plan_bytes(changes))
+    spans = zip(
+        _staged(orders, ORDERS, edges, f"{base}/staged_orders"),
+        _staged(changes, PRODUCT_CHANGES, edges, f"{base}/staged_changes"),
+    )
+    with session_confs(spark, _stream_confs(spark)):
+        for number, (some_orders, some_changes) in enumerate(spans):
+            S.append_orders(job, some_orders)
+            append_log(some_changes, PRODUCT_CHANGES, job.log(PRODUCT_CHANGES))
+            if number == 0:
+                between(spark, job)
+            else:
+                S.start_enriched(spark, job, S.AVAILABLE_NOW).awaitTermination()
+    return S.read_enriched(spark, job)
+
+
+def stream_enrich_handover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backlog enriched as a batch, whose results a stream goes on from."""
+    base = run_dir(spark, "stream_enrich_handover")
+    orders, changes = D.event_orders(spark, sf_dir), D.event_changes(spark, sf_dir)
+    return _replay_in_two(spark, base, S.Job("", "", f"{base}/job"), orders, changes, S.hand_over)
+
+
+def stream_enrich_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A join whose state is laid out anew on the way, from four groups a product to eight."""
+    base = run_dir(spark, "stream_enrich_rebuilt")
+
+    def rebuild(spark: SparkSession, job: S.Job) -> None:
+        S.start_enriched(spark, replace(job, spread=4), S.AVAILABLE_NOW).awaitTermination()
+        S.rebuild_enriched(spark, job, spread=8)
+
+    orders, changes = D.event_orders(spark, sf_dir), D.event_changes(spark, sf_dir)
+    return _replay_in_two(spark, base, S.Job("", "", f"{base}/job"), orders, changes, rebuild)
+
+
+def stream_enrich_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the orders on one product: it alone is spread, by the heat measured at the start."""
+    base = run_dir(spark, "stream_enrich_hot_key")
+
+    def start(spark: SparkSession, job: S.Job) -> None:
+        S.start_enriched(spark, job, S.AVAILABLE_NOW).awaitTermination()
+
+    orders, changes = D.skewed_event_orders(spark, sf_dir), D.skewed_event_changes(spark, sf_dir)
+    return _replay_in_two(spark, base, S.Job("", "", f"{base}/job"), orders, changes, start)
 
 
 def stream_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -309,7 +359,7 @@ def pipeline_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             write_csv_orders(orders, job.order_files)
             append_log(changes, PRODUCT_CHANGES, job.change_files)
             S.run_available(spark, job)
-    return read_log(spark, PRODUCT_WINDOW_COUNTS, job.log(PRODUCT_WINDOW_COUNTS))
+    return S.read_counts(spark, job)
 
 
 def pipeline_products_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -379,6 +429,31 @@ def stream_products_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_history(spark, path)
 
 
+def pipeline_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of every line, in two runs of the job: refused, without a key, late and so on.
+
+    Every fortieth order has no product; every fiftieth of the first run comes in the second.
+    """
+    base = run_dir(spark, "pipeline_accounting")
+    job = S.Job(f"{base}/orders_in", f"{base}/changes_in", f"{base}/job", window_minutes=STREAM_WINDOW)
+    orders, changes = D.event_orders(spark, sf_dir), D.event_changes_with_deletes(spark, sf_dir)
+    number = F.col("order_id").cast("bigint")
+    early = F.col("order_ts") < F.lit(CUT).cast("timestamp_ntz")
+    product = F.when(number % 40 == 3, "").otherwise(F.col("product_id"))
+    time = F.date_format("order_ts", ORDER_TS_TEXT)
+    lines = orders.select(
+        F.concat_ws(",", "order_id", product, "quantity", time).alias("line"), (early & (number % 50 != 7)).alias("first")
+    ).unionByName(
+        changes.select(F.concat_ws(",", "seq", "product_id").alias("line"), _before_cut().alias("first"))
+    )
+    with session_confs(spark, _stream_confs(spark)):
+        for first in (True, False):
+            lines.filter(F.col("first") == first).select("line").write.mode("append").text(job.order_files)
+            append_log(changes.filter(_before_cut() == first), PRODUCT_CHANGES, job.change_files)
+            S.run_available(spark, job)
+    return accounts.totals(accounts.read(spark, job.accounts))
+
+
 QUERIES: dict[str, Query] = {
     "orders_log": orders_log,
     "order_message_keys": order_message_keys,
@@ -419,4 +494,8 @@ QUERIES: dict[str, Query] = {
     "pipeline_latest_out_of_order": pipeline_latest_out_of_order,
     "pipeline_chunked_snapshot": pipeline_chunked_snapshot,
     "stream_products_history": stream_products_history,
+    "stream_enrich_handover": stream_enrich_handover,
+    "stream_enrich_rebuilt": stream_enrich_rebuilt,
+    "stream_enrich_hot_key": stream_enrich_hot_key,
+    "pipeline_accounting": pipeline_accounting,
 }

@@ -62,6 +62,8 @@ FROM counts"""
 _END = """(SELECT least((SELECT max(order_ts) FROM ev_orders),
                  (SELECT max(last_updated_ts) FROM ev_changes)) - INTERVAL 1 SECOND)"""
 
+_SKEW_END = _END.replace("ev_orders", "skew_orders").replace("ev_changes", "skew_changes")
+
 _EVENTS = (D.EVENT_ORDERS_SQL, D.EVENT_CHANGES_SQL)
 _DELETES = (*_EVENTS, D.DELETES_SQL)
 _SKEWED = (*_DELETES, D.SKEWED_ORDERS_SQL, D.SKEWED_CHANGES_SQL)
@@ -169,3 +171,30 @@ ORACLE["cdc_incremental_snapshot"] = ORACLE["pipeline_chunked_snapshot"] = (
 WHERE op <> 'd'"""
 )
 ORACLE["stream_products_history"] = ORACLE["products_history_hot_key"]
+ORACLE["stream_enrich_handover"] = ORACLE["stream_enrich_rebuilt"] = ORACLE["stream_temporal_enrich"]
+ORACLE["stream_enrich_hot_key"] = _SKEW + _ALL_ENRICHED + f"\nWHERE order_ts <= {_SKEW_END}"
+ORACLE["pipeline_accounting"] = (
+    _with(*_DELETES, _versions("del_changes"))
+    + f""", o AS (
+  SELECT *, CAST(order_id AS BIGINT) % 40 <> 3 AS keyed,
+    order_ts < TIMESTAMP '{CUT}' AND CAST(order_id AS BIGINT) % 50 <> 7 AS first FROM ev_orders),
+ends AS (
+  SELECT least((SELECT max(order_ts) FROM o WHERE keyed AND first),
+               (SELECT max(last_updated_ts) FROM del_changes WHERE last_updated_ts < TIMESTAMP '{CUT}'))
+           - INTERVAL 1 SECOND AS one,
+         least((SELECT max(order_ts) FROM o WHERE keyed), (SELECT max(last_updated_ts) FROM del_changes))
+           - INTERVAL 1 SECOND AS two),
+joined AS (
+  SELECT o.order_id, keyed, NOT first AND o.order_ts <= (SELECT one FROM ends) AS late,
+    o.order_ts <= (SELECT two FROM ends) AS due, coalesce(p.op <> 'd', false) AS live
+  FROM o ASOF LEFT JOIN versions p ON o.product_id = p.product_id AND o.order_ts >= p.last_updated_ts),
+n AS (
+  SELECT (SELECT count(*) FROM del_changes) AS refused, count(*) AS orders,
+    count(*) FILTER (NOT keyed) AS unkeyed, count(*) FILTER (keyed AND late) AS late,
+    count(*) FILTER (keyed AND NOT late AND due AND live) AS matched,
+    count(*) FILTER (keyed AND NOT late AND due AND NOT live) AS unmatched,
+    count(*) FILTER (keyed AND NOT late AND NOT due) AS waiting
+  FROM joined)
+SELECT unnest(['lines', 'refused', 'unkeyed', 'late', 'matched', 'unmatched', 'waiting']) AS part,
+  unnest([orders + refused, refused, unkeyed, late, matched, unmatched, waiting]) AS n FROM n"""
+)
