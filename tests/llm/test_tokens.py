@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 from zlib import crc32
 
 import numpy as np
@@ -21,7 +22,6 @@ def plain():
     from tokenizers import Tokenizer
 
     made = Tokenizer.from_file(tokenizer_path())
-    made.encode_special_tokens = True
     return lambda text: made.encode(text or "", add_special_tokens=False).ids
 
 
@@ -87,13 +87,58 @@ def test_encoder_against_the_tokenizer(text):
     if not ENCODER:
         from tokenizers import Tokenizer
 
-        made = Tokenizer.from_file(tokenizer_path())
-        made.encode_special_tokens = True
-        ENCODER.extend([tokens.Encoder(tokenizer_path(), END_ID), made])
+        ENCODER.extend([tokens.Encoder(tokenizer_path(), END_ID), Tokenizer.from_file(tokenizer_path())])
     mine, made = ENCODER
-    for t in (text, f"it's {text} don't", text.replace(" ", "  ")):
+    texts = [text, f"it's {text} don't", text.replace(" ", "  "), f"a.\n{text}\nB", f"x<|endoftext|>{text}"]
+    found = mine.encode(texts)
+    for t, f in zip(texts, found):
         want = made.encode(t, add_special_tokens=False).ids
-        assert np.frombuffer(mine.encode([t])[0], "<u4").tolist() == [*want, END_ID]
+        assert np.frombuffer(f, "<u4").tolist() == [*want, END_ID]
+
+
+@pytest.mark.parametrize("kept", [1, 50, 10**6])
+def test_encoder_on_documents_with_a_small_table(spark, plain, monkeypatch, kept):
+    monkeypatch.setattr(tokens, "WORDS_KEPT", kept)
+    monkeypatch.setattr(tokens, "PIECES_KEPT", kept)
+    monkeypatch.setattr(tokens, "BLOCK_BYTES", 5000)
+    encoder = tokens.Encoder(tokenizer_path(), END_ID)
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    for at in range(0, len(texts), 100):
+        for text, found in zip(texts[at : at + 100], encoder.encode(texts[at : at + 100])):
+            assert np.frombuffer(found, "<u4").tolist() == [*plain(text), END_ID]
+
+
+def test_special_names_as_text():
+    from tokenizers import Tokenizer
+
+    made = Tokenizer.from_file(tokenizer_path())
+    made.encode_special_tokens = True
+    mine = tokens.Encoder(tokenizer_path(), END_ID, special_as_text=True)
+    for text in ("a <|endoftext|> b", "x<|endoftext|>", "plain"):
+        want = made.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(mine.encode([text])[0], "<u4").tolist() == [*want, END_ID]
+
+
+def test_other_tokenizer_files(tmp_path):
+    """Files that do more than cut into bytes: their tokenizer is followed on whole texts."""
+    from tokenizers import Tokenizer
+
+    config = json.load(open(tokenizer_path()))
+    others = {
+        "lower": {"normalizer": {"type": "Lowercase"}},
+        "prefix": {"pre_tokenizer": {**config["pre_tokenizer"], "add_prefix_space": True}},
+        "uncut": {"pre_tokenizer": {**config["pre_tokenizer"], "use_regex": False}},
+        "digits": {"pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+            {"type": "Digits", "individual_digits": True}, config["pre_tokenizer"]]}},
+    }
+    texts = ["Hello World HELLO", "it is 1234 o'clock", " two  blanks", "", "é\nß"]
+    for name, change in others.items():
+        path = tmp_path / f"{name}.json"
+        path.write_text(json.dumps(config | change))
+        made = Tokenizer.from_file(str(path))
+        for text, found in zip(texts, tokens.Encoder(str(path), END_ID).encode(texts)):
+            want = made.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(found, "<u4").tolist() == [*want, END_ID], (name, text)
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 511, 512, 513, 5000])
