@@ -3,17 +3,24 @@
 Words are told apart by 64-bit hashes. The count of a bigram is quantised to its base-2
 logarithm q, and the bigram enters the filter q times, as (bigram, 1) ... (bigram, q). A reader
 probes (bigram, 1), (bigram, 2), ... until one is missing; a false answer can only raise a
-count, and the exact counts of the two words bound it. With c^ the count read back, the
-probability of w after h is (max(c^(hw) - D, 0) + (MU + D * r * c(h)) * P1(w)) / (c(h) + MU),
-where P1 is the smoothed unigram probability and r the distinct bigrams per token: r * c(h)
-stands for the number of words seen after h, each of which gave D away.
+count. With c^ the count that a level stands for and d^ = max(c^ - D, 0), let S(h) be the sum of
+d^(hw) over the words w that were learnt after h; it is summed up when the filter is built and
+held beside the exact count of h. The probability of w after h is
+
+    (d^(hw) + (Z(h) - S(h)) * P1(w)) / Z(h),   Z(h) = max(c(h), S(h)) + MU
+
+where P1 is the smoothed unigram probability, so the probabilities after any h add up to one. False
+answers of the filter are all that can add to this (PROBES probes at BITS bits an entry: about 4 in
+100 for each level); a word or context that was never learnt needs no probe, and no
+probability is taken above one.
 
 All counts cover all learnt documents. Tasks sum up words and bigrams in sorted arrays and send
 them packed, by segment of the hash space; a segment's task adds them up, so a common word costs
 one entry per task. The filter is built by segment, with bits in proportion to its entries, and
 is broadcast in parts of at most PART_BYTES; each part scores the bigrams it holds, and the
 partial sums of a document are added. Exact word counts reach a bucket of documents by a shuffle
-that carries only the words that occur in other buckets too.
+that carries only the words that occur in other buckets too, with their S; that of the others
+follows from the bucket's own bigrams.
 
 A word's hash is a polynomial in its bytes, so the hashes of a whole run of texts come from
 one running sum.
@@ -35,7 +42,7 @@ from pyspark.sql import functions as F
 from orderloom.llm.common import stored
 
 BITS = 7
-PROBES = 3
+PROBES = 4
 PART_BYTES = 96 * 1024 * 1024
 MU = 3.0
 DISCOUNT = 0.75
@@ -52,10 +59,11 @@ BASE = 0x5851F42D4C957F2D
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
 
-# Packed counts: ``part`` is the length of the n-grams, or the bucket that asks.
-_PACKED = "segment int, part int, keys binary, counts binary"
+# Packed counts: ``part`` is the length of the n-grams, or the bucket that asks; bigrams have
+# the word that they begin with in ``heads``.
+_PACKED = "segment int, part int, keys binary, counts binary, heads binary"
 _PACK = pa.schema(
-    [("segment", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]
+    [("segment", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("heads", pa.binary())]
 )
 
 
@@ -126,10 +134,11 @@ def _before(tokens: np.ndarray, behind: np.ndarray, first) -> np.ndarray:
     return out
 
 
-def pairs(tokens: np.ndarray, behind: np.ndarray) -> np.ndarray:
-    """Hashes of the bigrams that end at each token; a text's first follows the start mark."""
+def pairs(tokens: np.ndarray, behind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the bigrams that end at each token, and the words that they begin with; a text's
+    first follows the start mark."""
     before = _before(tokens, behind, np.uint64(START))
-    return _mixed(before * np.uint64(0xBF58476D1CE4E5B9) ^ (tokens + np.uint64(0x94D049BB133111EB)))
+    return _mixed(before * np.uint64(0xBF58476D1CE4E5B9) ^ (tokens + np.uint64(0x94D049BB133111EB))), before
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -146,18 +155,22 @@ def _segment(keys: np.ndarray, segments: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) % np.uint64(segments)).astype(np.int64)
 
 
-def _packs(keys: np.ndarray, counts: np.ndarray, segments: int, part: int) -> pa.RecordBatch:
+def _packs(
+    keys: np.ndarray, counts: np.ndarray, segments: int, part: int, heads: np.ndarray | None = None
+) -> pa.RecordBatch:
     """One row per segment with the sorted keys and their counts."""
     segment = _segment(keys, segments)
     order = np.argsort(segment, kind="stable")
     keys, counts, segment = keys[order], counts[order].astype(np.uint32), segment[order]
+    heads = None if heads is None else heads[order]
     starts = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]]) if len(keys) else []
     ends = [*starts[1:], len(keys)] if len(keys) else []
     return pa.RecordBatch.from_pydict(
         {"segment": pa.array(segment[starts] if len(keys) else [], pa.int32()),
          "part": pa.array([part] * len(starts), pa.int32()),
          "keys": pa.array([keys[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
-         "counts": pa.array([counts[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())},
+         "counts": pa.array([counts[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+         "heads": pa.array([None if heads is None else heads[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())},
         schema=_PACK,
     )
 
@@ -168,6 +181,14 @@ def _summed(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.concatenate(parts), return_counts=True)
 
 
+def _summed_pairs(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct bigrams, how often each occurs, and the words that they begin with."""
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    keys, at, counts = np.unique(np.concatenate([k for k, _ in parts]), return_index=True, return_counts=True)
+    return keys, counts, np.concatenate([h for _, h in parts])[at]
+
+
 def _arrays(table: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     for part, keys, counts in zip(
         table["part"].to_pylist(), table["keys"].to_pylist(), table["counts"].to_pylist()
@@ -185,6 +206,10 @@ def _totals(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 def counted(texts: DataFrame, segments: int) -> DataFrame:
     """Packed counts of the words (part 1) and bigrams (part 2) of the only column of ``texts``."""
 
+    def gram_packs(grams: list) -> pa.RecordBatch:
+        keys, counts, heads = _summed_pairs(grams)
+        return _packs(keys, counts, segments, 2, heads)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, words, grams, size = Hasher(), [], [], 0
         for batch in batches:
@@ -195,11 +220,11 @@ def counted(texts: DataFrame, segments: int) -> DataFrame:
                 size += len(tokens)
                 if size >= FLUSH:
                     yield _packs(*_summed(words), segments, 1)
-                    yield _packs(*_summed(grams), segments, 2)
+                    yield gram_packs(grams)
                     words, grams, size = [], [], 0
         if size:
             yield _packs(*_summed(words), segments, 1)
-            yield _packs(*_summed(grams), segments, 2)
+            yield gram_packs(grams)
 
     return texts.mapInArrow(run, _PACKED)
 
@@ -210,33 +235,54 @@ def _place(x: np.ndarray, probe: int, size: np.ndarray) -> np.ndarray:
     return ((low + np.uint64(probe) * high & np.uint64(0xFFFFFFFF)) * size) >> np.uint64(32)
 
 
-def built(packed: DataFrame) -> DataFrame:
-    """Sums of the packed counts by part and segment: part, segment, n (tokens), v (distinct), and
-    for the bigrams size and body of the filter's segment."""
+def levels_of(counts: np.ndarray) -> np.ndarray:
+    return np.minimum(1 + np.floor(np.log2(np.maximum(counts, 1))).astype(np.int64), LEVELS)
+
+
+def built(packed: DataFrame, segments: int, bits: int = BITS) -> DataFrame:
+    """Sums of the packed counts by part and segment: part, segment, n (tokens), v (distinct), and for the
+    bigrams size and body of the filter's segment.
+
+    Rows of part 3 hold sums of d^ by the words that bigrams begin with, for the segment of the word.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        keys, counts = _totals(table)
-        row = {"part": table["part"][0], "segment": table["segment"][0], "n": int(counts.sum()), "v": len(keys),
-               "size": None, "body": None}
-        if row["part"].as_py() == 2:
-            levels = np.minimum(1 + np.floor(np.log2(counts)).astype(np.int64), LEVELS)
-            size = min(max(64, int(levels.sum()) * BITS), (1 << 32) - 1)
-            on = np.zeros(size, bool)
-            for level in range(1, int(levels.max()) + 1):
-                x = _mixed(keys[levels >= level] + _step(level))
-                for probe in range(PROBES):
-                    on[_place(x, probe, np.uint64(size))] = True
-            row |= {"size": size, "body": np.packbits(on, bitorder="little").tobytes()}
-        return pa.Table.from_pylist([{k: v.as_py() if isinstance(v, pa.Scalar) else v for k, v in row.items()}], _BUILT)
+        part, segment = table["part"][0].as_py(), table["segment"][0].as_py()
+        rows = list(_arrays(table))
+        keys, at, where = np.unique(np.concatenate([k for _, k, _ in rows]), return_index=True, return_inverse=True)
+        counts = np.bincount(where, np.concatenate([c for _, _, c in rows]), len(keys)).astype(np.int64)
+        row = {"part": part, "segment": segment, "n": int(counts.sum()), "v": len(keys)}
+        if part == 1:
+            return pa.Table.from_pylist([row], _BUILT)
+        levels = levels_of(counts)
+        size = min(max(64, int(levels.sum()) * bits), (1 << 32) - 1)
+        on = np.zeros(size, bool)
+        for level in range(1, int(levels.max()) + 1):
+            x = _mixed(keys[levels >= level] + _step(level))
+            for probe in range(PROBES):
+                on[_place(x, probe, np.uint64(size))] = True
+        row |= {"size": size, "body": np.packbits(on, bitorder="little").tobytes()}
+        heads = np.concatenate([np.frombuffer(h, np.uint64) for h in table["heads"].to_pylist()])[at]
+        words, which = np.unique(heads, return_inverse=True)
+        sums = np.bincount(which, discounted(levels), len(words))
+        to = _segment(words, segments)
+        order = np.argsort(to, kind="stable")
+        words, sums, to = words[order], sums[order], to[order]
+        cuts = [0, *(np.flatnonzero(to[1:] != to[:-1]) + 1).tolist(), len(to)]
+        found = [
+            {"part": 3, "segment": int(to[a]), "n": 0, "v": 0, "keys": words[a:b].tobytes(), "sums": sums[a:b].tobytes()}
+            for a, b in zip(cuts, cuts[1:])
+        ]
+        return pa.Table.from_pylist([row, *found], _BUILT)
 
     return packed.groupBy("part", "segment").applyInArrow(
-        run, "part int, segment int, n long, v long, size long, body binary"
+        run, "part int, segment int, n long, v long, size long, body binary, keys binary, sums binary"
     )
 
 
 _BUILT = pa.schema(
     [("part", pa.int32()), ("segment", pa.int32()), ("n", pa.int64()), ("v", pa.int64()), ("size", pa.int64()),
-     ("body", pa.binary())]
+     ("body", pa.binary()), ("keys", pa.binary()), ("sums", pa.binary())]
 )
 
 
@@ -279,6 +325,11 @@ def read_back(levels: np.ndarray) -> np.ndarray:
     return np.where(levels > 0, np.sqrt(low * (2 * low - 1)), 0.0)
 
 
+def discounted(levels: np.ndarray) -> np.ndarray:
+    """What a bigram of each level counts for."""
+    return np.maximum(read_back(levels) - DISCOUNT, 0)
+
+
 def _tokens(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Runs of the rows of a bucket: tokens, places behind texts, and whether each text is held out."""
     hasher, held = Hasher(), np.array(table["held"].to_pylist(), bool)
@@ -300,28 +351,49 @@ def _own_counts(runs: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     return np.r_[keys, new][order], np.r_[counts, np.zeros(len(new), np.int64)][order]
 
 
-def lookups(docs: DataFrame, segments: int) -> DataFrame:
-    """Packed exact counts by bucket, of the words whose count there differs from the whole one."""
+def _sums_by_word(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The S of each word in packed sums."""
+    if not table.num_rows:
+        return np.zeros(0, np.uint64), np.zeros(0)
+    keys = np.concatenate([np.frombuffer(k, np.uint64) for k in table["keys"].to_pylist()])
+    sums = np.concatenate([np.frombuffer(s, np.float64) for s in table["sums"].to_pylist()])
+    words, which = np.unique(keys, return_inverse=True)
+    return words, np.bincount(which, sums, len(words))
+
+
+def _found(words: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """The value of each word asked for; 0 for those that are not there."""
+    if not len(words):
+        return np.zeros(len(asked), values.dtype)
+    at = np.minimum(np.searchsorted(words, asked), len(words) - 1)
+    return np.where(words[at] == asked, values[at], 0)
+
+
+def lookups(docs: DataFrame, sums: DataFrame, segments: int) -> DataFrame:
+    """Packed exact counts and S by bucket, of the words whose count there differs from the whole one."""
 
     def ask(table: pa.Table) -> pa.Table:
         keys, counts = _own_counts(list(_tokens(table)))
         return pa.Table.from_batches([_packs(keys, counts, segments, table["bucket"][0].as_py())], _PACK)
 
-    def answer(table: pa.Table) -> pa.Table:
-        keys, totals = _totals(table)
+    def answer(table: pa.Table, sums: pa.Table) -> pa.Table:
         out = []
-        for bucket, own, counts in _arrays(table):
-            whole = totals[np.searchsorted(keys, own)]
-            some = whole != counts
-            out.append((bucket, own[some].tobytes(), whole[some].astype(np.uint64).tobytes()))
-        return pa.table(
-            {"bucket": pa.array([o[0] for o in out], pa.int32()),
-             "keys": pa.array([o[1] for o in out], pa.binary()),
-             "counts": pa.array([o[2] for o in out], pa.binary())}
-        )
-
-    asked = docs.groupBy("bucket").applyInArrow(ask, _PACKED)
-    return asked.groupBy("segment").applyInArrow(answer, "bucket int, keys binary, counts binary")
+        if table.num_rows:
+            keys, totals = _totals(table)
+            words, s = _sums_by_word(sums)
+            for bucket, own, counts in _arrays(table):
+                whole = totals[np.searchsorted(keys, own)]
+                some = whole != counts
+                out.append(
+                    (bucket, own[some].tobytes(), whole[some].astype(np.uint64).tobytes(), _found(words, s, own[some]).tobytes())
+                )
+        names = [("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("sums", pa.binary())]
+        return pa.table({name: pa.array([o[k] for o in out], t) for k, (name, t) in enumerate(names)})
+
+    asked = docs.groupBy("bucket").applyInArrow(ask, _PACKED).groupBy("segment")
+    return asked.cogroup(sums.groupBy("segment")).applyInArrow(
+        answer, "bucket int, keys binary, counts binary, sums binary"
+    )
 
 
 SCORES = (
@@ -330,46 +402,62 @@ SCORES = (
 
 
 def _scored(
-    docs: pa.Table, words: pa.Table, filter_: Filter, n: int, v: int, starts: int, mu: float, spread: float
+    docs: pa.Table, words: pa.Table, filter_: Filter, n: int, v: int, starts: int, start_sum: float, mu: float
 ) -> pa.Table:
     """Scores of a bucket; ``score`` sums the tokens whose bigram the filter part holds."""
     runs = list(_tokens(docs))
     keys, counts = _own_counts(runs)
-    for k, c in zip(words["keys"].to_pylist(), words["counts"].to_pylist()):
-        counts[np.searchsorted(keys, np.frombuffer(k, np.uint64))] = np.frombuffer(c, np.uint64).astype(np.int64)
+    own, sums = np.ones(len(keys), bool), np.zeros(len(keys))
+    for k, c, s in zip(words["keys"].to_pylist(), words["counts"].to_pylist(), words["sums"].to_pylist()):
+        at = np.searchsorted(keys, np.frombuffer(k, np.uint64))
+        counts[at] = np.frombuffer(c, np.uint64).astype(np.int64)
+        own[at], sums[at] = False, np.frombuffer(s, np.float64)
+    grams = []
+    for tokens, behind, held in runs:
+        # Learnt bigrams of the words that occur in this bucket alone.
+        learnt = np.repeat(~held, np.diff(np.r_[0, behind]))
+        learnt[np.r_[0, behind[:-1]]] = False
+        gram, head = pairs(tokens, behind)
+        at = np.searchsorted(keys, head[learnt])
+        mine = own[at]
+        grams.append((gram[learnt][mine], at[mine].astype(np.uint64)))
+    _, often, head = _summed_pairs(grams)
+    sums += np.bincount(head.astype(np.int64), discounted(levels_of(often)), len(keys))
     weight = n + 0.5 * (v + 1)
-    sums: dict[str, list] = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
+    out: dict[str, list] = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
     for tokens, behind, _ in runs:
         word, which = np.unique(tokens, return_inverse=True)
-        c = counts[np.searchsorted(keys, word)][which]
+        at = np.searchsorted(keys, word)
+        c = counts[at][which]
         one = (c + 0.5) / weight
         before = _before(c, behind, starts)
-        gram, which = np.unique(pairs(tokens, behind), return_inverse=True)
-        likely = read_back(filter_.levels(gram))[which]
-        likely = np.maximum(np.minimum(likely, np.minimum(c, before)) - DISCOUNT, 0)
-        score = np.log10((likely + (mu + DISCOUNT * spread * before) * one) / (before + mu))
+        given = _before(sums[at][which], behind, start_sum)
+        gram, which = np.unique(pairs(tokens, behind)[0], return_inverse=True)
+        likely = np.where((c > 0) & (before > 0), discounted(filter_.levels(gram))[which], 0)
+        whole = np.maximum(before, given) + mu
+        score = np.log10(np.minimum((likely + (whole - given) * one) / whole, 1))
         begins = np.r_[0, behind[:-1]]
-        sums["n_tokens"] += np.diff(np.r_[0, behind]).tolist()
-        sums["n_known"] += np.add.reduceat((c > 0).astype(np.int64), begins).tolist()
-        sums["base_score"] += np.add.reduceat(np.log10(one), begins).tolist()
-        sums["score"] += np.add.reduceat(np.where(filter_.holds(gram)[which], score, 0.0), begins).tolist()
+        out["n_tokens"] += np.diff(np.r_[0, behind]).tolist()
+        out["n_known"] += np.add.reduceat((c > 0).astype(np.int64), begins).tolist()
+        out["base_score"] += np.add.reduceat(np.log10(one), begins).tolist()
+        out["score"] += np.add.reduceat(np.where(filter_.holds(gram)[which], score, 0.0), begins).tolist()
     return pa.table(
         {"row": docs["row"], "doc_id": docs["id"], "held_out": docs["held"],
-         "n_tokens": pa.array(sums["n_tokens"], pa.int64()), "n_known": pa.array(sums["n_known"], pa.int64()),
-         "base_score": pa.array(sums["base_score"], pa.float64()), "score": pa.array(sums["score"], pa.float64())}
+         "n_tokens": pa.array(out["n_tokens"], pa.int64()), "n_known": pa.array(out["n_known"], pa.int64()),
+         "base_score": pa.array(out["base_score"], pa.float64()), "score": pa.array(out["score"], pa.float64())}
     )
 
 
-def _parts(sizes: list[tuple[int, int]], most: int) -> list[list[int]]:
-    """Segments in runs of at most ``most`` bytes (one segment at least)."""
-    parts: list[list[int]] = []
-    held = 0
-    for segment, size in sorted(sizes):
-        if not parts or held + size // 8 > most:
-            parts.append([])
-            held = 0
-        parts[-1].append(segment)
-        held += size // 8 + 1
+def _ranges(body: DataFrame, segments: int, most: int) -> int:
+    """In how many even ranges of segments no range has more than ``most`` bytes of the filter."""
+    total = body.agg(F.sum(F.ceil(F.col("size") / 8))).first()[0] or 0
+    parts = max(1, -(-total // most))
+    while parts < segments:
+        part = F.floor(F.col("segment") * parts / segments)
+        largest = body.groupBy(part.alias("part")).agg(F.sum(F.ceil(F.col("size") / 8)).alias("s")).agg(F.max("s"))
+        if (largest.first()[0] or 0) <= most:
+            break
+        parts = min(segments, parts + max(1, parts // 10))
     return parts
 
 
@@ -378,6 +466,7 @@ def score(
     held: Column,
     mu: float = MU,
     part_bytes: int = PART_BYTES,
+    bits: int = BITS,
     id_col: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
@@ -393,35 +482,36 @@ def score(
     buckets = max(64, -(-size // BUCKET_BYTES))
     learnt = rows.filter(~F.col("held")).select("text")
     starts = learnt.count()
-    body = stored(built(counted(learnt, segments)), "ngram_filter")
-    sums = body.groupBy("part").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()
-    n, v = next(((r["n"], r["v"]) for r in sums if r["part"] == 1), (0, 0))
-    spread = next((r["v"] for r in sums if r["part"] == 2), 0) / max(1, n)
-    body = body.filter("part = 2")
-    every = [tuple(r) for r in body.select("segment", "size").collect()]
-    # Segments without an entry hold nothing, and belong to the first part.
-    parts = _parts([*every, *((s, 0) for s in {*range(segments)} - {s for s, _ in every})], part_bytes)
+    body = stored(built(counted(learnt, segments), segments, bits), "ngram_filter")
+    totals = body.groupBy("part").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
+    n, v = next(((r["n"], r["v"]) for r in totals.collect() if r["part"] == 1), (0, 0))
+    sums = body.filter("part = 3").select("segment", "keys", "sums")
+    start_sum = _of_start(sums.filter(F.col("segment") == int(_segment(np.array([START], np.uint64), segments)[0])))
+    body = body.filter("part = 2").select("segment", "size", "body")
+    parts = _ranges(body, segments, part_bytes)
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)).cast("int"))
-    if len(parts) > 1:
+    if parts > 1:
         rows = stored(rows, "lm_docs")
-    words = lookups(rows, segments)
-    if len(parts) > 1:
+    words = lookups(rows, sums, segments)
+    if parts > 1:
         words = stored(words, "lm_words")
     found = None
-    for part in parts:
-        some = body.filter(F.col("segment").between(part[0], part[-1])).select("segment", "size", "body")
+    for part in range(parts):
+        first, behind = -(-part * segments // parts), -(-(part + 1) * segments // parts)
+        some = body.filter((F.col("segment") >= first) & (F.col("segment") < behind))
         filled = [tuple(r) for r in some.collect()]
-        empty = [(s, 64, bytes(8)) for s in part if s not in {f[0] for f in filled}]
+        # Segments without an entry hold nothing.
+        empty = [(s, 64, bytes(8)) for s in {*range(first, behind)} - {f[0] for f in filled}]
         sent = spark.sparkContext.broadcast({"rows": filled + empty, "made": None})
         scored = (
             rows.groupBy("bucket")
             .cogroup(words.groupBy("bucket"))
-            .applyInArrow(_scorer(sent, segments, n, v, starts, mu, spread), SCORES)
+            .applyInArrow(_scorer(sent, segments, n, v, starts, start_sum, mu), SCORES)
         )
-        if len(parts) > 1:
+        if parts > 1:
             scored = stored(scored, "lm_scores")
         found = scored if found is None else found.unionByName(scored)
-    if len(parts) > 1:
+    if parts > 1:
         same = ["row", "doc_id", "held_out", "n_tokens", "n_known"]
         found = found.groupBy(*same).agg(F.max("base_score").alias("base_score"), F.sum("score").alias("score"))
     return found.select(
@@ -429,12 +519,23 @@ def score(
     )
 
 
-def _scorer(sent, segments: int, n: int, v: int, starts: int, mu: float, spread: float):
+def _of_start(sums: DataFrame) -> float:
+    """The S of the start mark."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, s = _sums_by_word(pa.Table.from_batches([batch]))
+            yield pa.RecordBatch.from_pydict({"s": pa.array(_found(words, s, np.array([START], np.uint64)), pa.float64())})
+
+    return sums.mapInArrow(run, "s double").agg(F.sum("s")).first()[0] or 0.0
+
+
+def _scorer(sent, segments: int, n: int, v: int, starts: int, start_sum: float, mu: float):
     def run(docs: pa.Table, words: pa.Table) -> pa.Table:
         value = sent.value
         if value["made"] is None:
             # A worker joins the segments once and lets go of the parts.
             value["made"] = Filter(value.pop("rows"), segments)
-        return _scored(docs, words, value["made"], n, v, starts, mu, spread)
+        return _scored(docs, words, value["made"], n, v, starts, start_sum, mu)
 
     return run
