@@ -61,7 +61,7 @@ def mixed(docs, alpha=0.5, total=1.0, weights=None):
     all_w = sum(w.values())
     out = []
     for i, text, source in docs:
-        rate = round((w[source] / all_w if all_w else 0) * sum(size.values()) * total / size[source], 6)
+        rate = (w[source] / all_w if all_w else 0) * sum(size.values()) * total / size[source]
         m = math.ceil(rate / 32)
         name = "" if i is None else str(i)
         out.append(sum(poisson(number("poisson|42", name, str(j)), rate / m) for j in range(1, m + 1)))
@@ -106,3 +106,48 @@ def trie(turns, rebuild=True):
              saved[node], hashlib.sha256(ends.encode()).hexdigest())
         )
     return sorted(out, key=repr)
+
+
+def plain_blocks(html):
+    """Texts of the blocks of a well-formed page, by the parser of the standard library."""
+    from html.parser import HTMLParser
+
+    blocks = set(
+        "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer "
+        "form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody "
+        "td tfoot th thead tr ul".split()
+    )
+    silent = set("script style noscript template svg iframe object textarea select title button audio video canvas".split())
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.out, self.run, self.hidden = [], [], 0
+
+        def cut(self):
+            text = " ".join("".join(self.run).split())
+            if text:
+                self.out.append(text)
+            self.run = []
+
+        def handle_starttag(self, tag, attrs):
+            self.hidden += tag in silent
+            if tag == "br":
+                self.run.append(" ")
+            elif tag in blocks and not self.hidden:
+                self.cut()
+
+        def handle_endtag(self, tag):
+            self.hidden -= tag in silent
+            if tag in blocks and not self.hidden:
+                self.cut()
+
+        def handle_data(self, data):
+            if not self.hidden:
+                self.run.append(data)
+
+    reader = Reader()
+    reader.feed(html or "")
+    reader.close()
+    reader.cut()
+    return reader.out

@@ -6,6 +6,8 @@ import time
 import numpy as np
 import pytest
 
+from brute import plain_blocks
+
 from orderloom.llm import crf
 from orderloom.llm.dom import blocks_of
 from orderloom.llm.queries import QUERIES
@@ -52,6 +54,44 @@ def test_hidden_elements_end_with_the_element_around_them(page, want):
     assert texts(page) == want
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<p>A&am<b>p;</b> x &l<i>t;</i></p>", ["A&amp; x &lt;"]),
+        ("<p>a &lt<b>b</b> &amp; &#x41;</p>", ["a <b & A"]),
+        ("<p title='5\" tall'>a</p><p title=\"it's\">b", ["a", "b"]),
+        ('<p title="5" tall">a</p><p class=x>b</p>', ["a", "b"]),
+        ("<p>a <x b", ["a <x b"]),
+        ("<p>a</p> 1 < 2 <!-- b", ["a", "1 < 2"]),
+        ("<p>a</p> b <q 'c", ["a", "b <q 'c"]),
+    ],
+)
+def test_references_and_quotes(page, want):
+    assert texts(page) == want
+
+
+@pytest.mark.parametrize(
+    "unit", ["<a href='x ", '<p class="', "</a ", "<a ", '<a x=">"', "<a x='>' ", "<a =\"'>", '<b x="', "<!", "<!-", "=\"<p>", "<a b='\">"]
+)
+def test_damaged_tags_take_linear_time(unit):
+    def took(n):
+        page = unit * n
+        times = []
+        for _ in range(3):
+            began = time.process_time()
+            blocks_of(page)
+            times.append(time.process_time() - began)
+        return min(times)
+
+    small, large = took(8_000), took(64_000)
+    assert large < 0.5 or large < 20 * small  # squared time: 64 times
+
+
+def test_blocks_against_another_reader(spark):
+    pages = [p.html for p in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    assert [texts(p) for p in pages] == [plain_blocks(p) for p in pages]
+
+
 def test_pages_of_open_hidden_elements_take_linear_time():
     for page in ("<svg>", "<object>", "<button>", "<svg/>", "<title>x</title>", "<object></p>", "<math><p>x", "<select></div>"):
         began = time.time()
