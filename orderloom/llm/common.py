@@ -36,16 +36,17 @@ def attach(rows: DataFrame, lookup: DataFrame, key: str, weight: str, total: int
     and its task, so that even equal rows are spread, and a task that runs again agrees.
     """
     bar = max(HOT_ROWS, total // HOT_SHARE)
-    is_hot = F.col(weight) > bar
-    hot = lookup.filter(is_hot).select(key, F.lit(True).alias("_hot"))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]) + F.spark_partition_id(), F.lit(SALTS))
+    is_hot, taken = F.col(weight) > bar, [*rows.columns, *lookup.columns]
+    mark, salt = fresh(taken, "_hot"), fresh(taken, "_salt")
+    hot = lookup.filter(is_hot).select(key, F.lit(True).alias(mark))
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]) + F.spark_partition_id(), F.lit(SALTS))
     left = rows.join(F.broadcast(hot), key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0).cast("long"))
+        salt, F.when(F.col(mark), spread).otherwise(F.lit(0).cast("long"))
     )
     copies = F.when(is_hot, F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
     salts = F.explode(F.coalesce(copies, F.array(F.lit(0).cast("long"))))
-    right = lookup.withColumn("_salt", salts).drop(weight)
-    return left.drop("_hot").join(right, [key, "_salt"], how).drop("_salt")
+    right = lookup.withColumn(salt, salts).drop(weight)
+    return left.drop(mark).join(right, [key, salt], how).drop(salt)
 
 
 def put_file(uri: str, body: bytes, attempt: str) -> None:
@@ -59,8 +60,9 @@ def put_file(uri: str, body: bytes, attempt: str) -> None:
     store.move(aside, inner)
 
 
-def fresh(df: DataFrame, name: str) -> str:
+def fresh(df: DataFrame | list[str], name: str) -> str:
     """``name``, with underscores appended until no column of ``df`` has it."""
-    while name.lower() in (c.lower() for c in df.columns):
+    columns = df if isinstance(df, list) else df.columns
+    while name.lower() in (c.lower() for c in columns):
         name += "_"
     return name

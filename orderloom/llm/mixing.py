@@ -7,7 +7,8 @@ is kept. Copies are dealt to partitions and ordered by a hash of id and copy num
 
 Defined results: the size of a row is its text's characters plus one (null text: none), so an
 empty source has a rate too; a null source is a source of its own; a null id hashes as an empty
-one; rows with equal ids have equal counts, and repeated rows are replicated each.
+one; rows with equal ids have equal counts, and repeated rows are replicated each. However small
+its weight, a source keeps it. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -64,8 +65,8 @@ def rates(
     all_w, all_size = weighed.agg(F.sum("w"), F.sum("size")).first()
     share = F.col("w") / F.lit(all_w) if all_w else F.lit(0.0)
     return weighed.select(
-        "key", "n", "size", F.round(share, 9).alias("weight"),
-        F.round(share * F.lit(float(all_size or 0) * total) / F.col("size"), 6).alias("rate"),
+        "key", "n", "size", share.alias("weight"),
+        (share * F.lit(float(all_size or 0) * total) / F.col("size")).alias("rate"),
     )
 
 
@@ -100,19 +101,19 @@ def poisson_mix(
     by it and sorted). Input columns of these names are replaced.
     """
     docs = docs.drop(copy, order)
-    key, parts = fresh(docs, "_key"), fresh(docs, "_parts")
+    key, parts, number = fresh(docs, "_key"), fresh(docs, "_parts"), fresh(docs, "_n")
     per_source = rates(docs, weights, alpha, total, source, text)
     pieces = F.ceil(F.col("rate") / MEAN).cast("int")
     per_source = per_source.select(
-        F.col("key").alias(key), F.col("n").alias("_n"),
+        F.col("key").alias(key), F.col("n").alias(number),
         F.struct(pieces.alias("m"), _cumulative(F.col("rate") / F.greatest(pieces, F.lit(1))).alias("c")).alias(parts),
     ).filter(pieces > 0)
     per_source = stored(per_source, "rates")
     keyed = docs.withColumn(key, source_key(source))
     if per_source.count() <= SMALL:
-        joined = keyed.join(F.broadcast(per_source.drop("_n")), key)
+        joined = keyed.join(F.broadcast(per_source.drop(number)), key)
     else:
-        joined = attach(keyed, per_source, key, "_n", docs.count())
+        joined = attach(keyed, per_source, key, number, docs.count())
     name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
 
     def count(j: Column) -> Column:

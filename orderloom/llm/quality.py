@@ -161,12 +161,12 @@ def train(
     usable = labels.filter(F.col(id_col).isNotNull() & F.col(label).isNotNull() & ~held_out(id_col))
     chosen = usable.groupBy(id_col).agg(F.max(label).cast("int").alias("_y"))
     chosen = chosen.orderBy(F.xxhash64(id_col), id_col).limit(sample)
-    rows = docs.select(id_col, text).join(F.broadcast(chosen), id_col)
-    # Ids may repeat in the documents: one row of each is learnt from.
-    schema = "id long, y int, at array<int>, x array<float>, stats array<double>"
+    rows = docs.select(id_col, text).join(F.broadcast(chosen), id_col).withColumn("_h", F.xxhash64(text))
+    # Ids may repeat in the documents: one text of each is learnt from, the same in every run.
+    schema = "id long, y int, at array<int>, x array<float>, stats array<double>, h long"
     kind = pa.schema(
         [("id", pa.int64()), ("y", pa.int32()), ("at", pa.list_(pa.int32())),
-         ("x", pa.list_(pa.float32())), ("stats", pa.list_(pa.float64()))]
+         ("x", pa.list_(pa.float32())), ("stats", pa.list_(pa.float64())), ("h", pa.int64())]
     )
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,11 +176,12 @@ def train(
                 [batch.column(0).cast(pa.int64()), batch.column(2).cast(pa.int32()),
                  pa.array([m[0] for m in made], kind.field(2).type),
                  pa.array([m[1] for m in made], kind.field(3).type),
-                 pa.array([m[2] for m in made], kind.field(4).type)],
+                 pa.array([m[2] for m in made], kind.field(4).type), batch.column(3)],
                 schema=kind,
             )
 
-    found = rows.mapInArrow(features, schema).dropDuplicates(["id"]).toArrow().sort_by("id")
+    one = F.min_by(F.struct("y", "at", "x", "stats"), "h").alias("r")
+    found = rows.mapInArrow(features, schema).groupBy("id").agg(one).select("id", "r.*").toArrow().sort_by("id")
     at, x, stats = (_rows(found[c].combine_chunks()) for c in ("at", "x", "stats"))
     made = list(zip(at, x, stats))
     return fit(made, np.asarray(found["y"], np.float32), hashed, rank, epochs, seed)

@@ -48,7 +48,7 @@ def op4_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.read_records(spark, path)
 
     def page(urn: str) -> Column:
-        return F.try_to_number(F.split(urn, ":")[2], F.lit("9" * 19)).cast("long")
+        return F.split(urn, ":")[2].try_cast("long")
 
     return records.select(
         page("record_id").alias("page_id"),
@@ -186,7 +186,7 @@ FROM m
 WITH src AS (
   SELECT source, count(*) AS n, sum(length(coalesce(text, '')) + 1) AS size FROM documents GROUP BY source),
 rate AS (
-  SELECT source, round(sqrt(size) / (SELECT sum(sqrt(size)) FROM src) * (SELECT sum(size) FROM src) / size, 6) AS r
+  SELECT source, sqrt(size) / (SELECT sum(sqrt(size)) FROM src) * (SELECT sum(size) FROM src) / size AS r
   FROM src),
 part AS (SELECT source, ceil(r / 32)::INT AS m, r / ceil(r / 32) AS mean FROM rate WHERE r > 0),
 cdf AS (

@@ -9,7 +9,9 @@ Rows reach a task sorted, so a task that runs again writes the same bytes under
 Defined results: a null payload is empty; a null URL is written as an empty one; null page ids
 sort below all others and are never preferred as response; rows equal in id and payload to the
 response are responses themselves. A record that is damaged, misses a segment, or fails its
-total length or digest keeps its row, with the fault in ``problem`` and no payload.
+total length or digest keeps its row, with the fault in ``problem`` and no payload; a member or
+record that cannot be read at all gives one such row without an id, and reading goes on with the
+next. No pages give an archive without records; other columns of the pages have no effect.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from contextlib import suppress
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -203,62 +206,117 @@ def _member(body: bytes) -> bytes:
     return packer.compress(body) + packer.flush()
 
 
-def _members(body: bytes) -> Iterator[bytes]:
-    """The gzip members of a file, or the whole of a plain one."""
+_GZIP = b"\x1f\x8b\x08"
+
+
+def _member_at(view: memoryview, at: int) -> tuple[bytes, int]:
+    """The gzip member at a place, and the place behind it."""
+    # Fed in short steps, as what lies behind a member is copied with each.
+    unpacker, out = zlib.decompressobj(31), []
+    while not unpacker.eof:
+        if at >= len(view):
+            raise ValueError("archive cut short")
+        out.append(unpacker.decompress(view[at : at + STEP]))
+        at += len(view[at : at + STEP]) - len(unpacker.unused_data)
+    return b"".join(out), at
+
+
+def _members(body: bytes) -> Iterator[tuple[int, bytes | Exception]]:
+    """The places and contents of the gzip members of a file; a plain file is one.
+
+    A damaged member gives its fault, and reading goes on at the next place where a whole member
+    begins. Bytes between the two belong to the fault.
+    """
     if body[:2] != b"\x1f\x8b":
-        yield body
+        yield 0, body
         return
-    # Fed in short steps, as what lies behind a member is copied with each.
     view, at = memoryview(body), 0
     while at < len(view):
-        unpacker, out = zlib.decompressobj(31), []
-        while not unpacker.eof:
-            if at >= len(view):
-                raise ValueError("archive cut short")
-            out.append(unpacker.decompress(view[at : at + STEP]))
-            at += len(view[at : at + STEP]) - len(unpacker.unused_data)
-        yield b"".join(out)
+        try:
+            data, end = _member_at(view, at)
+        except (ValueError, zlib.error) as e:
+            yield at, e
+            data = None
+            while data is None:
+                at = body.find(_GZIP, at + 1)
+                if at < 0:
+                    return
+                with suppress(ValueError, zlib.error):
+                    data, end = _member_at(view, at)
+                    if not data.startswith(b"WARC/"):
+                        data = None  # what looked like a member inside the damaged one
+        yield at, data
+        at = end
+
+
+def _record_at(data: bytes, at: int) -> tuple[dict, int]:
+    """The record at a place as a piece, and the place behind it."""
+    end = data.find(b"\r\n\r\n", at)
+    if not data.startswith(b"WARC/", at) or end < 0:
+        raise ValueError("not a record")
+    fields = {}
+    for line in data[at:end].decode("utf-8", "replace").split("\r\n")[1:]:
+        key, _, value = line.partition(":")
+        fields[key.strip().lower()] = value.strip()
+    size = int(fields["content-length"]) if fields.get("content-length", "").isdigit() else -1
+    block = data[end + 4 : end + 4 + size]
+    if size < 0 or len(block) < size:
+        raise ValueError("record cut short")
+    own = fields.get("warc-record-id", "").strip("<>")
+    total = fields.get("warc-segment-total-length")
+    number = int(fields.get("warc-segment-number", 1))
+    piece = {
+        "origin": fields.get("warc-segment-origin-id", own).strip("<>"),
+        "number": number,
+        "segmented": "warc-segment-number" in fields,
+        "last": total is not None or "warc-segment-number" not in fields,
+        "total": None if total is None else int(total),
+        "type": fields.get("warc-type"),
+        "record_id": own,
+        "uri": fields.get("warc-target-uri"),
+        "refers_to": fields.get("warc-refers-to", "").strip("<>") or None,
+        "digest": fields.get("warc-payload-digest"),
+        "block": block,
+        "problem": None,
+    }
+    return piece, end + 4 + size
+
+
+def parse(data: bytes) -> Iterator[tuple[int, dict | ValueError]]:
+    """Records of uncompressed WARC data as pieces with their places; a damaged one gives its
+    fault, and reading goes on at the next line that begins a record."""
+    at = 0
+    while True:
+        while data[at : at + 1] in (b"\r", b"\n"):
+            at += 1
+        if at >= len(data):
+            return
+        try:
+            piece, end = _record_at(data, at)
+        except ValueError as e:
+            yield at, e
+            following = data.find(b"\nWARC/", at)
+            if following < 0:
+                return
+            at = following + 1
+        else:
+            yield at, piece
+            at = end
 
 
-def parse(data: bytes) -> Iterator[dict]:
-    """Records of uncompressed WARC data as pieces; ValueError at a damaged one."""
-    at = 0
-    while data[at:].strip(b"\r\n"):
-        end = data.find(b"\r\n\r\n", at)
-        if not data.startswith(b"WARC/", at) or end < 0:
-            raise ValueError("not a record")
-        fields = {}
-        for line in data[at:end].decode("utf-8", "replace").split("\r\n")[1:]:
-            key, _, value = line.partition(":")
-            fields[key.strip().lower()] = value.strip()
-        size = int(fields["content-length"]) if fields.get("content-length", "").isdigit() else -1
-        block = data[end + 4 : end + 4 + size]
-        if size < 0 or len(block) < size:
-            raise ValueError("record cut short")
-        at = end + 4 + size
-        while data[at : at + 2] == b"\r\n":
-            at += 2
-        own = fields.get("warc-record-id", "").strip("<>")
-        total = fields.get("warc-segment-total-length")
-        number = int(fields.get("warc-segment-number", 1))
-        yield {
-            "origin": fields.get("warc-segment-origin-id", own).strip("<>"),
-            "number": number,
-            "segmented": "warc-segment-number" in fields,
-            "last": total is not None or "warc-segment-number" not in fields,
-            "total": None if total is None else int(total),
-            "type": fields.get("warc-type"),
-            "record_id": own,
-            "uri": fields.get("warc-target-uri"),
-            "refers_to": fields.get("warc-refers-to", "").strip("<>") or None,
-            "digest": fields.get("warc-payload-digest"),
-            "block": block,
-            "problem": None,
-        }
+def _pieces_of(body: bytes) -> Iterator[tuple[str, dict | Exception]]:
+    """The pieces of a file, and a fault for each stretch that cannot be read, with their places."""
+    for place, data in _members(body):
+        if isinstance(data, Exception):
+            yield str(place), data
+        else:
+            yield from ((f"{place}.{at}", piece) for at, piece in parse(data))
 
 
 def pieces(spark: SparkSession, path: str, segmented: bool | None = None) -> DataFrame:
-    """The records of the archives under ``path``, one row each; a damaged file ends in a problem row.
+    """The records of the archives under ``path``, one row each.
+
+    A damaged member, or record of a plain file, gives a problem row, and reading goes on behind it.
 
     ``segmented`` asks for the pieces of cut records only, or for the other records only.
     """
@@ -270,19 +328,18 @@ def pieces(spark: SparkSession, path: str, segmented: bool | None = None) -> Dat
             for name, body in zip(batch.column(0).to_pylist(), batch.column(1)):
                 held: list[dict] = []
                 size = 0
-                try:
-                    for data in _members(body.as_py()):
-                        for piece in parse(data):
-                            if segmented is not None and segmented != piece["segmented"]:
-                                continue
-                            held.append(piece)
-                            size += len(piece["block"])
-                            if size >= 8 << 20:
-                                yield pa.RecordBatch.from_pylist(held, schema=_PIECE)
-                                held, size = [], 0
-                except (ValueError, zlib.error) as e:
-                    if not segmented:
-                        held.append({"origin": f"{name}#{e}", "number": 1, "last": True, "problem": str(e)})
+                for place, piece in _pieces_of(body.as_py()):
+                    if isinstance(piece, Exception):
+                        if segmented:
+                            continue
+                        piece = {"origin": f"{name}#{place}", "number": 1, "last": True, "problem": str(piece), "block": b""}
+                    elif segmented is not None and segmented != piece["segmented"]:
+                        continue
+                    held.append(piece)
+                    size += len(piece["block"])
+                    if size >= 8 << 20:
+                        yield pa.RecordBatch.from_pylist(held, schema=_PIECE)
+                        held, size = [], 0
                 yield pa.RecordBatch.from_pylist(held, schema=_PIECE)
 
     return files.select("path", "content").mapInArrow(run, PIECE)

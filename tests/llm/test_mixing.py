@@ -78,3 +78,29 @@ def test_output_order_is_global_and_repeatable(spark):
 
 def test_no_rows(spark):
     assert mixing.poisson_mix(spark.createDataFrame([], DDL)).count() == 0
+
+
+def test_sources_of_the_least_weight_keep_it(spark):
+    weights = {"a": 1.0, "b": 1e-7}
+    d = spark.range(4000).select(
+        F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.when(F.col("id") < 2000, "a").otherwise("b").alias("source")
+    )
+    rates = {r["key"]: r["rate"] for r in mixing.rates(d, weights).collect()}
+    assert rates["+b"] == pytest.approx(2e-7, rel=1e-6) and rates["+a"] == pytest.approx(2.0, rel=1e-6)
+    # The source's documents are counted, and drawn by their own small mean.
+    d = d.unionByName(spark.range(4000, 60_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"), F.lit("b").alias("source")))
+    found = mixing.poisson_mix(d, weights={"a": 1.0, "b": 1e-3})
+    assert 20 < found.filter("source = 'b'").count() < 130
+
+
+@pytest.mark.parametrize("small", [mixing.SMALL, 0])
+def test_clashing_names(spark, monkeypatch, small):
+    import corpus_pipeline
+
+    monkeypatch.setattr(mixing, "SMALL", small)
+    names = ["_salt", "_hot", "_key", "_parts", "_n", "copy", "shuffle_key", "n", "key"]
+    rows = [(i, "text", f"s{i % 3}", *(f"{c}{i}" for c in names)) for i in range(3000)]
+    d = spark.createDataFrame(rows, f"{DDL}, {', '.join(f'{c} string' for c in names)}")
+    found = corpus_pipeline.mix(spark, d, "")
+    assert found.columns == d.columns
+    assert {tuple(r) for r in found.collect()} <= set(rows) and found.count() > 1000

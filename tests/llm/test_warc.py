@@ -78,7 +78,7 @@ def test_no_rows(spark, tmp_path):
 
 
 def _piece(data):
-    return [{**p} for part in warc._members(data) for p in warc.parse(part)]
+    return [{**p} for _, part in warc._members(data) for _, p in warc.parse(part)]
 
 
 def test_reassembly_checks():
@@ -106,9 +106,44 @@ def test_damaged_archives_keep_what_was_read(spark):
     from orderloom.llm.common import put_file
 
     put_file(f"{path}/cut.warc.gz", b"".join(records)[:-5], "t")
-    put_file(f"{path}/plain.warc", b"".join(warc._members(records[0])), "t")
+    put_file(f"{path}/plain.warc", b"".join(d for _, d in warc._members(records[0])), "t")
     put_file(f"{path}/junk.warc", b"this is no archive", "t")
     got = warc.read_records(spark, path).select("record_id", "problem").collect()
     assert sorted((r.record_id or "", r.problem or "") for r in got) == [
         ("", "archive cut short"), ("", "not a record"), ("urn:x:0", ""), ("urn:x:0", ""), ("urn:x:1", ""),
     ]
+
+
+def test_reading_goes_on_behind_damage(spark):
+    from orderloom.llm.common import put_file
+
+    def made(i):
+        body = b"page %d " % i * 20
+        return b"".join(warc._member(r) for r in warc.page_records(f"urn:x:{i}", "u", body, warc.digest_of(body), None, 9999))
+
+    path = run_dir(spark, "warc_test")
+    members = [made(i) for i in range(50)]
+    hurt = bytearray(b"".join(members))
+    at = len(b"".join(members[:12])) + len(members[12]) // 2
+    hurt[at : at + 6] = b"\xff" * 6
+    start = len(b"".join(members[:30]))
+    hurt[start : start + 3] = b"abc"  # this member does not even begin
+    put_file(f"{path}/hurt.warc.gz", bytes(hurt), "t")
+    plain = [b"".join(d for _, d in warc._members(m)) for m in members[:5]]
+    plain[1] = plain[1].replace(b"Content-Length", b"Content-Longth", 1)
+    plain[3] = b"junk\r\n" + plain[3][9:]
+    put_file(f"{path}/plain.warc", b"".join(plain), "t")
+    got = warc.read_records(spark, path).select("record_id", "problem").collect()
+    ids = sorted(int(r.record_id.split(":")[2]) for r in got if r.record_id)
+    assert ids == sorted([*(i for i in range(50) if i not in (12, 30)), 0, 2, 4])
+    assert len([r for r in got if r.problem]) == 4
+
+
+def test_ids_of_any_sign(spark, tmp_path):
+    rows = [(-5, "u", "same"), (3, "u", "same"), (-9, "v", "other"), (None, "w", "none"), (-(2**63), "x", "least")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    found = QUERIES["op4_warc_segments"](spark, str(tmp_path)).select("page_id", "record_type", "refers_to").collect()
+    assert sorted(map(tuple, found), key=repr) == sorted(
+        [(-5, "revisit", 3), (3, "response", None), (-9, "response", None), (None, "response", None), (-(2**63), "response", None)],
+        key=repr,
+    )
