@@ -2,6 +2,13 @@
 
 ``run`` gives the rows of the last stage. ORACLE_SQL is None: XXH64 fingerprints, a trained
 classifier and tokenisation are beyond SQL; tests hold the stages against brute force.
+
+Every stage takes and gives the columns of ``documents``, whatever others come with them and under
+any names; values are never changed. Defined results: a null text counts as an empty one, which has a
+score, fingerprint zero, no benchmark words, a size of one and the end token alone. Rows with a null id
+are scored and mixed like others; of near copies, the least id stays, a null one only among nulls.
+Repeated rows are kept or dropped alike by the filters, deduplicated to one, and replicated alike by
+the mix. An empty table gives no rows at any stage.
 """
 
 from __future__ import annotations
@@ -39,7 +46,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents replicated to the target weights of their sources, in shuffled order."""
-    return mixing.poisson_mix(docs).select(docs.columns)
+    copy, order = fresh(docs, "copy"), fresh(docs, "shuffle_key")
+    return mixing.poisson_mix(docs, copy=copy, order=order).select(docs.columns)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
