@@ -43,21 +43,57 @@ def test_ties_copies_and_odd_vectors(spark, shard_rows):
     assert sorted(map(tuple, found)) == brute(rows, lambda i: i % 10 == 0, 7)
 
 
-def test_factor_one_is_exact_and_greater_ones_prune(spark):
-    rng = np.random.default_rng(8)
+def clustered(n, seed=8):
+    rng = np.random.default_rng(seed)
     centres = rng.normal(size=(30, 16))
-    points = (centres[rng.integers(0, 30, 4000)] + 0.15 * rng.normal(size=(4000, 16))).astype(np.float64)
-    queries, tree = points[:100], vptree.Tree(points)
+    return (centres[rng.integers(0, 30, n)] + 0.15 * rng.normal(size=(n, 16))).astype(np.float64)
+
+
+def test_factor_one_is_exact_and_greater_ones_prune():
+    points = clustered(4000)
+    queries = points[:100]
     exact = np.argsort(-(queries @ points.T), axis=1)[:, :10]
 
-    def recall(factor):
+    def search(factor):
+        tree = vptree.Tree(points)
         q, p = tree.search(queries, 10, factor)
         got = [set(p[q == i][np.argsort(-(points[p[q == i]] @ queries[i]))[:10]]) for i in range(100)]
-        return np.mean([len(g & set(e)) / 10 for g, e in zip(got, exact)]), len(q)
+        return np.mean([len(g & set(e)) / 10 for g, e in zip(got, exact)]), tree.visited / (100 * len(points))
+
+    recall, shares = zip(*(search(f) for f in (1.0, 1.2, 1.5, 2.0)))
+    assert recall[0] == 1.0 and recall[1] >= 0.9
+    assert shares[0] < 0.5 and all(a > b for a, b in zip(shares, shares[1:])) and shares[3] < 0.8 * shares[0]
+
+
+@pytest.mark.parametrize("factor", [1.0, 1.2])
+def test_queries_visit_only_cells_within_their_bound(spark, monkeypatch, factor):
+    points = clustered(3000)
+    rows = [(i, v.tolist()) for i, v in enumerate(points)] + [(10_000 + i, points[7].tolist()) for i in range(500)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    seen = []
+    plain = vptree.routes
+
+    def routes(queries, tree, cells, factor):
+        found = plain(queries, tree, cells, factor)
+        seen.append(found.count() / (queries.count() * max(1, len(cells) - 1)))
+        return found
 
-    assert recall(1.0)[0] == 1.0
-    loose, pairs = recall(1.2)
-    assert loose >= 0.9 and pairs <= recall(1.0)[1]
+    monkeypatch.setattr(vptree, "routes", routes)
+    found = vptree.nearest(df, F.col("vec_id") % 50 == 0, k=7, factor=factor, shard_rows=120).collect()
+    # Float products of doubles: the same sums in the same order.
+    ok = {i: np.array(v) for i, v in rows}
+    every = np.stack(list(ok.values()))
+    ids = np.array(list(ok))
+    right = total = 0
+    for q in [i for i in ok if i % 50 == 0]:
+        score = vptree.dots(np.broadcast_to(ok[q], every.shape), every)
+        best = sorted((-s, i) for s, i in zip(score.tolist(), ids.tolist()) if i != q)[:7]
+        mine = sorted((r.rank, r.vec_id, r.score) for r in found if r.query_id == q)
+        if factor == 1.0:
+            assert mine == [(n, i, -s) for n, (s, i) in enumerate(best, 1)]
+        right += len({i for _, i in best} & {i for _, i, _ in mine})
+        total += 7
+    assert right / total >= 0.9 and seen[0] < 0.8
 
 
 def test_no_rows(spark):
