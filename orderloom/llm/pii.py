@@ -1,7 +1,8 @@
 """Personal data by bootstrapped contextual extraction, in DataFrame operations only.
 
-Regular expressions find the seed entities. The words around them are lexical patterns; a graph
-joins patterns to the instances seen in them, over all identifier-like words of the corpus.
+Regular expressions find the seed entities. The words around them, in several forms, are lexical
+patterns; a graph joins patterns to the instances seen in them, over all identifier-like words of
+the corpus.
 Rounds of scoring weigh patterns by the share of their instances already known to be of one
 kind, and instances by the patterns that hold them; instances scored high enough and of
 plausible form become known and count in the next round, until a round finds none. Every
@@ -13,7 +14,8 @@ and have the form of a kind are candidates. Of added spans of a kind in a row, t
 another are left out.
 
 Places are code points, ends exclusive. Defined results: a null text counts as empty and has no
-entity; an id may be null or repeated: every input row gives one output row.
+entity; an id may be null or repeated: every input row gives one output row, and no rows give none.
+Other columns have no effect.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 # the others; a group ends before a letter, and a run begins behind none.
 _GROUP = r"[0-9]++(?![\p{L}@])"
 RUN = rf"(?<![\p{{L}}\p{{N}}@+])(?:\((?=[0-9]++\)))?{_GROUP}(?:(?:[\x20.-]\(?|\([\x20.-]?|\)[\x20.-]?){_GROUP})++"
-# Forms that a discovered instance of a kind must have.
+# Forms that a discovered instance of a kind must have; a card passes Luhn too.
 PLAUSIBLE = {
     "email": r"^\S+(@|\(at\)|\[at\])\S+$",
     "ip": r"^([0-9]{1,3}[._-]){3}[0-9]{1,3}$|^[0-9A-Fa-f]{0,4}(:[0-9A-Fa-f]{0,4}){3,7}$",
@@ -198,22 +200,38 @@ def _formed(value: Column) -> Column:
     return reduce(lambda a, b: a | b, [value.rlike(form) for form in PLAUSIBLE.values()])
 
 
-def _patterns(left: Column, right: Column) -> Column:
-    """Lexical patterns of an occurrence: the words around it, in three forms."""
+def _shape(value: Column) -> Column:
+    """An identifier with each run of digits as 9 and each run of letters as a."""
+    return F.regexp_replace(F.regexp_replace(value, "[0-9]+", "9"), r"\p{L}+", "a")
+
+
+def _patterns(left: Column, right: Column, value: Column) -> Column:
+    """Lexical patterns of an occurrence, from the words around it: on both sides, on the left
+    alone, over gaps of one and two words (a name, say), and with the identifier's shape.
+
+    Words count without their marks, so that "phone:" is "phone".
+    """
 
     def words(side: Column) -> Column:
         found = F.regexp_extract_all(F.lower(side), F.lit(r"\S+"), F.lit(0))
-        return found
+        return F.filter(F.transform(found, lambda w: F.regexp_replace(w, r"[^\p{L}\p{N}]+", "")), lambda w: w != "")
 
     before, after = words(left), words(right)
-    one = F.coalesce(F.try_element_at(before, F.lit(-1)), F.lit("^"))
-    two = F.coalesce(F.try_element_at(before, F.lit(-2)), F.lit("^"))
-    three = F.coalesce(F.try_element_at(after, F.lit(1)), F.lit("$"))
-    return F.array(
-        F.concat_ws(" ", two, one, F.lit("_")),
-        F.concat_ws(" ", one, F.lit("_"), three),
-        F.concat_ws(" ", two, one, F.lit("_"), three),
-    )
+    one, two, three, four = [F.coalesce(F.try_element_at(before, F.lit(-n)), F.lit("^")) for n in range(1, 5)]
+    next_one = F.coalesce(F.try_element_at(after, F.lit(1)), F.lit("$"))
+    place, gap = F.lit("_"), F.lit("*")
+    forms = [
+        (two, one, place),
+        (one, place, next_one),
+        (two, one, place, next_one),
+        (one, place),
+        (one, place, F.lit("like"), _shape(value)),
+        (three, gap, one, place),
+        (four, gap, gap, one, place),
+        (three, two, gap, place),
+        (four, three, gap, gap, place),
+    ]
+    return F.array(*[F.concat_ws(" ", *form) for form in forms])
 
 
 def _overlaps(span: Column) -> Column:
@@ -257,12 +275,15 @@ def occurrences(found: DataFrame) -> DataFrame:
     start = F.col("s.at")
     return every.select(
         "row", "kind", start.alias("start"), (start + F.length("s.core")).alias("end"),
-        F.lower("s.core").alias("value"), _patterns(F.col("s.left"), F.col("s.right")).alias("patterns"),
+        F.lower("s.core").alias("value"), _patterns(F.col("s.left"), F.col("s.right"), F.col("s.core")).alias("patterns"),
     ).filter("value <> ''")
 
 
 def _plausible(kind: Column, value: Column) -> Column:
-    checks = [(kind == k) & value.rlike(form) for k, form in PLAUSIBLE.items()]
+    checks = [
+        (kind == k) & value.rlike(form) & (luhn(_digits(value)) if k == "card" else F.lit(True))
+        for k, form in PLAUSIBLE.items()
+    ]
     return reduce(lambda a, b: a | b, checks)
 
 

@@ -184,3 +184,61 @@ def test_rows_with_many_seeds_give_the_same_words(spark, monkeypatch):
     monkeypatch.setattr(pii, "PAIRS", 0)
     assert words() == plain and plain
     found.unpersist()
+
+
+def planted(rng):
+    """Texts with identifiers of which a form finds some, and what the unseen ones are."""
+    openings = ["please", "you can", "to order", "for help", "any time", "our staff", "customers", "do not"]
+    asks = {
+        "phone": ["call {} at", "phone {} on", "ring {} under", "telephone of {}:", "reach {} via mobile"],
+        "email": ["write to {} at", "mail {} under", "contact {} by e-mail:", "send {} a note to"],
+        "ip": ["host {} answers at", "server {} listens on", "log in to {} from"],
+        "card": ["{} paid with card", "charged the card of {}:"],
+    }
+    ends = ["today", "soon", "thanks", "or later", "again", "if needed"]
+    names = ["anna", "mr. brown", "the office", "our shop", "dr. lee", "us", "sales", "the desk"]
+
+    def luhn(digits):
+        for last in "0123456789":
+            if passes("card", digits + last):
+                return digits + last
+
+    def number(kind):
+        n = "".join(rng.choice("0123456789") for _ in range(15))
+        if kind == "phone":
+            return f"+1 555 {n[:3]} {n[3:7]}", rng.choice([f"555-{n[7:10]}-{n[10:14]}", f"(555) {n[7:10]}-{n[10:14]}", f"555 {n[7:10]} {n[10:14]}"])
+        if kind == "email":
+            return f"u{n[:6]}@mail{n[6]}.example.com", f"u{n[7:12]}{rng.choice(['(at)', '[at]'])}mail.example.com"
+        if kind == "ip":
+            parts = [str(rng.randrange(1, 255)) for _ in range(4)]
+            return ".".join(parts), "-".join(str(rng.randrange(1, 255)) for _ in range(4))
+        other = luhn("4" + n[::-1][:14])
+        return luhn("4" + n[:14]), ".".join(other[k : k + 4] for k in range(0, 16, 4))
+
+    texts, unseen = {}, {}
+    for kind, wordings in asks.items():
+        for i in range(240):
+            ask = rng.choice(wordings).format(rng.choice(names))
+            seed, other = number(kind)
+            hidden = i % 4 == 0
+            value = other if hidden else seed
+            head = f"{rng.choice(openings)} {ask} "
+            texts[len(texts)] = f"{head}{value} {rng.choice(ends)}."
+            if hidden:
+                unseen[len(texts) - 1] = f"{kind}:{len(head)}:{len(head) + len(value)}"
+    for i in range(300):
+        n = "".join(rng.choice("0123456789") for _ in range(10))
+        clean = rng.choice(["version {} is out", "part no. {} fits", "see page {} of it", "costs {} in all", "order {} was sent"])
+        texts[len(texts)] = f"{rng.choice(openings)} {clean.format(f'{n[:3]}-{n[3:6]}-{n[6:]}')}"
+    return texts, unseen
+
+
+def test_recall_and_precision_on_planted_identifiers(spark, tmp_path):
+    texts, unseen = planted(random.Random(11))
+    found = {r.doc_id: set(filter(None, r.spans.split(","))) for r in query(spark, texts, tmp_path)}
+    base = {i: {s for spans in brute(t).values() for s in spans} for i, t in texts.items()}
+    added = {i: found[i] - base[i] for i in texts}
+    caught = sum(s in added[i] for i, s in unseen.items())
+    wrong = sum(len(a - {unseen.get(i)}) for i, a in added.items())
+    assert caught / len(unseen) >= 0.9, caught / len(unseen)
+    assert caught / (caught + wrong) >= 0.95, wrong
