@@ -18,6 +18,7 @@ def parse(args: list[str] | None = None) -> tuple[Job, bool]:
     parser.add_argument("--snapshot", help="folder of product rows before the first change (Parquet)")
     parser.add_argument("--spread", type=int, help="state groups per product (by measured heat)")
     parser.add_argument("--chunks", help="folder of a snapshot read in chunks, with log positions (Parquet)")
+    parser.add_argument("--archive", help="folder that order files move to once they are read, or 'delete'")
     parser.add_argument("--max-files", type=int, help="files taken per trigger (all)")
     parser.add_argument("--zipped", action="store_true", help="order files are zip archives")
     parser.add_argument(

@@ -110,12 +110,33 @@ def _rows(orders: DataFrame, versions: DataFrame) -> DataFrame:
     return order_rows.unionByName(version_rows)
 
 
-def _carry_forward(rows: DataFrame, by: list[str]) -> DataFrame:
+def enrich_log(rows: DataFrame, max_task_rows: int | None = None) -> DataFrame:
+    """The join of the orders and changes in one table: product_id, t (the time of either), side
+    (0 a change, 1 an order), order_id, quantity, product_name, op, seq.
+
+    The table is taken as it lies and must have each product's rows in one partition; with
+    ``max_task_rows`` given, products are instead cut into pieces of their time order.
+    """
+    change = F.col("side") == _VERSION
+    joined = rows.filter(F.col("product_id").isNotNull() & F.col("t").isNotNull()).select(
+        "product_id", "t", "side",
+        F.when(change, F.col("seq")).alias("seq"),
+        F.when(change, is_live()).alias("live"),
+        F.when(change & F.col("seq").isNull(), F.col("product_name")).alias("tie"),
+        F.when(change, F.struct("product_name")).alias("version"),
+        "order_id", "quantity",
+    )
+    if max_task_rows is None:
+        return _carry_forward(joined, ["product_id"], exchange=False)
+    return _carry_in_pieces(joined, max_task_rows)
+
+
+def _carry_forward(rows: DataFrame, by: list[str], exchange: bool = True) -> DataFrame:
     """Last version at or before each order, within the groups ``by``."""
     # Keys often share a long prefix. With their hash in front, most comparisons of
     # the sort end at the first eight bytes. The rows are exchanged by the key
     # itself, so a count per product needs no second exchange.
-    rows = rows.repartition(*by).withColumn("h", F.xxhash64(*by))
+    rows = (rows.repartition(*by) if exchange else rows).withColumn("h", F.xxhash64(*by))
     so_far = (
         Window.partitionBy("h", *by)
         .orderBy(*_ORDERED)
@@ -148,9 +169,12 @@ def _enrich_split(orders: DataFrame, versions: DataFrame, max_task_rows: int) ->
         return _carry_forward(rows, ["product_id"])
     keys = hot.select("product_id")
     cold = _carry_forward(rows.join(keys, "product_id", "left_anti"), ["product_id"])
-    split = P.cut(rows.join(keys, "product_id", "left_semi"), ["product_id", *_ORDERED], max_task_rows)
-    opened = split.unionByName(_openings(split))
-    return cold.unionByName(_carry_forward(opened, ["product_id", "piece"]))
+    return cold.unionByName(_carry_in_pieces(rows.join(keys, "product_id", "left_semi"), max_task_rows))
+
+
+def _carry_in_pieces(rows: DataFrame, max_task_rows: int) -> DataFrame:
+    split = P.cut(rows, ["product_id", *_ORDERED], max_task_rows)
+    return _carry_forward(split.unionByName(_openings(split)), ["product_id", "piece"])
 
 
 def _openings(split: DataFrame) -> DataFrame:

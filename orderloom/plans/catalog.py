@@ -29,6 +29,7 @@ from orderloom.schemas import (
 )
 from orderloom.session import STREAM_CONFS, run_dir, session_confs
 from orderloom.sources.csv_orders import ORDER_TS_TEXT, read_csv_orders, write_csv_orders
+from orderloom.sources.keyed import KeyedLog
 from orderloom.sources.logs import append_log, read_log
 from orderloom.sources.zip_orders import read_zip_orders
 from orderloom.streaming import accounts
@@ -170,6 +171,28 @@ def temporal_enrich_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def temporal_enrich_keyed_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and changes from a log in buckets of their key, appended in parts and compacted."""
+    log = KeyedLog(spark, run_dir(spark, "keyed_log"), buckets=8)
+    orders, changes = D.event_orders(spark, sf_dir), D.event_changes_with_deletes(spark, sf_dir)
+    early = F.col("order_ts") < F.lit(CUT).cast("timestamp_ntz")
+    for part in (early, ~early):
+        log.append(orders.filter(part), ORDERS)
+    for part in (_before_cut(), ~_before_cut()):
+        log.append(changes.filter(part), PRODUCT_CHANGES)
+    log.compact()
+    return log.enriched()
+
+
+def temporal_enrich_keyed_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a third of the rows on one product, which leaves the buckets."""
+    log = KeyedLog(spark, run_dir(spark, "keyed_log"), buckets=8)
+    log.append(D.skewed_event_orders(spark, sf_dir), ORDERS)
+    log.append(D.skewed_event_changes(spark, sf_dir), PRODUCT_CHANGES)
+    log.compact()
+    return log.enriched(max_task_rows=SPLIT_ROWS)
+
+
 def _micros(strategy: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         orders, changes = D.dense_event_orders(spark, sf_dir), D.dense_event_changes(spark, sf_dir)
@@ -228,7 +251,14 @@ def zip_orders_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     refused = read_zip_orders(spark, path).quarantine
     # What a codec says of damaged data is its own affair.
     error = F.regexp_replace("error", "lines: .*", "lines")
-    return refused.select(F.regexp_extract("path", r"([^/]+)\.zip$", 1).alias("archive"), "member", "line", error.alias("error"))
+    rows = refused.select("path", "member", "line", error.alias("error"))
+    # Archives follow from the tasks that write them: what each holds once counts once.
+    once = F.col("line").isNull() | (F.col("line") == files.HEADER)
+    lines = rows.filter(~once).select("member", "line", "error", F.lit(True).alias("every"))
+    every = rows.filter(once).groupBy("member", "line", "error").agg(F.count(F.lit(1)).alias("n"))
+    archives = rows.select("path").distinct().agg(F.count(F.lit(1)).alias("archives"))
+    every = every.crossJoin(F.broadcast(archives)).select("member", "line", "error", (F.col("n") == F.col("archives")).alias("every"))
+    return lines.unionByName(every)
 
 
 # ---- streams --------------------------------------------------------------
@@ -475,6 +505,8 @@ QUERIES: dict[str, Query] = {
     "temporal_enrich_micros": _micros("shuffle"),
     "temporal_enrich_micros_split": _micros("split"),
     "temporal_enrich_micros_broadcast": _micros("broadcast"),
+    "temporal_enrich_keyed_logs": temporal_enrich_keyed_logs,
+    "temporal_enrich_keyed_hot": temporal_enrich_keyed_hot,
     "enriched_log": enriched_log,
     "product_window_counts": _counts(5),
     "product_window_counts_7m": _counts(7),

@@ -56,27 +56,44 @@ def write_order_files(orders: DataFrame, bad: DataFrame, path: str) -> None:
     bad.withColumn("digit", F.lit(-1)).write.partitionBy("digit").mode("append").text(path)
 
 
-def write_damaged_zips(changes: DataFrame, path: str) -> None:
-    """An archive per product: a member with damaged data, then one whose lines are no orders."""
+# The most lines that a task holds before it writes them as an archive.
+ARCHIVE_LINES = 10_000
 
-    def write(key: tuple, table: pa.Table) -> pa.Table:
-        store, folder = store_of(path)
-        store.create_dir(folder, recursive=True)
+
+def write_damaged_zips(changes: DataFrame, path: str, lines_per_archive: int = ARCHIVE_LINES) -> None:
+    """Archives of lines that are no orders, each with a member with damaged data in front.
+
+    A task writes an archive for every so many of its lines, whatever products they are of; the
+    lines of a large table go to many tasks and archives.
+    """
+
+    def archive(lines: list[str]) -> bytes:
         body = io.BytesIO()
         with zipfile.ZipFile(body, "w", zipfile.ZIP_DEFLATED) as z:
             z.writestr("damaged.csv", f"{HEADER}\n" * 50)
-            z.writestr("whole.csv", "\n".join([HEADER, *sorted(table["value"].to_pylist())]) + "\n")
+            z.writestr("whole.csv", "\n".join([HEADER, *lines]) + "\n")
         data = bytearray(body.getvalue())
         start = data.index(b"damaged.csv") + len(b"damaged.csv")
         data[start : start + 8] = b"\xff" * 8
-        name = f"{folder}/{key[0].as_py()}.zip"
-        with store.open_output_stream(f"{folder}/_{key[0].as_py()}", compression=None) as out:
-            out.write(bytes(data))
-        store.move(f"{folder}/_{key[0].as_py()}", name)
-        return pa.table({"archives": pa.array([1], pa.int32())})
-
-    lines = changes.select("product_id", bad_line().alias("value"))
-    lines.groupBy("product_id").applyInArrow(write, "archives int").agg(F.sum("archives")).collect()
+        return bytes(data)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, folder = store_of(path)
+        store.create_dir(folder, recursive=True)
+        context = TaskContext.get()
+        part, attempt, number = context.partitionId(), context.taskAttemptId(), 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, lines_per_archive):
+                name = f"{part:05d}-{number:05d}"
+                aside = f"{folder}/_{name}-{attempt}"
+                with store.open_output_stream(aside, compression=None) as out:
+                    out.write(archive(batch.slice(at, lines_per_archive).column(0).to_pylist()))
+                store.move(aside, f"{folder}/{name}.zip")
+                number += 1
+        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32())], ["archives"])
+
+    lines = changes.select(bad_line().alias("value"))
+    lines.mapInArrow(write, "archives int").agg(F.sum("archives")).collect()
 
 
 def write_zip_batches(

@@ -131,6 +131,8 @@ QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY last_updated_ts DESC
     "temporal_enrich_micros": _DENSE + _ALL_ENRICHED,
     "temporal_enrich_micros_split": _DENSE + _ALL_ENRICHED,
     "temporal_enrich_micros_broadcast": _DENSE + _ALL_ENRICHED,
+    "temporal_enrich_keyed_logs": _DEL + _ALL_ENRICHED,
+    "temporal_enrich_keyed_hot": _SKEW + _ALL_ENRICHED,
     "enriched_log": _EV + _ALL_ENRICHED,
     "product_window_counts": _EV + _counts(5),
     "product_window_counts_7m": _EV + _counts(7),
@@ -149,11 +151,10 @@ UNION ALL SELECT head || ',1,' || ts || ',more', 'malformed line' FROM texts
 UNION ALL SELECT 'order_id,product_id,quantity,order_ts', 'malformed line'
 FROM (SELECT DISTINCT CAST(order_id AS BIGINT) % 10 FROM ev_orders)""",
     "zip_orders_quarantine": _with(D.EVENT_CHANGES_SQL)
-    + """SELECT product_id AS archive, 'whole.csv' AS member,
-       CAST(seq AS VARCHAR) || ',' || product_id AS line, 'malformed line' AS error FROM ev_changes
-UNION ALL SELECT DISTINCT product_id, 'whole.csv', 'order_id,product_id,quantity,order_ts', 'malformed line'
-FROM ev_changes
-UNION ALL SELECT DISTINCT product_id, 'damaged.csv', NULL, 'bad member after 0 lines' FROM ev_changes""",
+    + """SELECT 'whole.csv' AS member,
+       CAST(seq AS VARCHAR) || ',' || product_id AS line, 'malformed line' AS error, true AS every FROM ev_changes
+UNION ALL SELECT DISTINCT 'whole.csv', 'order_id,product_id,quantity,order_ts', 'malformed line', true FROM ev_changes
+UNION ALL SELECT DISTINCT 'damaged.csv', NULL, 'bad member after 0 lines', true FROM ev_changes""",
     "zip_orders_ingest": _ALL_ORDERS,
     "stream_window_counts": _EV
     + _counts(STREAM_WINDOW)

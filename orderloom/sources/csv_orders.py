@@ -10,6 +10,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 from orderloom.functions.time import truncate_ms
 from orderloom.schemas import INTAKE, ORDERS
@@ -64,6 +65,16 @@ def read_csv_orders(spark: SparkSession, path: str) -> Ingest:
     return decode_lines(_file_lines(spark.read.option("recursiveFileLookup", "true").text(path)))
 
 
+def bounded(reader: DataStreamReader, archive: str | None) -> DataStreamReader:
+    """A file stream that moves files it is done with to the folder ``archive``, or with the word
+    ``delete`` removes them. A file is done with when the batch after its own is."""
+    if archive is None:
+        return reader
+    if archive == "delete":
+        return reader.option("cleanSource", "delete")
+    return reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+
+
 def stream_csv_orders(
     spark: SparkSession, path: str, max_files_per_trigger: int | None = None
 ) -> Ingest:
@@ -72,10 +83,10 @@ def stream_csv_orders(
 
 
 def stream_csv_intake(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None, archive: str | None = None
 ) -> DataFrame:
-    """The same, as one stream of decoded rows."""
-    reader = spark.readStream.option("recursiveFileLookup", "true")
+    """The same, as one stream of decoded rows. ``archive`` as in ``bounded``."""
+    reader = bounded(spark.readStream.option("recursiveFileLookup", "true"), archive)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return decode(_file_lines(reader.text(path)))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from orderloom.functions.stores import store_of
-from orderloom.sources.csv_orders import Ingest, decode, decode_lines, split_lines
+from orderloom.sources.csv_orders import Ingest, bounded, decode, decode_lines, split_lines
 
 # Archives above this size are spread member by member.
 SPLIT_BYTES = 64 * 1024 * 1024
@@ -189,10 +189,11 @@ def stream_zip_orders(
 
 
 def stream_zip_intake(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = None, archive: str | None = None
 ) -> DataFrame:
-    """The same, as one stream of decoded rows."""
+    """The same, as one stream of decoded rows. ``archive`` as in ``bounded``."""
     reader = spark.readStream.format("binaryFile").schema(_FILES).option("pathGlobFilter", "*.zip")
+    reader = bounded(reader, archive)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return decode(unzip_lines(reader.load(path)))

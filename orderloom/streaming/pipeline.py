@@ -65,6 +65,9 @@ class Job:
     latest table goes by position. ``settled`` is that of ``upsert_latest``. Logs and
     checkpoints go under ``base``, which all executors must reach.
 
+    ``archive`` names a folder, outside that of the order files, to which order files move once they
+    are logged, so that the input folder stays bounded; ``delete`` removes them instead.
+
     ``spread`` gives every product so many state groups. Without it, the join's first start measures
     in the orders log which products are hot and spreads these; later starts keep that. State
     is laid out for ``spread`` and ``window_minutes``: a start with others is refused.
@@ -79,6 +82,7 @@ class Job:
     snapshot: str | None = None
     chunks: str | None = None
     settled: int | None = None
+    archive: str | None = None
     max_files: int | None = None
 
     def log(self, relation: Relation, generation: int = 0) -> str:
@@ -119,14 +123,17 @@ def start_orders(spark: SparkSession, job: Job, trigger: dict) -> StreamingQuery
     """Insert 2: order files into the orders log, refused lines in a partition of their own."""
     with session_confs(spark, STREAM_CONFS):
         read = stream_zip_intake if job.zipped else stream_csv_intake
-        intake = read(spark, job.order_files, job.max_files).observe(
+        intake = read(spark, job.order_files, job.max_files, job.archive).observe(
             accounts.INTAKE, F.count(F.lit(1)).alias("lines"), F.count_if(F.col("refused")).alias("refused")
         )
         return start_log(intake, INTAKE, job.log(ORDERS), job.checkpoint(ORDERS.name), trigger, by="refused")
 
 
 def append_orders(job: Job, orders: DataFrame) -> None:
-    """Put orders into the log directly."""
+    """Put orders into the log directly; not beside ``start_orders``, whose readers follow its list of files."""
+    store, inner = store_of(f"{job.log(ORDERS)}/_spark_metadata")
+    if store.get_file_info(inner).type != fs.FileType.NotFound:
+        raise ValueError("the orders log belongs to a stream, and files put beside its own are not read")
     others = {f.name: F.lit(None).cast(f.dataType) for f in INTAKE.schema.fields[len(ORDERS.columns):]}
     rows = ORDERS.conform(orders).withColumns(others | {"refused": F.lit(False)})
     rows.write.mode("append").partitionBy("refused").parquet(job.log(ORDERS))
