@@ -34,6 +34,7 @@ from orderloom.sources.logs import append_log, read_log
 from orderloom.sources.zip_orders import read_zip_orders
 from orderloom.streaming import accounts
 from orderloom.streaming import pipeline as S
+from orderloom.streaming.enrich import STATE
 from orderloom.streaming.history import read_history, start_history
 from orderloom.streaming.sinks import read_latest
 
@@ -353,6 +354,19 @@ def stream_enrich_handover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replay_in_two(spark, base, S.Job("", "", f"{base}/job"), orders, changes, S.hand_over)
 
 
+def join_state_handed_over(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the join must still know behind a backlog: waiting orders, and versions an order can need."""
+    job = S.Job("", "", f"{run_dir(spark, 'join_state_handed_over')}/job")
+    S.append_orders(job, D.event_orders(spark, sf_dir))
+    append_log(D.event_changes_with_deletes(spark, sf_dir), PRODUCT_CHANGES, job.log(PRODUCT_CHANGES))
+    held = S.hand_over(spark, job)
+    state = spark.read.schema(STATE).parquet(held.state)
+    return state.select(
+        "product_id", "kind", "order_id", "product_name", F.when(F.col("numbered"), F.col("number")).alias("number"),
+        F.timestamp_add("MICROSECOND", F.col("us"), F.lit("1970-01-01").cast("timestamp_ntz")).alias("ts"),
+    )
+
+
 def stream_enrich_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A join whose state is laid out anew on the way, from four groups a product to eight."""
     base = run_dir(spark, "stream_enrich_rebuilt")
@@ -528,6 +542,7 @@ QUERIES: dict[str, Query] = {
     "stream_products_history": stream_products_history,
     "stream_enrich_handover": stream_enrich_handover,
     "stream_enrich_rebuilt": stream_enrich_rebuilt,
+    "join_state_handed_over": join_state_handed_over,
     "stream_enrich_hot_key": stream_enrich_hot_key,
     "pipeline_accounting": pipeline_accounting,
 }

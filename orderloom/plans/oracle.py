@@ -199,3 +199,14 @@ n AS (
 SELECT unnest(['lines', 'refused', 'unkeyed', 'late', 'matched', 'unmatched', 'waiting']) AS part,
   unnest([orders + refused, refused, unkeyed, late, matched, unmatched, waiting]) AS n FROM n"""
 )
+ORACLE["join_state_handed_over"] = (
+    _with(*_DELETES, _versions("del_changes"))
+    + f""", early AS (
+  SELECT * FROM versions WHERE last_updated_ts <= {_END}
+  QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY last_updated_ts DESC) = 1),
+needed AS (SELECT * FROM early UNION ALL SELECT * FROM del_changes WHERE last_updated_ts > {_END})
+SELECT product_id, 0 AS kind, order_id, NULL AS product_name, quantity::BIGINT AS number, order_ts AS ts
+FROM ev_orders WHERE order_ts > {_END}
+UNION ALL
+SELECT product_id, CASE WHEN op = 'd' THEN 2 ELSE 1 END, NULL, product_name, seq, last_updated_ts FROM needed"""
+)

@@ -281,14 +281,17 @@ def hand_over(spark: SparkSession, job: Job, spread: int | None = None) -> Layou
     name = ENRICHED_ORDERS.name
     if layout.read(job.base, name) is not None:
         raise LayoutChanged(f"{name} has state already; rebuild it instead")
-    orders, changes = read_orders(spark, job), read_log(spark, PRODUCT_CHANGES, job.log(PRODUCT_CHANGES))
-    cut = _reached(orders, changes)
-    made = _measured(spark, job, Layout({}), spread)
-    if cut is not None:
-        due = F.col("order_ts") <= F.lit(cut).cast("timestamp_ntz")
-        append_log(temporal_enrich(orders.filter(due), changes), ENRICHED_ORDERS, job.log(ENRICHED_ORDERS))
-        made = _generation(spark, job, made, state_of(orders, changes, F.lit(cut).cast("timestamp_ntz")), cut)
-    return layout.write(job.base, name, made)
+    with session_confs(spark, STREAM_CONFS):
+        orders, changes = read_orders(spark, job), read_log(spark, PRODUCT_CHANGES, job.log(PRODUCT_CHANGES))
+        cut = _reached(orders, changes)
+        made = _measured(spark, job, Layout({}), spread)
+        if cut is not None:
+            # As text, the time is the same in any zone.
+            at = F.lit(cut.isoformat(sep=" ")).cast("timestamp_ntz")
+            done = temporal_enrich(orders.filter(F.col("order_ts") <= at), changes)
+            append_log(done, ENRICHED_ORDERS, job.log(ENRICHED_ORDERS))
+            made = _generation(spark, job, made, state_of(orders, changes, at), cut)
+        return layout.write(job.base, name, made)
 
 
 def rebuild_enriched(spark: SparkSession, job: Job, spread: int | None = None) -> Layout:
@@ -304,10 +307,11 @@ def rebuild_enriched(spark: SparkSession, job: Job, spread: int | None = None) -
     if held is None:
         raise LayoutChanged(f"{name} has no state to rebuild")
     start_enriched(spark, replace(job, spread=None), AVAILABLE_NOW).awaitTermination()
-    orders, changes = read_orders(spark, job), read_log(spark, PRODUCT_CHANGES, job.log(PRODUCT_CHANGES))
-    state = kept_state(spark, job.checkpoint(held.name(name)))
-    made = _measured(spark, replace(job, spread=None), held, spread)
-    return layout.write(job.base, name, _generation(spark, job, made, state, _reached(orders, changes)))
+    with session_confs(spark, STREAM_CONFS):
+        orders, changes = read_orders(spark, job), read_log(spark, PRODUCT_CHANGES, job.log(PRODUCT_CHANGES))
+        state = kept_state(spark, job.checkpoint(held.name(name)))
+        made = _measured(spark, replace(job, spread=None), held, spread)
+        return layout.write(job.base, name, _generation(spark, job, made, state, _reached(orders, changes)))
 
 
 def rebuild_counts(spark: SparkSession, job: Job) -> Layout:

@@ -141,6 +141,22 @@ def test_a_backlog_is_handed_over(spark, make, job):
     assert state.filter("kind <> 0").count() < len(first[1])
 
 
+def test_hand_over_in_another_zone(spark, make, job):
+    first, second = ([("a", "p1", "02:10:00"), ("b", "p1", "02:30:00")], [("p1", "v1", "02:00:00", "c", 0), ("p1", "v2", "02:20:00", "u", 1)]), (
+        [("c", "p1", "02:50:00")], [("p1", "v3", "02:25:00", "u", 2), ("p9", "x", "02:45:00", "c", 3)]
+    )
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        log(make, job, *first)
+        S.hand_over(spark, job)
+        log(make, job, *second)
+        found = enriched_now(spark, job)
+        assert [(r[0], r[2], r[4]) for r in found] == [("a", "v1", at("02:10:00")), ("b", "v3", at("02:30:00"))]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_hand_over_of_empty_logs(spark, make, job):
     rng = random.Random(4)
     log(make, job, [], [])
