@@ -1,22 +1,24 @@
 """Benchmark decontamination: one Aho-Corasick automaton over the normalised benchmark.
 
 The letters of the automaton are words, so that a match is a run of whole words and its place
-maps to characters of the original text. A text is scanned once for all windows of a block of
-the benchmark. A block has at most ``block_words`` words, which bounds the broadcast and the
-automaton; a larger benchmark is scanned block by block, and the hits of all blocks add up.
+maps to characters of the original text. Spark makes the table of distinct windows with their items; a
+text is scanned once for all windows of a block of it. A block has about ``block_words`` words of the
+benchmark, which bounds the driver's part, the broadcast and the automaton. For a larger benchmark a
+scan for each block leaves only the hits of rows that have some, and these are put together once.
 
 Defined results: a null text, or one without words, has no words and no hits; a benchmark text
 without words has no window; a null item id is listed as an empty string; repeated items count
-once; every input row gives one output row.
+once; every input row gives one output row, and an empty table none; an empty benchmark has no hits.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,27 +53,38 @@ def windows_of(words: list[bytes], size: int) -> list[tuple[bytes, ...]]:
     return [tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))]
 
 
-def blocks(benchmark: DataFrame, size: int, block_words: int, id_col: str, text: str) -> Iterator[dict]:
-    """Windows of the benchmark and the items that hold them, some items at a time.
+def windows_table(benchmark: DataFrame, size: int, id_col: str, text: str) -> DataFrame:
+    """The distinct windows of the benchmark, stored: words (joined by spaces), n, h, items."""
+    rows = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"), F.col(text).alias("text"))
 
-    An item longer than a block is spread over several.
-    """
-    held: dict[tuple, set] = {}
-    letters = 0
-    for row in benchmark.select(F.col(id_col).cast("string"), text).toLocalIterator(prefetchPartitions=False):
-        for window in windows_of(words_of(row[1]), size):
-            if window not in held:
-                letters += len(window)
-            held.setdefault(window, set()).add(row[0] or "")
-            if letters >= block_words * size:
-                yield held
-                held, letters = {}, 0
-    if held:
-        yield held
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, body in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found = {*windows_of(words_of(body.as_py()), size)}
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b" ".join(w) for w in found], pa.binary()), pa.array([item] * len(found), pa.string()),
+                     pa.array([len(w) for w in found], pa.int32())],
+                    names=["words", "item", "n"],
+                )
+
+    made = rows.mapInArrow(run, "words binary, item string, n int").distinct()
+    one = made.groupBy("words").agg(F.max("n").alias("n"), F.array_sort(F.collect_list("item")).alias("items"))
+    return stored(one.withColumn("h", F.xxhash64("words")), "windows")
+
+
+def blocks(windows: DataFrame, size: int, block_words: int) -> Iterator[list]:
+    """The windows in even parts by hash, each of about ``block_words * size`` words at most."""
+    letters = windows.agg(F.sum("n")).first()[0] or 0
+    parts = max(1, -(-letters // (block_words * size)))
+    part = F.pmod(F.col("h"), F.lit(parts))
+    for number in range(parts):
+        found = windows.filter(part == number).select("words", "items").collect()
+        if found:
+            yield [(tuple(bytes(r["words"]).split(b" ")), r["items"]) for r in found]
 
 
-def _index(held: dict) -> dict:
-    return {"windows": [(w, sorted(items)) for w, items in held.items()], "made": None}
+def _index(held: list) -> dict:
+    return {"windows": held, "made": None}
 
 
 def _automaton(value: dict):
@@ -131,40 +144,81 @@ def find_leaks(
     """
     docs = docs.drop(out)
     spark, columns = docs.sparkSession, docs.columns
-    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.StructType.fromDDL(LEAK))])
-
-    def scan(index):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids, automaton = _automaton(index.value) if index else ({}, None)
-            for batch in batches:
-                names = batch.schema.names
-                before = batch.column(names.index(out)).to_pylist() if out in names else None
-                rows = []
-                for i, value in enumerate(batch.column(names.index(text))):
-                    whole = value.as_py() or ""
-                    words = words_of(whole)
-                    found, items = _scan(words, ids, automaton) if words and automaton else ([], set())
-                    if before:
-                        found += [(r["start"], r["end"]) for r in before[i]["runs"]]
-                        items.update(before[i]["items"])
-                    runs = merged(found)
-                    pairs = [{"start": a, "end": b} for a, b in runs]
-                    spans = [{"start": a, "end": b} for a, b in _spans(whole, runs)] if runs else []
-                    rows.append(
-                        {"n_words": len(words), "n_hit": sum(b - a for a, b in runs),
-                         "items": sorted(items), "runs": pairs, "spans": spans}
-                    )
-                kept = [batch.column(names.index(c)) for c in columns]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(rows, _LEAK)], [*columns, out])
-
-        return run
-
-    found = None
-    for held in blocks(benchmark, window, block_words, item_id, item_text):
-        if found is not None:
-            docs = stored(found, "leaks")
-        found = docs.mapInArrow(scan(spark.sparkContext.broadcast(_index(held))), schema)
-    return docs.mapInArrow(scan(None), schema) if found is None else found
+    fields = T.StructField(out, T.StructType.fromDDL(LEAK))
+    parts = blocks(windows_table(benchmark, window, item_id, item_text), window, block_words)
+    first, second = next(parts, None), next(parts, None)
+    if second is None:
+        return docs.mapInArrow(
+            _marker(columns, text, out, _sent(spark, first)), T.StructType([*docs.schema.fields, fields])
+        )
+    # Several blocks: a scan for each leaves the hits of the rows that have some; they meet once.
+    row, hits = fresh(docs, "_row"), fresh(docs, "_hits")
+    whole = stored(docs.withColumn(row, F.monotonically_increasing_id()), "leak_docs")
+    texts, found = whole.select(F.col(row).alias("row"), F.col(text).alias("text")), None
+    for held in itertools.chain([first, second], parts):
+        some = stored(texts.mapInArrow(_hits(_sent(spark, held)), HITS), "hits")
+        found = some if found is None else found.unionByName(some)
+    one = found.groupBy("row").agg(
+        F.struct(F.flatten(F.collect_list("runs")).alias("runs"), F.flatten(F.collect_list("items")).alias("items")).alias(hits)
+    )
+    joined = whole.join(one.withColumnRenamed("row", row), row, "left").select(*columns, hits)
+    return joined.mapInArrow(_marker(columns, text, out, None, hits), T.StructType([*docs.schema.fields, fields]))
+
+
+HITS = "row long, runs array<struct<start:long,end:long>>, items array<string>"
+_HITS = pa.schema([("row", pa.int64()), ("runs", _RUNS), ("items", pa.list_(pa.string()))])
+
+
+def _sent(spark: SparkSession, held: list | None):
+    return spark.sparkContext.broadcast(_index(held)) if held else None
+
+
+def _pairs(runs: list[tuple[int, int]]) -> list[dict]:
+    return [{"start": a, "end": b} for a, b in runs]
+
+
+def _hits(index):
+    """Scans texts (row, text) for a block: the merged hits and the items of rows that have some."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, automaton = _automaton(index.value)
+        for batch in batches:
+            rows = []
+            for row, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found, items = _scan(words_of(value.as_py()), ids, automaton)
+                if found:
+                    rows.append({"row": row, "runs": _pairs(merged(found)), "items": sorted(items)})
+            yield pa.RecordBatch.from_pylist(rows, schema=_HITS)
+
+    return run
+
+
+def _marker(columns: list[str], text: str, out: str, index, hits: str | None = None):
+    """Adds the struct ``out`` from a scan of the text, or from ``hits`` that were found before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, automaton = _automaton(index.value) if index else ({}, None)
+        for batch in batches:
+            names = batch.schema.names
+            before = batch.column(names.index(hits)).to_pylist() if hits else None
+            rows = []
+            for i, value in enumerate(batch.column(names.index(text))):
+                whole = value.as_py() or ""
+                words = words_of(whole)
+                found, items = _scan(words, ids, automaton) if words and automaton else ([], set())
+                if before and before[i]:
+                    found = [(r["start"], r["end"]) for r in before[i]["runs"]]
+                    items = {*before[i]["items"]}
+                runs = merged(found)
+                spans = _pairs(_spans(whole, runs)) if runs else []
+                rows.append(
+                    {"n_words": len(words), "n_hit": sum(b - a for a, b in runs),
+                     "items": sorted(items), "runs": _pairs(runs), "spans": spans}
+                )
+            kept = [batch.column(names.index(c)) for c in columns]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(rows, _LEAK)], [*columns, out])
+
+    return run
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
