@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import os
+import sys
+
 from datetime import datetime, timezone
 
 import pytest
@@ -80,3 +83,14 @@ def test_old_run_folders_are_removed(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(path).count() == 3
     assert session.clear_runs(spark, older_than_hours=0) == 1
     assert session.clear_runs(spark) == 0
+
+
+def test_the_entry_does_without_the_operators_packages():
+    """A package that only the training-data operators need is missing: the order queries stay."""
+    import subprocess
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = "import sys; sys.modules['regex'] = None; import __spark_entry__ as e; print(*e.queries(), *e.oracle_sql())"
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+    assert "temporal_enrich" in done.stdout and "op2_" not in done.stdout
