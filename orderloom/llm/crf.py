@@ -7,7 +7,8 @@ The field is trained on labelled pages by gradient ascent on the conditional lik
 
 The labelled pages are made here, of many layouts: the marks of their main text are known.
 Defined results: a null, empty or text-free page has an empty text; a page without main text
-likewise. Blocks keep page order; within a block white space is one space.
+likewise. Blocks keep page order; within a block white space is one space. Repeated rows are read
+each, null ids and other columns stay, and no pages give no rows.
 """
 
 from __future__ import annotations

@@ -6,7 +6,8 @@ links are checked, and components of links are the groups.
 
 Defined results: a null or empty text, or one without words, has fingerprint zero and is
 linked like any other; a null id never names a group (the least non-null id does; none: null);
-repeated rows share a fingerprint and a group. Every input row gives one output row.
+repeated rows share a fingerprint and a group. Every input row gives one output row, no rows none;
+other columns, under whatever names, have no effect and stay where rows are kept.
 """
 
 from __future__ import annotations
