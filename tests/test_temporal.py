@@ -168,6 +168,18 @@ def test_pieces_bound_the_rows_of_a_task(spark):
     assert max(r["count"] for r in placed.groupBy("piece").count().collect()) <= 2 * 2000
 
 
+def test_small_pieces_share_a_task(spark):
+    """Tasks follow from the rows, not from the number of pieces; pieces keep their size and order."""
+    many = spark.range(0, 30_000, 1, 3).selectExpr("concat('k', id % 2) AS k", "id div 100 AS t")
+    placed = pieces.cut(many, ["k", "t"], 20).withColumn("file", F.input_file_name())
+    assert placed.select("file").distinct().count() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spans = placed.groupBy("piece").agg(
+        F.count("*").alias("n"), F.min(F.struct("k", "t")).alias("low"), F.max(F.struct("k", "t")).alias("high")
+    ).orderBy("piece").collect()
+    assert sum(s["n"] for s in spans) == 30_000 and max(s["n"] for s in spans) <= 20
+    assert all(a["high"] <= b["low"] for a, b in zip(spans, spans[1:]))
+
+
 @pytest.mark.parametrize("source", ["events", "skewed", "lineitem"])
 def test_strategies_agree(spark, source):
     orders, changes = {
