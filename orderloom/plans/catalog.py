@@ -249,17 +249,15 @@ def zip_orders_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def zip_orders_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_dir(spark, "damaged_zips")
     files.write_damaged_zips(D.event_changes(spark, sf_dir), path)
+    return _refused_of_zips(spark, path)
+
+
+def _refused_of_zips(spark: SparkSession, path: str) -> DataFrame:
     refused = read_zip_orders(spark, path).quarantine
+    archive = F.regexp_extract("path", files.ARCHIVE_NAME, 1)
     # What a codec says of damaged data is its own affair.
     error = F.regexp_replace("error", "lines: .*", "lines")
-    rows = refused.select("path", "member", "line", error.alias("error"))
-    # Archives follow from the tasks that write them: what each holds once counts once.
-    once = F.col("line").isNull() | (F.col("line") == files.HEADER)
-    lines = rows.filter(~once).select("member", "line", "error", F.lit(True).alias("every"))
-    every = rows.filter(once).groupBy("member", "line", "error").agg(F.count(F.lit(1)).alias("n"))
-    archives = rows.select("path").distinct().agg(F.count(F.lit(1)).alias("archives"))
-    every = every.crossJoin(F.broadcast(archives)).select("member", "line", "error", (F.col("n") == F.col("archives")).alias("every"))
-    return lines.unionByName(every)
+    return refused.select(archive.alias("archive"), "member", "line", error.alias("error"))
 
 
 # ---- streams --------------------------------------------------------------

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.stores import store_of
+from orderloom.operators.pieces import cut
 from orderloom.schemas import ORDERS
 from orderloom.sources.csv_orders import ORDER_TS_TEXT
 
@@ -56,44 +57,50 @@ def write_order_files(orders: DataFrame, bad: DataFrame, path: str) -> None:
     bad.withColumn("digit", F.lit(-1)).write.partitionBy("digit").mode("append").text(path)
 
 
-# The most lines that a task holds before it writes them as an archive.
+# The most lines of an archive, which one task holds to write it.
 ARCHIVE_LINES = 10_000
 
+# Name of an archive: its piece of the lines, then the product they are of.
+ARCHIVE_NAME = r"/\d+_([^/]*)\.zip$"
+
 
 def write_damaged_zips(changes: DataFrame, path: str, lines_per_archive: int = ARCHIVE_LINES) -> None:
-    """Archives of lines that are no orders, each with a member with damaged data in front.
+    """Per product a member with damaged data, then one of a header and lines that are no orders.
 
-    A task writes an archive for every so many of its lines, whatever products they are of; the
-    lines of a large table go to many tasks and archives.
+    A product's lines beyond ``lines_per_archive`` go on in more archives of its name, which have
+    nothing else in them: the lines of a large product go to many tasks.
     """
 
-    def archive(lines: list[str]) -> bytes:
+    def archive(lines: list[str], first: bool) -> bytes:
         body = io.BytesIO()
         with zipfile.ZipFile(body, "w", zipfile.ZIP_DEFLATED) as z:
-            z.writestr("damaged.csv", f"{HEADER}\n" * 50)
-            z.writestr("whole.csv", "\n".join([HEADER, *lines]) + "\n")
+            if first:
+                z.writestr("damaged.csv", f"{HEADER}\n" * 50)
+            z.writestr("whole.csv", "\n".join([HEADER, *lines] if first else lines) + "\n")
         data = bytearray(body.getvalue())
-        start = data.index(b"damaged.csv") + len(b"damaged.csv")
-        data[start : start + 8] = b"\xff" * 8
+        if first:
+            start = data.index(b"damaged.csv") + len(b"damaged.csv")
+            data[start : start + 8] = b"\xff" * 8
         return bytes(data)
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def write(key: tuple, table: pa.Table) -> pa.Table:
         store, folder = store_of(path)
         store.create_dir(folder, recursive=True)
-        context = TaskContext.get()
-        part, attempt, number = context.partitionId(), context.taskAttemptId(), 0
-        for batch in batches:
-            for at in range(0, batch.num_rows, lines_per_archive):
-                name = f"{part:05d}-{number:05d}"
-                aside = f"{folder}/_{name}-{attempt}"
-                with store.open_output_stream(aside, compression=None) as out:
-                    out.write(archive(batch.slice(at, lines_per_archive).column(0).to_pylist()))
-                store.move(aside, f"{folder}/{name}.zip")
-                number += 1
-        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32())], ["archives"])
-
-    lines = changes.select(bad_line().alias("value"))
-    lines.mapInArrow(write, "archives int").agg(F.sum("archives")).collect()
+        product, piece = (k.as_py() for k in key)
+        lines = table["value"].drop_null().to_pylist()
+        name = f"{piece}_{product}"
+        aside = f"{folder}/_{name}-{TaskContext.get().taskAttemptId()}"
+        with store.open_output_stream(aside, compression=None) as out:
+            out.write(archive(sorted(lines), first=len(lines) < table.num_rows))
+        store.move(aside, f"{folder}/{name}.zip")
+        return pa.table({"archives": pa.array([1], pa.int32())})
+
+    lines = changes.select("product_id", bad_line().alias("value"))
+    split = cut(lines, ["product_id", "value"], lines_per_archive)
+    # A row without a line marks the first archive of a product.
+    first = split.groupBy("product_id").agg(F.min("piece").alias("piece"))
+    marked = split.unionByName(first.withColumn("value", F.lit(None).cast("string")))
+    marked.groupBy("product_id", "piece").applyInArrow(write, "archives int").agg(F.sum("archives")).collect()
 
 
 def write_zip_batches(

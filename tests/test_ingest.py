@@ -8,7 +8,7 @@ import pytest
 from conftest import SF_DIR, at, rows
 from orderloom.functions.stores import store_of
 from orderloom.plans import derived as D
-from orderloom.plans import files
+from orderloom.plans import catalog, files
 from orderloom.sources import zip_orders
 from orderloom.sources.csv_orders import read_csv_orders, stream_csv_orders, write_csv_orders
 from orderloom.sources.zip_orders import read_zip_orders, stream_zip_orders
@@ -205,6 +205,24 @@ def test_written_files_read_back(spark, tmp_path):
     assert rows(read_zip_orders(spark, str(tmp_path / "zip")).orders, *COLUMNS) == expected
 
 
+@pytest.mark.parametrize("limit", [None, 7])
+def test_damaged_archives_are_told_apart_by_product(spark, tmp_path, limit):
+    """Every line with its product's archive; one header and one damaged member per product."""
+    changes = D.event_changes(spark, SF_DIR)
+    files.write_damaged_zips(changes, str(tmp_path), limit or files.ARCHIVE_LINES)
+    products = [(c.product_id, f"{c.seq},{c.product_id}") for c in changes.collect()]
+    want = [(p, "whole.csv", line, "malformed line") for p, line in products]
+    for p in {p for p, _ in products}:
+        want += [(p, "whole.csv", files.HEADER, "malformed line"), (p, "damaged.csv", None, "bad member after 0 lines")]
+    found = catalog._refused_of_zips(spark, str(tmp_path))
+    assert rows(found, "archive", "member", "line", "error") == sorted(want, key=repr)
+    sizes = []
+    for name in tmp_path.glob("*.zip"):
+        with zipfile.ZipFile(name) as z:
+            sizes.append(len([x for x in z.read("whole.csv").decode().splitlines() if x != files.HEADER]))
+    assert sum(sizes) == len(products) and max(sizes) <= (limit or files.ARCHIVE_LINES)
+
+
 @pytest.mark.parametrize("kind", ["csv", "zip"])
 def test_folder_stream_takes_each_new_file_once(spark, tmp_path, kind):
     source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
