@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -9,10 +10,12 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import SF_DIR, at, rows
+from orderloom import session
 from orderloom.operators import pieces, temporal
 from orderloom.operators.changelog import history
 from orderloom.operators.temporal import temporal_enrich
 from orderloom.plans import derived as D
+from orderloom.plans.catalog import QUERIES, SPLIT_ROWS
 from orderloom.schemas import ENRICHED_ORDERS, ORDERS, PRODUCT_CHANGES
 
 STRATEGIES = ["shuffle", "broadcast", "split"]
@@ -180,6 +183,30 @@ def test_small_pieces_share_a_task(spark):
     assert all(a["high"] <= b["low"] for a, b in zip(spans, spans[1:]))
 
 
+# The queries that ask for pieces of a few hundred rows.
+SMALL_PIECES = [
+    "temporal_enrich_micros_broadcast",
+]
+
+
+@pytest.mark.parametrize("name", SMALL_PIECES)
+def test_queries_with_small_pieces_write_few_files(spark, monkeypatch, name):
+    """A file, a task and a sample for every few hundred rows would swamp the driver."""
+    made = []
+
+    def run_dir(spark, label):
+        made.append(session.run_dir(spark, label))
+        return made[-1]
+
+    monkeypatch.setattr(pieces, "run_dir", run_dir)
+    monkeypatch.setattr(temporal, "BROADCAST_VERSIONS", 10)
+    QUERIES[name](spark, "/root/testdata/sf0.1")
+    (path,) = [p for p in made if "/pieces-" in p]
+    assert len(list(Path(path).glob("part-*"))) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    most, pieces_cut = spark.read.parquet(path).groupBy("piece").count().agg(F.max("count"), F.count("*")).first()
+    assert most <= SPLIT_ROWS and pieces_cut > 4
+
+
 @pytest.mark.parametrize("source", ["events", "skewed", "lineitem"])
 def test_strategies_agree(spark, source):
     orders, changes = {
