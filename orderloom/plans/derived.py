@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from orderloom.functions.time import truncate_ms
 
 VERSIONS_PER_PART = 8
+# Change rows that one task makes of its parts; what follows may sort them.
+MADE_ROWS = 1_000_000
 HOT_PRODUCT = "product-1"
 
 # Declared columns of the given tables: no job is run to look them up.
@@ -169,9 +171,14 @@ def line_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def part_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = read_table(spark, sf_dir, "part").select(
-        "p_partkey", "p_name", F.explode(F.sequence(F.lit(0), F.lit(VERSIONS_PER_PART - 1))).alias("v")
-    )
+    parts = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    # Read tasks go by bytes of the file, not by rows: a large table is dealt out before every part
+    # becomes several rows.
+    tasks = -(-parts.count() * VERSIONS_PER_PART // MADE_ROWS)
+    if tasks > 1:
+        parts = parts.repartition(tasks, "p_partkey", "p_name")
+    versions = F.explode(F.sequence(F.lit(0), F.lit(VERSIONS_PER_PART - 1)))
+    parts = parts.select("p_partkey", "p_name", versions.alias("v"))
     days = F.col("v") * 330 + F.col("p_partkey") % 97
     return parts.select(
         F.concat(F.lit("product-"), F.col("p_partkey").cast("string")).alias("product_id"),

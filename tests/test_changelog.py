@@ -4,10 +4,12 @@ import random
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_DIR, at, rows
 from orderloom.operators import changelog
 from orderloom.plans import derived as D
+from orderloom.plans.catalog import QUERIES
 from orderloom.schemas import PRODUCT_CHANGES, PRODUCTS
 
 
@@ -84,6 +86,17 @@ def test_small_batch_does_not_shuffle_the_target(spark):
     assert plan.count("Exchange hashpartitioning") == 2  # the batch, for either use
 
 
+@pytest.mark.parametrize("name", ["upsert_new_parts"])
+def test_parts_are_dealt_out_before_they_become_versions(spark, monkeypatch, name):
+    """A task makes about as many change rows as allowed, however the table lies in its file."""
+    sf_dir, columns = "/root/testdata/sf0.01", PRODUCTS.columns
+    plain = rows(QUERIES[name](spark, sf_dir), *columns)
+    monkeypatch.setattr(D, "MADE_ROWS", 2000, raising=False)
+    made = D.part_changes(spark, sf_dir).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in made) == 16_000 and max(r["count"] for r in made) <= 2 * 2000
+    assert rows(QUERIES[name](spark, sf_dir), *columns) == plain
+
+
 def test_history_rules(make):
     changes = make.changes(
         ("p1", "v1", "00:00:00", "c", 0),
