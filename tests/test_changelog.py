@@ -86,7 +86,7 @@ def test_small_batch_does_not_shuffle_the_target(spark):
     assert plan.count("Exchange hashpartitioning") == 2  # the batch, for either use
 
 
-@pytest.mark.parametrize("name", ["upsert_new_parts"])
+@pytest.mark.parametrize("name", ["upsert_new_parts", "upsert_parts"])
 def test_parts_are_dealt_out_before_they_become_versions(spark, monkeypatch, name):
     """A task makes about as many change rows as allowed, however the table lies in its file."""
     sf_dir, columns = "/root/testdata/sf0.01", PRODUCTS.columns
