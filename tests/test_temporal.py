@@ -187,6 +187,7 @@ def test_small_pieces_share_a_task(spark):
 SMALL_PIECES = [
     "temporal_enrich_micros_broadcast",
     "products_history_hot_key",
+    "product_window_counts_hot_key",
 ]
 
 
