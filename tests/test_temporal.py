@@ -189,6 +189,7 @@ SMALL_PIECES = [
     "products_history_hot_key",
     "product_window_counts_hot_key",
     "temporal_enrich_hot_key",
+    "temporal_enrich_micros_split",
 ]
 
 
