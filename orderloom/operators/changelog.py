@@ -17,6 +17,10 @@ TIME = PRODUCTS.event_time
 # Arrival position of snapshot rows: before every log row (log positions are >= 0).
 SNAPSHOT_SEQ = -1
 
+# Limits of a batch whose keys Spark may broadcast, in keys and in bytes of them.
+BROADCAST_KEYS = 500_000
+BROADCAST_KEY_BYTES = 32 * 1024 * 1024
+
 
 def is_live(op: str = "op") -> Column:
     """False for a delete row; any other change leaves a live row behind."""
@@ -92,16 +96,16 @@ def upsert(target: DataFrame, batch: DataFrame) -> DataFrame:
 
     Within the batch the last arrival (``seq``) wins; event time is not compared.
     A small batch is broadcast by Spark on its size estimate, so the target does
-    not shuffle for it.
+    not shuffle for it; a batch of many keys is not, whatever the estimate.
     """
     newest = newest_per_key(batch).select(*target.columns)
-    return _replace(target, newest, newest)
+    return _replace(target, batch, newest, newest)
 
 
 def apply_changes(target: DataFrame, batch: DataFrame) -> DataFrame:
     """Like ``upsert``, for change rows: a delete removes its key."""
     newest = newest_per_key(batch)
-    return _replace(target, newest, newest.filter(is_live()).select(*target.columns))
+    return _replace(target, batch, newest, newest.filter(is_live()).select(*target.columns))
 
 
 def newest_per_key(changes: DataFrame) -> DataFrame:
@@ -109,11 +113,23 @@ def newest_per_key(changes: DataFrame) -> DataFrame:
     return _last_per_key(changes, ("seq",))
 
 
-def _replace(target: DataFrame, touched: DataFrame, rows: DataFrame) -> DataFrame:
-    kept = target.join(touched.select(KEY), KEY, "left_anti")
+def _replace(target: DataFrame, batch: DataFrame, touched: DataFrame, rows: DataFrame) -> DataFrame:
+    keys = touched.select(KEY)
+    if not _few_keys(batch):
+        keys = keys.hint("merge")
+    kept = target.join(keys, KEY, "left_anti")
     return kept.select(*target.columns).unionByName(rows)
 
 
+def _few_keys(batch: DataFrame) -> bool:
+    """Whether the keys of ``batch`` are within the limits of a broadcast.
+
+    The optimizer's estimate goes by the bytes of the files, not by what they unpack or explode to.
+    """
+    count, longest = batch.agg(F.approx_count_distinct(KEY), F.max(F.octet_length(KEY))).first()
+    return count <= BROADCAST_KEYS and count * (longest or 0) <= BROADCAST_KEY_BYTES
+
+
 def history(changes: DataFrame, max_task_rows: int | None = None) -> DataFrame:
     """Versions with the interval ``[valid_from, valid_to)`` in which each is current.
 

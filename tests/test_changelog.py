@@ -86,6 +86,32 @@ def test_small_batch_does_not_shuffle_the_target(spark):
     assert plan.count("Exchange hashpartitioning") == 2  # the batch, for either use
 
 
+@pytest.mark.parametrize("name", ["upsert_new_parts", "upsert_parts"])
+@pytest.mark.parametrize("limit", ["BROADCAST_KEYS", "BROADCAST_KEY_BYTES"])
+def test_many_keys_are_not_broadcast(spark, monkeypatch, name, limit):
+    """The estimate of a batch is far below its keys: every task would hold all of them."""
+    plain = rows(QUERIES[name](spark, SF_DIR), *PRODUCTS.columns)
+    # The 200 keys of the batch, of up to eleven bytes each.
+    monkeypatch.setattr(changelog, limit, 150, raising=False)
+    merged = QUERIES[name](spark, SF_DIR)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert rows(merged, *PRODUCTS.columns) == plain
+
+
+def test_many_keys_with_deletes_and_null_keys(make, monkeypatch):
+    target = PRODUCTS.conform(
+        make.changes(*[(k, "a", "00:00:00", "r", 0) for k in ("p1", "p2", "p2", "p4", None)])
+    )
+    batch = make.changes(
+        ("p1", None, "00:00:05", "d", 1), ("p3", "e", "00:00:01", "c", 3), ("p4", "f", "00:00:01", "u", 4), (None, "g", "00:00:01", "u", 5)
+    )
+    plain = [rows(f(target, batch), *PRODUCTS.columns) for f in (changelog.upsert, changelog.apply_changes)]
+    assert len(plain[1]) == 5  # p2 twice, the row without a key, p3 and p4
+    monkeypatch.setattr(changelog, "BROADCAST_KEYS", 0)
+    assert [rows(f(target, batch), *PRODUCTS.columns) for f in (changelog.upsert, changelog.apply_changes)] == plain
+
+
 @pytest.mark.parametrize("name", ["upsert_new_parts", "upsert_parts"])
 def test_parts_are_dealt_out_before_they_become_versions(spark, monkeypatch, name):
     """A task makes about as many change rows as allowed, however the table lies in its file."""
